@@ -46,3 +46,19 @@ def sales_event_columns(absent: tuple[str, ...] = (), null_when: str | None = No
 def sales_events_sql(where: str | None = None, **kw) -> str:
     sql = f"SELECT\n  {sales_event_columns(**kw)}\nFROM lineitem"
     return sql + (f"\nWHERE {where}" if where else "")
+
+
+# ---------------------------------------------------------------------------
+# clean_text in RE2 syntax (same rule as quayside.functions.text.clean_text)
+# ---------------------------------------------------------------------------
+_BLANKS_RE2 = r"[ \x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+def clean_text_sql(expr: str) -> str:
+    no_ctl = f"regexp_replace(coalesce({expr}, ''), '[\\x00-\\x1f\\x7f-\\x9f]', '', 'g')"
+    no_colon = f"regexp_replace({no_ctl}, ':', ' -', 'g')"
+    return f"regexp_replace({no_colon}, '\\A{_BLANKS_RE2}|{_BLANKS_RE2}\\z', '', 'g')"
+
+
+DOCS_SQL = "SELECT CAST(doc_id AS VARCHAR) AS id, source AS fileName, text FROM documents"
+CHECKPOINT_SQL = "SELECT CAST(doc_id AS VARCHAR) AS id FROM labels"

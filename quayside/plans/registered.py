@@ -9,10 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.functions import json as qjson
+from quayside.functions import text as qtext
+from quayside.operators import pending, search
 from quayside.plans import oracle
 from quayside.session import prepare
+from quayside.sources import documents as docs
 from quayside.sources import events as ev
 from quayside.sources.tables import read_table
 
@@ -45,3 +50,128 @@ def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON event bodies -> CAST AS STRING -> from_json -> parsed_data.* (flagship)."""
     messages = ev.json_messages(read_table(spark, sf_dir, "lineitem"))
     return qjson.decode_json_messages(messages)
+
+
+@register("json_roundtrip", oracle.sales_events_sql())
+def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed record -> JSON text keeping nulls (ISO timestamps) -> from_json -> same record."""
+    events = ev.sales_events_from_lineitem(read_table(spark, sf_dir, "lineitem"))
+    text = events.select(qjson.record_to_json(F.struct(*events.columns)).alias("json_data"))
+    return text.select(qjson.parse_json(F.col("json_data")).alias("parsed_data")).select("parsed_data.*")
+
+
+@register(
+    "envelope_decode",
+    """SELECT CAST(event_id AS VARCHAR) AS eventId,
+       strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS "timestamp",
+       ts AS event_time,
+       CAST(json_extract(props, '$.k') AS INTEGER) AS k
+FROM events""",
+)
+def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelope ``{eventId, timestamp, data}`` whose ``data`` is JSON text: two from_json steps."""
+    events = read_table(spark, sf_dir, "events")
+    messages = events.select(
+        F.encode(
+            qjson.envelope(
+                F.col("event_id"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.col("props")
+            ),
+            "UTF-8",
+        ).alias("body")
+    )
+    decoded = qjson.decode_envelopes(messages, T.StructType([T.StructField("k", T.IntegerType())]))
+    return decoded.select(
+        "eventId", "timestamp", F.to_timestamp("timestamp").alias("event_time"), "k"
+    )
+
+
+@register("json_path", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+def json_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSONPath field pick from JSON text (``get_json_object``)."""
+    events = read_table(spark, sf_dir, "events")
+    return events.select("event_id", qjson.json_field(F.col("props"), "$.k").alias("k"))
+
+
+@register(
+    "payload_base64",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders",
+)
+def payload_base64(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row -> JSON payload -> one-line base64 -> decoded JSON -> same row."""
+    orders = read_table(spark, sf_dir, "orders")
+    b64 = orders.select(qjson.payload_to_base64(F.struct(*orders.columns)).alias("payload"))
+    return b64.select(qjson.payload_from_base64(F.col("payload"), orders.schema).alias("p")).select("p.*")
+
+
+# ---------------------------------------------------------------------------
+# Documents: scan, clean, checkpoint, pending
+# ---------------------------------------------------------------------------
+@register("doc_scan", oracle.DOCS_SQL)
+def doc_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document table in the ingestion shape ``(id, fileName, text)``."""
+    return docs.documents_from_table(read_table(spark, sf_dir, "documents"))
+
+
+@register(
+    "clean_text",
+    f"SELECT CAST(doc_id AS VARCHAR) AS id, {oracle.clean_text_sql('text')} AS content FROM documents",
+)
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index content: controls dropped, ':' -> ' -', Unicode-stripped (whole texts)."""
+    d = docs.documents_from_table(read_table(spark, sf_dir, "documents"))
+    return d.select("id", qtext.clean_text(F.col("text")).alias("content"))
+
+
+@register(
+    "clean_text_pages",
+    f"SELECT page_id, {oracle.clean_text_sql('url')} AS url_content, "
+    f"{oracle.clean_text_sql('html')} AS html_content FROM pages",
+)
+def clean_text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """clean_text over raw web pages, where ':' and controls do occur."""
+    pages = read_table(spark, sf_dir, "pages")
+    return pages.select(
+        "page_id",
+        qtext.clean_text(F.col("url")).alias("url_content"),
+        qtext.clean_text(F.col("html")).alias("html_content"),
+    )
+
+
+@register("completed_ids", f"SELECT DISTINCT id FROM ({oracle.CHECKPOINT_SQL})")
+def completed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct ids of the progress checkpoint."""
+    return pending.completed_ids(docs.checkpoint_from_labels(read_table(spark, sf_dir, "labels")))
+
+
+@register(
+    "pending_documents",
+    f"SELECT d.* FROM ({oracle.DOCS_SQL}) d WHERE NOT EXISTS "
+    f"(SELECT 1 FROM ({oracle.CHECKPOINT_SQL}) c WHERE c.id = d.id)",
+)
+def pending_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents not yet in the checkpoint (left anti join)."""
+    d = docs.documents_from_table(read_table(spark, sf_dir, "documents"))
+    c = docs.checkpoint_from_labels(read_table(spark, sf_dir, "labels"))
+    return pending.pending_documents(d, c)
+
+
+@register(
+    "pending_notin",
+    f"SELECT d.* FROM ({oracle.DOCS_SQL}) d WHERE d.id NOT IN (SELECT id FROM ({oracle.CHECKPOINT_SQL}))",
+)
+def pending_notin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose id is NOT IN the checkpoint (SQL null semantics)."""
+    d = docs.documents_from_table(read_table(spark, sf_dir, "documents"))
+    c = docs.checkpoint_from_labels(read_table(spark, sf_dir, "labels"))
+    return pending.pending_not_in(d, c)
+
+
+@register(
+    "facet_sort",
+    f"SELECT fileName, count(*) AS doc_count, min(id) AS first_id, max(id) AS last_id "
+    f"FROM ({oracle.DOCS_SQL}) GROUP BY fileName",
+)
+def facet_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facet counts on ``fileName`` with the first/last ``id`` (sortable, filterable key)."""
+    d = docs.documents_from_table(read_table(spark, sf_dir, "documents"))
+    return search.facets(d, "fileName", "id")
