@@ -12,13 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.functions import avro as qavro
 from quayside.functions import json as qjson
 from quayside.functions import text as qtext
 from quayside.operators import pending, search
+from quayside.functions.schemas import SALES_EVENT_GROUP, sales_event_avro
 from quayside.plans import oracle
 from quayside.session import prepare
 from quayside.sources import documents as docs
 from quayside.sources import events as ev
+from quayside.sources import registry as reg
 from quayside.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,3 +178,73 @@ def facet_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facet counts on ``fileName`` with the first/last ``id`` (sortable, filterable key)."""
     d = docs.documents_from_table(read_table(spark, sf_dir, "documents"))
     return search.facets(d, "fileName", "id")
+
+
+# ---------------------------------------------------------------------------
+# Avro events and the schema registry
+# ---------------------------------------------------------------------------
+V1_CUTOVER = "1995-01-01"
+
+
+@register("avro_decode", oracle.sales_events_sql())
+def avro_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schemaless Avro bodies -> decoded struct (Arrow UDF) -> decoded.*"""
+    avro_text = sales_event_avro()
+    messages = ev.avro_messages(read_table(spark, sf_dir, "lineitem"), avro_text)
+    return messages.select(qavro.decode_avro(F.col("body"), avro_text).alias("decoded")).select("decoded.*")
+
+
+@register("schema_resolve", oracle.sales_events_sql())
+def schema_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Resolve the writer schema from the registry by group/name/format, then decode with it."""
+    registry = reg.registry_table(spark)
+    schema_id, definition = reg.resolve_schema(registry, SALES_EVENT_GROUP, reg.SALES_EVENT_FULL_NAME, "avro")
+    messages = ev.avro_messages(read_table(spark, sf_dir, "lineitem"), definition, schema_id)
+    return messages.select(qavro.decode_avro(F.col("body"), definition).alias("decoded")).select("decoded.*")
+
+
+@register(
+    "avro_decode_by_id",
+    oracle.sales_events_sql(where=f"l_shipdate >= TIMESTAMP '{V1_CUTOVER}'")
+    + "\nUNION ALL\n"
+    + oracle.sales_events_sql(where=f"l_shipdate < TIMESTAMP '{V1_CUTOVER}'", absent=reg.V1_MISSING_FIELDS),
+)
+def avro_decode_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages carry the id of their writer schema; older events were written with version 1.
+
+    Each message is decoded with its own writer schema and read as the latest
+    version (fields the writer lacked are null).
+    """
+    registry = reg.registry_table(spark)
+    writers = reg.writer_schemas(registry, SALES_EVENT_GROUP, reg.SALES_EVENT_FULL_NAME)
+    (v1_id, v1), (v2_id, v2) = [
+        reg.resolve_schema(registry, SALES_EVENT_GROUP, reg.SALES_EVENT_FULL_NAME, "avro", version=v)
+        for v in (1, 2)
+    ]
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    old = lineitem.where(F.col("l_shipdate") < F.lit(V1_CUTOVER).cast("timestamp"))
+    new = lineitem.where(F.col("l_shipdate") >= F.lit(V1_CUTOVER).cast("timestamp"))
+    messages = ev.avro_messages(old, v1, v1_id).unionByName(ev.avro_messages(new, v2, v2_id))
+    decoder = qavro.avro_decoder_by_id(writers, v2)
+    return messages.select(decoder(F.col("schema_id"), F.col("body")).alias("decoded")).select("decoded.*")
+
+
+@register(
+    "avro_decode_errors",
+    f"""SELECT
+  {oracle.sales_event_columns(null_when="l_returnflag = 'R'")},
+  CASE WHEN l_returnflag = 'R' THEN 'truncated record at field CreatedTime' END AS _decode_error
+FROM lineitem""",
+)
+def avro_decode_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returned-item events arrive cut short by one byte: each becomes an all-null row
+    whose ``_decode_error`` says why; no row is dropped."""
+    avro_text = sales_event_avro()
+    raw = ev.avro_messages(read_table(spark, sf_dir, "lineitem"), avro_text, carry=("l_returnflag",))
+    bodies = raw.select(
+        F.when(F.col("l_returnflag") == "R", F.expr("substring(body, 1, length(body) - 1)"))
+        .otherwise(F.col("body"))
+        .alias("body")
+    )
+    decoded = bodies.select(qavro.decode_avro(F.col("body"), avro_text, with_error=True).alias("decoded"))
+    return decoded.select("decoded.*")

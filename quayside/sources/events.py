@@ -40,13 +40,15 @@ def _event_columns() -> list[Column]:
     return cols
 
 
-def sales_events_from_lineitem(lineitem: DataFrame, with_position: bool = False) -> DataFrame:
+def sales_events_from_lineitem(lineitem: DataFrame, with_position: bool = False,
+                               carry: tuple[str, ...] = ()) -> DataFrame:
     """Typed sales events (36 columns, the event-table schema), one per lineitem row.
 
-    ``with_position`` adds the broker ``offset`` and ``enqueued_time`` of the event.
+    ``with_position`` adds the broker ``offset`` and ``enqueued_time`` of the event;
+    ``carry`` keeps lineitem columns alongside.
     """
     extra = [message_offset().alias("offset"), F.col("l_shipdate").alias("enqueued_time")] if with_position else []
-    return lineitem.select(*_event_columns(), *extra)
+    return lineitem.select(*_event_columns(), *extra, *carry)
 
 
 def message_offset() -> Column:
@@ -79,3 +81,20 @@ def json_messages(lineitem: DataFrame, schema_id: str | None = None) -> DataFram
         F.col("enqueued_time"),
         F.lit(schema_id).cast("string").alias("schema_id"),
     )
+
+
+def avro_messages(lineitem: DataFrame, avro_text: str, schema_id: str | None = None,
+                  carry: tuple[str, ...] = ()) -> DataFrame:
+    """Broker messages with schemaless Avro bodies (encoded by an Arrow UDF)."""
+    from quayside.functions.avro import encode_avro
+    from quayside.functions.schemas import parse_avro_record
+
+    names = [f.name for f in parse_avro_record(avro_text)]
+    events = sales_events_from_lineitem(lineitem, with_position=True, carry=carry)
+    return events.select(
+        encode_avro(F.struct(*names), avro_text).alias("body"),
+        F.col("offset"),
+        F.col("enqueued_time"),
+        F.lit(schema_id).cast("string").alias("schema_id"),
+        *carry,
+    )
