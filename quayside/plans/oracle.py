@@ -62,3 +62,28 @@ def clean_text_sql(expr: str) -> str:
 
 DOCS_SQL = "SELECT CAST(doc_id AS VARCHAR) AS id, source AS fileName, text FROM documents"
 CHECKPOINT_SQL = "SELECT CAST(doc_id AS VARCHAR) AS id FROM labels"
+
+
+PENDING_SQL = (
+    f"SELECT d.* FROM ({DOCS_SQL}) d WHERE NOT EXISTS "
+    f"(SELECT 1 FROM ({CHECKPOINT_SQL}) c WHERE c.id = d.id)"
+)
+
+
+def batches_sql(size: int = 16) -> str:
+    return f"""SELECT *, CAST(rn // {size} AS BIGINT) AS batch_id, CAST(rn % {size} AS INTEGER) AS batch_pos
+FROM (SELECT *, CAST(row_number() OVER (ORDER BY id NULLS FIRST) - 1 AS BIGINT) AS rn FROM ({PENDING_SQL}))"""
+
+
+def outcome_sql(size: int = 16, max_chars: int = 16000) -> str:
+    """Batch fails when any text in it is rejected; the first rejected text's message wins."""
+    return f"""WITH b AS (
+  SELECT *, CASE WHEN text IS NULL OR text = '' THEN 'empty input'
+                 WHEN length(text) > {max_chars} THEN 'input exceeds {max_chars} characters' END AS bad
+  FROM ({batches_sql(size)})
+), f AS (
+  SELECT batch_id, arg_min(bad, rn) AS error FROM b WHERE bad IS NOT NULL GROUP BY batch_id
+)
+SELECT b.id, b.fileName, b.text, b.batch_id,
+       CASE WHEN f.error IS NULL THEN 'success' ELSE 'failed' END AS status, f.error
+FROM b LEFT JOIN f USING (batch_id)"""

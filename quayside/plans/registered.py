@@ -15,10 +15,11 @@ from pyspark.sql import types as T
 from quayside.functions import avro as qavro
 from quayside.functions import json as qjson
 from quayside.functions import text as qtext
-from quayside.operators import pending, search
+from quayside.functions.schemas import FAILURE_SCHEMA
+from quayside.operators import batching, embedding, pending, search, upsert
 from quayside.functions.schemas import SALES_EVENT_GROUP, sales_event_avro
-from quayside.plans import oracle
-from quayside.session import prepare
+from quayside.plans import ingest, oracle
+from quayside.session import prepare, work_dir
 from quayside.sources import documents as docs
 from quayside.sources import events as ev
 from quayside.sources import registry as reg
@@ -248,3 +249,94 @@ def avro_decode_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     decoded = bodies.select(qavro.decode_avro(F.col("body"), avro_text, with_error=True).alias("decoded"))
     return decoded.select("decoded.*")
+
+
+# ---------------------------------------------------------------------------
+# Document ingestion
+# ---------------------------------------------------------------------------
+def _docs_and_checkpoint(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    d = docs.documents_from_table(read_table(spark, sf_dir, "documents"))
+    c = docs.checkpoint_from_labels(read_table(spark, sf_dir, "labels"))
+    return d, c
+
+
+def _seeded_paths(spark: SparkSession, sf_dir: str) -> ingest.IngestPaths:
+    """A fresh ingestion folder whose checkpoint already lists the labelled documents."""
+    paths = ingest.IngestPaths.fresh(spark)
+    docs.checkpoint_from_labels(read_table(spark, sf_dir, "labels")).write.json(paths.checkpoint)
+    return paths
+
+
+@register("batch_assign", f"SELECT id, rn AS rank, batch_id, batch_pos FROM ({oracle.batches_sql()})")
+def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pending documents numbered in id order and cut into batches of 16 (no single-partition window)."""
+    d, c = _docs_and_checkpoint(spark, sf_dir)
+    batched = batching.assign_batches(pending.pending_documents(d, c), "id", size=ingest.BATCH_SIZE)
+    return batched.public().select("id", "rank", "batch_id", "batch_pos")
+
+
+_OUTCOME_COLS = ("id", "fileName", "batch_id", "status", "error")
+
+
+@register("outcome_split", f"SELECT {', '.join(_OUTCOME_COLS)} FROM ({oracle.outcome_sql()})")
+def outcome_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-document outcome of embedding pending batches: a rejected text fails its whole batch."""
+    d, c = _docs_and_checkpoint(spark, sf_dir)
+    return ingest.plan_outcome(d, c, embedding.HashingEmbedder()).select(*_OUTCOME_COLS)
+
+
+@register("outcome_retry", f"SELECT {', '.join(_OUTCOME_COLS)} FROM ({oracle.outcome_sql()})")
+def outcome_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A throttling service (two rate-limit errors per batch) is retried at a constant interval."""
+    d, c = _docs_and_checkpoint(spark, sf_dir)
+    flaky = embedding.FlakyEmbedder(embedding.HashingEmbedder(), failures=2)
+    return ingest.plan_outcome(d, c, flaky, retry_interval=0.0, max_tries=5).select(*_OUTCOME_COLS)
+
+
+@register("index_documents")
+def index_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One full ingestion run; the index read back: id, content (cleaned), fileName, contentVector."""
+    paths = _seeded_paths(spark, sf_dir)
+    d = docs.documents_from_table(read_table(spark, sf_dir, "documents"))
+    ingest.ingest(spark, d, paths, embedding.HashingEmbedder())
+    return ingest.read_index(spark, paths)
+
+
+@register(
+    "failure_log",
+    f"SELECT id, fileName, text, error FROM ({oracle.outcome_sql()}) WHERE status = 'failed'",
+)
+def failure_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The failure log after one run: every row of a failed batch with raw text and the error."""
+    paths = _seeded_paths(spark, sf_dir)
+    d = docs.documents_from_table(read_table(spark, sf_dir, "documents"))
+    ingest.ingest(spark, d, paths, embedding.HashingEmbedder())
+    return spark.read.schema(FAILURE_SCHEMA).json(paths.failures)
+
+
+@register(
+    "checkpoint_resume",
+    f"SELECT id FROM ({oracle.CHECKPOINT_SQL}) UNION ALL "
+    f"SELECT id FROM ({oracle.outcome_sql()}) WHERE status = 'success'",
+)
+def checkpoint_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs, the first cut off after the index write: the checkpoint ends holding each id once."""
+    paths = _seeded_paths(spark, sf_dir)
+    d = docs.documents_from_table(read_table(spark, sf_dir, "documents"))
+    ingest.ingest(spark, d, paths, embedding.HashingEmbedder(), run=1, crash_after="index")
+    ingest.ingest(spark, d, paths, embedding.HashingEmbedder(), run=2)
+    return docs.read_checkpoint(spark, paths.checkpoint)
+
+
+@register(
+    "upsert_documents",
+    "SELECT conv_id, turn, role, text FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM conversations) WHERE rn = 1",
+)
+def upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation turns upserted by ``conv_id`` in two writes; the newest turn wins."""
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    table = upsert.VersionedTable(spark, work_dir(spark, "upsert"))
+    table.upsert(turns.where(F.col("turn") == 0), key="conv_id", version="turn")
+    table.upsert(turns.where(F.col("turn") > 0), key="conv_id", version="turn")
+    return table.read()
