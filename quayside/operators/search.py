@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.functions.text import tokenize
+from quayside.functions.vectors import dot, normalize
+
+# Ranking ties are broken by rounding the score to this many decimals, then by id,
+# so that float noise in summation order never decides an order.
+RANK_DECIMALS = 9
+# Largest query set passed to executors in one piece (bytes of vector data).
+MAX_QUERY_BYTES = 64 << 20
+
 
 def facets(index: DataFrame, facet: str, key: str = "id") -> DataFrame:
     """Count per facet value with the first and last key; partial aggregation absorbs hot values."""
@@ -13,3 +22,138 @@ def facets(index: DataFrame, facet: str, key: str = "id") -> DataFrame:
         .agg(F.count(F.lit(1)).alias("doc_count"), F.min(key).alias("first_id"), F.max(key).alias("last_id"))
         .orderBy(F.desc("doc_count"), F.asc(facet))
     )
+
+
+def top_k(scored: DataFrame, group: str, key: str, score: str, k: int) -> DataFrame:
+    """Best ``k`` rows per ``group`` by ``score`` (ties by ``key``), with ``rank`` 1..k.
+
+    ``row_number() <= k`` lets Spark insert a partial window-group limit before the
+    shuffle, so each task ships at most ``k`` rows per group whatever the group size.
+    """
+    w = Window.partitionBy(group).orderBy(F.desc(F.round(score, RANK_DECIMALS)), F.asc(key))
+    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def label_centroids(corpus: DataFrame, label: str = "label", vector: str = "embedding") -> DataFrame:
+    """Unit-length mean vector per label: ``(qid, vector)``.
+
+    Element-wise means come from ``posexplode`` + ``groupBy(label, pos)``, which
+    aggregates partially on the map side (a label holding a third of the rows
+    costs one row per dimension per task in the shuffle).
+    """
+    exploded = corpus.select(F.col(label).alias("qid"), F.posexplode(vector).alias("pos", "x"))
+    means = exploded.groupBy("qid", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    packed = means.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("pm"))
+    return packed.select("qid", normalize(F.transform("pm", lambda e: e["m"])).alias("vector"))
+
+
+def _query_chunks(queries: DataFrame, dim: int, max_bytes: int) -> list[DataFrame]:
+    """Split a query set into pieces of at most ``max_bytes`` of vector data each."""
+    n = queries.count()
+    per_chunk = max(1, max_bytes // max(1, dim * 8))
+    if n <= per_chunk:
+        return [queries]
+    chunks = (n + per_chunk - 1) // per_chunk
+    bucket = F.pmod(F.xxhash64("qid"), F.lit(chunks))
+    return [queries.where(bucket == i) for i in range(chunks)]
+
+
+def vector_topk(corpus: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
+                vector: str = "embedding", dim: int | None = None,
+                max_query_bytes: int = MAX_QUERY_BYTES) -> DataFrame:
+    """Exact cosine top-k of every query among ``corpus`` rows: ``(qid, key, rank, score)``.
+
+    The query set travels as one scalar-subquery value (a checked, bounded size);
+    larger sets are split into pieces, each one more pass over the corpus, so the
+    result stays exact. Corpus vectors are normalised on the fly.
+    """
+    dim = dim or len(corpus.select(vector).first()[0] or [])
+    pieces = []
+    for chunk in _query_chunks(queries, dim, max_query_bytes):
+        packed = chunk.agg(F.collect_list(F.struct("qid", normalize(F.col("vector")).alias("v"))))
+        unit = normalize(F.col(vector))
+        # the subquery is its own column: subqueries may not sit inside a lambda
+        with_queries = corpus.select(F.col(key), unit.alias("_u"), packed.scalar().alias("_qs"))
+        per_row = with_queries.select(
+            F.col(key), F.explode(F.transform("_qs", lambda q: F.struct(
+                q["qid"].alias("qid"), dot(q["v"], F.col("_u")).alias("score")))).alias("s")
+        ).select("s.qid", key, "s.score")
+        pieces.append(per_row)
+    scored = pieces[0]
+    for p in pieces[1:]:
+        scored = scored.unionByName(p)
+    best = top_k(scored, "qid", key, "score", k)
+    return best.select("qid", key, "rank", F.round("score", 4).alias("score"))
+
+
+def vector_topk_lsh(corpus: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
+                    vector: str = "embedding", bucket_length: float = 1.0, tables: int = 8,
+                    max_distance: float = 1.5, seed: int = 7) -> DataFrame:
+    """Approximate cosine top-k: random-projection LSH candidates, then exact re-rank.
+
+    On unit vectors Euclidean order equals cosine order, so ``BucketedRandomProjectionLSH``
+    buckets unit vectors and ``approxSimilarityJoin`` returns the pairs sharing a
+    bucket within ``max_distance``; those candidates are scored exactly.
+    Approximate by design (like a graph index): a true neighbour that never shares
+    a bucket with the query is missed.
+    """
+    from pyspark.ml.feature import BucketedRandomProjectionLSH
+    from pyspark.ml.functions import array_to_vector
+
+    c = corpus.select(F.col(key), array_to_vector(normalize(F.col(vector))).alias("features"))
+    q = queries.select(F.col("qid"), array_to_vector(normalize(F.col("vector"))).alias("features"))
+    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
+                                       numHashTables=tables, seed=seed).fit(c)
+    pairs = model.approxSimilarityJoin(c, q, max_distance, distCol="dist")
+    scored = pairs.select(
+        F.col("datasetB.qid").alias("qid"),
+        F.col(f"datasetA.{key}").alias(key),
+        (F.lit(1.0) - F.col("dist") * F.col("dist") / 2).alias("score"),
+    )
+    best = top_k(scored, "qid", key, "score", k)
+    return best.select("qid", key, "rank", F.round("score", 4).alias("score"))
+
+
+def bm25(
+    index: DataFrame,
+    queries: DataFrame,
+    k: int = 10,
+    key: str = "id",
+    fields: tuple[str, ...] = ("content", "fileName"),
+    k1: float = 1.2,
+    b: float = 0.75,
+    max_query_terms: int = 1_000_000,
+) -> DataFrame:
+    """BM25 keyword search of ``queries(qid, query)`` over the tokens of ``fields``.
+
+    Postings are cut to the query vocabulary by a broadcast join right after
+    tokenising (the vocabulary is the distinct query terms, counted against
+    ``max_query_terms`` (query, term) pairs first), so term and document counts never shuffle words no
+    query asks for; ``N`` and the mean document length are scalar subqueries.
+    Returns ``(qid, id, rank, score)``.
+    """
+    docs = index.select(F.col(key), F.concat(*[tokenize(F.col(f)) for f in fields]).alias("toks"))
+    docs = docs.select(key, "toks", F.size("toks").alias("dl"))
+    n_docs = docs.select(F.count(F.lit(1)).cast("double")).scalar()
+    avgdl = docs.select(F.avg("dl")).scalar()
+
+    q_terms = queries.select("qid", F.explode(F.array_distinct(tokenize(F.col("query")))).alias("term")).distinct()
+    n_pairs = q_terms.count()
+    if n_pairs > max_query_terms:
+        raise ValueError(f"{n_pairs} (query, term) pairs exceed max_query_terms={max_query_terms}")
+    vocab = q_terms.select("term").distinct()
+    postings = docs.select(key, "dl", F.explode("toks").alias("term")).join(F.broadcast(vocab), "term")
+    tf = postings.groupBy(key, "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
+    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = df.select("term", idf.alias("idf"))
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl)
+    part = F.col("idf") * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
+    scored = (
+        tf.join(F.broadcast(weights), "term")
+        .join(F.broadcast(q_terms), "term")
+        .groupBy("qid", key)
+        .agg(F.sum(part).alias("score"))
+    )
+    best = top_k(scored, "qid", key, "score", k)
+    return best.select("qid", key, "rank", F.round("score", 4).alias("score"))

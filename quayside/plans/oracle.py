@@ -87,3 +87,46 @@ def outcome_sql(size: int = 16, max_chars: int = 16000) -> str:
 SELECT b.id, b.fileName, b.text, b.batch_id,
        CASE WHEN f.error IS NULL THEN 'success' ELSE 'failed' END AS status, f.error
 FROM b LEFT JOIN f USING (batch_id)"""
+
+
+def _unit(v: str) -> str:
+    return f"list_transform({v}, lambda y: y / sqrt(list_sum(list_transform({v}, lambda z: z * z))))"
+
+
+def vector_topk_sql(k: int = 10) -> str:
+    return f"""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+x AS (SELECT label, unnest(generate_series(1, len(v))) AS i, unnest(v) AS x FROM e),
+m AS (SELECT label AS qid, i, avg(x) AS m FROM x GROUP BY label, i),
+c AS (SELECT qid, list(m ORDER BY i) AS c FROM m GROUP BY qid),
+q AS (SELECT qid, {_unit('c')} AS qv FROM c),
+u AS (SELECT vec_id, {_unit('v')} AS uv FROM e),
+s AS (SELECT q.qid, u.vec_id, list_dot_product(u.uv, q.qv) AS score FROM u, q)
+SELECT qid, vec_id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, vec_id) AS rank FROM s
+) WHERE rank <= {k}"""
+
+
+def _tokens(expr: str) -> str:
+    return f"list_filter(regexp_split_to_array(lower(coalesce({expr}, '')), '[^\\pL\\pN]+'), lambda t: t <> '')"
+
+
+def bm25_sql(k: int = 10, k1: float = 1.2, b: float = 0.75) -> str:
+    return f"""WITH d AS (
+  SELECT CAST(doc_id AS VARCHAR) AS id,
+         list_concat({_tokens(clean_text_sql('text'))}, {_tokens('source')}) AS toks
+  FROM documents),
+dl AS (SELECT id, len(toks) AS dl FROM d),
+stats AS (SELECT CAST(count(*) AS DOUBLE) AS n, avg(dl) AS avgdl FROM dl),
+q AS (SELECT DISTINCT qid, term FROM (SELECT item_id AS qid, unnest({_tokens('text')}) AS term FROM benchmark)),
+p AS (SELECT id, unnest(toks) AS term FROM d),
+tf AS (SELECT id, term, count(*) AS tf FROM p WHERE term IN (SELECT term FROM q) GROUP BY id, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+s AS (
+  SELECT q.qid, tf.id,
+         sum(ln(1 + (stats.n - df.df + 0.5) / (df.df + 0.5)) * tf.tf * ({k1} + 1.0)
+             / (tf.tf + {k1} * ({1.0 - b} + {b} * dl.dl / stats.avgdl))) AS score
+  FROM q JOIN tf USING (term) JOIN df USING (term) JOIN dl USING (id) CROSS JOIN stats
+  GROUP BY q.qid, tf.id)
+SELECT qid, id, CAST(rank AS INTEGER) AS rank, round(score, 4) AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY qid ORDER BY round(score, 9) DESC, id) AS rank FROM s
+) WHERE rank <= {k}"""

@@ -340,3 +340,31 @@ def upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     table.upsert(turns.where(F.col("turn") == 0), key="conv_id", version="turn")
     table.upsert(turns.where(F.col("turn") > 0), key="conv_id", version="turn")
     return table.read()
+
+
+# ---------------------------------------------------------------------------
+# Search over the index
+# ---------------------------------------------------------------------------
+@register("vector_topk", oracle.vector_topk_sql())
+def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact cosine top-10 of every label's mean vector among all embeddings."""
+    corpus = read_table(spark, sf_dir, "embeddings")
+    return search.vector_topk(corpus, search.label_centroids(corpus), k=10)
+
+
+@register("vector_topk_lsh")
+def vector_topk_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approximate top-10 (random-projection LSH candidates, exact re-rank); rows-only check."""
+    corpus = read_table(spark, sf_dir, "embeddings")
+    return search.vector_topk_lsh(corpus, search.label_centroids(corpus), k=10)
+
+
+@register("keyword_search", oracle.bm25_sql())
+def keyword_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BM25 top-10 documents (content and fileName) for every benchmark passage as a query."""
+    index = docs.documents_from_table(read_table(spark, sf_dir, "documents")).select(
+        "id", qtext.clean_text(F.col("text")).alias("content"), "fileName"
+    )
+    queries = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"),
+                                                            F.col("text").alias("query"))
+    return search.bm25(index, queries, k=10)
