@@ -17,9 +17,13 @@ def l2_norm(a: Column) -> Column:
 
 
 def normalize(a: Column) -> Column:
-    """Unit-length copy (double elements); a zero vector stays zero."""
-    norm = l2_norm(a)
-    return F.transform(a, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(F.lit(0.0)))
+    """Unit-length copy (double elements); a zero vector stays zero.
+
+    The norm is evaluated once per row and zipped in as an array, not referenced
+    inside the element lambda (which would recompute it for every element).
+    """
+    norms = F.array_repeat(l2_norm(a), F.size(a))
+    return F.zip_with(a, norms, lambda x, n: F.when(n > 0, x.cast("double") / n).otherwise(F.lit(0.0)))
 
 
 def cosine(a: Column, b: Column) -> Column:

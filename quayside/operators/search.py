@@ -134,8 +134,8 @@ def bm25(
     """
     docs = index.select(F.col(key), F.concat(*[tokenize(F.col(f)) for f in fields]).alias("toks"))
     docs = docs.select(key, "toks", F.size("toks").alias("dl"))
-    n_docs = docs.select(F.count(F.lit(1)).cast("double")).scalar()
-    avgdl = docs.select(F.avg("dl")).scalar()
+    stats = docs.select(F.struct(F.count(F.lit(1)).cast("double").alias("n"), F.avg("dl").alias("avgdl"))).scalar()
+    n_docs, avgdl = stats["n"], stats["avgdl"]
 
     q_terms = queries.select("qid", F.explode(F.array_distinct(tokenize(F.col("query")))).alias("term")).distinct()
     n_pairs = q_terms.count()
