@@ -23,7 +23,9 @@ from quayside.session import prepare, work_dir
 from quayside.sources import documents as docs
 from quayside.sources import events as ev
 from quayside.sources import registry as reg
+from quayside.sources import tables
 from quayside.sources.tables import read_table
+from quayside.streaming import events as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -368,3 +370,118 @@ def keyword_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"),
                                                             F.col("text").alias("query"))
     return search.bm25(index, queries, k=10)
+
+
+# ---------------------------------------------------------------------------
+# Streaming ingestion of events
+# ---------------------------------------------------------------------------
+def _write_messages(messages: DataFrame, path: str, files: int = 4) -> None:
+    """Land broker messages as parquet files (a replayable stand-in for the broker)."""
+    messages.repartition(files).write.mode("append").parquet(path)
+
+
+@register("stream_append", oracle.sales_events_sql())
+def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Avro messages -> readStream -> decode -> append to a parquet table (availableNow); table read back."""
+    root = work_dir(spark, "stream_append")
+    avro_text = sales_event_avro()
+    _write_messages(ev.avro_messages(read_table(spark, sf_dir, "lineitem"), avro_text), f"{root}/source")
+    events = stream.decode_stream(stream.read_messages(spark, f"{root}/source"), "avro", avro_text)
+    stream.run_to_end(stream.append_stream(events, f"{root}/table", f"{root}/checkpoint"))
+    return spark.read.parquet(f"{root}/table")
+
+
+@register("stream_restart", oracle.sales_events_sql())
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs on one checkpoint: backlog, new files, nothing new. Every event lands exactly once."""
+    root = work_dir(spark, "stream_restart")
+    avro_text = sales_event_avro()
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    cut = F.lit(V1_CUTOVER).cast("timestamp")
+    batches = [lineitem.where(F.col("l_shipdate") < cut), lineitem.where(F.col("l_shipdate") >= cut), None]
+    for batch in batches:
+        if batch is not None:
+            _write_messages(ev.avro_messages(batch, avro_text), f"{root}/source")
+        events = stream.decode_stream(stream.read_messages(spark, f"{root}/source"), "avro", avro_text)
+        stream.run_to_end(stream.append_stream(events, f"{root}/table", f"{root}/checkpoint"))
+    return spark.read.parquet(f"{root}/table")
+
+
+@register("stream_memory_sql", oracle.sales_events_sql())
+def stream_memory_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON messages -> CAST(body AS STRING) -> from_json -> table ``structured_data`` -> SQL."""
+    root = work_dir(spark, "stream_sql")
+    _write_messages(ev.json_messages(read_table(spark, sf_dir, "lineitem")), f"{root}/source")
+    events = stream.decode_stream(stream.read_messages(spark, f"{root}/source"), "json")
+    spark.sql("DROP TABLE IF EXISTS structured_data")
+    stream.run_to_end(stream.table_stream(events, "structured_data", f"{root}/table", f"{root}/checkpoint"))
+    return spark.sql("SELECT * FROM structured_data")
+
+
+@register("start_position", oracle.sales_events_sql(where=f"l_shipdate >= TIMESTAMP '{V1_CUTOVER}'"))
+def start_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start at "@latest": the backlog present at first start is skipped; later events all arrive."""
+    root = work_dir(spark, "start_position")
+    avro_text = sales_event_avro()
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    cut = F.lit(V1_CUTOVER).cast("timestamp")
+    position = stream.StartingPosition("@latest", inclusive=True)
+    for batch in (lineitem.where(F.col("l_shipdate") < cut), lineitem.where(F.col("l_shipdate") >= cut)):
+        _write_messages(ev.avro_messages(batch, avro_text), f"{root}/source")
+        spec = stream.resolve_start(spark, f"{root}/source", f"{root}/checkpoint", position)
+        messages = stream.apply_start(stream.read_messages(spark, f"{root}/source"), spec)
+        events = stream.decode_stream(messages, "avro", avro_text)
+        stream.run_to_end(stream.append_stream(events, f"{root}/table", f"{root}/checkpoint"))
+    return spark.read.parquet(f"{root}/table")
+
+
+# ---------------------------------------------------------------------------
+# Tables and files
+# ---------------------------------------------------------------------------
+@register("table_ddl", oracle.sales_events_sql())
+def table_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CREATE DATABASE/TABLE IF NOT EXISTS (partitioned by session_id), INSERT decoded events, SELECT."""
+    root = work_dir(spark, "table_ddl")
+    tables.create_event_table(spark, "quayside_db", "sales_events", f"{root}/sales_events")
+    tables.create_index_table(spark, "quayside_db", "search_index", f"{root}/search_index", dim=64)
+    tables.create_index_table(spark, "quayside_db", "search_index", f"{root}/search_index", dim=64)  # no-op
+    events = qjson.decode_json_messages(ev.json_messages(read_table(spark, sf_dir, "lineitem")))
+    tables.insert_events(events, "quayside_db.sales_events")
+    return spark.sql("SELECT * FROM quayside_db.sales_events")
+
+
+@register(
+    "csv_multiline",
+    """SELECT 'part_' || CAST(p_partkey AS VARCHAR) AS title, p_name AS name, p_brand AS brand, p_type AS type,
+       p_size AS size, p_retailprice AS retail_price,
+       'http://parts.example.com/img?id=' || CAST(p_partkey AS VARCHAR) || '&zoom=1' AS thumbnail
+FROM part""",
+)
+def csv_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with a multi-line quoted ``Key: value`` field, written and re-read as CSV, then parsed."""
+    root = work_dir(spark, "csv")
+    part = read_table(spark, sf_dir, "part")
+    text = F.concat_ws(
+        "\n",
+        F.concat(F.lit("Name: "), "p_name"),
+        F.concat(F.lit("Brand: "), "p_brand"),
+        F.concat(F.lit("Type: "), "p_type"),
+        F.concat(F.lit("Size: "), F.col("p_size").cast("string")),
+        F.concat(F.lit("Retail Price: "), F.col("p_retailprice").cast("string")),
+        F.concat(F.lit("Thumbnail: http://parts.example.com/img?id="), F.col("p_partkey").cast("string"),
+                 F.lit("&zoom=1")),
+    )
+    records = part.select(F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("title"),
+                          F.concat(text, F.lit("\n")).alias("text"))
+    docs.write_csv(records.repartition(4), f"{root}/books")
+    back = docs.read_multiline_csv(spark, f"{root}/books", "title STRING, text STRING")
+    kv = back.select("title", qtext.key_value_pairs(F.col("text")).alias("kv"))
+    return kv.select(
+        "title",
+        qtext.key_value(F.col("kv"), "Name").alias("name"),
+        qtext.key_value(F.col("kv"), "Brand").alias("brand"),
+        qtext.key_value(F.col("kv"), "Type").alias("type"),
+        qtext.key_value(F.col("kv"), "Size").cast("int").alias("size"),
+        qtext.key_value(F.col("kv"), "Retail Price").cast("double").alias("retail_price"),
+        qtext.key_value(F.col("kv"), "Thumbnail").alias("thumbnail"),
+    )

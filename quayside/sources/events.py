@@ -52,8 +52,12 @@ def sales_events_from_lineitem(lineitem: DataFrame, with_position: bool = False,
 
 
 def message_offset() -> Column:
-    """Broker offset of a lineitem event: unique and increasing with (orderkey, linenumber)."""
-    return F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber").cast("long")
+    """Broker offset of a lineitem event: unique, and increasing with arrival (ship date).
+
+    Events of later days always get larger offsets, as on a broker partition.
+    """
+    within_day = F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber").cast("long")
+    return F.unix_seconds(F.col("l_shipdate").cast("timestamp")) * F.lit(100_000_000) + within_day
 
 
 def wire_record(events: DataFrame) -> Column:

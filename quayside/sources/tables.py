@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -17,3 +18,46 @@ def table_path(sf_dir: str, name: str) -> str:
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A parquet table; column pruning and filters reach the scan through Catalyst."""
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def _ddl_columns(schema) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString().upper()}" for f in schema.fields)
+
+
+def create_event_table(spark: SparkSession, database: str, table: str, location: str,
+                       partition_by: str = "session_id") -> None:
+    """``CREATE DATABASE/TABLE IF NOT EXISTS`` for the event table, partitioned for pruning."""
+    from quayside.functions.schemas import SALES_EVENT_SCHEMA
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {database}.{table} ({_ddl_columns(SALES_EVENT_SCHEMA)}) "
+        f"USING parquet PARTITIONED BY ({partition_by}) LOCATION '{location}'"
+    )
+
+
+def create_index_table(spark: SparkSession, database: str, table: str, location: str, dim: int) -> None:
+    """The search index table, created only when absent (a second call is a no-op)."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {database}.{table} "
+        f"(id STRING NOT NULL, content STRING, fileName STRING, contentVector ARRAY<FLOAT>) "
+        f"USING parquet LOCATION '{location}' "
+        f"TBLPROPERTIES ('quayside.key'='id', 'quayside.vector.dimensions'='{dim}', "
+        f"'quayside.vector.metric'='cosine')"
+    )
+
+
+def insert_events(events: DataFrame, table: str, partition_col: str = "session_id", spread: int = 8) -> None:
+    """Append into a partitioned table.
+
+    Rows are clustered by partition value so each writes few files, but every
+    value is spread over up to ``spread`` tasks (a hash salt), so one session
+    holding a third of all events is written by several tasks, not one.
+    """
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in events.columns]), F.lit(spread))
+    spark = events.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    target = spark.table(table)
+    ordered = events.repartition(n, F.col(partition_col), salt).select(*target.columns)
+    ordered.write.insertInto(table)
