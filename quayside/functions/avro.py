@@ -361,7 +361,7 @@ def _field_parts(field: AvroField, column: pa.Array) -> list[tuple[np.ndarray, n
     elif kind in ("float", "double"):
         dtype = "<f4" if kind == "float" else "<f8"
         vals = column.cast(pa.float32() if kind == "float" else pa.float64()).fill_null(0).to_numpy()
-        mat = np.ascontiguousarray(vals.astype(dtype)).view(np.uint8).reshape(n, -1)
+        mat = np.ascontiguousarray(vals.astype(dtype)).view(np.uint8).reshape(n, 4 if kind == "float" else 8)
         parts.append((mat, np.where(present, mat.shape[1], 0)))
     elif kind == "boolean":
         vals = column.fill_null(False).to_numpy(zero_copy_only=False).astype(np.uint8)
