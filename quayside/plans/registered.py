@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from quayside.functions import avro as qavro
 from quayside.functions import json as qjson
 from quayside.functions import text as qtext
-from quayside.functions.schemas import FAILURE_SCHEMA
 from quayside.operators import batching, embedding, pending, search, upsert
 from quayside.functions.schemas import SALES_EVENT_GROUP, sales_event_avro
 from quayside.plans import ingest, oracle
@@ -313,7 +312,7 @@ def failure_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _seeded_paths(spark, sf_dir)
     d = docs.documents_from_table(read_table(spark, sf_dir, "documents"))
     ingest.ingest(spark, d, paths, embedding.HashingEmbedder())
-    return spark.read.schema(FAILURE_SCHEMA).json(paths.failures)
+    return docs.read_failures(spark, paths.failures)
 
 
 @register(

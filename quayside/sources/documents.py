@@ -69,3 +69,12 @@ def read_multiline_csv(spark: SparkSession, path: str, schema=None) -> DataFrame
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header; fields holding quotes, commas or newlines get quoted."""
     df.write.mode("errorifexists").option("header", "true").option("escape", '"').csv(path)
+
+
+def read_failures(spark: SparkSession, path: str) -> DataFrame:
+    """The failure log; a run without failures leaves no log, which reads as empty."""
+    from quayside.functions.schemas import FAILURE_SCHEMA
+
+    if not path_has_data(spark, path):
+        return spark.createDataFrame([], FAILURE_SCHEMA)
+    return spark.read.schema(FAILURE_SCHEMA).option("mode", "FAILFAST").json(path)
