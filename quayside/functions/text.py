@@ -65,5 +65,9 @@ def key_value(pairs: Column, key: str) -> Column:
 
 
 def tokenize(text: Column) -> Column:
-    """Lower-cased word tokens of the whole text (empty strings removed)."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), TOKEN_SPLIT), lambda t: F.length(t) > 0)
+    """Lower-cased word tokens of the whole text (empty strings removed).
+
+    ``array_remove`` rather than a ``filter`` lambda: higher-order functions are
+    interpreted, built-in array functions are compiled with the rest of the stage.
+    """
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), TOKEN_SPLIT), "")

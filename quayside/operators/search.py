@@ -114,6 +114,11 @@ def vector_topk_lsh(corpus: DataFrame, queries: DataFrame, k: int = 10, key: str
     return best.select("qid", key, "rank", F.round("score", 4).alias("score"))
 
 
+# Term of the one row per document that carries its length through the term counts.
+# Tokens are runs of letters and digits, so the empty string is never a token.
+LENGTH_ROW = ""
+
+
 def bm25(
     index: DataFrame,
     queries: DataFrame,
@@ -126,32 +131,52 @@ def bm25(
 ) -> DataFrame:
     """BM25 keyword search of ``queries(qid, query)`` over the tokens of ``fields``.
 
-    Postings are cut to the query vocabulary by a broadcast join right after
-    tokenising (the vocabulary is the distinct query terms, counted against
-    ``max_query_terms`` (query, term) pairs first), so term and document counts never shuffle words no
-    query asks for; ``N`` and the mean document length are scalar subqueries.
+    Documents are tokenised once. Each document emits its query-vocabulary tokens
+    plus one ``LENGTH_ROW`` carrying its length; a broadcast join with the
+    vocabulary (distinct query terms, counted against ``max_query_terms``
+    (query, term) pairs first) drops every other word before the shuffle. One
+    aggregate of term counts per ``(id, term)`` then feeds the corpus statistics
+    (``N``, mean length: a scalar subquery over the length rows), the document
+    frequencies and the scores, so its exchange is computed once and reused.
     Returns ``(qid, id, rank, score)``.
     """
-    docs = index.select(F.col(key), F.concat(*[tokenize(F.col(f)) for f in fields]).alias("toks"))
-    docs = docs.select(key, "toks", F.size("toks").alias("dl"))
-    stats = docs.select(F.struct(F.count(F.lit(1)).cast("double").alias("n"), F.avg("dl").alias("avgdl"))).scalar()
-    n_docs, avgdl = stats["n"], stats["avgdl"]
-
     q_terms = queries.select("qid", F.explode(F.array_distinct(tokenize(F.col("query")))).alias("term")).distinct()
     n_pairs = q_terms.count()
     if n_pairs > max_query_terms:
         raise ValueError(f"{n_pairs} (query, term) pairs exceed max_query_terms={max_query_terms}")
     vocab = q_terms.select("term").distinct()
-    postings = docs.select(key, "dl", F.explode("toks").alias("term")).join(F.broadcast(vocab), "term")
-    tf = postings.groupBy(key, "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    vocab = vocab.unionByName(vocab.sparkSession.range(1).select(F.lit(LENGTH_ROW).alias("term")))
+
+    toks = index.select(F.col(key), F.concat(*[tokenize(F.col(f)) for f in fields]).alias("toks"))
+    # explode_outer: an inner explode makes Catalyst add ``size(toks) > 0`` and push it
+    # below the projection, which would tokenise every document a second time
+    # (the array is never empty here, so outer and inner explode agree).
+    rows = toks.select(
+        key, F.size("toks").alias("dl"), F.explode_outer(F.concat(F.array(F.lit(LENGTH_ROW)), "toks")).alias("term")
+    )
+    tf = rows.join(F.broadcast(vocab), "term").groupBy(key, "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
+
+    # Statistics, document frequencies and scores all read ``tf`` unfiltered: a filter on
+    # ``term`` would be pushed below the aggregate, and the three plans would no
+    # longer share (and reuse) one exchange.
+    is_length = F.col("term") == LENGTH_ROW
+    stats = tf.select(F.struct(  # length rows: tf = documents with this (id, dl)
+        F.sum(F.when(is_length, F.col("tf"))).cast("double").alias("n"),
+        (F.sum(F.when(is_length, F.col("tf") * F.col("dl"))) / F.sum(F.when(is_length, F.col("tf")))).alias("avgdl"),
+    )).scalar()
+    n_docs, avgdl = stats["n"], stats["avgdl"]
+
+    # documents holding the term, counted as ``tf > 0`` rather than count(1): Catalyst
+    # would prune an unused ``tf`` from the partial aggregate below the exchange, and
+    # this branch would no longer reuse it (and would tokenise again)
+    df = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))  # the length row's df is never joined
     idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weights = df.select("term", idf.alias("idf"))
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl)
     part = F.col("idf") * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
     scored = (
         tf.join(F.broadcast(weights), "term")
-        .join(F.broadcast(q_terms), "term")
+        .join(F.broadcast(q_terms), "term")  # query terms are never LENGTH_ROW
         .groupBy("qid", key)
         .agg(F.sum(part).alias("score"))
     )

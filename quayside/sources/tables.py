@@ -17,7 +17,24 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A parquet table; column pruning and filters reach the scan through Catalyst."""
-    return spark.read.parquet(table_path(sf_dir, name))
+    return spread_narrow_scan(spark.read.parquet(table_path(sf_dir, name)))
+
+
+def spread_narrow_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has task slots.
+
+    A parquet file written as one row group is one split, so every per-row step
+    after the scan (JSON/Avro coding, text cleaning, tokenising) would run in a
+    single task. Large inputs scan into thousands of splits and pass through
+    untouched, so this costs a shuffle only where the input is small.
+    Projections and filters still go below the exchange to the scan.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a remote session): leave the plan as it is
+        return df
+    return df.repartition(slots) if splits < slots else df
 
 
 def _ddl_columns(schema) -> str:
