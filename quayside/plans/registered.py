@@ -439,7 +439,7 @@ def start_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 @register("table_ddl", oracle.sales_events_sql())
 def table_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CREATE DATABASE/TABLE IF NOT EXISTS (partitioned by session_id), INSERT decoded events, SELECT."""
+    """CREATE DATABASE/TABLE IF NOT EXISTS (bucketed by session_id), INSERT decoded events, SELECT."""
     root = work_dir(spark, "table_ddl")
     tables.create_event_table(spark, "quayside_db", "sales_events", f"{root}/sales_events")
     tables.create_index_table(spark, "quayside_db", "search_index", f"{root}/search_index", dim=64)
