@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.functions.text import tokenize
-from quayside.functions.vectors import dot, normalize
+from quayside.functions.vectors import normalize
 
 # Ranking ties are broken by rounding the score to this many decimals, then by id,
 # so that float noise in summation order never decides an order.
@@ -58,27 +59,83 @@ def _query_chunks(queries: DataFrame, dim: int, max_bytes: int) -> list[DataFram
     return [queries.where(bucket == i) for i in range(chunks)]
 
 
+# Slack under a batch's k-th best score: candidates this close to it are kept, so the
+# exact global ordering (Spark's rounding, then the key) makes the final choice.
+_CANDIDATE_SLACK = 1e-9
+
+
+def _batch_candidates(qids: list, qmat, key: str, vector: str, k: int, key_type, qid_type):
+    """Arrow-batch function: unit corpus vectors x unit queries in one matrix product,
+    then, per query, only the rows within ``_CANDIDATE_SLACK`` of the batch's k-th best."""
+    import numpy as np
+    import pyarrow as pa
+
+    q = np.asarray(qmat, dtype=np.float64)  # (queries, dim), rows already unit length
+    qid_arr = np.asarray(qids, dtype=object)
+    out_schema = pa.schema([("qid", qid_type), (key, key_type), ("score", pa.float64())])
+
+    def run(batches):
+        for batch in batches:
+            vecs = batch.column(vector)
+            keep = vecs.is_valid().to_numpy(zero_copy_only=False) if vecs.null_count else None
+            if keep is not None:
+                batch = batch.filter(pa.array(keep))
+                vecs = batch.column(vector)
+            n = batch.num_rows
+            if n == 0:
+                continue
+            lengths = vecs.value_lengths().to_numpy(zero_copy_only=False)
+            if (lengths != q.shape[1]).any():
+                raise ValueError(f"vectors of length {sorted(set(lengths.tolist()))}, queries of length {q.shape[1]}")
+            m = vecs.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, q.shape[1])
+            norms = np.linalg.norm(m, axis=1, keepdims=True)
+            m = np.divide(m, norms, out=np.zeros_like(m), where=norms > 0)
+            scores = m @ q.T  # (rows, queries)
+            if n > k:
+                kth = np.partition(scores, n - k, axis=0)[n - k]  # k-th best per query
+                rows, cols = np.nonzero(scores >= kth - _CANDIDATE_SLACK)
+            else:
+                rows, cols = np.indices(scores.shape).reshape(2, -1)
+            keys = batch.column(key).take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(qid_arr[cols].tolist(), type=qid_type), keys, pa.array(scores[rows, cols])],
+                schema=out_schema,
+            )
+
+    return run
+
+
 def vector_topk(corpus: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
-                vector: str = "embedding", dim: int | None = None,
-                max_query_bytes: int = MAX_QUERY_BYTES) -> DataFrame:
+                vector: str = "embedding", max_query_bytes: int = MAX_QUERY_BYTES) -> DataFrame:
     """Exact cosine top-k of every query among ``corpus`` rows: ``(qid, key, rank, score)``.
 
-    The query set travels as one scalar-subquery value (a checked, bounded size);
-    larger sets are split into pieces, each one more pass over the corpus, so the
-    result stays exact. Corpus vectors are normalised on the fly.
+    The query set is normalised and checked against ``max_query_bytes`` before it
+    is shipped to the tasks with the scoring function (a bounded broadcast); a
+    larger set is split into pieces, one more pass over the corpus each, so the
+    result stays exact. Each Arrow batch of corpus rows is scored against all
+    queries by one matrix product, and only its best ``k`` per query (plus rows
+    tied with the k-th) leave the task, so no (row, query) pair is materialised.
+    The global :func:`top_k` merges those candidates. Rows without a vector are
+    not candidates.
     """
-    dim = dim or len(corpus.select(vector).first()[0] or [])
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    key_type = to_arrow_type(corpus.schema[key].dataType)
+    qid_type = to_arrow_type(queries.schema["qid"].dataType)
+    out = T.StructType([T.StructField("qid", queries.schema["qid"].dataType),
+                        T.StructField(key, corpus.schema[key].dataType), T.StructField("score", T.DoubleType())])
+    sample = queries.select(F.size("vector")).first()
+    dim = sample[0] if sample else 0
     pieces = []
     for chunk in _query_chunks(queries, dim, max_query_bytes):
-        packed = chunk.agg(F.collect_list(F.struct("qid", normalize(F.col("vector")).alias("v"))))
-        unit = normalize(F.col(vector))
-        # the subquery is its own column: subqueries may not sit inside a lambda
-        with_queries = corpus.select(F.col(key), unit.alias("_u"), packed.scalar().alias("_qs"))
-        per_row = with_queries.select(
-            F.col(key), F.explode(F.transform("_qs", lambda q: F.struct(
-                q["qid"].alias("qid"), dot(q["v"], F.col("_u")).alias("score")))).alias("s")
-        ).select("s.qid", key, "s.score")
-        pieces.append(per_row)
+        rows = chunk.select("qid", normalize(F.col("vector")).alias("v")).collect()  # bounded by the check above
+        if not rows:
+            continue
+        fn = _batch_candidates([r["qid"] for r in rows], [r["v"] for r in rows], key, vector, k, key_type, qid_type)
+        pieces.append(corpus.select(key, vector).mapInArrow(fn, out))
+    if not pieces:
+        return corpus.sparkSession.createDataFrame([], out.add("rank", T.IntegerType())).select(
+            "qid", key, "rank", "score")
     scored = pieces[0]
     for p in pieces[1:]:
         scored = scored.unionByName(p)
