@@ -73,3 +73,18 @@ def test_bm25_equals_brute_force(spark):
             if s:
                 want[(qid, d)] = round(s, 4)
     assert got == want
+
+
+def test_vector_topk_ties_break_by_key_across_batches_and_skips_missing_vectors(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rows = [(i, [1.0, 0.0] if i % 3 == 0 else [0.0, 1.0], 0) for i in range(60)] + [(99, None, 0)]
+        corpus = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT").repartition(3)
+        queries = spark.createDataFrame([(1, [2.0, 0.0]), (2, [0.0, 3.0])], "qid INT, vector ARRAY<DOUBLE>")
+        got = search.vector_topk(corpus, queries, k=4).orderBy("qid", "rank").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [(r["qid"], r["vec_id"], r["rank"], r["score"]) for r in got] == [
+        (1, 0, 1, 1.0), (1, 3, 2, 1.0), (1, 6, 3, 1.0), (1, 9, 4, 1.0),
+        (2, 1, 1, 1.0), (2, 2, 2, 1.0), (2, 4, 3, 1.0), (2, 5, 4, 1.0),
+    ]
