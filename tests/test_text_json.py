@@ -35,6 +35,17 @@ def test_clean_text_matches_python_definition(spark, texts):
     assert _clean_all(spark, texts) == [qtext.clean_text_py(t) for t in texts]
 
 
+def test_clean_text_is_linear_in_long_blank_runs(spark):
+    import time
+
+    texts = ["a" + " " * 200_000 + "b", "x" + "\u3000" * 50_000, " " * 100_000, "\u00a0 y \u2003"]
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    t0 = time.perf_counter()
+    got = [r[0] for r in df.select(clean_text(F.col("t"))).collect()]
+    assert time.perf_counter() - t0 < 30  # quadratic matching took minutes per row
+    assert got == [clean_text_py(t) for t in texts]
+
+
 def test_key_value_pairs_keep_colons_in_values(spark):
     text = "ISBN-13: 123\nThumbnail: http://x.example/a?b=1&c=2\nEmpty:\nTitle: A: B\n"
     row = spark.createDataFrame([(text,)], "t STRING").select(qtext.key_value_pairs(F.col("t")).alias("kv")).first()
