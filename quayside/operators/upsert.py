@@ -44,7 +44,8 @@ class VersionedTable:
         jpath = jvm.org.apache.hadoop.fs.Path(self.path)
         return jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
-    def versions(self) -> list[int]:
+    def versions(self, complete: bool = True) -> list[int]:
+        """Version numbers present; only those whose write finished unless ``complete=False``."""
         fs, root = self._fs()
         if not fs.exists(root):
             return []
@@ -53,7 +54,7 @@ class VersionedTable:
             name = st.getPath().getName()
             if st.isDirectory() and name.startswith("v="):
                 marker = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
-                if fs.exists(marker):
+                if not complete or fs.exists(marker):
                     out.append(int(name[2:]))
         return sorted(out)
 
@@ -66,7 +67,9 @@ class VersionedTable:
         return None if v is None else self.spark.read.parquet(f"{self.path}/v={v}")
 
     def write_version(self, df: DataFrame) -> int:
-        v = (self.current() or 0) + 1
+        # number past every folder, finished or not: a write cut off by a crash leaves
+        # an incomplete folder that readers skip and the next attempt must not reuse
+        v = max(self.versions(complete=False), default=0) + 1
         df.write.mode("errorifexists").parquet(f"{self.path}/v={v}")
         return v
 

@@ -134,3 +134,16 @@ def test_versioned_table_upsert(spark, scratch):
     t.upsert(spark.createDataFrame([(1, 1, "a2"), (3, 1, "c")], "k INT, ver INT, x STRING"), "k", "ver")
     assert t.versions() == [1, 2]
     assert sorted(tuple(r) for r in t.read().collect()) == [(1, 1, "a2"), (2, 0, "b"), (3, 1, "c")]
+
+
+def test_versioned_table_skips_and_survives_an_interrupted_write(spark, scratch):
+    t = upsert.VersionedTable(spark, f"{scratch}/idx2")
+    t.upsert(spark.createDataFrame([(1, 0, "a")], "k INT, ver INT, x STRING"), "k", "ver")
+    # a write cut off before its commit: files but no _SUCCESS marker
+    spark.createDataFrame([(9, 9, "partial")], "k INT, ver INT, x STRING").write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{scratch}/idx2/v=2")
+    assert t.versions() == [1] and t.versions(complete=False) == [1, 2]
+    assert [tuple(r) for r in t.read().collect()] == [(1, 0, "a")]  # readers never see it
+    t.upsert(spark.createDataFrame([(2, 1, "b")], "k INT, ver INT, x STRING"), "k", "ver")  # the retry
+    assert t.versions() == [1, 3]
+    assert sorted(tuple(r) for r in t.read().collect()) == [(1, 0, "a"), (2, 1, "b")]
