@@ -26,7 +26,7 @@ from quayside.operators.embedding import FAILED, SUCCESS, embed_batches
 from quayside.operators.pending import pending_documents
 from quayside.operators.upsert import VersionedTable
 from quayside.session import work_dir
-from quayside.sources.documents import read_checkpoint
+from quayside.sources.documents import read_checkpoint, write_complete
 
 BATCH_SIZE = 16
 
@@ -90,13 +90,20 @@ def ingest(
 ) -> DataFrame:
     """One ingestion run; returns the persisted outcome of this run.
 
+    Running the same ``run`` again (after a crash at any point) completes it: a
+    committed outcome is reused, the index upsert is keyed, the checkpoint is a set.
+
     ``crash_after`` ("index" or "failures") stops the run after that write, to test
     that a crashed run is completed by the next one.
     """
-    checkpoint = read_checkpoint(spark, paths.checkpoint)
-    outcome = plan_outcome(documents, checkpoint, embedder, batch_size, retry_interval, max_tries)
     run_path = paths.run(run)
-    outcome.write.mode("errorifexists").parquet(run_path)
+    if not write_complete(spark, run_path):
+        # a folder left by a crashed write holds no committed outcome: replace it
+        checkpoint = read_checkpoint(spark, paths.checkpoint)
+        outcome = plan_outcome(documents, checkpoint, embedder, batch_size, retry_interval, max_tries)
+        outcome.write.mode("overwrite").parquet(run_path)
+    # re-running a run whose outcome was committed reuses it: the embedder is not
+    # called again, only the idempotent steps below are redone
     outcome = spark.read.parquet(run_path)
 
     if not outcome.where(F.col("status") == SUCCESS).isEmpty():

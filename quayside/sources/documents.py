@@ -44,6 +44,12 @@ def path_has_data(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def write_complete(spark: SparkSession, path: str) -> bool:
+    """True when a DataFrame write to ``path`` committed (its ``_SUCCESS`` marker exists)."""
+    fs, jpath = _hadoop_path(spark, path)
+    return fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(jpath, "_SUCCESS"))
+
+
 def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
     """Ids already processed.
 

@@ -147,3 +147,21 @@ def test_versioned_table_skips_and_survives_an_interrupted_write(spark, scratch)
     t.upsert(spark.createDataFrame([(2, 1, "b")], "k INT, ver INT, x STRING"), "k", "ver")  # the retry
     assert t.versions() == [1, 3]
     assert sorted(tuple(r) for r in t.read().collect()) == [(1, 0, "a"), (2, 1, "b")]
+
+
+def test_rerunning_a_crashed_run_completes_it_without_new_embedding(spark, scratch):
+    df = _docs(spark, 40, text=lambda i: f"text {i}")
+    paths = ingest.IngestPaths(scratch)
+    ingest.ingest(spark, df, paths, embedding.HashingEmbedder(dim=8), run=1, crash_after="index")
+    from quayside.sources.documents import read_checkpoint
+
+    assert read_checkpoint(spark, paths.checkpoint).count() == 0
+
+    class Refuses:
+        def embed(self, texts):
+            raise AssertionError("the committed outcome must be reused")
+
+    out = ingest.ingest(spark, df, paths, Refuses(), run=1)  # same run again: completes it
+    assert {r["status"] for r in out.collect()} == {embedding.SUCCESS}
+    assert read_checkpoint(spark, paths.checkpoint).count() == 40
+    assert ingest.read_index(spark, paths).count() == 40
