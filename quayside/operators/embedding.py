@@ -130,8 +130,14 @@ def _process_batch(pdf: pd.DataFrame, embedder, retry: dict) -> pd.DataFrame:
     return out
 
 
-def _process_sorted(pdf: pd.DataFrame, embedder, retry: dict) -> pd.DataFrame:
-    parts = [_process_batch(g, embedder, retry) for _, g in pdf.groupby("batch_id", sort=False)]
+def _process_sorted(pdf: pd.DataFrame, embedder, retry: dict, pool=None) -> pd.DataFrame:
+    """Every batch of a chunk, one call each; with a thread pool the calls overlap
+    (for a remote service the wait is network time), results keep their order."""
+    groups = [g for _, g in pdf.groupby("batch_id", sort=False)]
+    if pool is None or len(groups) < 2:
+        parts = [_process_batch(g, embedder, retry) for g in groups]
+    else:
+        parts = list(pool.map(lambda g: _process_batch(g, embedder, retry), groups))
     return pd.concat(parts, ignore_index=True) if parts else _empty()
 
 
@@ -140,7 +146,7 @@ def _empty() -> pd.DataFrame:
 
 
 def embed_batches(batched: Batched, embedder=None, retry_interval: float = 60.0,
-                  max_tries: int | None = None) -> DataFrame:
+                  max_tries: int | None = None, concurrency: int = 1) -> DataFrame:
     """Outcome of embedding every batch: ``id, fileName, text, batch_id, status, error, vector``.
 
     Whole batches are embedded in place (``mapInPandas`` over the range-ordered
@@ -148,25 +154,37 @@ def embed_batches(batched: Batched, embedder=None, retry_interval: float = 60.0,
     chunk); the few batches cut by a partition border are regrouped by a
     shuffle of at most ``2*(size-1)`` rows per border (``applyInPandas``, groups
     of at most ``size`` rows).
+
+    ``concurrency`` > 1 keeps that many batch calls in flight per task (a thread
+    pool inside the task, for an embedder that waits on a remote service); the
+    embedder must then be safe to call from several threads. Parallelism across
+    tasks comes from the partitions.
     """
     embedder = embedder or HashingEmbedder()
     retry = {"interval": retry_interval, "max_tries": max_tries}
     cols = ["id", "fileName", "text", "batch_id", "rank"]
 
     def whole(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry = None
-        for pdf in it:
+        from concurrent.futures import ThreadPoolExecutor
+
+        pool = ThreadPoolExecutor(concurrency) if concurrency > 1 else None
+        try:
+            carry = None
+            for pdf in it:
+                if carry is not None and len(carry):
+                    pdf = pd.concat([carry, pdf], ignore_index=True)
+                if not len(pdf):
+                    continue
+                last = pdf["batch_id"].iloc[-1]
+                tail = pdf["batch_id"] == last
+                if (~tail).any():
+                    yield _process_sorted(pdf[~tail], embedder, retry, pool)
+                carry = pdf[tail]
             if carry is not None and len(carry):
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if not len(pdf):
-                continue
-            last = pdf["batch_id"].iloc[-1]
-            tail = pdf["batch_id"] == last
-            if (~tail).any():
-                yield _process_sorted(pdf[~tail], embedder, retry)
-            carry = pdf[tail]
-        if carry is not None and len(carry):
-            yield _process_sorted(carry, embedder, retry)
+                yield _process_sorted(carry, embedder, retry, pool)
+        finally:
+            if pool is not None:
+                pool.shutdown()
 
     def regroup(pdf: pd.DataFrame) -> pd.DataFrame:
         return _process_batch(pdf.sort_values("rank", kind="stable"), embedder, retry)

@@ -70,11 +70,12 @@ def failure_rows(outcome: DataFrame) -> DataFrame:
 
 
 def plan_outcome(documents: DataFrame, checkpoint: DataFrame, embedder=None, batch_size: int = BATCH_SIZE,
-                 retry_interval: float = 60.0, max_tries: int | None = None) -> DataFrame:
+                 retry_interval: float = 60.0, max_tries: int | None = None, concurrency: int = 1) -> DataFrame:
     """The outcome DataFrame (lazy except for the batch-numbering checkpoint)."""
     pending = pending_documents(documents, checkpoint)
     batched = assign_batches(pending, "id", size=batch_size)
-    return embed_batches(batched, embedder, retry_interval=retry_interval, max_tries=max_tries)
+    return embed_batches(batched, embedder, retry_interval=retry_interval, max_tries=max_tries,
+                         concurrency=concurrency)
 
 
 def ingest(
@@ -87,6 +88,7 @@ def ingest(
     max_tries: int | None = None,
     run: int = 1,
     crash_after: str | None = None,
+    concurrency: int = 1,
 ) -> DataFrame:
     """One ingestion run; returns the persisted outcome of this run.
 
@@ -94,13 +96,15 @@ def ingest(
     committed outcome is reused, the index upsert is keyed, the checkpoint is a set.
 
     ``crash_after`` ("index" or "failures") stops the run after that write, to test
-    that a crashed run is completed by the next one.
+    that a crashed run is completed by the next one. ``concurrency`` batch calls
+    are kept in flight per task (for a remote embedding service).
     """
     run_path = paths.run(run)
     if not write_complete(spark, run_path):
         # a folder left by a crashed write holds no committed outcome: replace it
         checkpoint = read_checkpoint(spark, paths.checkpoint)
-        outcome = plan_outcome(documents, checkpoint, embedder, batch_size, retry_interval, max_tries)
+        outcome = plan_outcome(documents, checkpoint, embedder, batch_size, retry_interval, max_tries,
+                               concurrency)
         outcome.write.mode("overwrite").parquet(run_path)
     # re-running a run whose outcome was committed reuses it: the embedder is not
     # called again, only the idempotent steps below are redone

@@ -165,3 +165,33 @@ def test_rerunning_a_crashed_run_completes_it_without_new_embedding(spark, scrat
     assert {r["status"] for r in out.collect()} == {embedding.SUCCESS}
     assert read_checkpoint(spark, paths.checkpoint).count() == 40
     assert ingest.read_index(spark, paths).count() == 40
+
+
+def test_concurrent_batch_calls_give_the_same_outcome_sooner(spark):
+    import time
+
+    class SlowEmbedder:  # defined here so the workers receive it by value
+        """Waits like a remote service, then embeds."""
+
+        def __init__(self, wait: float):
+            self.wait = wait
+            self.inner = embedding.HashingEmbedder(dim=8, max_chars=16_000)
+
+        def embed(self, texts):
+            import time
+
+            time.sleep(self.wait)
+            return self.inner.embed(texts)
+
+    long_text = "x" * 20_000
+    df = _docs(spark, 208, text=lambda i: long_text if i == 40 else f"text {i}", parts=1)
+    b = batching.assign_batches(df, "id", size=16, partitions=1)
+    cols = ["id", "status", "error", "batch_id"]
+    runs = {}
+    for conc in (1, 8):
+        t0 = time.perf_counter()
+        rows = embedding.embed_batches(b, SlowEmbedder(0.3), concurrency=conc).select(*cols).collect()
+        runs[conc] = (time.perf_counter() - t0, sorted(map(tuple, rows)))
+    assert runs[1][1] == runs[8][1]
+    assert {r[0] for r in runs[8][1] if r[1] == embedding.FAILED} == {f"{i:05d}" for i in range(32, 48)}
+    assert runs[8][0] < runs[1][0] - 1.5  # 13 calls of 0.3 s overlap instead of queueing
