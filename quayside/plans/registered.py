@@ -377,9 +377,16 @@ def keyword_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Streaming ingestion of events
 # ---------------------------------------------------------------------------
-def _write_messages(messages: DataFrame, path: str, files: int = 4) -> None:
-    """Land broker messages as parquet files (a replayable stand-in for the broker)."""
-    messages.repartition(files).write.mode("append").parquet(path)
+def _write_messages(messages: DataFrame, path: str, files: int | None = None) -> None:
+    """Land broker messages as parquet files (a replayable stand-in for the broker).
+
+    One file per broker partition; by default as many partitions as task slots,
+    as a topic is sized for its consumers, so the stream decodes in every slot.
+    """
+    n = files or messages.sparkSession.sparkContext.defaultParallelism
+    if messages.rdd.getNumPartitions() != n:
+        messages = messages.repartition(n)
+    messages.write.mode("append").parquet(path)
 
 
 @register("stream_append", oracle.sales_events_sql())
