@@ -451,6 +451,10 @@ def start_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CREATE DATABASE/TABLE IF NOT EXISTS (bucketed by session_id), INSERT decoded events, SELECT."""
     root = work_dir(spark, "table_ddl")
+    # each run gets fresh locations; drop the names a previous run in this session left
+    # (external tables: their files stay), so a re-run does not insert into old tables
+    spark.sql("DROP TABLE IF EXISTS quayside_db.sales_events")
+    spark.sql("DROP TABLE IF EXISTS quayside_db.search_index")
     tables.create_event_table(spark, "quayside_db", "sales_events", f"{root}/sales_events")
     tables.create_index_table(spark, "quayside_db", "search_index", f"{root}/search_index", dim=64)
     tables.create_index_table(spark, "quayside_db", "search_index", f"{root}/search_index", dim=64)  # no-op

@@ -35,3 +35,11 @@ def test_event_table_is_bucketed_and_insert_keeps_every_row(spark, sf_dir, scrat
     # one session: an equality filter reads one bucket
     assert back.where(F.col("session_id") == "s1").count() == lineitem.where("l_suppkey = 1").count()
     spark.sql("DROP TABLE quayside_t.events_b")
+
+
+def test_table_ddl_query_gives_the_same_rows_when_run_again(spark, sf_dir):
+    from quayside.plans.registered import QUERIES
+
+    first = QUERIES["table_ddl"](spark, sf_dir).count()
+    assert QUERIES["table_ddl"](spark, sf_dir).count() == first == spark.read.parquet(
+        f"{sf_dir}/lineitem.parquet").count()
