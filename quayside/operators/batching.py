@@ -26,6 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.session import partitions_for
+
 _LOCAL_BITS = 33
 _MAX_PARTITION_ROWS_FOR_BROADCAST = 1_000_000  # partitions, not rows of data
 
@@ -55,9 +57,6 @@ def _whole(size: int):
     return (first >= F.col("_start")) & (last_excl <= F.col("_end"))
 
 
-def _partitions_for(df: DataFrame) -> int:
-    spark = df.sparkSession
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def assign_batches(
@@ -74,7 +73,7 @@ def assign_batches(
     share a key but differ in content.
     """
     order = [order_by] if isinstance(order_by, str) else list(order_by)
-    n = partitions or _partitions_for(df)
+    n = partitions or partitions_for(df)  # grows with the input's estimated size
     tb = F.col(tiebreak) if tiebreak else F.xxhash64(*[F.col(c) for c in df.columns])
     keyed = df.withColumn("_tb", tb)
     sort_cols = [F.col(c).asc_nulls_first() for c in order] + [F.col("_tb")]

@@ -62,3 +62,42 @@ def checkpoint_root(spark: SparkSession) -> str:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root (never reused)."""
     return f"{checkpoint_root(spark)}/quayside/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
+          "t": 1 << 40, "tb": 1 << 40}
+
+
+def conf_bytes(value: str) -> int:
+    """A Spark size setting (``67108864b``, ``64m``, ``128MB``, ``1024``) in bytes."""
+    text = str(value).strip().lower()
+    digits = text.rstrip("abcdefghijklmnopqrstuvwxyz")
+    unit = _UNITS.get(text[len(digits):].strip(), 1)
+    # integers stay exact (a float would round Long.MaxValue, Spark's "no estimate" size)
+    return int(digits) * unit if digits.isdigit() else int(float(digits) * unit)
+
+
+_MAX_PARTITIONS = 1 << 20
+
+
+def partitions_for(df) -> int:
+    """Partitions for an explicit repartition of ``df``.
+
+    At least ``spark.sql.shuffle.partitions``, and more when the optimizer's size
+    estimate of ``df`` would make partitions larger than a task's usual input
+    (the larger of ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and
+    ``spark.sql.files.maxPartitionBytes``). An explicit count is not split by AQE,
+    so it has to grow with the data.
+    """
+    spark = df.sparkSession
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    target = max(conf_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")),
+                 conf_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")))
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:  # no JVM view of the plan (e.g. a remote session)
+        return configured
+    unknown = conf_bytes(spark.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
+    if size >= unknown:  # no estimate (e.g. local rows): Spark reports its default
+        return configured
+    return int(min(max(configured, -(-size // max(1, target))), _MAX_PARTITIONS))

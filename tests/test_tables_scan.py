@@ -43,3 +43,23 @@ def test_table_ddl_query_gives_the_same_rows_when_run_again(spark, sf_dir):
     first = QUERIES["table_ddl"](spark, sf_dir).count()
     assert QUERIES["table_ddl"](spark, sf_dir).count() == first == spark.read.parquet(
         f"{sf_dir}/lineitem.parquet").count()
+
+
+def test_explicit_partition_count_grows_with_estimated_input(spark, sf_dir):
+    from quayside.session import conf_bytes, partitions_for
+
+    assert conf_bytes("67108864b") == conf_bytes("64m") == 64 << 20
+    assert conf_bytes("9223372036854775807b") == 2**63 - 1  # exact: it marks "no estimate"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert partitions_for(docs) == configured  # small input: the configured floor
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                                         "spark.sql.files.maxPartitionBytes")}
+    try:
+        for k in old:
+            spark.conf.set(k, "4k")
+        assert partitions_for(docs) == max(configured, -(-size // 4096)) > configured
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
