@@ -83,14 +83,16 @@ _MAX_PARTITIONS = 1 << 20
 def partitions_for(df) -> int:
     """Partitions for an explicit repartition of ``df``.
 
-    At least ``spark.sql.shuffle.partitions``, and more when the optimizer's size
-    estimate of ``df`` would make partitions larger than a task's usual input
-    (the larger of ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and
-    ``spark.sql.files.maxPartitionBytes``). An explicit count is not split by AQE,
-    so it has to grow with the data.
+    Enough that no partition is larger than a task's usual input (the larger of
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and
+    ``spark.sql.files.maxPartitionBytes``) by the optimizer's size estimate, and at
+    least one per task slot (capped by ``spark.sql.shuffle.partitions``) so a small
+    input still uses every core. An explicit count is neither split nor coalesced
+    by AQE, so it has to follow the data.
     """
     spark = df.sparkSession
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    configured = min(int(spark.conf.get("spark.sql.shuffle.partitions", "200")),
+                     spark.sparkContext.defaultParallelism)
     target = max(conf_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")),
                  conf_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")))
     try:
