@@ -38,14 +38,16 @@ def top_k(scored: DataFrame, group: str, key: str, score: str, k: int) -> DataFr
 def label_centroids(corpus: DataFrame, label: str = "label", vector: str = "embedding") -> DataFrame:
     """Unit-length mean vector per label: ``(qid, vector)``.
 
-    Element-wise means come from ``posexplode`` + ``groupBy(label, pos)``, which
-    aggregates partially on the map side (a label holding a third of the rows
-    costs one row per dimension per task in the shuffle).
+    ``Summarizer.mean`` is a vector aggregate with a partial (map-side) buffer per
+    label, so each task ships one mean per label it saw, however many rows a label
+    holds, and the vectors are never exploded into one row per element.
     """
-    exploded = corpus.select(F.col(label).alias("qid"), F.posexplode(vector).alias("pos", "x"))
-    means = exploded.groupBy("qid", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    packed = means.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("pm"))
-    return packed.select("qid", normalize(F.transform("pm", lambda e: e["m"])).alias("vector"))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    means = corpus.where(F.col(vector).isNotNull()).groupBy(F.col(label).alias("qid")).agg(
+        Summarizer.mean(array_to_vector(F.col(vector))).alias("m"))
+    return means.select("qid", normalize(vector_to_array(F.col("m"))).alias("vector"))
 
 
 def _query_chunks(queries: DataFrame, dim: int, max_bytes: int) -> list[DataFrame]:
