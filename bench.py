@@ -6,13 +6,16 @@ streaming queries include their writes (index, checkpoint, failure log, sink).
 Times are steady-state: before timing, every selected query runs once on the
 smallest scale factor next to ``$BENCH_SF_DIR`` (JIT, generated-code compilation
 and Python workers are then warm), so no query is charged for start-up.
-``BENCH_WARMUP=0`` turns that pass off.
+``BENCH_WARMUP=0`` turns that pass off. Each query is timed ``$BENCH_REPEAT``
+times (default 3) and its median is reported, so one slow run (a GC pause, a
+busy machine) does not decide the number.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -21,6 +24,7 @@ sys.path.insert(0, HERE)
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
+REPEAT = max(1, int(os.environ.get("BENCH_REPEAT", "3")))
 
 # Headline keys, then the rest of the inventory.
 HEADLINE = [
@@ -71,10 +75,13 @@ def main() -> None:
 
     times: dict[str, float] = {}
     for key in keys:
-        t0 = time.perf_counter()
-        QUERIES[key](spark, SF_DIR).write.format("noop").mode("overwrite").save()
-        times[key] = round(time.perf_counter() - t0, 3)
-        print(f"# {key}: {times[key]}s", file=sys.stderr)
+        runs = []
+        for _ in range(REPEAT):
+            t0 = time.perf_counter()
+            QUERIES[key](spark, SF_DIR).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - t0)
+        times[key] = round(statistics.median(runs), 3)
+        print(f"# {key}: {times[key]}s (runs: {', '.join(f'{r:.2f}' for r in runs)})", file=sys.stderr)
 
     print(json.dumps({
         "metric": "total_query_seconds",
@@ -84,6 +91,8 @@ def main() -> None:
         "sf": _sf_of(SF_DIR),
         "cpus": CPUS,
         "shuffle_partitions": max(8, 2 * CPUS),
+        "repeat": REPEAT,
+        "statistic": "median",
     }))
     spark.stop()
 
