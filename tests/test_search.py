@@ -88,3 +88,37 @@ def test_vector_topk_ties_break_by_key_across_batches_and_skips_missing_vectors(
         (1, 0, 1, 1.0), (1, 3, 2, 1.0), (1, 6, 3, 1.0), (1, 9, 4, 1.0),
         (2, 1, 1, 1.0), (2, 2, 2, 1.0), (2, 4, 3, 1.0), (2, 5, 4, 1.0),
     ]
+
+
+def _final_plan(df) -> str:
+    df.collect()
+    lines, skip = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        start = next((i for i, ch in enumerate(line) if ch.isalnum() or ch == "="), len(line))
+        if skip is not None:
+            if start >= skip:
+                continue
+            skip = None
+        if "== Initial Plan ==" in line:
+            skip = line.index("== Initial Plan ==")
+            continue
+        lines.append(line)
+    return "\n".join(lines)
+
+
+def test_bm25_plan_tokenises_once_and_reuses_the_term_counts(spark):
+    docs = [(f"d{i}", f"alpha beta {'gamma ' * (i % 5)}delta {i}", f"s{i % 3}") for i in range(60)]
+    index = spark.createDataFrame(docs, "id STRING, content STRING, fileName STRING").repartition(4)
+    q = spark.createDataFrame([(1, "alpha gamma"), (2, "delta 7")], "qid INT, query STRING")
+    plan = _final_plan(search.bm25(index, q, k=5))
+    assert plan.count("explode(concat(") == 1  # one tokenising pass over the documents
+    assert plan.count("ReusedExchange") >= 2  # statistics and document frequencies reuse the term counts
+    assert "WindowGroupLimit" in plan and "CartesianProduct" not in plan
+
+
+def test_vector_topk_plan_scores_batches_without_pairs(spark):
+    corpus, _ = _vectors(spark, n=100, dim=8)
+    plan = _final_plan(search.vector_topk(corpus, search.label_centroids(corpus), k=3))
+    assert "MapInArrow" in plan
+    assert "Generate" not in plan and "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert "WindowGroupLimit" in plan
