@@ -100,5 +100,5 @@ def decode_envelopes(messages: DataFrame, data_schema: T.StructType, body: str =
 
 
 def json_field(text: Column, path: str) -> Column:
-    """A JSONPath pick (``$.value[0].livyId``) as text."""
+    """A JSONPath pick (``$.value[0].sessionId``) as text."""
     return F.get_json_object(text, path)

@@ -73,8 +73,8 @@ def test_from_json_is_permissive(spark):
 
 
 def test_base64_is_one_line_and_round_trips(spark):
-    payload = {"executableFile": "x" * 200, "mainClass": "", "retryPolicy": None, "additionalLakehouseIds": []}
-    schema = "executableFile STRING, mainClass STRING, retryPolicy STRING, additionalLakehouseIds ARRAY<STRING>"
+    payload = {"executableFile": "x" * 200, "mainClass": "", "retryPolicy": None, "additionalLibraryIds": []}
+    schema = "executableFile STRING, mainClass STRING, retryPolicy STRING, additionalLibraryIds ARRAY<STRING>"
     df = spark.createDataFrame([payload], schema)
     b64 = df.select(qjson.payload_to_base64(F.struct(*df.columns)).alias("b")).first()["b"]
     assert "\n" not in b64 and "\r" not in b64
@@ -85,7 +85,7 @@ def test_base64_is_one_line_and_round_trips(spark):
     assert decoded["retryPolicy"] is None and decoded["executableFile"] == "x" * 200  # nulls kept
     back = spark.createDataFrame([(b64,)], "b STRING").select(
         qjson.payload_from_base64(F.col("b"), df.schema).alias("p")).select("p.*").first()
-    assert back.asDict() == {**payload, "additionalLakehouseIds": []}
+    assert back.asDict() == {**payload, "additionalLibraryIds": []}
 
 
 def test_envelope_decodes_nested_json(spark):
