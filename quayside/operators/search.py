@@ -126,6 +126,7 @@ def vector_topk(corpus: DataFrame, queries: DataFrame, k: int = 10, key: str = "
     qid_type = to_arrow_type(queries.schema["qid"].dataType)
     out = T.StructType([T.StructField("qid", queries.schema["qid"].dataType),
                         T.StructField(key, corpus.schema[key].dataType), T.StructField("score", T.DoubleType())])
+    queries = queries.where(F.col("vector").isNotNull())  # a query without a vector has no neighbours
     sample = queries.select(F.size("vector")).first()
     dim = sample[0] if sample else 0
     pieces = []

@@ -80,7 +80,7 @@ def test_vector_topk_ties_break_by_key_across_batches_and_skips_missing_vectors(
     try:
         rows = [(i, [1.0, 0.0] if i % 3 == 0 else [0.0, 1.0], 0) for i in range(60)] + [(99, None, 0)]
         corpus = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT").repartition(3)
-        queries = spark.createDataFrame([(1, [2.0, 0.0]), (2, [0.0, 3.0])], "qid INT, vector ARRAY<DOUBLE>")
+        queries = spark.createDataFrame([(1, [2.0, 0.0]), (2, [0.0, 3.0]), (3, None)], "qid INT, vector ARRAY<DOUBLE>")
         got = search.vector_topk(corpus, queries, k=4).orderBy("qid", "rank").collect()
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
