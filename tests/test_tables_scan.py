@@ -63,3 +63,35 @@ def test_explicit_partition_count_grows_with_estimated_input(spark, sf_dir):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_hot_session_bucket_is_written_by_several_tasks(spark, sf_dir, scratch):
+    import glob
+
+    # several map tasks (the spread scan): AQE splits an oversized partition along map outputs
+    lineitem = tables.read_table(spark, sf_dir, "lineitem")
+    events = qjson.decode_json_messages(ev.json_messages(lineitem))
+    # a third of all events belong to one session
+    hot = events.withColumn("session_id", F.when(F.col("cs_quantity") <= 16, F.lit("s_hot"))
+                            .otherwise(F.col("session_id")))
+    n_hot = hot.where("session_id = 's_hot'").count()
+    assert n_hot > lineitem.count() / 4
+    tables.create_event_table(spark, "quayside_t", "events_hot", f"{scratch}/events_hot", buckets=4)
+    # test-sized thresholds: a partition over 16 KB counts as oversized, and coalescing
+    # may not merge pieces past 1 KB (its 1 MB default exceeds this whole table)
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    old = {k: spark.conf.get(k) for k in sizes}
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        tables.insert_events(hot, "quayside_t.events_hot")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    back = spark.table("quayside_t.events_hot")
+    assert back.count() == lineitem.count() and back.where("session_id = 's_hot'").count() == n_hot
+    hot_bucket = back.where("session_id = 's_hot'").select(F.input_file_name().alias("f")).distinct().count()
+    assert hot_bucket > 1  # the oversized bucket was split over several writer tasks
+    assert len(glob.glob(f"{scratch}/events_hot/*.parquet")) <= 4 * 16  # still bounded
+    spark.sql("DROP TABLE quayside_t.events_hot")
