@@ -42,8 +42,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator and must be a shared file system.
-    Only when it is unset (local tests) do we create one of our own.
+    On a cluster this is set by the operator and must be a shared file system;
+    without it a cluster job stops with an error. Only a local-mode session
+    (tests) gets a folder of its own when it is unset.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -52,6 +53,11 @@ def checkpoint_root(spark: SparkSession) -> str:
             # getCheckpointDir() returns a per-application sub folder; use its parent
             root = sc_dir.rsplit("/", 1)[0]
     if not root:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            # a machine-local folder is invisible to the other executors of a cluster
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
+                               "(HDFS, an object store); it holds checkpoints and work tables")
         root = tempfile.mkdtemp(prefix="quayside-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
