@@ -32,17 +32,37 @@ def read_messages(spark: SparkSession, path: str, fmt: str = "parquet", options:
 
 
 def decode_stream(messages: DataFrame, codec: str = "avro", avro_text: str | None = None,
-                  schema=SALES_EVENT_SCHEMA) -> DataFrame:
-    """Decode message bodies into typed event columns (Avro: Arrow UDF; JSON: from_json)."""
+                  schema=SALES_EVENT_SCHEMA, with_errors: bool = False) -> DataFrame:
+    """Decode message bodies into typed event columns (Avro: Arrow UDF; JSON: from_json).
+
+    An undecodable body becomes an all-null row (nothing is dropped). With
+    ``with_errors`` a ``_decode_error`` column says why (null for a good row), so
+    :func:`split_decode_errors` can route bad bodies to a quarantine sink.
+    """
     if codec == "avro":
         if avro_text is None:
             raise ValueError("avro_text is required for codec='avro'")
-        return messages.select(qavro.decode_avro(F.col("body"), avro_text).alias("decoded")).select("decoded.*")
+        decoded = qavro.decode_avro(F.col("body"), avro_text, with_error=with_errors)
+        return messages.select(decoded.alias("decoded")).select("decoded.*")
     if codec == "json":
-        return qjson.decode_json_messages(messages, schema)
+        if not with_errors:
+            return qjson.decode_json_messages(messages, schema)
+        out = qjson.decode_json_messages(messages, schema, keep=("body",), keep_errors=True)
+        # null or empty text gives a null record, whose error field is null too
+        missing = F.when(F.col("body").isNull(), F.lit("null body")).when(F.length("body") == 0, F.lit("empty body"))
+        err = qjson.CORRUPT_COLUMN
+        return out.withColumn(err, F.coalesce(F.col(err), missing)).drop("body")
     raise ValueError(f"unknown codec {codec!r}")
 
 
+def split_decode_errors(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(good, bad)`` of a stream decoded ``with_errors``: good rows without the error
+    column, bad rows with it (the reason). Two filters of one plan; each sink is its
+    own streaming query with its own checkpoint."""
+    err = F.col(qjson.CORRUPT_COLUMN)
+    return decoded.where(err.isNull()).drop(qjson.CORRUPT_COLUMN), decoded.where(err.isNotNull())
+
+
 def _trigger(writer, trigger: str | dict):
     if trigger == "availableNow":
         return writer.trigger(availableNow=True)

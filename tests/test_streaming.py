@@ -85,3 +85,24 @@ def test_running_stream_picks_up_files_as_they_land_and_restarts_cleanly(spark,
     again = stream.decode_stream(stream.read_messages(spark, f"{scratch}/src"), "avro", avro_text)
     stream.run_to_end(stream.append_stream(again, f"{scratch}/out", f"{scratch}/ck"))
     assert spark.read.parquet(f"{scratch}/out").count() == total
+
+
+def test_bad_bodies_are_routed_to_a_quarantine_sink(spark, sf_dir, scratch):
+    avro_text = sales_event_avro()
+    lineitem = read_table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
+    for codec, messages in (("avro", ev.avro_messages(lineitem, avro_text)), ("json", ev.json_messages(lineitem))):
+        src = f"{scratch}/{codec}/src"
+        _land(messages, src)
+        bad = messages.limit(4).select(
+            F.when(F.col("offset") % 2 == 0, F.lit(b"\x07garbage")).otherwise(F.lit(None).cast("binary")).alias("body"),
+            "offset", "enqueued_time", "schema_id")
+        _land(bad, src)
+        decoded = stream.decode_stream(stream.read_messages(spark, src), codec, avro_text, with_errors=True)
+        good, quarantined = stream.split_decode_errors(decoded)
+        stream.run_to_end(stream.append_stream(good, f"{scratch}/{codec}/table", f"{scratch}/{codec}/ck_t"))
+        stream.run_to_end(stream.append_stream(quarantined, f"{scratch}/{codec}/quarantine", f"{scratch}/{codec}/ck_q"))
+        table = spark.read.parquet(f"{scratch}/{codec}/table")
+        q = spark.read.parquet(f"{scratch}/{codec}/quarantine")
+        assert table.count() == messages.count() and "_decode_error" not in table.columns
+        assert table.where(F.col("cs_order_number").isNull()).count() == 0
+        assert q.count() == 4 and q.where(F.col("_decode_error").isNull()).count() == 0
