@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.functions.schemas import CHECKPOINT_SCHEMA, DOCUMENT_SCHEMA
+from quayside.functions.schemas import DOCUMENT_SCHEMA
 from quayside.operators import batching, embedding, upsert
 from quayside.plans import ingest
 
