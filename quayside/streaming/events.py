@@ -22,12 +22,26 @@ from quayside.functions import json as qjson
 from quayside.functions.schemas import MESSAGE_SCHEMA, SALES_EVENT_SCHEMA
 
 
+# Largest micro-batch of a file source, in files. A backlog is then worked through in
+# bounded, checkpointed steps (``availableNow`` honours the limit) instead of one
+# batch holding everything, which a lost executor would force to redo whole.
+MAX_FILES_PER_TRIGGER = 1000
+_FILE_FORMATS = {"parquet", "json", "csv", "orc", "text", "avro"}
+
+
 def read_messages(spark: SparkSession, path: str, fmt: str = "parquet", options: dict | None = None,
-                  schema=MESSAGE_SCHEMA) -> DataFrame:
-    """A streaming DataFrame of broker messages (``body`` plus position columns)."""
+                  schema=MESSAGE_SCHEMA, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """A streaming DataFrame of broker messages (``body`` plus position columns).
+
+    File sources get ``maxFilesPerTrigger`` (unless ``options`` set it); a broker
+    source takes its own rate limit through ``options``.
+    """
     reader = spark.readStream.format(fmt).schema(schema)
-    if options:
-        reader = reader.options(**options)
+    opts = dict(options or {})
+    if fmt in _FILE_FORMATS and max_files_per_trigger and "maxFilesPerTrigger" not in opts:
+        opts["maxFilesPerTrigger"] = str(max_files_per_trigger)
+    if opts:
+        reader = reader.options(**opts)
     return reader.load(path)
 
 

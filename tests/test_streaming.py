@@ -106,3 +106,16 @@ def test_bad_bodies_are_routed_to_a_quarantine_sink(spark, sf_dir, scratch):
         assert table.count() == messages.count() and "_decode_error" not in table.columns
         assert table.where(F.col("cs_order_number").isNull()).count() == 0
         assert q.count() == 4 and q.where(F.col("_decode_error").isNull()).count() == 0
+
+
+def test_backlog_is_worked_through_in_bounded_batches(spark, sf_dir, scratch):
+    avro_text = sales_event_avro()
+    messages = ev.avro_messages(read_table(spark, sf_dir, "lineitem"), avro_text)
+    messages.repartition(5).write.parquet(f"{scratch}/src")  # a backlog of 5 files
+    events = stream.decode_stream(stream.read_messages(spark, f"{scratch}/src", max_files_per_trigger=2),
+                                  "avro", avro_text)
+    query = stream.append_stream(events, f"{scratch}/out", f"{scratch}/ck")
+    stream.run_to_end(query)
+    batches = [p for p in query.recentProgress if p["numInputRows"] > 0]
+    assert len(batches) == 3  # 2 + 2 + 1 files
+    assert spark.read.parquet(f"{scratch}/out").count() == messages.count()
