@@ -234,23 +234,26 @@ def avro_decode_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.select(decoder(F.col("schema_id"), F.col("body")).alias("decoded")).select("decoded.*")
 
 
-@register(
-    "avro_decode_errors",
-    f"""SELECT
+# Returned-item events arrive cut short by one byte: all-null rows with the reason.
+_TRUNCATED_RETURNS_SQL = f"""SELECT
   {oracle.sales_event_columns(null_when="l_returnflag = 'R'")},
   CASE WHEN l_returnflag = 'R' THEN 'truncated record at field CreatedTime' END AS _decode_error
-FROM lineitem""",
-)
+FROM lineitem"""
+
+
+def _truncated_return_messages(spark: SparkSession, sf_dir: str, avro_text: str) -> DataFrame:
+    """Broker messages from lineitem whose returned-item bodies lost their last byte."""
+    raw = ev.avro_messages(read_table(spark, sf_dir, "lineitem"), avro_text, carry=("l_returnflag",))
+    cut = F.when(F.col("l_returnflag") == "R", F.expr("substring(body, 1, length(body) - 1)")).otherwise(F.col("body"))
+    return raw.select(cut.alias("body"), "offset", "enqueued_time", "schema_id")
+
+
+@register("avro_decode_errors", _TRUNCATED_RETURNS_SQL)
 def avro_decode_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Returned-item events arrive cut short by one byte: each becomes an all-null row
     whose ``_decode_error`` says why; no row is dropped."""
     avro_text = sales_event_avro()
-    raw = ev.avro_messages(read_table(spark, sf_dir, "lineitem"), avro_text, carry=("l_returnflag",))
-    bodies = raw.select(
-        F.when(F.col("l_returnflag") == "R", F.expr("substring(body, 1, length(body) - 1)"))
-        .otherwise(F.col("body"))
-        .alias("body")
-    )
+    bodies = _truncated_return_messages(spark, sf_dir, avro_text)
     decoded = bodies.select(qavro.decode_avro(F.col("body"), avro_text, with_error=True).alias("decoded"))
     return decoded.select("decoded.*")
 
@@ -444,6 +447,22 @@ def start_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/table")
 
 
+@register("stream_quarantine", _TRUNCATED_RETURNS_SQL)
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream with truncated returned-item bodies: good events go to the table, bad
+    bodies (with the reason) to a quarantine table, each its own query and checkpoint.
+    Both read back together: nothing is lost, nothing lands twice."""
+    root = work_dir(spark, "stream_quarantine")
+    avro_text = sales_event_avro()
+    _write_messages(_truncated_return_messages(spark, sf_dir, avro_text), f"{root}/source")
+    decoded = stream.decode_stream(stream.read_messages(spark, f"{root}/source"), "avro", avro_text, with_errors=True)
+    good, bad = stream.split_decode_errors(decoded)
+    stream.run_to_end(stream.append_stream(good, f"{root}/table", f"{root}/checkpoint_table"))
+    stream.run_to_end(stream.append_stream(bad, f"{root}/quarantine", f"{root}/checkpoint_quarantine"))
+    table = spark.read.parquet(f"{root}/table").withColumn(qjson.CORRUPT_COLUMN, F.lit(None).cast("string"))
+    return table.unionByName(spark.read.parquet(f"{root}/quarantine"))
+
+
 # ---------------------------------------------------------------------------
 # Tables and files
 # ---------------------------------------------------------------------------
