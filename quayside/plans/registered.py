@@ -449,18 +449,17 @@ def start_position(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_quarantine", _TRUNCATED_RETURNS_SQL)
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stream with truncated returned-item bodies: good events go to the table, bad
-    bodies (with the reason) to a quarantine table, each its own query and checkpoint.
-    Both read back together: nothing is lost, nothing lands twice."""
+    """A stream with truncated returned-item bodies: one query decodes each micro-batch
+    once and writes good events to the table and bad bodies (with the reason) to a
+    quarantine table. Both read back together: nothing is lost, nothing lands twice."""
     root = work_dir(spark, "stream_quarantine")
     avro_text = sales_event_avro()
     _write_messages(_truncated_return_messages(spark, sf_dir, avro_text), f"{root}/source")
     decoded = stream.decode_stream(stream.read_messages(spark, f"{root}/source"), "avro", avro_text, with_errors=True)
-    good, bad = stream.split_decode_errors(decoded)
-    stream.run_to_end(stream.append_stream(good, f"{root}/table", f"{root}/checkpoint_table"))
-    stream.run_to_end(stream.append_stream(bad, f"{root}/quarantine", f"{root}/checkpoint_quarantine"))
+    stream.run_to_end(stream.append_with_quarantine(decoded, f"{root}/table", f"{root}/quarantine",
+                                                    f"{root}/checkpoint"))
     table = spark.read.parquet(f"{root}/table").withColumn(qjson.CORRUPT_COLUMN, F.lit(None).cast("string"))
-    return table.unionByName(spark.read.parquet(f"{root}/quarantine"))
+    return table.unionByName(spark.read.parquet(f"{root}/quarantine")).drop("batch_id")
 
 
 # ---------------------------------------------------------------------------

@@ -70,13 +70,35 @@ def decode_stream(messages: DataFrame, codec: str = "avro", avro_text: str | Non
 
 
 def split_decode_errors(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(good, bad)`` of a stream decoded ``with_errors``: good rows without the error
-    column, bad rows with it (the reason). Two filters of one plan; each sink is its
-    own streaming query with its own checkpoint."""
+    """``(good, bad)`` of rows decoded ``with_errors``: good rows without the error
+    column, bad rows with it (the reason)."""
     err = F.col(qjson.CORRUPT_COLUMN)
     return decoded.where(err.isNull()).drop(qjson.CORRUPT_COLUMN), decoded.where(err.isNotNull())
 
 
+def append_with_quarantine(decoded: DataFrame, table_path: str, quarantine_path: str, checkpoint: str,
+                           trigger: str | dict = "availableNow") -> StreamingQuery:
+    """One streaming query, two sinks: good events to ``table_path``, bad bodies to
+    ``quarantine_path``.
+
+    Each micro-batch is decoded once (cached for its two writes) and lands in a
+    ``batch_id=<n>`` folder of each sink, written with overwrite: a batch replayed
+    after a failure rewrites the same folders, so each event lands exactly once.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            good, bad = split_decode_errors(batch)
+            good.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
+
+    writer = decoded.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return _trigger(writer, trigger).start()
+
+
 def _trigger(writer, trigger: str | dict):
     if trigger == "availableNow":
         return writer.trigger(availableNow=True)
