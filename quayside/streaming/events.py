@@ -87,18 +87,23 @@ def append_with_quarantine(decoded: DataFrame, table_path: str, quarantine_path:
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            good, bad = split_decode_errors(batch)
-            good.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
-            bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
+        write_split_batch(batch, batch_id, table_path, quarantine_path)
 
     writer = decoded.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return _trigger(writer, trigger).start()
 
 
+def write_split_batch(batch: DataFrame, batch_id: int, table_path: str, quarantine_path: str) -> None:
+    """Write one decoded micro-batch to both sinks; idempotent for a given ``batch_id``."""
+    batch.persist()
+    try:
+        good, bad = split_decode_errors(batch)
+        good.write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}")
+        bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch_id={batch_id}")
+    finally:
+        batch.unpersist()
+
+
 def _trigger(writer, trigger: str | dict):
     if trigger == "availableNow":
         return writer.trigger(availableNow=True)

@@ -123,3 +123,14 @@ def test_backlog_is_worked_through_in_bounded_batches(spark, sf_dir, scratch):
     batches = [p for p in query.recentProgress if p["numInputRows"] > 0]
     assert len(batches) == 3  # 2 + 2 + 1 files
     assert spark.read.parquet(f"{scratch}/out").count() == messages.count()
+
+
+def test_a_replayed_quarantine_batch_overwrites_instead_of_duplicating(spark, sf_dir, scratch):
+    avro_text = sales_event_avro()
+    msgs = ev.avro_messages(read_table(spark, sf_dir, "lineitem").where("l_linenumber = 1"), avro_text)
+    bad = msgs.limit(2).select(F.lit(b"\x07").alias("body"), "offset", "enqueued_time", "schema_id")
+    batch = stream.decode_stream(msgs.unionByName(bad), "avro", avro_text, with_errors=True)
+    for _ in range(2):  # the same micro-batch delivered twice (replay after a failure)
+        stream.write_split_batch(batch, 7, f"{scratch}/table", f"{scratch}/quarantine")
+    assert spark.read.parquet(f"{scratch}/table").count() == msgs.count()
+    assert spark.read.parquet(f"{scratch}/quarantine").count() == 2
