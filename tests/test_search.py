@@ -122,3 +122,13 @@ def test_vector_topk_plan_scores_batches_without_pairs(spark):
     assert "MapInArrow" in plan
     assert "Generate" not in plan and "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert "WindowGroupLimit" in plan
+
+
+def test_facets_with_a_hot_value_aggregate_before_the_shuffle(spark):
+    rows = [(f"{i:05d}", "hot" if i % 3 == 0 else f"src{i % 7}") for i in range(3000)]
+    index = spark.createDataFrame(rows, "id STRING, fileName STRING").repartition(6)
+    got = {r["fileName"]: (r["doc_count"], r["first_id"], r["last_id"]) for r in search.facets(index, "fileName").collect()}
+    assert got["hot"] == (1000, "00000", "02997")
+    assert sum(v[0] for v in got.values()) == 3000
+    plan = search.facets(index, "fileName")._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan  # map-side counts: the hot value ships one row per task
