@@ -50,15 +50,28 @@ def label_centroids(corpus: DataFrame, label: str = "label", vector: str = "embe
     return means.select("qid", normalize(vector_to_array(F.col("m"))).alias("vector"))
 
 
-def _query_chunks(queries: DataFrame, dim: int, max_bytes: int) -> list[DataFrame]:
-    """Split a query set into pieces of at most ``max_bytes`` of vector data each."""
-    n = queries.count()
+def _query_chunks(queries: DataFrame, dim: int, max_bytes: int, salt: int = 0,
+                  n: int | None = None) -> list[DataFrame]:
+    """Split a query set into pieces of at most ``max_bytes`` of vector data each.
+
+    Pieces are hash buckets of ``qid``; every piece is counted before it is used
+    and an oversized one is split again with another salt, so the bound holds for
+    each piece, not just on average.
+    """
+    n = queries.count() if n is None else n
     per_chunk = max(1, max_bytes // max(1, dim * 8))
     if n <= per_chunk:
-        return [queries]
+        return [queries] if n else []
     chunks = (n + per_chunk - 1) // per_chunk
-    bucket = F.pmod(F.xxhash64("qid"), F.lit(chunks))
-    return [queries.where(bucket == i) for i in range(chunks)]
+    bucket = F.pmod(F.xxhash64(F.col("qid"), F.lit(salt)), F.lit(chunks))
+    pieces = []
+    for i in range(chunks):
+        piece = queries.where(bucket == i)
+        m = piece.count()
+        if m == n:  # one qid repeated beyond a piece's size: hashing cannot split it
+            raise ValueError(f"more than {per_chunk} queries share one qid")
+        pieces.extend(_query_chunks(piece, dim, max_bytes, salt + 1, m))
+    return pieces
 
 
 # Slack under a batch's k-th best score: candidates this close to it are kept, so the
@@ -131,7 +144,7 @@ def vector_topk(corpus: DataFrame, queries: DataFrame, k: int = 10, key: str = "
     dim = sample[0] if sample else 0
     pieces = []
     for chunk in _query_chunks(queries, dim, max_query_bytes):
-        rows = chunk.select("qid", normalize(F.col("vector")).alias("v")).collect()  # bounded by the check above
+        rows = chunk.select("qid", normalize(F.col("vector")).alias("v")).collect()  # counted: within max_query_bytes
         if not rows:
             continue
         fn = _batch_candidates([r["qid"] for r in rows], [r["v"] for r in rows], key, vector, k, key_type, qid_type)

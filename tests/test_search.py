@@ -132,3 +132,17 @@ def test_facets_with_a_hot_value_aggregate_before_the_shuffle(spark):
     assert sum(v[0] for v in got.values()) == 3000
     plan = search.facets(index, "fileName")._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan  # map-side counts: the hot value ships one row per task
+
+
+def test_query_pieces_are_each_within_the_size_bound(spark):
+    import pytest
+
+    corpus, _ = _vectors(spark, n=300, dim=8)
+    queries = corpus.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vector"))
+    pieces = search._query_chunks(queries, 8, 8 * 8 * 7)  # at most 7 queries per piece
+    counts = [p.count() for p in pieces]
+    assert max(counts) <= 7 and sum(counts) == 300
+    assert sorted(r["qid"] for p in pieces for r in p.select("qid").collect()) == list(range(300))
+    same = queries.select(F.lit(1).alias("qid"), "vector")  # one qid, 300 rows: cannot be split
+    with pytest.raises(ValueError):
+        search._query_chunks(same, 8, 8 * 8 * 7)
