@@ -205,18 +205,19 @@ def bm25(
     """BM25 keyword search of ``queries(qid, query)`` over the tokens of ``fields``.
 
     Documents are tokenised once. Each document emits its query-vocabulary tokens
-    plus one ``LENGTH_ROW`` carrying its length; a broadcast join with the
-    vocabulary (distinct query terms, counted against ``max_query_terms``
-    (query, term) pairs first) drops every other word before the shuffle. One
+    plus one ``LENGTH_ROW`` carrying its length; a join with the vocabulary
+    (distinct query terms) drops every other word before the shuffle. The query
+    side is broadcast only when its (query, term) pairs number at most
+    ``max_query_terms``; a larger query set is joined by shuffle instead. One
     aggregate of term counts per ``(id, term)`` then feeds the corpus statistics
     (``N``, mean length: a scalar subquery over the length rows), the document
     frequencies and the scores, so its exchange is computed once and reused.
     Returns ``(qid, id, rank, score)``.
     """
     q_terms = queries.select("qid", F.explode(F.array_distinct(tokenize(F.col("query")))).alias("term")).distinct()
-    n_pairs = q_terms.count()
-    if n_pairs > max_query_terms:
-        raise ValueError(f"{n_pairs} (query, term) pairs exceed max_query_terms={max_query_terms}")
+    # broadcast the query side only under its checked bound; beyond it, shuffle joins
+    small = q_terms.count() <= max_query_terms
+    side = F.broadcast if small else (lambda d: d)
     vocab = q_terms.select("term").distinct()
     vocab = vocab.unionByName(vocab.sparkSession.range(1).select(F.lit(LENGTH_ROW).alias("term")))
 
@@ -227,7 +228,7 @@ def bm25(
     rows = toks.select(
         key, F.size("toks").alias("dl"), F.explode_outer(F.concat(F.array(F.lit(LENGTH_ROW)), "toks")).alias("term")
     )
-    tf = rows.join(F.broadcast(vocab), "term").groupBy(key, "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
+    tf = rows.join(side(vocab), "term").groupBy(key, "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
 
     # Statistics, document frequencies and scores all read ``tf`` unfiltered: a filter on
     # ``term`` would be pushed below the aggregate, and the three plans would no
@@ -248,8 +249,8 @@ def bm25(
     norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl)
     part = F.col("idf") * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
     scored = (
-        tf.join(F.broadcast(weights), "term")
-        .join(F.broadcast(q_terms), "term")  # query terms are never LENGTH_ROW
+        tf.join(side(weights), "term")  # one row per vocabulary term
+        .join(side(q_terms), "term")  # query terms are never LENGTH_ROW
         .groupBy("qid", key)
         .agg(F.sum(part).alias("score"))
     )

@@ -146,3 +146,18 @@ def test_query_pieces_are_each_within_the_size_bound(spark):
     same = queries.select(F.lit(1).alias("qid"), "vector")  # one qid, 300 rows: cannot be split
     with pytest.raises(ValueError):
         search._query_chunks(same, 8, 8 * 8 * 7)
+
+
+def test_bm25_beyond_the_broadcast_bound_joins_by_shuffle_with_the_same_result(spark):
+    docs = [(f"d{i}", f"alpha beta {'gamma ' * (i % 5)}delta {i}", f"s{i % 3}") for i in range(60)]
+    index = spark.createDataFrame(docs, "id STRING, content STRING, fileName STRING").repartition(4)
+    q = spark.createDataFrame([(1, "alpha gamma"), (2, "delta 7"), (3, "beta s1")], "qid INT, query STRING")
+    small = search.bm25(index, q, k=5)
+    large = search.bm25(index, q, k=5, max_query_terms=1)  # over the bound: no broadcast hint
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _final_plan(search.bm25(index, q, k=5, max_query_terms=1))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
