@@ -26,10 +26,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.session import partitions_for
+from quayside.session import MAX_PARTITIONS, partitions_for
 
 _LOCAL_BITS = 33
-_MAX_PARTITION_ROWS_FOR_BROADCAST = 1_000_000  # partitions, not rows of data
+# Largest offsets table broadcast (one row of four longs per partition, about 40 MB at
+# the cap). ``partitions_for`` never asks for more partitions than this, so the
+# bound holds by construction; only an explicit larger ``partitions`` is refused.
+# (A shuffle join would not do instead: it would reorder rows inside partitions.)
+_MAX_PARTITION_ROWS_FOR_BROADCAST = MAX_PARTITIONS
 
 
 @dataclass

@@ -83,7 +83,7 @@ def conf_bytes(value: str) -> int:
     return int(digits) * unit if digits.isdigit() else int(float(digits) * unit)
 
 
-_MAX_PARTITIONS = 1 << 20
+MAX_PARTITIONS = 1 << 20  # upper bound of partitions_for
 
 
 def partitions_for(df) -> int:
@@ -108,4 +108,4 @@ def partitions_for(df) -> int:
     unknown = conf_bytes(spark.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
     if size >= unknown:  # no estimate (e.g. local rows): Spark reports its default
         return configured
-    return int(min(max(configured, -(-size // max(1, target))), _MAX_PARTITIONS))
+    return int(min(max(configured, -(-size // max(1, target))), MAX_PARTITIONS))
