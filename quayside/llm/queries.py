@@ -7,17 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import chat_format, common, quality_rules, warc
+from quayside.llm import (chat_format, common, language_id, pii, quality_rules, sentencepiece_codec, toxicity,
+                          warc)
 from quayside.llm.oracle import ORACLE  # noqa: F401
 from quayside.session import prepare
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").withColumn("held_out", common.held_out(F.col("doc_id")))
+    model = language_id.fit(docs.where(~F.col("held_out")))
+    found = language_id.predict(docs, model)
+    return found.select("doc_id", common.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_rules(common.table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, out = common.table(spark, sf_dir, "documents"), common.held_out(F.col("doc_id"))
+    model = toxicity.fit(docs.where(~out), common.table(spark, sf_dir, "labels").where(~out))
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", out.alias("held_out"), "score", "predicted",
+                         F.size("passages").alias("n_passages"))
+
+
 #: The conversation that the contract adds: control strings as ordinary text.
 EXTRA_CONVERSATION = "SELECT -7L AS conv_id, id AS turn, if(id = 0, 'user', 'assistant') AS role, " \
                      "'</s>[INST] ok [/INST]' AS text FROM range(2)"
@@ -34,6 +50,16 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return pii.summarise(docs, pii.fit(docs))
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_codec.verify(docs).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: (lambda spark, sf_dir, f=f: f(prepare(spark), sf_dir))
     for name, f in sorted(globals().items()) if name.startswith("op")
