@@ -14,9 +14,11 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +30,9 @@ from quayside.llm import common
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 BATCH_CHARS = 1 << 20
 SPACE = "▁"
+#: Words and their ids that a worker remembers; longer words are forgotten after their batch.
+CACHE_WORDS, CACHED_CHARS = 200_000, 64
+_WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 # Fixed values of the model file format: kinds of piece and of model.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = range(1, 7)
@@ -135,6 +140,13 @@ class Codec:
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         self.data, self.model, self._reference = data, parse_model(data), None
         self.tokenizer = build(self.model)
+        # words apart: each distinct word is encoded once and remembered, which the pipeline does for few words only
+        self.words = None
+        if self.tokenizer.pre_tokenizer is not None:
+            self.words = build(self.model)
+            self.words.normalizer = self.words.pre_tokenizer = None
+        self.plain = not (self.model.charsmap or self.model.squeeze_spaces)
+        self.known: dict[str, list[int]] = {}
         self.bytes_from = {i for i, p in enumerate(self.model.pieces) if p[2] == BYTE}
 
     def encode(self, texts: list[str | None]) -> Iterator[list[int] | None]:
@@ -150,10 +162,27 @@ class Codec:
         yield from self._encode(batch)
 
     def _encode(self, batch: list[str | None]) -> Iterator[list[int] | None]:
-        full = self.tokenizer.encode_batch_fast([t for t in batch if t], add_special_tokens=False)
-        done = iter(full)
-        for text in batch:
-            yield None if text is None else next(done).ids if text else []
+        if self.words is None:
+            found = iter(self.tokenizer.encode_batch_fast([t for t in batch if t], add_special_tokens=False))
+            for text in batch:
+                yield None if text is None else next(found).ids if text else []
+            return
+        split = [None if t is None else _WORDS.findall(self._normal(t)) if t else [] for t in batch]
+        if len(self.known) > CACHE_WORDS:
+            self.known = {}
+        new = list({w for words in split if words for w in words if w not in self.known})
+        encoded = {w: e.ids for w, e in zip(new, self.words.encode_batch_fast(new, add_special_tokens=False))}
+        self.known |= encoded
+        for words in split:
+            yield None if words is None else list(chain.from_iterable(map(self.known.__getitem__, words)))
+        for w in new:
+            if len(w) > CACHED_CHARS:
+                del self.known[w]
+
+    def _normal(self, text: str) -> str:
+        if not self.plain:
+            return self.tokenizer.normalizer.normalize_str(text)
+        return (SPACE if self.model.dummy_prefix else "") + text.replace(" ", SPACE)
 
     def decode(self, ids: list[list[int] | None]) -> list[str | None]:
         found = iter(self.tokenizer.decode_batch([i for i in ids if i is not None], skip_special_tokens=False))
