@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import (chat_format, common, language_id, pii, quality_rules, sentencepiece_codec, toxicity,
-                          warc)
+from quayside.llm import (chat_format, common, decontamination, language_id, ngram_join, pii, quality_rules,
+                          sentencepiece_codec, toxicity, warc)
 from quayside.llm.oracle import ORACLE  # noqa: F401
 from quayside.session import prepare
 
@@ -26,6 +26,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents")
+    return decontamination.judge(docs, common.table(spark, sf_dir, "benchmark"))
+
+
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(common.table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, out = common.table(spark, sf_dir, "documents"), common.held_out(F.col("doc_id"))
     model = toxicity.fit(docs.where(~out), common.table(spark, sf_dir, "labels").where(~out))
