@@ -46,7 +46,7 @@ def _marked(text: Column) -> Column:
 def _tokens(marked: Column) -> Column:
     """Lower-case words without punctuation; a number and letters that follow it are words apart."""
     apart = F.when(F.rlike(marked, F.lit("[0-9]")), F.regexp_replace(marked, r"([0-9])(?=\p{L})", "$1 ")).otherwise(marked)
-    return common.words(F.regexp_replace(F.lower(apart), rf"[^\p{{L}}\p{{M}}\p{{N}}{_NAME}\x20\x09-\x0D]+", " "))
+    return F.array_remove(F.split(F.lower(apart), rf"[^\p{{L}}\p{{M}}\p{{N}}{_NAME}]+"), "")
 
 
 def windows(docs: DataFrame, key: str, text: str, size: int = WINDOW) -> DataFrame:
