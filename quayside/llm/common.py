@@ -24,6 +24,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def words(text: Column) -> Column:
     """The words of a text in order; an empty array for null or blank text."""
     trimmed = F.btrim(text, F.lit(WORD_SEPARATORS))
@@ -52,9 +55,15 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back, so that what follows does not compute it again
     and survives lost executors."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")  # the shuffles that led to the written table aren't needed any more
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before) if before is not None else spark.conf.unset(SHUFFLE_CLEANUP)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def unique_suffix() -> str:

@@ -3,8 +3,8 @@
 A document's set holds its distinct n-word shingles, as 64-bit hashes. Two documents link when the intersection has
 at least ``percent`` of the union. Documents with equal sets form a class of which only the representative (smallest
 key) takes part. Columns of the matrix are n-grams; a row keeps the cells that a pair above the threshold must share:
-with all n-grams in one global order, two linked sets of n1 and n2 members share at least ``OVERLAP`` of the first
-n - ceil(percent * n) + OVERLAP of each. Frequent n-grams stand last in that order, so columns that much text shares
+with all n-grams in one global order, two linked sets of n1 and n2 members share at least overlap(min(n1, n2)) of the
+first n - ceil(percent * n) + overlap(n) of each. Frequent n-grams stand last in that order, so columns that much text shares
 are hardly ever kept. Overlaps are counted by pair over the kept cells, pairs below the bounds are discarded, and
 the sets of the others are intersected exactly.
 
@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 
 from quayside.llm import common
 
-OVERLAP = 4
+#: Cells that linked sets of n members must share: this percentage of n, and as many as the least at any rate.
+OVERLAP_PERCENT, LEAST_OVERLAP = 3, 4
 MAX_FREQUENT = 200_000
 #: An n-gram that so many sets of one Arrow batch hold is a candidate for the end of the order.
 FREQUENT_IN_BATCH = 6
@@ -82,11 +83,19 @@ def minimum(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
+def overlap(n: int) -> int:
+    return max(LEAST_OVERLAP, -(-n * OVERLAP_PERCENT // 100))
+
+
+def _overlap(n: F.Column) -> F.Column:
+    return F.greatest(F.lit(LEAST_OVERLAP), F.ceil(n * OVERLAP_PERCENT / 100))
+
+
 def ordered(members: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     """A sorted set in the global order: the frequent n-grams last."""
     if not len(frequent):
         return members
-    late = np.isin(members, frequent, assume_unique=True)
+    late = frequent[np.minimum(np.searchsorted(frequent, members), len(frequent) - 1)] == members
     return np.concatenate([members[~late], members[late]])
 
 
@@ -136,7 +145,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, key:
                 if len(members) >= least:
                     keys.append(k)
                     sizes.append(len(members))
-                    firsts.append(_signed(ordered(members, late)[:len(members) - minimum(len(members), percent) + OVERLAP]))
+                    firsts.append(_signed(ordered(members, late)[:len(members) - minimum(len(members), percent) + overlap(len(members))]))
             yield pa.RecordBatch.from_arrays([pa.array(keys, b.column(0).type), pa.array(sizes, pa.int32()),
                                               pa.array(firsts, pa.list_(pa.int64()))], ["key", "n", "first"])
 
@@ -244,24 +253,30 @@ def links(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", t
     cells = common.stored(cells.withColumn("before", F.lag(F.struct("key", "n", "pos")).over(by_size)).withColumn(
         "lead", F.min(F.struct("pos", "n", "key")).over(by_size)).withColumn("after", F.lead("key").over(by_size)).where(
         F.col("before").isNotNull() | F.col("after").isNotNull()), "ngram-cells")
+    # a document needs as many cells that others have as it must share with its smallest partner
+    involved = cells.groupBy("key").agg(F.count("*").alias("cells"), F.max("n").alias("n")).where(
+        F.col("cells") >= _overlap(F.ceil(F.col("n") * percent / 100))).select("key")
+    involved = common.stored(involved, "ngram-involved")
     first = F.explode(F.array_distinct(F.array("before", F.struct(F.col("lead.key"), F.col("lead.n"), F.col("lead.pos")))))
     pair = cells.where("before is not null").select(F.col("key").alias("k"), F.col("n").alias("n1"), first.alias("o")).where(
         "k <> o.key").select(F.least("k", "o.key").alias("a"), F.greatest("k", "o.key").alias("b"), "n1", F.col("o.n").alias("n2"))
     near = pair.where(_bounds(percent)).groupBy("a", "b").agg(F.count("*").alias("cells")).where("cells >= 2").select("a", "b")
-    involved = cells.select("key").distinct()
+    near = near.join(involved.select(F.col("key").alias("a")), "a", "left_semi").join(
+        involved.select(F.col("key").alias("b")), "b", "left_semi")
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(involved, "key", "left_semi")
     packed = common.stored(_packed(texts, n, "key", "text").dropDuplicates(["key"]), "ngram-members")
     edges = common.stored(_verified(near, packed, percent), "ngram-edges")
     known = connected(edges, "ngram-components")
 
     # the rest: pairs of a column whose components differ
-    placed = cells.join(known, "key", "left").select("h", "key", "n", F.coalesce("component", "key").alias("component"))
+    placed = cells.join(involved, "key", "left_semi").join(known, "key", "left").select("h", "key", "n", F.coalesce("component", "key").alias("component"))
     span = placed.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     left = common.stored(placed.join(span.select("h"), "h", "left_semi"), "ngram-left")
     one = left.select("h", F.col("key").alias("a"), F.col("n").alias("n1"), F.col("component").alias("c1"))
     two = left.select("h", F.col("key").alias("b"), F.col("n").alias("n2"), F.col("component").alias("c2"))
     rest = one.join(two, "h").where("c1 <> c2 and (n1 < n2 or n1 = n2 and a < b)").where(_bounds(percent))
-    rest = rest.groupBy("a", "b").agg(F.count("*").alias("cells")).where(F.col("cells") >= OVERLAP).select("a", "b")
+    rest = rest.groupBy("a", "b").agg(F.count("*").alias("cells"), F.first("n1").alias("n1")).where(
+        F.col("cells") >= _overlap(F.col("n1"))).select("a", "b")
     more = common.stored(_verified(rest, packed, percent), "ngram-edges")
     final = connected(edges.union(more), "ngram-components") if not more.isEmpty() else known
     return all_docs.join(classes, ["n", "digest"], "left"), final
