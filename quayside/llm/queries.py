@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import (chat_format, common, decontamination, language_id, ngram_join, pii, quality_rules,
-                          sentencepiece_codec, toxicity, warc)
+from quayside.llm import (chat_format, common, decontamination, language_id, lm_scoring, ngram_join, pii,
+                          quality_rules, sentencepiece_codec, toxicity, warc)
 from quayside.llm.oracle import ORACLE  # noqa: F401
 from quayside.session import prepare
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scores(common.table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents").withColumn("held_out", common.held_out(F.col("doc_id")))
     model = language_id.fit(docs.where(~F.col("held_out")))
