@@ -35,9 +35,11 @@ BACKOFF = 0.4
 FLOOR = 0.5
 FREQUENT_SHARE = 5000
 BEGIN, END = np.uint64(1), np.uint64(2)
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
+#: Characters of text whose pairs a worker holds at once.
+SLICE_CHARS = 1 << 20
 #: Buckets for each partition's worth of text.
-SPREAD = 4
+SPREAD = 6
 
 _BLOCK = "bucket int, kind int, block binary"
 
@@ -128,6 +130,17 @@ def _pairs(texts: list[str | None], keys: np.ndarray, hasher: Hasher) -> dict[st
     return {n: np.concatenate(v) if v else np.zeros(0, np.int64) for n, v in out.items()}
 
 
+def _slices(batches):
+    """Keys and texts of bounded size: documents up to ``SLICE_CHARS`` characters, one at least."""
+    for b in batches:
+        keys, texts, start, size = b.column(0).to_numpy(), b.column(1).to_pylist(), 0, 0
+        for i, t in enumerate(texts):
+            size += len(t or "")
+            if size >= SLICE_CHARS or i + 1 == len(texts):
+                yield keys[start:i + 1], texts[start:i + 1]
+                start, size = i + 1, 0
+
+
 def _lookup(h: np.ndarray, table: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Counts by sorted hash; 0 where there is none."""
     if not len(table):
@@ -172,8 +185,8 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
     def pairs(batches):
         hasher, frequent = Hasher(), shared.value[0]
-        for b in batches:
-            p = _pairs(b.column(1).to_pylist(), b.column(0).to_numpy(), hasher)
+        for keys, texts in _slices(batches):
+            p = _pairs(texts, keys, hasher)
             order = np.lexsort((p["b"], p["a"]))
             p = {k: v[order] for k, v in p.items()}
             hot = _lookup(p["a"], frequent, shared.value[1]) > 0
@@ -185,6 +198,7 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         if not blocks:
             return
         p = _unpack(blocks)
+        del blocks
         total = _grouped([p["a"], p["b"]], p["n"])
         context = _lookup(p["a"], *shared.value)
         mine = context == 0
