@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.llm import common
-from quayside.session import partitions_for
 
 BACKOFF = 0.4
 FLOOR = 0.5
@@ -38,8 +37,8 @@ BEGIN, END = np.uint64(1), np.uint64(2)
 CACHE_WORDS = 150_000
 #: Characters of text whose pairs a worker holds at once.
 SLICE_CHARS = 1 << 20
-#: Buckets for each partition's worth of text.
-SPREAD = 6
+#: Bytes of a pair in memory, and of the pairs that a bucket should hold; the count of words is measured first.
+PAIR_BYTES, BUCKET_BYTES = 36, 24 << 20
 
 _BLOCK = "bucket int, kind int, block binary"
 
@@ -176,9 +175,9 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     spark = docs.sparkSession
     common.bounded_batches(spark)
     rows = _documents(docs, key, text)
-    buckets = SPREAD * partitions_for(rows)
     words = common.stored(word_counts(docs, key, text), "lm-words")
     n = words.where("h <> 1").agg(F.sum("c")).first()[0] or 0
+    buckets = int(max(spark.sparkContext.defaultParallelism, n * PAIR_BYTES // BUCKET_BYTES + 1))
     often = words.where(F.col("c") * FREQUENT_SHARE >= n).collect()  # 2 x FREQUENT_SHARE rows at most
     often = sorted((np.int64(r["h"]).view(np.uint64), r["c"]) for r in often)
     shared = spark.sparkContext.broadcast((np.array([o[0] for o in often], np.uint64), np.array([o[1] for o in often], np.int64)))
