@@ -40,6 +40,8 @@ CAUTION = 2.0
 DRIFT = -0.5
 FLOOR, CEILING = -3.0, 8.0
 SIGNIFICANT = 0.05
+#: The variate of a text without any passage.
+LOWEST = -12.0
 CACHE_WORDS = 400_000
 CALIBRATION_FOLDS = 5
 
@@ -125,8 +127,8 @@ class Model:
         worth = [(s, e, self.rate * x - base) for s, e, x in segments]
         # E = K n exp(-lambda S): a passage is significant where so few are expected by chance
         found = [w for w in worth if np.exp(-w[2]) <= SIGNIFICANT]
-        best = max((w[2] for w in worth), default=-base)
-        return float(np.clip(best, -12, 25)), float(np.clip(sum(w[2] for w in found), 0, 100)), found
+        best = max((w[2] for w in worth), default=LOWEST)
+        return float(np.clip(best, LOWEST, 25)), float(np.clip(sum(w[2] for w in found), 0, 100)), found
 
     def probability(self, best: float, total: float) -> float:
         z = self.weights[0] * best + self.weights[1] * np.log1p(total) + self.weights[2]
