@@ -106,7 +106,7 @@ def fold_events(log: DataFrame) -> DataFrame:
     texts = F.transform(F.slice("log", F.greatest(F.col("reset"), F.lit(0)) + 1, F.size("log")),
                         lambda e: F.when(e["kind"] == "regenerate", F.lit("")).otherwise(e["text"]))
     roles = F.array_compact(F.transform("log", lambda e: e["role"]))
-    return tail.select("conv", "message", "part", F.coalesce(F.element_at(roles, -1), F.lit("")).alias("role"),
+    return tail.select("conv", "message", "part", F.coalesce(F.try_element_at(roles, F.lit(-1)), F.lit("")).alias("role"),
                        F.array_join(texts, "").alias("text"))
 
 
