@@ -59,7 +59,7 @@ def key_value_pairs(text: Column, line_sep: str = "\n", kv_sep: str = ": ") -> C
         lines,
         lambda l: F.struct(
             F.trim(F.split(l, kv_sep, 2)[0]).alias("key"),
-            F.trim(F.element_at(F.split(l, kv_sep, 2), -1)).alias("value"),
+            F.trim(F.get(F.split(l, kv_sep, 2), 1)).alias("value"),  # null where the line has no separator
         ),
     )
 

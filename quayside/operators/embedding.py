@@ -40,20 +40,20 @@ class EmbeddingInputError(ValueError):
 class HashingEmbedder:
     """Offline embedder: signed feature hashing of lower-cased word tokens, L2-normalised.
 
-    Like a hosted model it rejects empty input and input over a size limit
-    (``max_chars``), failing the whole request.
+    Like a hosted model it rejects empty input, failing the whole request; texts of any
+    length are embedded. ``reject`` names a string that the caller does not let through.
     """
 
-    def __init__(self, dim: int = 64, max_chars: int = 16_000):
+    def __init__(self, dim: int = 64, reject: str | None = None):
         self.dim = dim
-        self.max_chars = max_chars
+        self.reject = reject
 
     def check(self, texts: list) -> None:
         for t in texts:
             if t is None or t == "":
                 raise EmbeddingInputError("empty input")
-            if len(t) > self.max_chars:
-                raise EmbeddingInputError(f"input exceeds {self.max_chars} characters")
+            if self.reject and self.reject in t:
+                raise EmbeddingInputError("input is rejected")
 
     def embed(self, texts: list) -> list[np.ndarray]:
         self.check(texts)

@@ -26,7 +26,7 @@ from quayside.operators.embedding import FAILED, SUCCESS, embed_batches
 from quayside.operators.pending import pending_documents
 from quayside.operators.upsert import VersionedTable
 from quayside.session import work_dir
-from quayside.sources.documents import read_checkpoint, write_complete
+from quayside.sources.documents import folder_names, read_checkpoint, write_complete
 
 BATCH_SIZE = 16
 
@@ -50,11 +50,19 @@ class IngestPaths:
     def run(self, n: int) -> str:
         return f"{self.root}/runs/{n}"
 
+    def done(self, n: int) -> str:
+        return f"{self.root}/finished/{n}"
+
     @classmethod
     def fresh(cls, spark: SparkSession, name: str = "ingest") -> IngestPaths:
         return cls(work_dir(spark, name))
 
 
+def last_run(spark: SparkSession, paths: IngestPaths) -> int:
+    """The highest run that was begun; 0 if none."""
+    return max((int(n) for n in folder_names(spark, f"{paths.root}/runs") if n.isdigit()), default=0)
+
+
 def index_rows(outcome: DataFrame) -> DataFrame:
     """Index documents from successful outcomes: the vector saw raw text, content is cleaned."""
     return outcome.where(F.col("status") == SUCCESS).select(
@@ -86,12 +94,15 @@ def ingest(
     batch_size: int = BATCH_SIZE,
     retry_interval: float = 60.0,
     max_tries: int | None = None,
-    run: int = 1,
+    run: int | None = None,
     crash_after: str | None = None,
     concurrency: int = 1,
 ) -> DataFrame:
     """One ingestion run; returns the persisted outcome of this run.
 
+    Without ``run``, a run that a crash left unfinished is completed first; if there is
+    none, a new run takes the documents that no run before it has done.
+
     Running the same ``run`` again (after a crash at any point) completes it: a
     committed outcome is reused, the index upsert is keyed, the checkpoint is a set.
 
@@ -99,6 +110,10 @@ def ingest(
     that a crashed run is completed by the next one. ``concurrency`` batch calls
     are kept in flight per task (for a remote embedding service).
     """
+    if run is None:
+        last = last_run(spark, paths)
+        finished = last == 0 or write_complete(spark, paths.done(last))
+        run = last + 1 if finished else last
     run_path = paths.run(run)
     if not write_complete(spark, run_path):
         # a folder left by a crashed write holds no committed outcome: replace it
@@ -118,12 +133,14 @@ def ingest(
         return outcome
     failures = failure_rows(outcome)
     if not failures.isEmpty():
-        failures.write.mode("append").json(paths.failures)
+        failures.write.mode("overwrite").json(f"{paths.failures}/run={run}")
     if crash_after == "failures":
         return outcome
     done = outcome.where(F.col("status") == SUCCESS).select("id")
     if not done.isEmpty():
-        done.write.mode("append").json(paths.checkpoint)
+        done.write.mode("overwrite").json(f"{paths.checkpoint}/run={run}")
+    # an empty write whose marker tells that the run is finished
+    done.limit(0).write.mode("overwrite").json(paths.done(run))
     return outcome
 
 

@@ -75,11 +75,11 @@ def batches_sql(size: int = 16) -> str:
 FROM (SELECT *, CAST(row_number() OVER (ORDER BY id NULLS FIRST) - 1 AS BIGINT) AS rn FROM ({PENDING_SQL}))"""
 
 
-def outcome_sql(size: int = 16, max_chars: int = 16000) -> str:
+def outcome_sql(size: int = 16, reject: str = "@mail") -> str:
     """Batch fails when any text in it is rejected; the first rejected text's message wins."""
     return f"""WITH b AS (
   SELECT *, CASE WHEN text IS NULL OR text = '' THEN 'empty input'
-                 WHEN length(text) > {max_chars} THEN 'input exceeds {max_chars} characters' END AS bad
+                 WHEN contains(text, '{reject}') THEN 'input is rejected' END AS bad
   FROM ({batches_sql(size)})
 ), f AS (
   SELECT batch_id, arg_min(bad, rn) AS error FROM b WHERE bad IS NOT NULL GROUP BY batch_id

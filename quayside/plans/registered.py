@@ -282,6 +282,9 @@ def batch_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batched.public().select("id", "rank", "batch_id", "batch_pos")
 
 
+#: Documents with mail addresses are not sent to the embedder; the oracle has the same string.
+REJECTED = "@mail"
+
 _OUTCOME_COLS = ("id", "fileName", "batch_id", "status", "error")
 
 
@@ -289,14 +292,14 @@ _OUTCOME_COLS = ("id", "fileName", "batch_id", "status", "error")
 def outcome_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-document outcome of embedding pending batches: a rejected text fails its whole batch."""
     d, c = _docs_and_checkpoint(spark, sf_dir)
-    return ingest.plan_outcome(d, c, embedding.HashingEmbedder()).select(*_OUTCOME_COLS)
+    return ingest.plan_outcome(d, c, embedding.HashingEmbedder(reject=REJECTED)).select(*_OUTCOME_COLS)
 
 
 @register("outcome_retry", f"SELECT {', '.join(_OUTCOME_COLS)} FROM ({oracle.outcome_sql()})")
 def outcome_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A throttling service (two rate-limit errors per batch) is retried at a constant interval."""
     d, c = _docs_and_checkpoint(spark, sf_dir)
-    flaky = embedding.FlakyEmbedder(embedding.HashingEmbedder(), failures=2)
+    flaky = embedding.FlakyEmbedder(embedding.HashingEmbedder(reject=REJECTED), failures=2)
     return ingest.plan_outcome(d, c, flaky, retry_interval=0.0, max_tries=5).select(*_OUTCOME_COLS)
 
 
@@ -305,7 +308,7 @@ def index_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One full ingestion run; the index read back: id, content (cleaned), fileName, contentVector."""
     paths = _seeded_paths(spark, sf_dir)
     d = docs.documents_from_table(read_table(spark, sf_dir, "documents"))
-    ingest.ingest(spark, d, paths, embedding.HashingEmbedder())
+    ingest.ingest(spark, d, paths, embedding.HashingEmbedder(reject=REJECTED))
     return ingest.read_index(spark, paths)
 
 
@@ -317,7 +320,7 @@ def failure_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The failure log after one run: every row of a failed batch with raw text and the error."""
     paths = _seeded_paths(spark, sf_dir)
     d = docs.documents_from_table(read_table(spark, sf_dir, "documents"))
-    ingest.ingest(spark, d, paths, embedding.HashingEmbedder())
+    ingest.ingest(spark, d, paths, embedding.HashingEmbedder(reject=REJECTED))
     return docs.read_failures(spark, paths.failures)
 
 
@@ -330,8 +333,8 @@ def checkpoint_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs, the first cut off after the index write: the checkpoint ends holding each id once."""
     paths = _seeded_paths(spark, sf_dir)
     d = docs.documents_from_table(read_table(spark, sf_dir, "documents"))
-    ingest.ingest(spark, d, paths, embedding.HashingEmbedder(), run=1, crash_after="index")
-    ingest.ingest(spark, d, paths, embedding.HashingEmbedder(), run=2)
+    ingest.ingest(spark, d, paths, embedding.HashingEmbedder(reject=REJECTED), run=1, crash_after="index")
+    ingest.ingest(spark, d, paths, embedding.HashingEmbedder(reject=REJECTED), run=2)
     return docs.read_checkpoint(spark, paths.checkpoint)
 
 

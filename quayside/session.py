@@ -59,7 +59,6 @@ def checkpoint_root(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach "
                                "(HDFS, an object store); it holds checkpoints and work tables")
         root = tempfile.mkdtemp(prefix="quayside-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

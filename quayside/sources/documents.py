@@ -50,6 +50,12 @@ def write_complete(spark: SparkSession, path: str) -> bool:
     return fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(jpath, "_SUCCESS"))
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any Hadoop file system; none if it is missing."""
+    fs, jpath = _hadoop_path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(jpath)] if fs.exists(jpath) else []
+
+
 def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
     """Ids already processed.
 
@@ -58,7 +64,7 @@ def read_checkpoint(spark: SparkSession, path: str) -> DataFrame:
     """
     if not path_has_data(spark, path):
         return spark.createDataFrame([], CHECKPOINT_SCHEMA)
-    return spark.read.schema(CHECKPOINT_SCHEMA).option("mode", "FAILFAST").json(path)
+    return spark.read.schema(CHECKPOINT_SCHEMA).option("mode", "FAILFAST").option("recursiveFileLookup", "true").json(path)
 
 
 def read_multiline_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -83,4 +89,4 @@ def read_failures(spark: SparkSession, path: str) -> DataFrame:
 
     if not path_has_data(spark, path):
         return spark.createDataFrame([], FAILURE_SCHEMA)
-    return spark.read.schema(FAILURE_SCHEMA).option("mode", "FAILFAST").json(path)
+    return spark.read.schema(FAILURE_SCHEMA).option("mode", "FAILFAST").option("recursiveFileLookup", "true").json(path)

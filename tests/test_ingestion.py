@@ -42,11 +42,11 @@ def test_failed_text_fails_its_whole_batch_only(spark):
     long_text = "x" * 20_000
     df = _docs(spark, 40, text=lambda i: long_text if i == 20 else f"text {i}")
     b = batching.assign_batches(df, "id", size=16, partitions=3)
-    out = embedding.embed_batches(b, embedding.HashingEmbedder(dim=8, max_chars=16_000)).collect()
+    out = embedding.embed_batches(b, embedding.HashingEmbedder(dim=8, reject="xxxx")).collect()
     assert len(out) == 40
     failed = sorted(r["id"] for r in out if r["status"] == embedding.FAILED)
     assert failed == [f"{i:05d}" for i in range(16, 32)]
-    assert {r["error"] for r in out if r["status"] == embedding.FAILED} == {"input exceeds 16000 characters"}
+    assert {r["error"] for r in out if r["status"] == embedding.FAILED} == {"input is rejected"}
     assert all(r["text"] == long_text for r in out if r["id"] == "00020")  # raw text kept
     ok = [r for r in out if r["status"] == embedding.SUCCESS]
     norms = [np.linalg.norm(r["vector"]) for r in ok]
@@ -175,7 +175,7 @@ def test_concurrent_batch_calls_give_the_same_outcome_sooner(spark):
 
         def __init__(self, wait: float):
             self.wait = wait
-            self.inner = embedding.HashingEmbedder(dim=8, max_chars=16_000)
+            self.inner = embedding.HashingEmbedder(dim=8, reject="xxxx")
 
         def embed(self, texts):
             import time
@@ -195,3 +195,18 @@ def test_concurrent_batch_calls_give_the_same_outcome_sooner(spark):
     assert runs[1][1] == runs[8][1]
     assert {r[0] for r in runs[8][1] if r[1] == embedding.FAILED} == {f"{i:05d}" for i in range(32, 48)}
     assert runs[8][0] < runs[1][0] - 1.5  # 13 calls of 0.3 s overlap instead of queueing
+
+
+def test_second_call_ingests_new_documents_and_a_replay_adds_none(spark, scratch):
+    paths = ingest.IngestPaths(scratch)
+    texts = [(str(i), f"f{i}", "word " * (8000 if i == 3 else 5)) for i in range(60)]
+    frame = spark.createDataFrame(texts, "id string, fileName string, text string")
+    emb = embedding.HashingEmbedder(dim=8)
+    from quayside.sources.documents import read_checkpoint
+
+    for upto in (40, 60, 60):
+        ingest.ingest(spark, frame.where(F.col("id").cast("int") < upto), paths, emb)
+        assert ingest.read_index(spark, paths).count() == upto
+        assert read_checkpoint(spark, paths.checkpoint).count() == upto
+    ingest.ingest(spark, frame, paths, emb, run=2)
+    assert read_checkpoint(spark, paths.checkpoint).count() == 60
