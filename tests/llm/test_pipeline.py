@@ -8,6 +8,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def test_stages_follow_each_other(spark, sf_dir):
+    sf_dir = sf_dir.replace("sf0.001", "sf0.01")  # the smallest tables have 11 toxic labels, too few to learn from
     docs = common.table(spark, sf_dir, "documents")
     ran = {}
     for name, stage in corpus_pipeline.STAGES:
