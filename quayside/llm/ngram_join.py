@@ -46,25 +46,28 @@ SKETCH = 128
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+class WordHashes(dict):
+    """The hash of every word that was looked up."""
+
+    def __missing__(self, word: str) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
 class Shingler:
     """Texts to sorted arrays of distinct shingle hashes."""
 
     def __init__(self, n: int):
-        self.n, self.ids = n, {}
-
-    def words(self, text: str) -> list[int]:
-        if len(self.ids) > CACHE_WORDS:
-            self.ids = {}
-        known, out = self.ids, []
-        for w in common.WORD.findall(text.translate(_LOWER)):
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxhash.xxh3_64_intdigest(w)
-            out.append(h)
-        return out
+        self.n, self.hashes = n, WordHashes()
+
+    def words(self, text: str) -> np.ndarray:
+        if len(self.hashes) > CACHE_WORDS:
+            self.hashes.clear()
+        found = common.WORD.findall(text.translate(_LOWER))
+        return np.fromiter(map(self.hashes.__getitem__, found), np.uint64, len(found))
 
     def __call__(self, text: str | None) -> np.ndarray:
-        words = np.array(self.words(text) if text else [], dtype=np.uint64)
+        words = self.words(text or "")
         if not len(words):
             return words
         size = min(self.n, len(words))
