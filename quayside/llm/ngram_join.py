@@ -5,8 +5,9 @@ at least ``percent`` of the union. Documents with equal sets form a class of whi
 key) takes part. Columns of the matrix are n-grams; a row keeps the cells that a pair above the threshold must share:
 with all n-grams in one global order, two linked sets of n1 and n2 members share at least overlap(min(n1, n2)) of the
 first n - ceil(percent * n) + overlap(n) of each. Frequent n-grams stand last in that order, so columns that much text shares
-are hardly ever kept. Overlaps are counted by pair over the kept cells, pairs below the bounds are discarded, and
-the sets of the others are intersected exactly.
+are hardly ever kept. Overlaps are counted by pair over the kept cells; pairs below the bounds are discarded, also those
+whose cells stand so late in either set that what follows can't make up the rest; the sets of the others are
+intersected exactly.
 
 A group of thousands of near copies would make a pair of any two in a column. So the product is taken in two rounds.
 The first has only pairs of neighbours in a column, ordered by size, and of each member with the one that holds the
@@ -179,6 +180,17 @@ def _bounds(percent: int):
     return F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent
 
 
+def _reaches(cells: F.Column, percent: int) -> F.Column:
+    """Whether an intersection can be large enough: ``cells`` up to the cell at positions p1 and p2, and all that follow."""
+    most = cells + F.least(F.col("n1") - F.col("p1"), F.col("n2") - F.col("p2")) - 1
+    return most * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent
+
+
+def _cell_reaches(percent: int) -> F.Column:
+    """The same for one cell, before which the sets share at most as many as stand before it in either."""
+    return _reaches(F.least("p1", "p2") + 1, percent)
+
+
 def _verified(pairs: DataFrame, packed: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that link: sketches first, then the sets themselves."""
     near = pairs.select("a", "b")
@@ -261,9 +273,10 @@ def links(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", t
         F.col("cells") >= _overlap(F.ceil(F.col("n") * percent / 100))).select("key")
     involved = common.stored(involved, "ngram-involved")
     first = F.explode(F.array_distinct(F.array("before", F.struct(F.col("lead.key"), F.col("lead.n"), F.col("lead.pos")))))
-    pair = cells.where("before is not null").select(F.col("key").alias("k"), F.col("n").alias("n1"), first.alias("o")).where(
-        "k <> o.key").select(F.least("k", "o.key").alias("a"), F.greatest("k", "o.key").alias("b"), "n1", F.col("o.n").alias("n2"))
-    near = pair.where(_bounds(percent)).groupBy("a", "b").agg(F.count("*").alias("cells")).where("cells >= 2").select("a", "b")
+    pair = cells.where("before is not null").select(
+        F.col("key").alias("k"), F.col("n").alias("n1"), F.col("pos").alias("p1"), first.alias("o")).where("k <> o.key").select(
+        F.least("k", "o.key").alias("a"), F.greatest("k", "o.key").alias("b"), "n1", "p1", F.col("o.n").alias("n2"), F.col("o.pos").alias("p2"))
+    near = pair.where(_bounds(percent) & _cell_reaches(percent)).groupBy("a", "b").agg(F.count("*").alias("cells")).where("cells >= 2").select("a", "b")
     near = near.join(involved.select(F.col("key").alias("a")), "a", "left_semi").join(
         involved.select(F.col("key").alias("b")), "b", "left_semi")
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(involved, "key", "left_semi")
@@ -272,14 +285,15 @@ def links(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", t
     known = connected(edges, "ngram-components")
 
     # the rest: pairs of a column whose components differ
-    placed = cells.join(involved, "key", "left_semi").join(known, "key", "left").select("h", "key", "n", F.coalesce("component", "key").alias("component"))
+    placed = cells.join(involved, "key", "left_semi").join(known, "key", "left").select("h", "key", "n", "pos", F.coalesce("component", "key").alias("component"))
     span = placed.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     left = common.stored(placed.join(span.select("h"), "h", "left_semi"), "ngram-left")
-    one = left.select("h", F.col("key").alias("a"), F.col("n").alias("n1"), F.col("component").alias("c1"))
-    two = left.select("h", F.col("key").alias("b"), F.col("n").alias("n2"), F.col("component").alias("c2"))
-    rest = one.join(two, "h").where("c1 <> c2 and (n1 < n2 or n1 = n2 and a < b)").where(_bounds(percent))
-    rest = rest.groupBy("a", "b").agg(F.count("*").alias("cells"), F.first("n1").alias("n1")).where(
-        F.col("cells") >= _overlap(F.col("n1"))).select("a", "b")
+    one = left.select("h", F.col("key").alias("a"), F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("component").alias("c1"))
+    two = left.select("h", F.col("key").alias("b"), F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("component").alias("c2"))
+    rest = one.join(two, "h").where("c1 <> c2 and (n1 < n2 or n1 = n2 and a < b)").where(
+        _bounds(percent) & _cell_reaches(percent))
+    rest = rest.groupBy("a", "b").agg(F.count("*").alias("cells"), *[F.max(c).alias(c) for c in ("n1", "n2", "p1", "p2")]).where(
+        (F.col("cells") >= _overlap(F.col("n1"))) & _reaches(F.col("cells"), percent)).select("a", "b")
     more = common.stored(_verified(rest, packed, percent), "ngram-edges")
     final = connected(edges.union(more), "ngram-components") if not more.isEmpty() else known
     return all_docs.join(classes, ["n", "digest"], "left"), final

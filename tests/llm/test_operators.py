@@ -98,6 +98,22 @@ def test_components_match_brute_force(spark, n, percent):
     assert got == brute_components(texts, n, percent)
 
 
+def test_components_of_a_loose_group_match_brute_force(spark):
+    """Most pairs of the copies are near the threshold, on either side, so the bounds decide which are intersected."""
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(3000)]
+    base = [rng.choice(words) for _ in range(90)]
+    texts = []
+    for i in range(160):
+        copy = base[:rng.randint(70, 90)] + [rng.choice(words) for _ in range(rng.randint(0, 6))]
+        for _ in range(i % 4):
+            copy[rng.randrange(len(copy))] = rng.choice(words)
+        texts.append(" ".join(copy))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.components(make(spark, texts), 5, 80).collect()}
+    want = brute_components(texts, 5, 80)
+    assert got == want and 1 < len({c for _, c in want.values()}) < len(texts)
+
+
 def test_scores_match_brute_force(spark):
     texts = odd_texts()
     got = {r.doc_id: r for r in lm_scoring.scores(make(spark, texts)).collect()}
