@@ -37,17 +37,6 @@ def clean_text(text: Column) -> Column:
     return F.regexp_replace(no_colons, _STRIP_ENDS, "")
 
 
-def clean_text_py(text) -> str:
-    """The same rule in plain Python (used by tests as the definition)."""
-    import re
-
-    if not text:
-        return ""
-    text = re.sub(CONTROL_CHARS, "", str(text))
-    text = text.replace(COLON, COLON_REPLACEMENT)
-    return text.strip()
-
-
 def key_value_pairs(text: Column, line_sep: str = "\n", kv_sep: str = ": ") -> Column:
     """``Key: value`` lines -> ARRAY<STRUCT<key, value>>.
 
