@@ -16,9 +16,9 @@ import hashlib
 import os
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from itertools import chain
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +30,8 @@ from quayside.llm import common
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 BATCH_CHARS = 1 << 20
 SPACE = "▁"
-#: Words and their ids that a worker remembers; longer words are forgotten after their batch.
-CACHE_WORDS, CACHED_CHARS = 400_000, 64
+#: Words, and ids of words, that a worker remembers; longer words are forgotten after their batch.
+CACHE_WORDS, CACHED_IDS, CACHED_CHARS = 400_000, 4_000_000, 64
 WORDS_AT_ONCE = 512
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -133,8 +133,21 @@ def build(model: PieceModel):
     return tokenizer
 
 
+class Words(dict):
+    """Numbers of words; a word that was not there gets the next one and is listed as new."""
+
+    def __init__(self):
+        self.n, self.new = 0, []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = self.n
+        self.n += 1
+        self.new.append(word)
+        return number
+
+
 class Codec:
-    """Encodes and decodes batches; built in each worker from the model's bytes."""
+    """Encodes and decodes batches; built once in each worker from the model's bytes."""
 
     def __init__(self, data: bytes, threads: int = 1):
         os.environ["RAYON_NUM_THREADS"] = str(threads)
@@ -147,12 +160,16 @@ class Codec:
             self.words = build(self.model)
             self.words.normalizer = self.words.pre_tokenizer = None
         self.plain = not (self.model.charsmap or self.model.squeeze_spaces)
-        self.known: dict[str, list[int]] = {}
+        self._forget()
         self.piece_bytes = [bytes([int(p[3:-1], 16)]) if kind == BYTE else p.replace(SPACE, " ").encode()
                             for p, _, kind in self.model.pieces]
         self.bytes_from = {i for i, p in enumerate(self.model.pieces) if p[2] == BYTE}
 
-    def encode(self, texts: list[str | None]) -> Iterator[list[int] | None]:
+    def _forget(self) -> None:
+        self.known = Words()
+        self.ids, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64)  # of all known words, by number
+
+    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray | None]:
         """Ids of each text in order; a batch is closed when it has ``BATCH_CHARS`` characters."""
         batch: list[str | None] = []
         size = 0
@@ -164,39 +181,52 @@ class Codec:
                 batch, size = [], 0
         yield from self._encode(batch)
 
-    def _encode(self, batch: list[str | None]) -> Iterator[list[int] | None]:
+    def _encode(self, batch: list[str | None]) -> Iterator[np.ndarray | None]:
         if self.words is None:
             found = iter(self.tokenizer.encode_batch_fast([t for t in batch if t], add_special_tokens=False))
             for text in batch:
-                yield None if text is None else next(found).ids if text else []
+                yield None if text is None else np.array(next(found).ids if text else [], dtype=np.int32)
             return
-        split = [None if t is None else _WORDS.findall(self._normal(t)) if t else [] for t in batch]
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        new = list({w for words in split if words for w in words if w not in self.known})
-        parts = [new[i:i + WORDS_AT_ONCE] for i in range(0, len(new), WORDS_AT_ONCE)]
-        for part, e in zip(parts, self.words.encode_batch(parts, is_pretokenized=True, add_special_tokens=False)):
-            ids, of = e.ids, np.array(e.word_ids, dtype=np.int64)
-            ends = np.searchsorted(of, np.arange(len(part)), side="right").tolist()
-            for w, start, end in zip(part, [0, *ends], ends):
-                self.known[w] = ids[start:end]
-        for words in split:
-            yield None if words is None else list(chain.from_iterable(map(self.known.__getitem__, words)))
+        if len(self.known) > CACHE_WORDS or len(self.ids) > CACHED_IDS:
+            self._forget()
+        numbers = [None if t is None else self._numbers(t) for t in batch]
+        new, self.known.new = self.known.new, []
+        self._learn(new)
+        starts = np.cumsum(self.lengths) - self.lengths
+        for words in numbers:
+            if words is None or not len(words):
+                yield None if words is None else np.zeros(0, np.int32)
+                continue
+            lengths = self.lengths[words]
+            ends = np.cumsum(lengths)
+            yield self.ids[np.arange(ends[-1]) + np.repeat(starts[words] - ends + lengths, lengths)]
         for w in new:
             if len(w) > CACHED_CHARS:
                 del self.known[w]
 
+    def _numbers(self, text: str) -> np.ndarray:
+        words = _WORDS.findall(self._normal(text)) if text else []
+        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+
+    def _learn(self, new: list[str]) -> None:
+        parts = [new[i:i + WORDS_AT_ONCE] for i in range(0, len(new), WORDS_AT_ONCE)]
+        ids, lengths = [self.ids], [self.lengths]
+        for part, e in zip(parts, self.words.encode_batch(parts, is_pretokenized=True, add_special_tokens=False)):
+            ids.append(np.array(e.ids, dtype=np.int32))
+            lengths.append(np.bincount(np.array(e.word_ids, dtype=np.int64), minlength=len(part)))
+        self.ids, self.lengths = np.concatenate(ids), np.concatenate(lengths)
+
     def _normal(self, text: str) -> str:
         if not self.plain:
             return self.tokenizer.normalizer.normalize_str(text)
         return (SPACE if self.model.dummy_prefix else "") + text.replace(" ", SPACE)
 
-    def decode(self, ids: list[list[int] | None]) -> list[str | None]:
+    def decode(self, ids: list[Sequence[int] | None]) -> list[str | None]:
         """The texts of lists of ids: the bytes of the pieces, which is what the pipeline's decoder gives, in less time."""
         skip = 1 if self.model.dummy_prefix else 0
         out = []
         for one in ids:
-            text = None if one is None else b"".join(map(self.piece_bytes.__getitem__, one)).decode("utf-8", "replace")
+            text = None if one is None else b"".join(map(self.piece_bytes.__getitem__, one.tolist() if isinstance(one, np.ndarray) else one)).decode("utf-8", "replace")
             out.append(text[skip:] if text and text[:skip] == " " else text)
         return out
 
@@ -209,6 +239,12 @@ class Codec:
         return self._reference.encode(texts, num_threads=1)
 
 
+@lru_cache(1)
+def codec(data: bytes, threads: int) -> Codec:
+    """The codec of a model, kept for the next tasks of the same worker."""
+    return Codec(data, threads)
+
+
 def load(spark, path: str = MODEL_PATH) -> bytes:
     """The model file's bytes, from a local path on the driver or any path that Spark can read."""
     if os.path.exists(path):
@@ -228,10 +264,8 @@ def _mapped(docs: DataFrame, new: list[StructField], kinds: list[pa.DataType], m
     positions = [docs.columns.index(f.name) for f in kept]
 
     def run(batches):
-        codec = None
         for b in batches:
-            codec = codec or Codec(make.data, make.threads)
-            columns = make(codec, dict(zip(b.schema.names, b.columns)))
+            columns = make(codec(make.data, make.threads), dict(zip(b.schema.names, b.columns)))
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in positions], *arrays], [f.name for f in schema.fields])
 
@@ -283,10 +317,10 @@ def verify(docs: DataFrame, model_path: str = MODEL_PATH, text: str = "text") ->
             for i, (t, mine, decoded) in enumerate(zip(part, ids, back), start):
                 if t is None:
                     continue
-                numbers = np.array(mine, dtype="<i4")
+                numbers = mine.astype("<i4", copy=False)
                 lowest, highest = min(codec.bytes_from, default=0), max(codec.bytes_from, default=-1)
                 values = (len(mine), int(((numbers >= lowest) & (numbers <= highest)).sum()),
-                          hashlib.sha256(numbers.tobytes()).hexdigest(), decoded == t, next(reference) == mine)
+                          hashlib.sha256(numbers.tobytes()).hexdigest(), decoded == t, next(reference) == mine.tolist())
                 for column, v in zip(out, values):
                     column[i] = v
             start = stop
