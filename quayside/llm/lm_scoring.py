@@ -7,13 +7,14 @@ scored (leave one out, so that copies of its own words don't vouch for a text):
     S(b | a) = 0.4 * max(c(b), FLOOR) / N       otherwise.
 
 Steps: (1) word counts, a table partitioned by hash; (2) the exploded pairs of every document meet the pair counts,
-partitioned by the hash of the first word, are scored where seen, and the rest go on; (3) the rest meets the word
-counts, partitioned by the hash of the second word; (4) partial sums are added up by document. Words are 64-bit
-hashes. Pairs travel in blocks of columns, one for each batch of texts and hash bucket.
+partitioned by the hash of the first word, and are scored where seen or where the second word is frequent; (3) the rest
+meets the word counts, partitioned by the hash of the second word; (4) partial sums are added up by document. Words are
+64-bit hashes. Rows travel in blocks of columns, one for each batch of texts and hash bucket; a document has at most one
+partial sum for each bucket and for each of its pairs.
 
 Words with at least ``1 / FREQUENT_SHARE`` of all tokens, so at most ``FREQUENT_SHARE`` words, are broadcast with
-their counts; their pairs are dealt out by the hash of the whole pair, so that no bucket gathers a frequent word.
-What is shuffled grows with the input; nothing else reaches the driver.
+their counts and stand as small numbers instead of hashes; their pairs are dealt out by the hash of the whole pair, so
+that no bucket gathers a frequent word. What is shuffled grows with the input; nothing else reaches the driver.
 
 Defined results: null, empty and blank texts have no words and only the pair of both marks; rows that share a key are scored
 one by one and summed, null keys are left out; repeated texts under other keys do vouch for each other; a single document backs
@@ -22,6 +23,9 @@ off everywhere. An empty table gives an empty result. Only key and text are read
 
 from __future__ import annotations
 
+import struct
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -34,18 +38,36 @@ BACKOFF = 0.4
 FLOOR = 0.5
 FREQUENT_SHARE = 5000
 BEGIN, END = np.uint64(1), np.uint64(2)
+#: The number of the first frequent word, and the least hash of a word; numbers stay below it.
+FIRST, LEAST_HASH = 3, 1 << 32
 CACHE_WORDS = 150_000
 #: Characters of text whose pairs a worker holds at once.
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 22
+#: Rows of the word table that are dealt out at once.
+WORDS_AT_ONCE = 1 << 20
 #: Bytes of a pair in memory, and of the pairs that a bucket should hold; the count of words is measured first.
 PAIR_BYTES, BUCKET_BYTES = 36, 24 << 20
 
+#: Buckets of pairs for each bucket of documents, in which partial sums are added up as they come.
+BUCKETS_PER_SUM = 8
+
 _BLOCK = "bucket int, kind int, block binary"
+#: Kinds of block and their columns.
+PAIR, REST, WORD, PART = range(4)
+_LAYOUT = {
+    PAIR: (("key", "<i8"), ("a", "<u8"), ("b", "<u8"), ("n", "<i4"), ("na", "<i4"), ("nb", "<i4")),
+    REST: (("key", "<i8"), ("b", "<u8"), ("n", "<i4"), ("nb", "<i4")),
+    WORD: (("h", "<u8"), ("c", "<i8")),
+    PART: (("key", "<i8"), ("score", "<f8"), ("seen", "<i8")),
+}
 
 
 class Hasher:
-    def __init__(self):
+    """Texts to the hashes of their words; words in ``numbers`` get these instead."""
+
+    def __init__(self, numbers: dict[int, int] | None = None):
         self.known: dict[str, int] = {}
+        self.numbers = numbers or {}
 
     def __call__(self, text: str | None) -> np.ndarray:
         if len(self.known) > CACHE_WORDS:
@@ -54,7 +76,8 @@ class Hasher:
         for w in common.WORD.findall(text.lower()) if text else []:
             h = known.get(w)
             if h is None:
-                h = known[w] = max(xxhash.xxh3_64_intdigest(w), 3)  # 1 and 2 are the marks
+                h = max(xxhash.xxh3_64_intdigest(w), LEAST_HASH)
+                h = known[w] = self.numbers.get(h, h)
             out.append(h)
         return np.array(out, dtype=np.uint64)
 
@@ -65,18 +88,26 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def _pack(columns: dict[str, np.ndarray]) -> bytes:
-    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns.values()], list(columns))
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-        w.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+def _pack(kind: int, columns: dict[str, np.ndarray]) -> bytes:
+    """The columns with the first bytes of all values first, then the second bytes and so on, which compresses better."""
+    parts = []
+    for name, dtype in _LAYOUT[kind]:
+        values = np.ascontiguousarray(columns[name], dtype=dtype)
+        parts.append(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes())
+    return struct.pack("<I", len(values)) + pa.Codec("zstd").compress(b"".join(parts), asbytes=True)
 
 
-def _unpack(blocks: list[bytes]) -> dict[str, np.ndarray]:
-    found = [pa.ipc.open_stream(b).read_all() for b in blocks]
-    table = pa.concat_tables(found)
-    return {n: table.column(n).to_numpy() for n in table.column_names}
+def _unpack(kind: int, blocks: list[bytes]) -> dict[str, np.ndarray]:
+    found = {name: [np.zeros(0, dtype)] for name, dtype in _LAYOUT[kind]}
+    for block in blocks:
+        rows, at = struct.unpack_from("<I", block)[0], 0
+        raw = pa.Codec("zstd").decompress(memoryview(block)[4:], rows * sum(np.dtype(d).itemsize for _, d in _LAYOUT[kind]))
+        for name, dtype in _LAYOUT[kind]:
+            size = np.dtype(dtype).itemsize
+            raw_column = np.frombuffer(raw, np.uint8, rows * size, at).reshape(size, rows)
+            found[name].append(np.ascontiguousarray(raw_column.T).view(dtype).reshape(rows))
+            at += rows * size
+    return {name: np.concatenate(v) for name, v in found.items()}
 
 
 def _dealt(bucket: np.ndarray, buckets: int, kind: int, columns: dict[str, np.ndarray]):
@@ -86,7 +117,7 @@ def _dealt(bucket: np.ndarray, buckets: int, kind: int, columns: dict[str, np.nd
     for i, (start, end) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist())):
         if end > start:
             at = order[start:end]
-            yield i, kind, _pack({n: c[at] for n, c in columns.items()})
+            yield i, kind, _pack(kind, {n: c[at] for n, c in columns.items()})
 
 
 def _rows(found):
@@ -162,11 +193,10 @@ def _grouped(columns: list[np.ndarray], n: np.ndarray) -> np.ndarray:
     return out
 
 
-def _partial(key: np.ndarray, score: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
+def _summed(key: np.ndarray, score: np.ndarray, seen: np.ndarray) -> dict[str, np.ndarray]:
     docs, at = np.unique(key, return_inverse=True)
-    return pa.RecordBatch.from_arrays([pa.array(docs), pa.array(np.bincount(at, weights=score, minlength=len(docs))),
-                                       pa.array(np.bincount(at, weights=seen, minlength=len(docs)).astype(np.int64))],
-                                      ["key", "score", "seen"])
+    return {"key": docs, "score": np.bincount(at, weights=score, minlength=len(docs)),
+            "seen": np.bincount(at, weights=seen, minlength=len(docs)).astype(np.int64)}
 
 
 def scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -179,72 +209,92 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     n = words.where("h <> 1").agg(F.sum("c")).first()[0] or 0
     buckets = int(max(spark.sparkContext.defaultParallelism, n * PAIR_BYTES // BUCKET_BYTES + 1))
     often = words.where(F.col("c") * FREQUENT_SHARE >= n).collect()  # 2 x FREQUENT_SHARE rows at most
-    often = sorted((np.int64(r["h"]).view(np.uint64), r["c"]) for r in often)
-    shared = spark.sparkContext.broadcast((np.array([o[0] for o in often], np.uint64), np.array([o[1] for o in often], np.int64)))
+    often = {np.int64(r["h"]).view(np.uint64).item(): r["c"] for r in sorted(often, key=lambda r: (-r["c"], r["h"]))}
+    numbers = {h: i for i, h in enumerate((h for h in often if h >= LEAST_HASH), FIRST)}
+    frequent = np.zeros(FIRST + len(numbers), dtype=np.int64)  # counts by number; 0: not frequent
+    for h, c in often.items():
+        frequent[numbers.get(h, h)] = c
+    shared, sums = spark.sparkContext.broadcast((numbers, frequent)), max(1, buckets // BUCKETS_PER_SUM)
+
+    def known(h):
+        """Counts of frequent words; 0 for others."""
+        counts = shared.value[1]
+        return np.where(h < np.uint64(len(counts)), counts[np.minimum(h, np.uint64(len(counts) - 1)).astype(np.int64)], 0)
+
+    def parts(key, score, seen):
+        summed = _summed(key, score, seen)
+        to = _mix(summed["key"].view(np.uint64), np.zeros(1, np.uint64)) % np.uint64(sums)
+        return _dealt(to.astype(np.int32), sums, PART, summed)
 
     def pairs(batches):
-        hasher, frequent = Hasher(), shared.value[0]
+        hasher = Hasher(shared.value[0])
         for keys, texts in _slices(batches):
             p = _pairs(texts, keys, hasher)
             order = np.lexsort((p["b"], p["a"]))
             p = {k: v[order] for k, v in p.items()}
-            hot = _lookup(p["a"], frequent, shared.value[1]) > 0
-            bucket = np.where(hot, _mix(p["a"], p["b"]), p["a"]) % np.uint64(buckets)
-            yield _rows(_dealt(bucket.astype(np.int32), buckets, 0, p))
+            bucket = np.where(known(p["a"]) > 0, _mix(p["a"], p["b"]), p["a"]) % np.uint64(buckets)
+            yield _rows(_dealt(bucket.astype(np.int32), buckets, PAIR, p))
 
     def score_pairs(batches):
         blocks = [x for b in batches for x in b.column(2).to_pylist()]
         if not blocks:
             return
-        p = _unpack(blocks)
+        p = _unpack(PAIR, blocks)
         del blocks
         total = _grouped([p["a"], p["b"]], p["n"])
-        context = _lookup(p["a"], *shared.value)
+        context, count = known(p["a"]), known(p["b"])
         mine = context == 0
         if mine.any():
             context[mine] = _grouped([p["a"][mine]], p["n"][mine])
         others, around = total - p["n"], context - p["na"]
         seen = others > 0
-        value = p["n"][seen] * (np.log(others[seen]) - np.log(np.maximum(around[seen], others[seen])))
-        part = _partial(p["key"][seen], value, p["n"][seen])
-        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([0], pa.int32()), pa.array([_pack(
-            {n: part.column(n).to_numpy() for n in part.schema.names})], pa.binary())], ["bucket", "kind", "block"])
-        rest = {k: p[k][~seen] for k in ("key", "b", "n", "nb")}
-        yield _rows(_dealt((rest["b"] % np.uint64(buckets)).astype(np.int32), buckets, 1, rest))
+        now = seen | (count > 0)
+        value = np.where(seen, np.log(np.maximum(others, 1)) - np.log(np.maximum(around, np.maximum(others, 1))),
+                         np.log(BACKOFF) + np.log(np.maximum(count - p["nb"], FLOOR)) - np.log(max(n, 1)))
+        yield _rows(parts(p["key"][now], (p["n"] * value)[now], np.where(seen, p["n"], 0)[now]))
+        rest = {k: p[k][~now] for k in ("key", "b", "n", "nb")}
+        yield _rows(_dealt((rest["b"] % np.uint64(buckets)).astype(np.int32), buckets, REST, rest))
+
+    often_hashes = np.array(list(often), dtype=np.uint64)
 
     def word_blocks(batches):
-        for b in batches:
-            h, c = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()
-            yield _rows(_dealt((h % np.uint64(buckets)).astype(np.int32), buckets, 2, {"h": h, "c": c}))
+        held, size = [], 0
+        for b in chain(batches, [None]):
+            if b is not None:
+                held.append((b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()))
+                size += b.num_rows
+            if held and (b is None or size >= WORDS_AT_ONCE):
+                h, c = (np.concatenate(x) for x in zip(*held))
+                rare = ~np.isin(h, often_hashes)  # frequent words are known to all
+                yield _rows(_dealt((h[rare] % np.uint64(buckets)).astype(np.int32), buckets, WORD, {"h": h[rare], "c": c[rare]}))
+                held, size = [], 0
 
     def score_rest(batches):
-        blocks: dict[int, list[bytes]] = {1: [], 2: []}
+        blocks: dict[int, list[bytes]] = {REST: [], WORD: []}
         for b in batches:
             for kind, block in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 blocks[kind].append(block)
-        if not blocks[1]:
+        if not blocks[REST]:
             return
-        w = _unpack(blocks[2])
+        w, p = _unpack(WORD, blocks[WORD]), _unpack(REST, blocks[REST])
+        del blocks
         order = np.argsort(w["h"])
-        table, counts = w["h"][order], w["c"][order]
-        for block in blocks[1]:  # one at a time: only the word counts of the bucket are held whole
-            p = _unpack([block])
-            count = _lookup(p["b"], table, counts) - p["nb"]
-            value = p["n"] * (np.log(BACKOFF) + np.log(np.maximum(count, FLOOR)) - np.log(max(n, 1)))
-            yield _partial(p["key"], value, np.zeros(len(value), dtype=np.int64))
-
-    part = "key bigint, score double, seen bigint"
+        count = _lookup(p["b"], w["h"][order], w["c"][order]) - p["nb"]
+        value = p["n"] * (np.log(BACKOFF) + np.log(np.maximum(count, FLOOR)) - np.log(max(n, 1)))
+        yield _rows(parts(p["key"], value, np.zeros(len(value), dtype=np.int64)))
 
-    def unpacked(batches):
+    def add_up(batches):
+        so_far = _unpack(PART, [])
         for b in batches:
-            for block in b.column(2).to_pylist():
-                yield from pa.ipc.open_stream(block).read_all().to_batches()
+            more = _unpack(PART, b.column(2).to_pylist())
+            so_far = _summed(*(np.concatenate([so_far[c], more[c]]) for c in ("key", "score", "seen")))
+        yield pa.RecordBatch.from_arrays([pa.array(so_far[c]) for c in ("key", "score", "seen")], ["key", "score", "n_seen"])
 
     scored = rows.mapInArrow(pairs, _BLOCK).repartition(buckets, "bucket").mapInArrow(score_pairs, _BLOCK)
     scored = common.stored(scored, "lm-pairs")
-    rest = scored.where("kind = 1").union(words.mapInArrow(word_blocks, _BLOCK)).repartition(buckets, "bucket")
-    parts = scored.where("bucket = -1").mapInArrow(unpacked, part).union(rest.mapInArrow(score_rest, part))
-    total = parts.groupBy("key").agg(F.sum("score").alias("score"), F.sum("seen").alias("n_seen"))
+    rest = scored.where(F.col("kind") == REST).union(words.mapInArrow(word_blocks, _BLOCK)).repartition(buckets, "bucket")
+    summed = scored.where(F.col("kind") == PART).union(rest.mapInArrow(score_rest, _BLOCK)).repartition(sums, "bucket")
+    total = summed.mapInArrow(add_up, "key bigint, score double, n_seen bigint")
     sizes = rows.select("key", F.size(common.words(F.col("text"))).cast("long").alias("n_words")).groupBy("key").agg(
         F.sum("n_words").alias("n_words"), F.count("*").alias("texts"))
     done = total.join(sizes, "key")
