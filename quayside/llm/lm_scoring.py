@@ -58,8 +58,11 @@ _LAYOUT = {
     PAIR: (("key", "<i8"), ("a", "<u8"), ("b", "<u8"), ("n", "<i4"), ("na", "<i4"), ("nb", "<i4")),
     REST: (("key", "<i8"), ("b", "<u8"), ("n", "<i4"), ("nb", "<i4")),
     WORD: (("h", "<u8"), ("c", "<i8")),
-    PART: (("key", "<i8"), ("score", "<f8"), ("seen", "<i8")),
+    PART: (("key", "<i8"), ("score", "<i8"), ("seen", "<i8")),
 }
+ZSTD_LEVEL = 5
+#: Partial sums of scores are whole numbers of 1 / SCORE_UNITS, so that their sum does not depend on the order.
+SCORE_UNITS = 1 << 30
 
 
 class Hasher:
@@ -94,7 +97,7 @@ def _pack(kind: int, columns: dict[str, np.ndarray]) -> bytes:
     for name, dtype in _LAYOUT[kind]:
         values = np.ascontiguousarray(columns[name], dtype=dtype)
         parts.append(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes())
-    return struct.pack("<I", len(values)) + pa.Codec("zstd").compress(b"".join(parts), asbytes=True)
+    return struct.pack("<I", len(values)) + pa.Codec("zstd", ZSTD_LEVEL).compress(b"".join(parts), asbytes=True)
 
 
 def _unpack(kind: int, blocks: list[bytes]) -> dict[str, np.ndarray]:
@@ -194,9 +197,12 @@ def _grouped(columns: list[np.ndarray], n: np.ndarray) -> np.ndarray:
 
 
 def _summed(key: np.ndarray, score: np.ndarray, seen: np.ndarray) -> dict[str, np.ndarray]:
-    docs, at = np.unique(key, return_inverse=True)
-    return {"key": docs, "score": np.bincount(at, weights=score, minlength=len(docs)),
-            "seen": np.bincount(at, weights=seen, minlength=len(docs)).astype(np.int64)}
+    """Sums of whole numbers by key."""
+    order = np.argsort(key, kind="stable")
+    docs, starts = np.unique(key[order], return_index=True)
+    if not len(docs):
+        return {"key": docs, "score": score, "seen": seen}
+    return {"key": docs, "score": np.add.reduceat(score[order], starts), "seen": np.add.reduceat(seen[order], starts)}
 
 
 def scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -222,7 +228,8 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         return np.where(h < np.uint64(len(counts)), counts[np.minimum(h, np.uint64(len(counts) - 1)).astype(np.int64)], 0)
 
     def parts(key, score, seen):
-        summed = _summed(key, score, seen)
+        units = np.rint(score * SCORE_UNITS).astype(np.int64)
+        summed = _summed(key, units, seen.astype(np.int64))
         to = _mix(summed["key"].view(np.uint64), np.zeros(1, np.uint64)) % np.uint64(sums)
         return _dealt(to.astype(np.int32), sums, PART, summed)
 
@@ -294,9 +301,9 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     scored = common.stored(scored, "lm-pairs")
     rest = scored.where(F.col("kind") == REST).union(words.mapInArrow(word_blocks, _BLOCK)).repartition(buckets, "bucket")
     summed = scored.where(F.col("kind") == PART).union(rest.mapInArrow(score_rest, _BLOCK)).repartition(sums, "bucket")
-    total = summed.mapInArrow(add_up, "key bigint, score double, n_seen bigint")
+    total = summed.mapInArrow(add_up, "key bigint, score bigint, n_seen bigint")
     sizes = rows.select("key", F.size(common.words(F.col("text"))).cast("long").alias("n_words")).groupBy("key").agg(
         F.sum("n_words").alias("n_words"), F.count("*").alias("texts"))
-    done = total.join(sizes, "key")
-    return done.select(F.col("key").alias(key), "n_words", "n_seen", F.round("score", 6).alias("score"),
-                       F.round(F.col("score") / (F.col("n_words") + F.col("texts")), 6).alias("mean_score"))
+    done, score = total.join(sizes, "key"), F.col("score") / SCORE_UNITS
+    return done.select(F.col("key").alias(key), "n_words", "n_seen", F.round(score, 6).alias("score"),
+                       F.round(score / (F.col("n_words") + F.col("texts")), 6).alias("mean_score"))
