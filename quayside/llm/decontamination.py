@@ -6,9 +6,13 @@ joined by hash. For each document and item that share windows, slots must be con
 corresponds to one value of the document, so a question with new numbers or names is caught, but not a text that fills the
 same template at random. A document is contaminated by an item if consistent windows cover enough of the item.
 
+Occurrences of an item are judged apart, so one that is consistent contaminates the document whatever else it holds:
+windows of one text that stand equally far from their place in the item; runs of these whose distances differ by
+at most ``MAX_SHIFT`` tokens, as after a word that was put in; and all windows of the key together.
+
 Defined results: null and empty texts have no windows and are clean; an item shorter than a window counts as one
 window of all its tokens and is only found as a whole, where it has ``MIN_LITERALS`` literal tokens; repeated rows get
-one result each, rows that share a key are judged together, and null keys are one key; ties between items go to
+one result each, rows that share a key are judged apart and together, and null keys are one key; ties between items go to
 the smallest; an empty benchmark finds nothing, an empty table gives an empty result. ``filter_clean`` keeps all
 columns; only key and text are read.
 
@@ -18,7 +22,7 @@ documents otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.llm import common
@@ -28,6 +32,8 @@ WINDOW = 8
 MIN_LITERALS = 5
 #: Share of an item's windows that must be found in a document.
 MIN_SHARE = 0.25
+#: Tokens by which the windows of one occurrence may be shifted against each other.
+MAX_SHIFT = 8
 MAX_BROADCAST = 1_000_000
 
 #: Units that a number can be followed by.
@@ -50,19 +56,21 @@ def _tokens(marked: Column) -> Column:
 
 
 def windows(docs: DataFrame, key: str, text: str, size: int = WINDOW) -> DataFrame:
-    """(key, pos, h, slots): every window with enough literal tokens, its hash and its slot values in order.
+    """(key, row, pos, h, slots): every window with enough literal tokens, its hash and its slot values in order;
+    ``row`` is the hash of the text.
 
     Most texts have no number and no name; their tokens are all literal, and are only hashed.
     """
     at = lambda name, i: F.get(F.col(name), i)
-    marked = docs.select(F.col(key).alias("key"), _marked(F.coalesce(F.col(text), F.lit(""))).alias("m"))
-    split = marked.select("key", F.rlike("m", F.lit(f"[0-9{_NAME}]")).alias("slotted"), _tokens(F.col("m")).alias("t"))
+    body = F.coalesce(F.col(text), F.lit(""))
+    marked = docs.select(F.col(key).alias("key"), F.xxhash64(body).alias("row"), _marked(body).alias("m"))
+    split = marked.select("key", "row", F.rlike("m", F.lit(f"[0-9{_NAME}]")).alias("slotted"), _tokens(F.col("m")).alias("t"))
     digit = lambda w: F.coalesce(F.substring(w, 1, 1).between("0", "9"), F.lit(False))
     kind = lambda w, i: (F.when(F.substring(w, 1, 1) == _NAME, 1).when(digit(w), 2)
                          .when(digit(at("t", i - 1)) & w.isin(UNITS), 3).otherwise(0))
-    kinds = split.select("key", "t", "slotted", F.when(F.col("slotted"), F.transform("t", kind)).alias("k"))
+    kinds = split.select("key", "row", "t", "slotted", F.when(F.col("slotted"), F.transform("t", kind)).alias("k"))
     hashed = kinds.select(
-        "key", "slotted", F.size("t").alias("n"), "k",
+        "key", "row", "slotted", F.size("t").alias("n"), "k",
         F.when(F.col("slotted"), F.zip_with("t", "k", lambda w, k: F.when(k == 0, F.xxhash64(w)).otherwise(k.cast("long"))))
         .otherwise(F.transform("t", lambda w: F.xxhash64(w))).alias("h"),
         F.when(F.col("slotted"), F.zip_with("t", "k", lambda w, k: F.when(k > 0, w))).alias("s"))
@@ -75,13 +83,14 @@ def windows(docs: DataFrame, key: str, text: str, size: int = WINDOW) -> DataFra
         F.when(literals(i) >= MIN_LITERALS, whole(i)).alias("h"), F.array_join(part("s", i), _SLOT).alias("slots")))
     without = F.transform(starts, lambda i: F.struct(whole(i).alias("h"), F.lit("").alias("slots")))
     made = hashed.where(F.col("n") >= MIN_LITERALS).select(
-        "key", F.posexplode(F.when(F.col("slotted"), with_slots).otherwise(without)).alias("pos", "w"))
-    return made.select("key", "pos", "w.h", "w.slots").where("h is not null")
+        "key", "row", F.posexplode(F.when(F.col("slotted"), with_slots).otherwise(without)).alias("pos", "w"))
+    return made.select("key", "row", "pos", "w.h", "w.slots").where("h is not null")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
             item_text: str = "text", min_share: float = MIN_SHARE) -> DataFrame:
-    """(key, item, n_windows, n_found, consistent, exact): every document and item that share enough windows."""
+    """(key, item, n_windows, n_found, consistent, exact): every document and item that share enough windows, from the
+    occurrence that is consistent and has most of them."""
     items = windows(benchmark, item, item_text).select(
         F.col("key").alias("item"), F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots"))
     items = common.stored(items, "benchmark-windows")
@@ -91,18 +100,32 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
     # each window's slots side by side: (value in the item, value in the document)
     pairs = F.when(F.col("slots") == "", F.array().cast("array<struct<i:string,d:string>>")).otherwise(F.zip_with(
         F.split("item_slots", _SLOT), F.split("slots", _SLOT), lambda i, d: F.struct(i.alias("i"), d.alias("d"))))
-    seen = found.groupBy("key", "item", "item_pos").agg(F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
-    judged = seen.groupBy("key", "item").agg(F.count("*").alias("n_found"),
-                                             F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    judged = judged.join(F.broadcast(sizes) if small else sizes, judged["item"].eqNullSafe(sizes["item"])).drop(sizes["item"])
+    places = found.groupBy("key", "row", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
+        F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
+    seen = _occurrences(places).agg(F.size(F.array_distinct(F.flatten(F.collect_set("at")))).alias("n_found"),
+                                    F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    judged = seen.join(F.broadcast(sizes) if small else sizes, seen["item"].eqNullSafe(sizes["item"])).drop(sizes["item"])
     same = F.forall("pairs", lambda p: p["i"] == p["d"])
     one_each = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"])))
     # the original may stand beside a variant: its slots, equal in the item and the document, don't count against it
     others = F.filter("pairs", lambda p: p["i"] != p["d"])
     rest = F.size(others) == F.size(F.array_distinct(F.transform(others, lambda p: p["i"])))
-    return judged.where(F.col("n_found") >= F.ceil(F.col("n_windows") * min_share)).select(
-        F.col("key").alias(key), F.col("item").alias(item), "n_windows", "n_found",
-        (one_each | rest).alias("consistent"), same.alias("exact"))
+    enough = judged.where(F.col("n_found") >= F.ceil(F.col("n_windows") * min_share)).select(
+        "key", "item", F.struct((one_each | rest).alias("consistent"), "n_found", same.alias("exact"), "n_windows").alias("o"))
+    return enough.groupBy("key", "item").agg(F.max("o").alias("o")).select(
+        F.col("key").alias(key), F.col("item").alias(item), "o.n_windows", "o.n_found", "o.consistent", "o.exact")
+
+
+def _occurrences(places: DataFrame):
+    """Places (key, row, item, shift) grouped by key, item and each occurrence that they may belong to."""
+    along = Window.partitionBy("key", "row", "item").orderBy("shift")
+    apart = F.coalesce(F.col("shift") - F.lag("shift").over(along) > MAX_SHIFT, F.lit(False))
+    runs = places.withColumn("apart", apart.cast("int")).withColumn("run", F.sum("apart").over(along))
+    number = lambda kind, row, at: F.struct(
+        F.lit(kind).alias("kind"), row.cast("long").alias("row"), at.cast("long").alias("at"))
+    levels = F.array(number("place", F.col("row"), F.col("shift")), number("run", F.col("row"), F.col("run")),
+                     number("key", F.lit(0), F.lit(0)))
+    return runs.select("key", "item", "at", "pairs", F.explode(levels).alias("occurrence")).groupBy("key", "item", "occurrence")
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -307,3 +307,18 @@ def test_decontamination_by_template(spark):
     assert set(got) == {0, 1} and got[0].exact and not got[1].exact
     left = decontamination.filter_clean(make(spark, texts), benchmark)
     assert sorted(r.doc_id for r in left.collect()) == [2, 3, 4, 5, 6] and left.columns == make(spark, []).columns
+
+
+def test_decontamination_judges_occurrences_apart(spark):
+    benchmark = spark.createDataFrame([(1, ITEM.format(12, 300, "Welsh"))], "item_id int, text string")
+    original, one, two = (ITEM.format(n, 300, "Welsh") for n in (12, 15, 18))
+    longer = original.replace("old station", "old and quiet station")
+    texts = [f"{original}. {one}. {two}", f"{one}. {two}", f"{one}. {longer}. {two}", f"{two} {one} {original}", "nothing of it here"]
+    docs = make(spark, texts)
+    rows = docs.union(spark.createDataFrame([(9, t, "en", "s", None, "k", "x", 1, "h") for t in (one, two)], SCHEMA))
+    got = {r.doc_id: r for r in decontamination.judge(rows, benchmark).collect()}
+    assert set(got) == {0, 1, 2, 3, 9} and got[0].exact and not got[1].exact and got[0].n_found == got[0].n_windows
+    twice, clash = ITEM.format(12, 12, "Welsh"), ITEM.format(40, 41, "Roman")
+    benchmark = spark.createDataFrame([(1, twice)], "item_id int, text string")
+    got = decontamination.judge(make(spark, [clash, twice]), benchmark).collect()
+    assert [r.doc_id for r in got] == [1]  # one value of the item for two of the document, in the same place
