@@ -10,8 +10,13 @@ Occurrences of an item are judged apart, so one that is consistent contaminates
 windows of one text that stand equally far from their place in the item; runs of these whose distances differ by
 at most ``MAX_SHIFT`` tokens, as after a word that was put in; and all windows of the key together.
 
+Every window also has a literal hash, in which numbers, names and units stand for themselves: so windows with fewer
+than ``MIN_LITERALS`` literal tokens, which placeholders alone could match, are found where they stand word for word.
+Template and literal windows are counted apart, each against its own number in the item. An item is also found by
+``MIN_RUN`` windows in a row, however long it is.
+
 Defined results: null and empty texts have no windows and are clean; an item shorter than a window counts as one
-window of all its tokens and is only found as a whole, where it has ``MIN_LITERALS`` literal tokens; repeated rows get
+window of all its tokens and is only found as a whole, in documents of any length; repeated rows get
 one result each, rows that share a key are judged apart and together, and null keys are one key; ties between items go to
 the smallest; an empty benchmark finds nothing, an empty table gives an empty result. ``filter_clean`` keeps all
 columns; only key and text are read.
@@ -28,10 +33,12 @@ from pyspark.sql import functions as F
 from quayside.llm import common
 
 WINDOW = 8
-#: Literal tokens that a window needs, so that placeholders alone never match.
+#: Literal tokens that a template window needs, so that placeholders alone never match.
 MIN_LITERALS = 5
 #: Share of an item's windows that must be found in a document.
 MIN_SHARE = 0.25
+#: Windows in a row that are enough whatever their share: 25 tokens.
+MIN_RUN = 18
 #: Tokens by which the windows of one occurrence may be shifted against each other.
 MAX_SHIFT = 8
 MAX_BROADCAST = 1_000_000
@@ -55,9 +62,11 @@ def _tokens(marked: Column) -> Column:
     return F.array_remove(F.split(F.lower(apart), rf"[^\p{{L}}\p{{M}}\p{{N}}{_NAME}]+"), "")
 
 
-def windows(docs: DataFrame, key: str, text: str, size: int = WINDOW) -> DataFrame:
-    """(key, row, pos, h, slots): every window with enough literal tokens, its hash and its slot values in order;
-    ``row`` is the hash of the text.
+def windows(docs: DataFrame, key: str, text: str, sizes: list[int] | None = None) -> DataFrame:
+    """(key, row, pos, h, slots): every window of ``sizes`` tokens with its literal hash and no slots, and every one with
+    slots and enough literal tokens with its template hash and its slot values in order; ``row`` is the hash of the text.
+    Without ``sizes``, windows have ``WINDOW`` tokens or else all of a shorter text, and come with both (a literal window
+    that is a template without slots) and size.
 
     Most texts have no number and no name; their tokens are all literal, and are only hashed.
     """
@@ -69,63 +78,94 @@ def windows(docs: DataFrame, key: str, text: str, size: int = WINDOW) -> DataFra
     kind = lambda w, i: (F.when(F.substring(w, 1, 1) == _NAME, 1).when(digit(w), 2)
                          .when(digit(at("t", i - 1)) & w.isin(UNITS), 3).otherwise(0))
     kinds = split.select("key", "row", "t", "slotted", F.when(F.col("slotted"), F.transform("t", kind)).alias("k"))
-    hashed = kinds.select(
-        "key", "row", "slotted", F.size("t").alias("n"), "k",
-        F.when(F.col("slotted"), F.zip_with("t", "k", lambda w, k: F.when(k == 0, F.xxhash64(w)).otherwise(k.cast("long"))))
-        .otherwise(F.transform("t", lambda w: F.xxhash64(w))).alias("h"),
+    bare = lambda w: F.when(F.substring(w, 1, 1) == _NAME, F.substring(w, 2, 1 << 30)).otherwise(w)
+    literal = F.when(F.col("slotted"), F.transform("t", lambda w: F.xxhash64(bare(w)))).otherwise(
+        F.transform("t", lambda w: F.xxhash64(w)))
+    hashed = kinds.select("key", "row", "slotted", "t", "k", F.size("t").alias("n"), literal.alias("l")).select(
+        "key", "row", "slotted", "n", "k", "l",
+        F.when(F.col("slotted"), F.zip_with("l", "k", lambda h, k: F.when(k == 0, h).otherwise(k.cast("long")))).alias("h"),
         F.when(F.col("slotted"), F.zip_with("t", "k", lambda w, k: F.when(k > 0, w))).alias("s"))
-    span = F.least(F.lit(size), F.col("n"))
-    starts = F.sequence(F.lit(1), F.col("n") - span + 1)
-    part = lambda name, i: F.slice(F.col(name), i, F.lit(size))
-    whole = lambda i: F.xxhash64(part("h", i))
-    literals = lambda i: F.size(F.filter(part("k", i), lambda k: k == 0))
-    with_slots = F.transform(starts, lambda i: F.struct(
-        F.when(literals(i) >= MIN_LITERALS, whole(i)).alias("h"), F.array_join(part("s", i), _SLOT).alias("slots")))
-    without = F.transform(starts, lambda i: F.struct(whole(i).alias("h"), F.lit("").alias("slots")))
-    made = hashed.where(F.col("n") >= MIN_LITERALS).select(
-        "key", "row", F.posexplode(F.when(F.col("slotted"), with_slots).otherwise(without)).alias("pos", "w"))
-    return made.select("key", "row", "pos", "w.h", "w.slots").where("h is not null")
+
+    def made(span: Column) -> Column:
+        part = lambda name, i: F.slice(F.col(name), i, span)
+        literals = lambda i: F.size(F.filter(part("k", i), lambda k: k == 0))
+        starts = F.when(F.col("n") >= span, F.sequence(F.lit(1), F.col("n") - span + 1)).otherwise(F.array().cast("array<int>"))
+        window = lambda i, h, slots, both: F.struct(
+            i.alias("pos"), h.alias("h"), slots.alias("slots"), *([both.alias("both"), span.alias("size")] if sizes is None else []))
+        word_for_word = lambda both: lambda i: window(i, F.xxhash64(part("l", i)), F.lit(""), both(i))
+        plain = F.transform(starts, word_for_word(lambda i: span >= MIN_LITERALS))
+        exact = F.transform(starts, word_for_word(lambda i: (span >= MIN_LITERALS) & (literals(i) == span)))
+        mixed = F.filter(starts, lambda i: (literals(i) >= MIN_LITERALS) & (literals(i) < span))
+        template = F.transform(mixed, lambda i: window(i, F.xxhash64(part("h", i)), F.array_join(part("s", i), _SLOT), F.lit(False)))
+        return F.when(F.col("slotted"), F.concat(exact, template)).otherwise(plain)
+
+    spans = [F.lit(z) for z in sizes] if sizes is not None else [F.least(F.lit(WINDOW), F.col("n"))]
+    if not spans:
+        return hashed.select("key", "row", F.lit(0).alias("pos"), F.lit(0).cast("long").alias("h"), F.lit("").alias("slots")).limit(0)
+    every = made(spans[0]) if len(spans) == 1 else F.concat(*map(made, spans))
+    return hashed.where("n > 0").select("key", "row", F.explode(every).alias("w")).select("key", "row", "w.*")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
-            item_text: str = "text", min_share: float = MIN_SHARE) -> DataFrame:
+            item_text: str = "text", min_share: float = MIN_SHARE, min_run: int = MIN_RUN) -> DataFrame:
     """(key, item, n_windows, n_found, consistent, exact): every document and item that share enough windows, from the
     occurrence that is consistent and has most of them."""
+    kinds = F.when(F.col("slots") != "", F.array(F.lit("template"))).when(F.col("both"), F.array(F.lit("template"), F.lit("literal"))).otherwise(
+        F.array(F.lit("literal")))
     items = windows(benchmark, item, item_text).select(
-        F.col("key").alias("item"), F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots"))
+        F.col("key").alias("item"), F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots"), kinds.alias("kinds"),
+        "size")
     items = common.stored(items, "benchmark-windows")
-    sizes = items.groupBy("item").agg(F.count_distinct("item_pos").alias("n_windows"))
+    sizes = items.select("item", "item_pos", F.explode("kinds").alias("kind")).groupBy("item", "kind").agg(
+        F.count_distinct("item_pos").alias("n_windows")).withColumnRenamed("item", "of").withColumnRenamed("kind", "of_kind")
+    lengths = sorted(r["size"] for r in items.select("size").distinct().collect())  # from 1 to WINDOW
+    items = items.drop("size")
     small = items.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
-    found = windows(docs, key, text).join(F.broadcast(items) if small else items, "h")
+    found = windows(docs, key, text, lengths).join(F.broadcast(items) if small else items, "h")
     # each window's slots side by side: (value in the item, value in the document)
     pairs = F.when(F.col("slots") == "", F.array().cast("array<struct<i:string,d:string>>")).otherwise(F.zip_with(
         F.split("item_slots", _SLOT), F.split("slots", _SLOT), lambda i, d: F.struct(i.alias("i"), d.alias("d"))))
-    places = found.groupBy("key", "row", "item", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
-        F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
-    seen = _occurrences(places).agg(F.size(F.array_distinct(F.flatten(F.collect_set("at")))).alias("n_found"),
-                                    F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    judged = seen.join(F.broadcast(sizes) if small else sizes, seen["item"].eqNullSafe(sizes["item"])).drop(sizes["item"])
+    places = found.withColumn("kind", F.explode("kinds")).groupBy(
+        "key", "row", "item", "kind", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
+        F.sort_array(F.collect_set("item_pos")).alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
+    seen = _occurrences(places.withColumn("in_a_row", _longest_run(F.col("at")))).agg(
+        F.size(F.array_distinct(F.flatten(F.collect_set("at")))).alias("n_found"), F.max("in_a_row").alias("in_a_row"),
+        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    judged = seen.join(F.broadcast(sizes) if small else sizes, F.col("item").eqNullSafe(F.col("of")) & (F.col("kind") == F.col("of_kind")))
     same = F.forall("pairs", lambda p: p["i"] == p["d"])
     one_each = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"])))
     # the original may stand beside a variant: its slots, equal in the item and the document, don't count against it
     others = F.filter("pairs", lambda p: p["i"] != p["d"])
     rest = F.size(others) == F.size(F.array_distinct(F.transform(others, lambda p: p["i"])))
-    enough = judged.where(F.col("n_found") >= F.ceil(F.col("n_windows") * min_share)).select(
-        "key", "item", F.struct((one_each | rest).alias("consistent"), "n_found", same.alias("exact"), "n_windows").alias("o"))
+    enough = judged.where((F.col("n_found") >= F.ceil(F.col("n_windows") * min_share)) | (F.col("in_a_row") >= min_run)).select(
+        "key", "item", F.struct((one_each | rest).alias("consistent"), F.col("n_found") / F.col("n_windows"), same.alias("exact"),
+                                "n_found", "n_windows").alias("o"))
     return enough.groupBy("key", "item").agg(F.max("o").alias("o")).select(
         F.col("key").alias(key), F.col("item").alias(item), "o.n_windows", "o.n_found", "o.consistent", "o.exact")
 
 
+def _longest_run(at: Column) -> Column:
+    """How many of ascending numbers follow each other without a gap, at most."""
+    start = F.struct(F.lit(0).alias("last"), F.lit(0).alias("length"), F.lit(0).alias("most"))
+
+    def step(had, x):
+        length = F.when(x == had["last"] + 1, had["length"] + 1).otherwise(1)
+        return F.struct(x.alias("last"), length.alias("length"), F.greatest(had["most"], length).alias("most"))
+
+    return F.aggregate(at, start, step, lambda had: had["most"])
+
+
 def _occurrences(places: DataFrame):
-    """Places (key, row, item, shift) grouped by key, item and each occurrence that they may belong to."""
-    along = Window.partitionBy("key", "row", "item").orderBy("shift")
+    """Places (key, row, item, kind, shift) grouped by key, item, kind and each occurrence that they may belong to."""
+    along = Window.partitionBy("key", "row", "item", "kind").orderBy("shift")
     apart = F.coalesce(F.col("shift") - F.lag("shift").over(along) > MAX_SHIFT, F.lit(False))
     runs = places.withColumn("apart", apart.cast("int")).withColumn("run", F.sum("apart").over(along))
     number = lambda kind, row, at: F.struct(
         F.lit(kind).alias("kind"), row.cast("long").alias("row"), at.cast("long").alias("at"))
     levels = F.array(number("place", F.col("row"), F.col("shift")), number("run", F.col("row"), F.col("run")),
                      number("key", F.lit(0), F.lit(0)))
-    return runs.select("key", "item", "at", "pairs", F.explode(levels).alias("occurrence")).groupBy("key", "item", "occurrence")
+    return runs.select("key", "item", "kind", "at", "in_a_row", "pairs", F.explode(levels).alias("occurrence")).groupBy(
+        "key", "item", "kind", "occurrence")
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

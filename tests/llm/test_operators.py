@@ -322,3 +322,18 @@ def test_decontamination_judges_occurrences_apart(spark):
     benchmark = spark.createDataFrame([(1, twice)], "item_id int, text string")
     got = decontamination.judge(make(spark, [clash, twice]), benchmark).collect()
     assert [r.doc_id for r in got] == [1]  # one value of the item for two of the document, in the same place
+
+
+def test_decontamination_finds_short_dense_and_long_items(spark):
+    rng = random.Random(13)
+    long = [f"{rng.choice('bcdfgklmn')}{rng.choice('aeiou')}{rng.choice('rstvz')}w" + "abcdefghij"[i % 10] * 2 for i in range(300)]
+    items = [(1, "how deep is the blue lake"), (2, "What is 12 + 34 * 56 - 78"), (3, "who wrote it"), (4, " ".join(long)),
+             (5, "add 3 and 4 then 5 and 6 then 7 and 8 kg to Rome")]
+    benchmark = spark.createDataFrame(items, "item_id int, text string")
+    other = " ".join(["some other words go here and nothing else is said about it"] * 3)
+    texts = [f"{other} how deep is the blue lake {other}", f"{other} what is 12 + 34 * 56 - 78? {other}", f"{other} so Who wrote it",
+             f"{other} {' '.join(long[100:179])} {other}", f"{other} add 3 and 4 then 5 and 6 then 7 and 8 kg to Rome {other}",
+             f"{other} what is 12 + 34 * 56 - 79", f"{other} {' '.join(long[100:120])} {other}", "who wrote it", "how deep is the lake"]
+    got = {r.doc_id: r for r in decontamination.judge(make(spark, texts), benchmark).collect()}
+    assert {i: r.item_id for i, r in got.items()} == {0: 1, 1: 2, 2: 3, 3: 4, 4: 5, 7: 3}
+    assert all(r.exact for r in got.values()) and got[3].n_found == 72
