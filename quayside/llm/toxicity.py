@@ -2,7 +2,8 @@
 
 Tokens score by their log-odds between toxic and clean training texts under an informative Dirichlet prior; a word
 never seen falls back to its longest known beginning. A linear scan (Ruzzo and Tompa's all maximal scoring
-subsequences) finds every passage whose score no extension or cut improves. Karlin-Altschul statistics turn a
+subsequences) finds every passage whose score no extension or cut improves; every occurrence of a token scores, though
+in learning a text counts once for it. Karlin-Altschul statistics turn a
 passage's score S in a text of n words into the extreme-value variate lambda * S - ln(n): that of the best passage,
 together with the sum over all significant ones, is calibrated to a probability on training texts that the token
 scores were not learned from.
@@ -109,13 +110,7 @@ class Model:
             words = LETTERS.findall(text.lower()) if text else []
             if len(cache) > CACHE_WORDS:
                 cache = Tokens()
-            found = np.fromiter(map(cache.__getitem__, words), dtype=np.float64, count=len(words))
-            seen: set[str] = set()
-            for i in np.flatnonzero(found > 0).tolist():  # as in learning, a token counts once in a text
-                if words[i] in seen:
-                    found[i] = DRIFT
-                seen.add(words[i])
-            return found
+            return np.fromiter(map(cache.__getitem__, words), dtype=np.float64, count=len(words))
 
         return score
 

@@ -337,3 +337,16 @@ def test_decontamination_finds_short_dense_and_long_items(spark):
     got = {r.doc_id: r for r in decontamination.judge(make(spark, texts), benchmark).collect()}
     assert {i: r.item_id for i, r in got.items()} == {0: 1, 1: 2, 2: 3, 3: 4, 4: 5, 7: 3}
     assert all(r.exact for r in got.values()) and got[3].n_found == 72
+
+
+def test_toxicity_scores_every_occurrence():
+    insults = ["vile", "scoundrel", "wretch", "liar", "crook", "brute"]
+    model = toxicity.Model(scores={w: 3.0 for w in insults}, rate=1.0, weights=(1.0, 1.0, -5.0))
+    score, filler = model.scorer(), " ".join(["river"] * 40)
+    dense = " ".join(insults)
+    scattered = " ".join(f"{filler} {w}" for w in insults)
+    best, _, found = model.variates(score(f"{scattered} {filler} {dense}"))
+    assert [(s, e) for s, e, _ in found] == [(286, 292)] and best > 0
+    _, total, twice = model.variates(score(f"{dense} {filler} {dense}"))
+    once = model.variates(score(f"{dense} {filler} {filler}"))
+    assert [(s, e) for s, e, _ in twice] == [(0, 6), (46, 52)] and len(once[2]) == 1 and total > once[1]
