@@ -53,7 +53,7 @@ _WIDE = {
     "card": re.compile(r"(?<![0-9 -])[0-9]{4}(?:[ -][0-9]{4}){3}(?![0-9 -])"),
     "secret": re.compile(r"(?<!\w)(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|sk-[A-Za-z0-9]{20,64}|"
                          r"xox[abprs]-[A-Za-z0-9-]{10,72}|[A-Fa-f0-9]{32,64}|[A-Za-z0-9+/]{40})(?!\w)|"
-                         r"(?<=password=)[^\s\"']{6,64}", re.A),
+                         r"(?<=password=)[^\s\"']{6,}", re.A),
 }
 ENDINGS = frozenset("com org net edu gov io info eu uk de fr es it nl ch at us ca au".split())
 CALLING_CODES = ("1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48",
@@ -127,7 +127,7 @@ def wide_spans(text: str) -> list[Span]:
     found = []
     digit = bool(_DIGIT.search(text))
     for kind, pattern in _WIDE.items():
-        if not digit and kind != "email" or kind == "email" and "at)" not in text and "at]" not in text and "at}" not in text:
+        if not digit and kind in ("phone", "card") or kind == "email" and "at)" not in text and "at]" not in text and "at}" not in text:
             continue
         found += [(kind, m.start(), m.end()) for m in pattern.finditer(text)]
     return found

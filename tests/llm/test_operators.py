@@ -350,3 +350,10 @@ def test_toxicity_scores_every_occurrence():
     _, total, twice = model.variates(score(f"{dense} {filler} {dense}"))
     once = model.variates(score(f"{dense} {filler} {filler}"))
     assert [(s, e) for s, e, _ in twice] == [(0, 6), (46, 52)] and len(once[2]) == 1 and total > once[1]
+
+
+def test_pii_finds_secrets_without_digits_whole():
+    for value in ("sk-" + "abcDEF" * 4, "xoxb-" + "a-bC" * 4, "aB+/" * 10):
+        assert pii.wide_spans(f"the key {value} is here") == [("secret", 8, 8 + len(value))]
+    for value in ("hunterhunter", "aB-3xyz!" * 12):
+        assert pii.wide_spans(f"use password={value} here") == [("secret", 13, 13 + len(value))]
