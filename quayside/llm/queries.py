@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import (chat_format, common, decontamination, language_id, lm_scoring, ngram_join, pii,
-                          quality_rules, sentencepiece_codec, toxicity, warc)
+from quayside.llm import (byte_bpe, chat_format, common, conversation_repair, decontamination, language_id, lm_scoring,
+                          ngram_join, pii, prefix_trie, quality_rules, sentencepiece_codec, toxicity, warc)
 from quayside.llm.oracle import ORACLE  # noqa: F401
 from quayside.session import prepare
 
@@ -73,6 +73,22 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.verify(docs).drop("text")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = common.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    repaired = conversation_repair.repair(conversation_repair.damage(conversations), conversations.select("conv_id"))
+    return conversation_repair.digests(repaired).withColumnRenamed("conv", "conv_id")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = common.stored(prefix_trie.turn_digests(common.table(spark, sf_dir, "conversations")), "trie-own")
+    return prefix_trie.nodes(*prefix_trie.rebuilt(turns))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return byte_bpe.verify(docs).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name: (lambda spark, sf_dir, f=f: f(prepare(spark), sf_dir))
     for name, f in sorted(globals().items()) if name.startswith("op")
