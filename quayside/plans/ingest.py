@@ -5,12 +5,14 @@ Order of effects, so that a crash at any point can only cause work to be redone:
 1. pending = documents minus checkpoint ids (anti-join);
 2. outcome of embedding every batch is written once to the run folder (the
    expensive calls are never repeated for the three sinks below);
-3. successful rows are upserted into the index (new version folder, by ``id``);
+3. successful rows are upserted into the index by ``id`` (only the hash buckets that
+   they fall into are rewritten);
 4. failed rows are appended to the failure log (raw text and error message);
 5. successful ids are appended to the checkpoint, last.
 
-Failures are not checkpointed, so the next run retries them. Nothing is
-collected on the driver.
+Failures are not checkpointed, so the next run retries them. A document without an
+id cannot be indexed or recorded as done: it fails with that reason, apart from the
+batches, so it never costs another document. Nothing is collected on the driver.
 """
 
 from __future__ import annotations
@@ -24,11 +26,12 @@ from quayside.functions.text import clean_text
 from quayside.operators.batching import assign_batches
 from quayside.operators.embedding import FAILED, SUCCESS, embed_batches
 from quayside.operators.pending import pending_documents
-from quayside.operators.upsert import VersionedTable
+from quayside.operators.upsert import BucketedTable
 from quayside.session import work_dir
 from quayside.sources.documents import folder_names, read_checkpoint, write_complete
 
 BATCH_SIZE = 16
+NO_ID = "document without an id"
 
 
 @dataclass
@@ -80,10 +83,16 @@ def failure_rows(outcome: DataFrame) -> DataFrame:
 def plan_outcome(documents: DataFrame, checkpoint: DataFrame, embedder=None, batch_size: int = BATCH_SIZE,
                  retry_interval: float = 60.0, max_tries: int | None = None, concurrency: int = 1) -> DataFrame:
     """The outcome DataFrame (lazy except for the batch-numbering checkpoint)."""
-    pending = pending_documents(documents, checkpoint)
+    has_id = F.col("id").isNotNull()
+    pending = pending_documents(documents.where(has_id), checkpoint)
     batched = assign_batches(pending, "id", size=batch_size)
-    return embed_batches(batched, embedder, retry_interval=retry_interval, max_tries=max_tries,
-                         concurrency=concurrency)
+    outcome = embed_batches(batched, embedder, retry_interval=retry_interval, max_tries=max_tries,
+                            concurrency=concurrency)
+    values = {"status": F.lit(FAILED), "error": F.lit(NO_ID)}
+    without = documents.where(~has_id).select(*[
+        (F.col(f.name) if f.name in ("id", "fileName", "text") else values.get(f.name, F.lit(None)))
+        .cast(f.dataType).alias(f.name) for f in outcome.schema.fields])
+    return outcome.unionByName(without)
 
 
 def ingest(
@@ -126,9 +135,7 @@ def ingest(
     outcome = spark.read.parquet(run_path)
 
     if not outcome.where(F.col("status") == SUCCESS).isEmpty():
-        VersionedTable(spark, paths.index).upsert(
-            index_rows(outcome).withColumn("_run", F.lit(run)), key="id", version="_run"
-        )
+        index_table(spark, paths).upsert(index_rows(outcome).withColumn("_run", F.lit(run)))
     if crash_after == "index":
         return outcome
     failures = failure_rows(outcome)
@@ -144,6 +151,10 @@ def ingest(
     return outcome
 
 
+def index_table(spark: SparkSession, paths: IngestPaths) -> BucketedTable:
+    return BucketedTable(spark, paths.index, key="id", version="_run")
+
+
 def read_index(spark: SparkSession, paths: IngestPaths) -> DataFrame | None:
-    current = VersionedTable(spark, paths.index).read()
+    current = index_table(spark, paths).read()
     return None if current is None else current.drop("_run")

@@ -70,9 +70,9 @@ PENDING_SQL = (
 )
 
 
-def batches_sql(size: int = 16) -> str:
+def batches_sql(size: int = 16, where: str = "") -> str:
     return f"""SELECT *, CAST(rn // {size} AS BIGINT) AS batch_id, CAST(rn % {size} AS INTEGER) AS batch_pos
-FROM (SELECT *, CAST(row_number() OVER (ORDER BY id NULLS FIRST) - 1 AS BIGINT) AS rn FROM ({PENDING_SQL}))"""
+FROM (SELECT *, CAST(row_number() OVER (ORDER BY id NULLS FIRST) - 1 AS BIGINT) AS rn FROM ({PENDING_SQL}){where})"""
 
 
 def outcome_sql(size: int = 16, reject: str = "@mail") -> str:
@@ -80,13 +80,14 @@ def outcome_sql(size: int = 16, reject: str = "@mail") -> str:
     return f"""WITH b AS (
   SELECT *, CASE WHEN text IS NULL OR text = '' THEN 'empty input'
                  WHEN contains(text, '{reject}') THEN 'input is rejected' END AS bad
-  FROM ({batches_sql(size)})
+  FROM ({batches_sql(size, " WHERE id IS NOT NULL")})
 ), f AS (
   SELECT batch_id, arg_min(bad, rn) AS error FROM b WHERE bad IS NOT NULL GROUP BY batch_id
 )
 SELECT b.id, b.fileName, b.text, b.batch_id,
        CASE WHEN f.error IS NULL THEN 'success' ELSE 'failed' END AS status, f.error
-FROM b LEFT JOIN f USING (batch_id)"""
+FROM b LEFT JOIN f USING (batch_id)
+UNION ALL SELECT id, fileName, text, NULL, 'failed', 'document without an id' FROM ({DOCS_SQL}) WHERE id IS NULL"""
 
 
 def _unit(v: str) -> str:

@@ -96,7 +96,7 @@ def test_runs_resume_and_crash_only_redoes_work(spark, scratch):
     long_text = "y" * 20_000
     df = _docs(spark, 50, text=lambda i: long_text if i == 3 else f"text {i}")
     paths = ingest.IngestPaths(scratch)
-    emb = embedding.HashingEmbedder(dim=8)
+    emb = embedding.HashingEmbedder(dim=8, reject="yyyy")
     # run 1 crashes after the index write: nothing checkpointed yet
     ingest.ingest(spark, df, paths, emb, run=1, crash_after="index")
     from quayside.sources.documents import read_checkpoint
@@ -210,3 +210,87 @@ def test_second_call_ingests_new_documents_and_a_replay_adds_none(spark, scratch
         assert read_checkpoint(spark, paths.checkpoint).count() == upto
     ingest.ingest(spark, frame, paths, emb, run=2)
     assert read_checkpoint(spark, paths.checkpoint).count() == 60
+
+
+def _bucket_files(table):
+    import glob
+    import os
+
+    return {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{table.rows}/_bucket=*/*.parquet")}
+
+
+def _table(spark, path, rows=200, **kw):
+    table = upsert.BucketedTable(spark, path, key="k", version="ver", **kw)
+    table.upsert(spark.range(rows).selectExpr("id AS k", "0 AS ver", "'a' || id AS x"))
+    return table
+
+
+def test_bucketed_upsert_rewrites_only_the_buckets_it_touches(spark, scratch):
+    table = _table(spark, f"{scratch}/t")
+    before = _bucket_files(table)
+    updates = spark.createDataFrame([(3, 1, "new"), (3, 0, "older"), (7, 0, "same version"), (900, 5, "added"), (8, -1, "late")],
+                                    "k BIGINT, ver INT, x STRING")
+    table.upsert(updates)
+    got = {r.k: r.x for r in table.read().collect()}
+    want = {i: f"a{i}" for i in range(200)} | {3: "new", 7: "same version", 900: "added"}
+    assert got == want and table.read().columns == ["k", "ver", "x"]
+    touched = {r.b for r in updates.select(table._bucket(table.buckets()).alias("b")).collect()}
+    after = _bucket_files(table)
+    untouched = {p: t for p, t in before.items() if int(p.split("_bucket=")[1].split("/")[0]) not in touched}
+    assert untouched and all(after[p] == t for p, t in untouched.items())
+    assert len(touched) < table.buckets() and not (before.keys() - untouched.keys()) & after.keys()
+    table.upsert(updates)  # again: nothing changes
+    assert {r.k: r.x for r in table.read().collect()} == want
+    table.upsert(updates.limit(0))
+    assert {r.k: r.x for r in table.read().collect()} == want
+
+
+def test_bucketed_upsert_survives_a_cut_at_every_step(spark, scratch):
+    table = _table(spark, f"{scratch}/cut")
+    more = spark.createDataFrame([(3, 1, "new"), (900, 1, "added")], "k BIGINT, ver INT, x STRING")
+    want = {i: f"a{i}" for i in range(200)} | {3: "new", 900: "added"}
+    n, buckets = table.merge(more)  # cut off after the merge, before anything is overwritten
+    assert {r.k: r.x for r in table.read().collect()} == want
+    import shutil
+
+    for b in table._touched(table._step("merges", n, buckets)):  # cut off while buckets are replaced: one is gone
+        shutil.rmtree(f"{table.rows}/_bucket={b}", ignore_errors=True)
+        break
+    assert {r.k: r.x for r in table.read().collect()} == want
+    table.recover()
+    assert {r.k: r.x for r in table.read().collect()} == want and not table._steps("merges")
+    # a merge without its marker changed nothing and is not read
+    more.withColumn("_bucket", F.lit(0)).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        table._step("merges", n + 1, buckets))
+    table.upsert(more.withColumn("x", F.lit("last")))
+    assert {r.k: r.x for r in table.read().collect()} == want | {3: "last", 900: "last"}
+
+
+def test_bucketed_table_grows_with_its_rows_and_refuses_null_keys(spark, scratch):
+    table = _table(spark, f"{scratch}/grow", rows=3000, bucket_bytes=200)
+    first = table.buckets()
+    table.upsert(spark.createDataFrame([(5, 1, "new")], "k BIGINT, ver INT, x STRING"))
+    assert table.buckets() > first
+    got = {r.k: r.x for r in table.read().collect()}
+    assert len(got) == 3000 and got[5] == "new" and got[6] == "a6"
+    with pytest.raises(Exception, match="upsert of a row whose k is null"):
+        table.upsert(spark.createDataFrame([(None, 1, "x")], "k BIGINT, ver INT, x STRING"))
+    assert table.read().count() == 3000
+    empty = upsert.BucketedTable(spark, f"{scratch}/none", key="k", version="ver")
+    empty.upsert(spark.createDataFrame([], "k BIGINT, ver INT, x STRING"))
+    assert empty.read() is None
+
+
+def test_documents_without_an_id_fail_with_a_reason(spark, scratch):
+    paths = ingest.IngestPaths(scratch)
+    frame = spark.range(60).selectExpr("if(id % 10 = 9, NULL, cast(id AS string)) AS id", "'f' AS fileName", "'text ' || id AS text",
+                                       "id AS n")
+    from quayside.sources.documents import read_checkpoint, read_failures
+
+    for upto, done in ((40, 36), (60, 54)):
+        ingest.ingest(spark, frame.where(F.col("n") < upto).drop("n"), paths, embedding.HashingEmbedder(dim=8))
+        index = ingest.read_index(spark, paths)
+        assert index.count() == done and index.where("id IS NULL").count() == 0
+        assert {r.id for r in read_checkpoint(spark, paths.checkpoint).collect()} == {r.id for r in index.collect()}
+    failed = read_failures(spark, paths.failures).collect()
+    assert len(failed) == 4 + 6 and {(r.id, r.error) for r in failed} == {(None, ingest.NO_ID)}
