@@ -1,19 +1,20 @@
-"""Index queries: facets, exact vector top-k, LSH vector search, BM25 keyword search."""
+"""Index queries: facets, exact and approximate vector top-k, BM25 keyword search."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from quayside.functions.text import tokenize
 from quayside.functions.vectors import normalize
-
-# Ranking ties are broken by rounding the score to this many decimals, then by id,
-# so that float noise in summation order never decides an order.
-RANK_DECIMALS = 9
-# Largest query set passed to executors in one piece (bytes of vector data).
-MAX_QUERY_BYTES = 64 << 20
+from quayside.operators import nearest
+from quayside.operators.nearest import RANK_DECIMALS
+from quayside.session import work_dir
 
 
 def facets(index: DataFrame, facet: str, key: str = "id") -> DataFrame:
@@ -50,112 +51,25 @@ def label_centroids(corpus: DataFrame, label: str = "label", vector: str = "embe
     return means.select("qid", normalize(vector_to_array(F.col("m"))).alias("vector"))
 
 
-def _query_chunks(queries: DataFrame, dim: int, max_bytes: int, salt: int = 0,
-                  n: int | None = None) -> list[DataFrame]:
-    """Split a query set into pieces of at most ``max_bytes`` of vector data each.
-
-    Pieces are hash buckets of ``qid``; every piece is counted before it is used
-    and an oversized one is split again with another salt, so the bound holds for
-    each piece, not just on average.
-    """
-    n = queries.count() if n is None else n
-    per_chunk = max(1, max_bytes // max(1, dim * 8))
-    if n <= per_chunk:
-        return [queries] if n else []
-    chunks = (n + per_chunk - 1) // per_chunk
-    bucket = F.pmod(F.xxhash64(F.col("qid"), F.lit(salt)), F.lit(chunks))
-    pieces = []
-    for i in range(chunks):
-        piece = queries.where(bucket == i)
-        m = piece.count()
-        if m == n:  # one qid repeated beyond a piece's size: hashing cannot split it
-            raise ValueError(f"more than {per_chunk} queries share one qid")
-        pieces.extend(_query_chunks(piece, dim, max_bytes, salt + 1, m))
-    return pieces
-
-
-# Slack under a batch's k-th best score: candidates this close to it are kept, so the
-# exact global ordering (Spark's rounding, then the key) makes the final choice.
-_CANDIDATE_SLACK = 1e-9
-
-
-def _batch_candidates(qids: list, qmat, key: str, vector: str, k: int, key_type, qid_type):
-    """Arrow-batch function: unit corpus vectors x unit queries in one matrix product,
-    then, per query, only the rows within ``_CANDIDATE_SLACK`` of the batch's k-th best."""
-    import numpy as np
-    import pyarrow as pa
-
-    q = np.asarray(qmat, dtype=np.float64)  # (queries, dim), rows already unit length
-    qid_arr = np.asarray(qids, dtype=object)
-    out_schema = pa.schema([("qid", qid_type), (key, key_type), ("score", pa.float64())])
-
-    def run(batches):
-        for batch in batches:
-            vecs = batch.column(vector)
-            keep = vecs.is_valid().to_numpy(zero_copy_only=False) if vecs.null_count else None
-            if keep is not None:
-                batch = batch.filter(pa.array(keep))
-                vecs = batch.column(vector)
-            n = batch.num_rows
-            if n == 0:
-                continue
-            lengths = vecs.value_lengths().to_numpy(zero_copy_only=False)
-            if (lengths != q.shape[1]).any():
-                raise ValueError(f"vectors of length {sorted(set(lengths.tolist()))}, queries of length {q.shape[1]}")
-            m = vecs.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, q.shape[1])
-            norms = np.linalg.norm(m, axis=1, keepdims=True)
-            m = np.divide(m, norms, out=np.zeros_like(m), where=norms > 0)
-            scores = m @ q.T  # (rows, queries)
-            if n > k:
-                kth = np.partition(scores, n - k, axis=0)[n - k]  # k-th best per query
-                rows, cols = np.nonzero(scores >= kth - _CANDIDATE_SLACK)
-            else:
-                rows, cols = np.indices(scores.shape).reshape(2, -1)
-            keys = batch.column(key).take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(qid_arr[cols].tolist(), type=qid_type), keys, pa.array(scores[rows, cols])],
-                schema=out_schema,
-            )
-
-    return run
-
-
 def vector_topk(corpus: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_id",
-                vector: str = "embedding", max_query_bytes: int = MAX_QUERY_BYTES) -> DataFrame:
+                vector: str = "embedding") -> DataFrame:
     """Exact cosine top-k of every query among ``corpus`` rows: ``(qid, key, rank, score)``.
 
-    The query set is normalised and checked against ``max_query_bytes`` before it
-    is shipped to the tasks with the scoring function (a bounded broadcast); a
-    larger set is split into pieces, one more pass over the corpus each, so the
-    result stays exact. Each Arrow batch of corpus rows is scored against all
-    queries by one matrix product, and only its best ``k`` per query (plus rows
-    tied with the k-th) leave the task, so no (row, query) pair is materialised.
-    The global :func:`top_k` merges those candidates. Rows without a vector are
-    not candidates.
+    Corpus and queries meet as blocks (:mod:`quayside.operators.nearest`): every task
+    keeps the best ``k`` per query of the block pairs that it multiplies, and the global
+    :func:`top_k` merges these. Any number of queries is a part of the plan like the
+    corpus. Rows and queries without a vector have no neighbours; queries that share a
+    qid compete for its ``k`` places.
     """
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    key_type = to_arrow_type(corpus.schema[key].dataType)
-    qid_type = to_arrow_type(queries.schema["qid"].dataType)
-    out = T.StructType([T.StructField("qid", queries.schema["qid"].dataType),
-                        T.StructField(key, corpus.schema[key].dataType), T.StructField("score", T.DoubleType())])
-    queries = queries.where(F.col("vector").isNotNull())  # a query without a vector has no neighbours
-    sample = queries.select(F.size("vector")).first()
-    dim = sample[0] if sample else 0
-    pieces = []
-    for chunk in _query_chunks(queries, dim, max_query_bytes):
-        rows = chunk.select("qid", normalize(F.col("vector")).alias("v")).collect()  # counted: within max_query_bytes
-        if not rows:
-            continue
-        fn = _batch_candidates([r["qid"] for r in rows], [r["v"] for r in rows], key, vector, k, key_type, qid_type)
-        pieces.append(corpus.select(key, vector).mapInArrow(fn, out))
-    if not pieces:
-        return corpus.sparkSession.createDataFrame([], out.add("rank", T.IntegerType())).select(
-            "qid", key, "rank", "score")
-    scored = pieces[0]
-    for p in pieces[1:]:
-        scored = scored.unionByName(p)
-    best = top_k(scored, "qid", key, "score", k)
+    best = top_k(nearest.exact_candidates(corpus, queries, k, key, vector), "qid", key, "score", k)
+    return best.select("qid", key, "rank", F.round("score", 4).alias("score"))
+
+
+def vector_topk_ivf(index: nearest.InvertedFile, queries: DataFrame, k: int = 10, probes: int = 8,
+                    key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """Approximate cosine top-k through an inverted file: the exact top-k among the rows
+    stored under each query's nearest ``probes`` centroids, ``(qid, key, rank, score)``."""
+    best = top_k(index.candidates(queries, k, probes, key, vector), "qid", key, "score", k)
     return best.select("qid", key, "rank", F.round("score", 4).alias("score"))
 
 
@@ -187,9 +101,93 @@ def vector_topk_lsh(corpus: DataFrame, queries: DataFrame, k: int = 10, key: str
     return best.select("qid", key, "rank", F.round("score", 4).alias("score"))
 
 
-# Term of the one row per document that carries its length through the term counts.
-# Tokens are runs of letters and digits, so the empty string is never a token.
-LENGTH_ROW = ""
+# (query, term) pairs of a query block, which is sent to every task, and queries scored at a time.
+BLOCK_TERMS, QUERIES_AT_ONCE, DOCS_AT_ONCE = 20_000, 256, 256
+
+
+def _query_blocks(queries: DataFrame) -> list[DataFrame]:
+    """The queries as ``(qid, terms)`` in blocks of about ``BLOCK_TERMS`` terms each, by hash
+    of the qid; every block is measured, and they are dealt anew until none is over twice that."""
+    terms = F.flatten(F.collect_list(tokenize(F.col("query"))))
+    rows = queries.groupBy("qid").agg(F.array_sort(F.array_distinct(terms)).alias("terms"))
+    total = rows.agg(F.sum(F.size("terms"))).first()[0] or 0
+    n = -(-total // BLOCK_TERMS)
+    while n > 1:
+        block = F.pmod(F.xxhash64("qid", F.lit(n)), F.lit(n))
+        sizes = rows.groupBy(block.alias("b")).agg(F.sum(F.size("terms")).alias("s"), F.count(F.lit(1)).alias("n"))
+        if sizes.where((F.col("s") > 2 * BLOCK_TERMS) & (F.col("n") > 1)).isEmpty():
+            return [rows.where(block == i) for i in range(n)]
+        n *= 2
+    return [rows] if total else []
+
+
+def _term_vectors(tokens: DataFrame, key: str, vocabulary: list[str]) -> DataFrame:
+    """``(key, dl, codes, tfs)``: per document its length and how often it holds the terms of
+    ``vocabulary``, by their places in it. Counted inside the row: no (document, term) rows."""
+    kind = tokens.schema[key].dataType
+    schema = T.StructType([T.StructField(key, kind), T.StructField("dl", T.IntegerType()),
+                           T.StructField("codes", T.ArrayType(T.IntegerType())), T.StructField("tfs", T.ArrayType(T.IntegerType()))])
+    arrow = to_arrow_schema(schema)
+    terms = pa.array(vocabulary, pa.string())
+
+    def run(batches):
+        for b in batches:
+            lists = b.column("toks")
+            dl = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            found = pc.index_in(lists.flatten(), value_set=terms)
+            doc = np.repeat(np.arange(len(dl)), dl)[found.is_valid().to_numpy(zero_copy_only=False)]
+            pairs, tf = np.unique(doc * len(terms) + found.drop_null().to_numpy(), return_counts=True)
+            offsets = pa.array(np.searchsorted(pairs, np.arange(len(dl) + 1) * len(terms)), pa.int32())
+            codes = pa.ListArray.from_arrays(offsets, pa.array(pairs % len(terms), pa.int32()))
+            tfs = pa.ListArray.from_arrays(offsets, pa.array(tf, pa.int32()))
+            columns = [b.column(key), pa.array(dl, pa.int32()), codes, tfs]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    return tokens.mapInArrow(run, schema)
+
+
+def _bm25_candidates(vectors: DataFrame, key: str, qids: list, terms: list[list[int]], idf: np.ndarray, avgdl: float,
+                     k: int, k1: float, b: float, qid_type) -> DataFrame:
+    """``(qid, key, score)``: the best ``k`` documents per query of every task.
+
+    Documents are weighted against the terms of up to ``QUERIES_AT_ONCE`` queries by one
+    matrix product. The sum of a document's weights bounds its score for any of them, and
+    one that cannot reach the least of their ``k``-th best scores is not scored.
+    """
+    schema = T.StructType([T.StructField("qid", qid_type), vectors.schema[key], T.StructField("score", T.DoubleType())])
+    arrow = to_arrow_schema(schema)
+    groups = []
+    for i in range(0, len(qids), QUERIES_AT_ONCE):
+        some = terms[i:i + QUERIES_AT_ONCE]
+        columns = np.unique(np.concatenate([np.array(t, dtype=np.int64) for t in some]))
+        groups.append((pa.array(qids[i:i + QUERIES_AT_ONCE], arrow.field(0).type), columns, some))
+
+    def run(batches):
+        held = []
+        for names, columns, some in groups:
+            holds = np.zeros((len(columns), len(some)))
+            for j, t in enumerate(some):
+                holds[np.searchsorted(columns, t), j] = 1
+            held.append((names, columns, holds, nearest.RunningBest(len(some), k, floor=np.nextafter(0, 1))))
+        for batch in batches:
+            for i in range(0, batch.num_rows, DOCS_AT_ONCE):
+                docs = batch.slice(i, DOCS_AT_ONCE)
+                keys, dl = docs.column(key), docs.column("dl").to_numpy().astype(np.float64)
+                size = pc.list_value_length(docs.column("codes")).to_numpy()
+                doc, code = np.repeat(np.arange(len(dl)), size), docs.column("codes").flatten().to_numpy()
+                tf = docs.column("tfs").flatten().to_numpy().astype(np.float64)
+                norm = k1 * (1.0 - b + b * dl / avgdl)
+                weights = np.zeros((len(dl), len(idf)))
+                weights[doc, code] = idf[code] * tf * (k1 + 1.0) / (tf + norm[doc])
+                for _, columns, holds, best in held:
+                    part = weights[:, columns]
+                    may = np.flatnonzero(part.sum(1) + 1e-6 >= best.least.min())
+                    if len(may):
+                        best.offer(keys.take(pa.array(may)), part[may] @ holds)
+        for names, _, _, best in held:
+            yield from best.rows(names, arrow)
+
+    return vectors.mapInArrow(run, schema)
 
 
 def bm25(
@@ -200,59 +198,41 @@ def bm25(
     fields: tuple[str, ...] = ("content", "fileName"),
     k1: float = 1.2,
     b: float = 0.75,
-    max_query_terms: int = 1_000_000,
 ) -> DataFrame:
-    """BM25 keyword search of ``queries(qid, query)`` over the tokens of ``fields``.
-
-    Documents are tokenised once. Each document emits its query-vocabulary tokens
-    plus one ``LENGTH_ROW`` carrying its length; a join with the vocabulary
-    (distinct query terms) drops every other word before the shuffle. The query
-    side is broadcast only when its (query, term) pairs number at most
-    ``max_query_terms``; a larger query set is joined by shuffle instead. One
-    aggregate of term counts per ``(id, term)`` then feeds the corpus statistics
-    (``N``, mean length: a scalar subquery over the length rows), the document
-    frequencies and the scores, so its exchange is computed once and reused.
-    Returns ``(qid, id, rank, score)``.
+    """BM25 keyword search of ``queries(qid, query)`` over the tokens of ``fields``: ``(qid, id, rank, score)``.
+
+    Queries are taken in blocks of bounded size. For each block the documents are
+    tokenised once into term vectors, which are written to the shared folder. Document
+    frequencies are counted from these (one small row per term leaves a task), and the
+    weighted query block goes back to the tasks, each of which keeps the best ``k``
+    documents per query. So only term counts and candidates are shuffled: never a row per
+    (document, term) or per (document, query), however common a word is.
+
+    Null fields are empty; a document without a term of a query is no result for it;
+    documents that share a key are scored one by one; equal scores are ordered by key.
     """
-    q_terms = queries.select("qid", F.explode(F.array_distinct(tokenize(F.col("query")))).alias("term")).distinct()
-    # broadcast the query side only under its checked bound; beyond it, shuffle joins
-    small = q_terms.count() <= max_query_terms
-    side = F.broadcast if small else (lambda d: d)
-    vocab = q_terms.select("term").distinct()
-    vocab = vocab.unionByName(vocab.sparkSession.range(1).select(F.lit(LENGTH_ROW).alias("term")))
-
-    toks = index.select(F.col(key), F.concat(*[tokenize(F.col(f)) for f in fields]).alias("toks"))
-    # explode_outer: an inner explode makes Catalyst add ``size(toks) > 0`` and push it
-    # below the projection, which would tokenise every document a second time
-    # (the array is never empty here, so outer and inner explode agree).
-    rows = toks.select(
-        key, F.size("toks").alias("dl"), F.explode_outer(F.concat(F.array(F.lit(LENGTH_ROW)), "toks")).alias("term")
-    )
-    tf = rows.join(side(vocab), "term").groupBy(key, "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
-
-    # Statistics, document frequencies and scores all read ``tf`` unfiltered: a filter on
-    # ``term`` would be pushed below the aggregate, and the three plans would no
-    # longer share (and reuse) one exchange.
-    is_length = F.col("term") == LENGTH_ROW
-    stats = tf.select(F.struct(  # length rows: tf = documents with this (id, dl)
-        F.sum(F.when(is_length, F.col("tf"))).cast("double").alias("n"),
-        (F.sum(F.when(is_length, F.col("tf") * F.col("dl"))) / F.sum(F.when(is_length, F.col("tf")))).alias("avgdl"),
-    )).scalar()
-    n_docs, avgdl = stats["n"], stats["avgdl"]
-
-    # documents holding the term, counted as ``tf > 0`` rather than count(1): Catalyst
-    # would prune an unused ``tf`` from the partial aggregate below the exchange, and
-    # this branch would no longer reuse it (and would tokenise again)
-    df = tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))  # the length row's df is never joined
-    idf = F.log(F.lit(1.0) + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = df.select("term", idf.alias("idf"))
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / avgdl)
-    part = F.col("idf") * F.col("tf") * F.lit(k1 + 1.0) / (F.col("tf") + norm)
-    scored = (
-        tf.join(side(weights), "term")  # one row per vocabulary term
-        .join(side(q_terms), "term")  # query terms are never LENGTH_ROW
-        .groupBy("qid", key)
-        .agg(F.sum(part).alias("score"))
-    )
-    best = top_k(scored, "qid", key, "score", k)
+    spark = index.sparkSession
+    kind, qid_type = index.schema[key], queries.schema["qid"].dataType
+    tokens = index.select(F.col(key), F.concat(*[tokenize(F.col(f)) for f in fields]).alias("toks"))
+    found = None
+    for rows in _query_blocks(queries):
+        block = [r for r in rows.collect() if r["terms"]]  # within the block's bound
+        if not block:
+            continue
+        vocabulary = sorted({t for r in block for t in r["terms"]})
+        path = work_dir(spark, "bm25")
+        _term_vectors(tokens, key, vocabulary).write.parquet(path)
+        vectors = spark.read.parquet(path)
+        n_docs, avgdl = vectors.agg(F.count(F.lit(1)), F.avg("dl")).first()
+        counts = vectors.select(F.explode("codes").alias("code")).groupBy("code").count().collect()  # one per term
+        df = np.zeros(len(vocabulary))
+        for code, count in counts:
+            df[code] = count
+        places = {t: i for i, t in enumerate(vocabulary)}
+        part = _bm25_candidates(vectors, key, [r["qid"] for r in block], [[places[t] for t in r["terms"]] for r in block],
+                                np.log(1.0 + (n_docs - df + 0.5) / (df + 0.5)), avgdl or 1.0, k, k1, b, qid_type)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = spark.createDataFrame([], T.StructType([T.StructField("qid", qid_type), kind, T.StructField("score", T.DoubleType())]))
+    best = top_k(found, "qid", key, "score", k)
     return best.select("qid", key, "rank", F.round("score", 4).alias("score"))

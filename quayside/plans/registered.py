@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from quayside.functions import avro as qavro
 from quayside.functions import json as qjson
 from quayside.functions import text as qtext
-from quayside.operators import batching, embedding, pending, search, upsert
+from quayside.operators import batching, embedding, nearest, pending, search, upsert
 from quayside.functions.schemas import SALES_EVENT_GROUP, sales_event_avro
 from quayside.plans import ingest, oracle
 from quayside.session import prepare, work_dir
@@ -341,14 +341,16 @@ def checkpoint_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "upsert_documents",
     "SELECT conv_id, turn, role, text FROM (SELECT *, row_number() OVER "
-    "(PARTITION BY conv_id ORDER BY turn DESC) AS rn FROM conversations) WHERE rn = 1",
+    "(PARTITION BY conv_id ORDER BY turn DESC NULLS LAST) AS rn FROM conversations WHERE conv_id IS NOT NULL) WHERE rn = 1",
 )
 def upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns upserted by ``conv_id`` in two writes; the newest turn wins."""
+    """Conversation turns upserted by ``conv_id`` in two writes; the newest turn wins, and
+    the second write rewrites only the buckets that its conversations fall into."""
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    table = upsert.VersionedTable(spark, work_dir(spark, "upsert"))
-    table.upsert(turns.where(F.col("turn") == 0), key="conv_id", version="turn")
-    table.upsert(turns.where(F.col("turn") > 0), key="conv_id", version="turn")
+    table = upsert.BucketedTable(spark, work_dir(spark, "upsert"), key="conv_id", version="turn")
+    first = F.col("turn").eqNullSafe(F.lit(0))
+    for part in (turns.where(first), turns.where(~first)):
+        table.upsert(part.where(F.col("conv_id").isNotNull()))
     return table.read()
 
 
@@ -369,6 +371,15 @@ def vector_topk_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.vector_topk_lsh(corpus, search.label_centroids(corpus), k=10)
 
 
+@register("vector_topk_ivf")
+def vector_topk_ivf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approximate top-10 through an inverted file over all embeddings, built and read back;
+    recall against the exact search is tested."""
+    corpus = read_table(spark, sf_dir, "embeddings")
+    index = nearest.InvertedFile(spark, work_dir(spark, "ivf")).build(corpus)
+    return search.vector_topk_ivf(index, search.label_centroids(corpus), k=10)
+
+
 @register("keyword_search", oracle.bm25_sql())
 def keyword_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """BM25 top-10 documents (content and fileName) for every benchmark passage as a query."""

@@ -32,9 +32,17 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+#: Bytes of the Arrow batches given to Python workers, where the session sets no smaller bound.
+ARROW_BYTES = 64 << 20
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Settings every job relies on: UTC session time and a shared checkpoint folder."""
+    """Settings every job relies on: UTC session time, Arrow batches of bounded bytes and a
+    shared checkpoint folder."""
     spark.conf.set("spark.sql.session.timeZone", SESSION_TIME_ZONE)
+    if conf_bytes(spark.conf.get(_ARROW_BYTES)) > ARROW_BYTES:
+        spark.conf.set(_ARROW_BYTES, ARROW_BYTES)
     checkpoint_root(spark)
     return spark
 

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 from pyspark.sql import functions as F
 
-from quayside.operators import search
+from quayside.operators import nearest, search
 
 
 def _vectors(spark, n=300, dim=16, seed=3):
@@ -29,14 +29,54 @@ def test_vector_topk_equals_brute_force(spark):
         assert [got[(label, r + 1)] for r in range(5)] == order
 
 
-def test_vector_topk_splits_large_query_sets_exactly(spark):
-    corpus, _ = _vectors(spark, n=120, dim=8)
+def test_vector_topk_with_many_blocks_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(nearest, "CORPUS_BYTES", 8 * 8 * 10)  # 10 rows per block
+    monkeypatch.setattr(nearest, "QUERY_BYTES", 8 * 8 * 7)  # 7 queries per block, 18 blocks
+    monkeypatch.setattr(nearest, "HELD_BLOCKS", 2)
+    monkeypatch.setattr(nearest, "SCORES_AT_ONCE", 20)
+    corpus, vecs = _vectors(spark, n=120, dim=8)
     queries = corpus.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vector"))
-    whole = search.vector_topk(corpus, queries, k=3)
-    pieces = search.vector_topk(corpus, queries, k=3, max_query_bytes=8 * 8 * 10)  # ~10 queries per piece
-    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, pieces.collect()))
-    # each vector is its own nearest neighbour
-    assert all(r["vec_id"] == r["qid"] for r in whole.where("rank = 1").collect())
+    found = search.vector_topk(corpus.repartition(3), queries, k=3).collect()
+    unit = vecs.astype(np.float64) / np.linalg.norm(vecs.astype(np.float64), axis=1, keepdims=True)
+    scores = np.round(unit @ unit.T, 9)
+    want = {(q, r + 1): i for q in range(120) for r, i in enumerate(sorted(range(120), key=lambda i: (-scores[q, i], i))[:3])}
+    assert {(r["qid"], r["rank"]): r["vec_id"] for r in found} == want
+
+
+def test_vector_topk_state_is_bounded(monkeypatch):
+    """A task that meets many query blocks holds the best rows of a few, and no tied row beyond k."""
+    import pyarrow as pa
+
+    best = nearest.RunningBest(4, k=3)
+    for i in range(50):
+        best.offer(pa.array(range(i * 100, i * 100 + 100)), np.ones((100, 4)))  # all tie
+        assert len(best.found[0]) == 12
+    assert sorted(set(best.found[2].to_pylist())) == [0, 1, 2]
+
+
+def test_inverted_file_recall_and_work(spark, scratch):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 16))
+    vecs = (centres[rng.integers(0, 40, 3000)] + 0.5 * rng.normal(size=(3000, 16))).astype(np.float32)
+    vecs[::3] = vecs[0]  # a third of all vectors are one
+    vecs[1] = 0
+    rows = [(i, v.tolist()) for i, v in enumerate(vecs)] + [(9000, None)]
+    corpus = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<FLOAT>").repartition(4)
+    index = nearest.InvertedFile(spark, f"{scratch}/ivf").build(corpus, lists=50, sample_rows=1000)
+    assert index.rows().count() == 3000 and len(index.centroids()) <= 50
+    queries = corpus.where("vec_id % 30 = 4").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vector"))
+    exact = {(r["qid"], r["vec_id"]) for r in search.vector_topk(corpus, queries, k=10).collect()}
+    got = search.vector_topk_ivf(index, queries, k=10, probes=6).collect()
+    assert len(exact & {(r["qid"], r["vec_id"]) for r in got}) >= 0.9 * len(exact)
+    sizes = index.rows().groupBy("list").count()
+    scored = index.probed(queries, 6).join(sizes, "list").agg(F.sum("count")).first()[0]
+    assert scored < 0.2 * queries.count() * 3000
+    everything = search.vector_topk_ivf(index, queries, k=10, probes=50).collect()  # all lists: exact
+    assert {(r["qid"], r["vec_id"]) for r in everything} == exact
+    plan = _final_plan(search.vector_topk_ivf(index, queries, k=10, probes=6))
+    assert "PartitionFilters: [isnotnull(list" in plan or "PartitionFilters: [list" in plan
+    none = nearest.InvertedFile(spark, f"{scratch}/none").build(corpus.limit(0))
+    assert none.rows().count() == 0
 
 
 def test_lsh_returns_exact_scores_for_its_candidates(spark):
@@ -106,21 +146,33 @@ def _final_plan(df) -> str:
     return "\n".join(lines)
 
 
-def test_bm25_plan_tokenises_once_and_reuses_the_term_counts(spark):
+def test_bm25_shuffles_term_counts_and_candidates_only(spark):
     docs = [(f"d{i}", f"alpha beta {'gamma ' * (i % 5)}delta {i}", f"s{i % 3}") for i in range(60)]
     index = spark.createDataFrame(docs, "id STRING, content STRING, fileName STRING").repartition(4)
     q = spark.createDataFrame([(1, "alpha gamma"), (2, "delta 7")], "qid INT, query STRING")
     plan = _final_plan(search.bm25(index, q, k=5))
-    assert plan.count("explode(concat(") == 1  # one tokenising pass over the documents
-    assert plan.count("ReusedExchange") >= 2  # statistics and document frequencies reuse the term counts
-    assert "WindowGroupLimit" in plan and "CartesianProduct" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan  # the top-k of candidates
+    assert "WindowGroupLimit" in plan and "Generate" not in plan
+
+
+def test_bm25_in_many_blocks_is_the_same(spark, monkeypatch):
+    docs = [(f"d{i}", f"alpha beta {'gamma ' * (i % 5)}delta {i}", f"s{i % 3}") for i in range(60)]
+    docs += [("none", None, None), ("d3", "alpha beta", "s1"), ("long", "alpha " * 5000, "x")]
+    index = spark.createDataFrame(docs, "id STRING, content STRING, fileName STRING").repartition(4)
+    q = spark.createDataFrame([(i, f"alpha {i} gamma s{i % 4}") for i in range(30)] + [(30, None), (31, "")], "qid INT, query STRING")
+    whole = sorted(map(tuple, search.bm25(index, q, k=5).collect()))
+    for name, value in (("BLOCK_TERMS", 9), ("QUERIES_AT_ONCE", 2), ("DOCS_AT_ONCE", 7)):
+        monkeypatch.setattr(search, name, value)
+    assert sorted(map(tuple, search.bm25(index, q, k=5).collect())) == whole and len(whole) == 150
+    assert search.bm25(index, q.where("qid >= 30"), k=5).count() == 0
+    assert search.bm25(index.limit(0), q, k=5).count() == 0
 
 
 def test_vector_topk_plan_scores_batches_without_pairs(spark):
     corpus, _ = _vectors(spark, n=100, dim=8)
     plan = _final_plan(search.vector_topk(corpus, search.label_centroids(corpus), k=3))
     assert "MapInArrow" in plan
-    assert "Generate" not in plan and "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert "WindowGroupLimit" in plan
 
 
@@ -132,32 +184,3 @@ def test_facets_with_a_hot_value_aggregate_before_the_shuffle(spark):
     assert sum(v[0] for v in got.values()) == 3000
     plan = search.facets(index, "fileName")._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan  # map-side counts: the hot value ships one row per task
-
-
-def test_query_pieces_are_each_within_the_size_bound(spark):
-    import pytest
-
-    corpus, _ = _vectors(spark, n=300, dim=8)
-    queries = corpus.select(F.col("vec_id").alias("qid"), F.col("embedding").alias("vector"))
-    pieces = search._query_chunks(queries, 8, 8 * 8 * 7)  # at most 7 queries per piece
-    counts = [p.count() for p in pieces]
-    assert max(counts) <= 7 and sum(counts) == 300
-    assert sorted(r["qid"] for p in pieces for r in p.select("qid").collect()) == list(range(300))
-    same = queries.select(F.lit(1).alias("qid"), "vector")  # one qid, 300 rows: cannot be split
-    with pytest.raises(ValueError):
-        search._query_chunks(same, 8, 8 * 8 * 7)
-
-
-def test_bm25_beyond_the_broadcast_bound_joins_by_shuffle_with_the_same_result(spark):
-    docs = [(f"d{i}", f"alpha beta {'gamma ' * (i % 5)}delta {i}", f"s{i % 3}") for i in range(60)]
-    index = spark.createDataFrame(docs, "id STRING, content STRING, fileName STRING").repartition(4)
-    q = spark.createDataFrame([(1, "alpha gamma"), (2, "delta 7"), (3, "beta s1")], "qid INT, query STRING")
-    small = search.bm25(index, q, k=5)
-    large = search.bm25(index, q, k=5, max_query_terms=1)  # over the bound: no broadcast hint
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.collect()))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = _final_plan(search.bm25(index, q, k=5, max_query_terms=1))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
