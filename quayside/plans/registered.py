@@ -210,7 +210,7 @@ def schema_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "avro_decode_by_id",
-    oracle.sales_events_sql(where=f"l_shipdate >= TIMESTAMP '{V1_CUTOVER}'")
+    oracle.sales_events_sql(where=f"l_shipdate >= TIMESTAMP '{V1_CUTOVER}' OR l_shipdate IS NULL")
     + "\nUNION ALL\n"
     + oracle.sales_events_sql(where=f"l_shipdate < TIMESTAMP '{V1_CUTOVER}'", absent=reg.V1_MISSING_FIELDS),
 )
@@ -227,8 +227,8 @@ def avro_decode_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         for v in (1, 2)
     ]
     lineitem = read_table(spark, sf_dir, "lineitem")
-    old = lineitem.where(F.col("l_shipdate") < F.lit(V1_CUTOVER).cast("timestamp"))
-    new = lineitem.where(F.col("l_shipdate") >= F.lit(V1_CUTOVER).cast("timestamp"))
+    late = F.coalesce(F.col("l_shipdate") >= F.lit(V1_CUTOVER).cast("timestamp"), F.lit(True))
+    old, new = lineitem.where(~late), lineitem.where(late)
     messages = ev.avro_messages(old, v1, v1_id).unionByName(ev.avro_messages(new, v2, v2_id))
     decoder = qavro.avro_decoder_by_id(writers, v2)
     return messages.select(decoder(F.col("schema_id"), F.col("body")).alias("decoded")).select("decoded.*")
@@ -424,7 +424,8 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     avro_text = sales_event_avro()
     lineitem = read_table(spark, sf_dir, "lineitem")
     cut = F.lit(V1_CUTOVER).cast("timestamp")
-    batches = [lineitem.where(F.col("l_shipdate") < cut), lineitem.where(F.col("l_shipdate") >= cut), None]
+    late = F.coalesce(F.col("l_shipdate") >= cut, F.lit(True))  # events without a date come with the later ones
+    batches = [lineitem.where(~late), lineitem.where(late), None]
     for batch in batches:
         if batch is not None:
             _write_messages(ev.avro_messages(batch, avro_text), f"{root}/source")
@@ -444,7 +445,7 @@ def stream_memory_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT * FROM structured_data")
 
 
-@register("start_position", oracle.sales_events_sql(where=f"l_shipdate >= TIMESTAMP '{V1_CUTOVER}'"))
+@register("start_position", oracle.sales_events_sql(where=f"l_shipdate >= TIMESTAMP '{V1_CUTOVER}' OR l_shipdate IS NULL"))
 def start_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Start at "@latest": the backlog present at first start is skipped; later events all arrive."""
     root = work_dir(spark, "start_position")
@@ -452,7 +453,8 @@ def start_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = read_table(spark, sf_dir, "lineitem")
     cut = F.lit(V1_CUTOVER).cast("timestamp")
     position = stream.StartingPosition("@latest", inclusive=True)
-    for batch in (lineitem.where(F.col("l_shipdate") < cut), lineitem.where(F.col("l_shipdate") >= cut)):
+    late = F.coalesce(F.col("l_shipdate") >= cut, F.lit(True))
+    for batch in (lineitem.where(~late), lineitem.where(late)):
         _write_messages(ev.avro_messages(batch, avro_text), f"{root}/source")
         spec = stream.resolve_start(spark, f"{root}/source", f"{root}/checkpoint", position)
         messages = stream.apply_start(stream.read_messages(spark, f"{root}/source"), spec)
@@ -461,6 +463,26 @@ def start_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{root}/table")
 
 
+@register("start_position_partitions", oracle.sales_events_sql(where=f"l_shipdate >= TIMESTAMP '{V1_CUTOVER}' OR l_shipdate IS NULL"))
+def start_position_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start at "@latest" of every broker partition. Offsets of one partition are far behind
+    the other's, so one position for both would drop its later events."""
+    root = work_dir(spark, "start_partitions")
+    avro_text = sales_event_avro()
+    schema = ev.partitioned_schema()
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    old = F.coalesce(F.col("l_shipdate") < F.lit(V1_CUTOVER).cast("timestamp"), F.lit(False))
+    for batch in (lineitem.where(old), lineitem.where(~old)):
+        messages = ev.avro_messages(batch, avro_text, carry=("l_linenumber",))
+        _write_messages(ev.in_partitions(messages, F.col("l_linenumber") % 2), f"{root}/source")
+        spec = stream.resolve_start(spark, f"{root}/source", f"{root}/checkpoint", stream.StartingPosition("@latest"),
+                                    partition="partition", schema=schema)
+        source = stream.apply_start(stream.read_messages(spark, f"{root}/source", schema=schema), spec)
+        events = stream.decode_stream(source, "avro", avro_text)
+        stream.run_to_end(stream.append_stream(events, f"{root}/table", f"{root}/checkpoint"))
+    return spark.read.parquet(f"{root}/table")
+
+
 @register("stream_quarantine", _TRUNCATED_RETURNS_SQL)
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stream with truncated returned-item bodies: one query decodes each micro-batch
@@ -469,11 +491,12 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "stream_quarantine")
     avro_text = sales_event_avro()
     _write_messages(_truncated_return_messages(spark, sf_dir, avro_text), f"{root}/source")
-    decoded = stream.decode_stream(stream.read_messages(spark, f"{root}/source"), "avro", avro_text, with_errors=True)
+    decoded = stream.decode_stream(stream.read_messages(spark, f"{root}/source"), "avro", avro_text, with_errors=True,
+                                   keep_message=True)
     stream.run_to_end(stream.append_with_quarantine(decoded, f"{root}/table", f"{root}/quarantine",
                                                     f"{root}/checkpoint"))
     table = spark.read.parquet(f"{root}/table").withColumn(qjson.CORRUPT_COLUMN, F.lit(None).cast("string"))
-    return table.unionByName(spark.read.parquet(f"{root}/quarantine")).drop("batch_id")
+    return table.unionByName(spark.read.parquet(f"{root}/quarantine").drop(stream.MESSAGE_COLUMN)).drop("batch_id")
 
 
 # ---------------------------------------------------------------------------

@@ -10,8 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.functions.schemas import (
+    MESSAGE_SCHEMA,
     SALES_EVENT_SCHEMA,
     SALES_EVENT_TIME_FIELD,
 )
@@ -60,6 +62,19 @@ def message_offset() -> Column:
     return F.unix_seconds(F.col("l_shipdate").cast("timestamp")) * F.lit(100_000_000) + within_day
 
 
+def partitioned_schema() -> T.StructType:
+    """Messages with the name of the broker partition that they came from."""
+    return T.StructType([*MESSAGE_SCHEMA.fields, T.StructField("partition", T.StringType())])
+
+
+def in_partitions(messages: DataFrame, partition: Column) -> DataFrame:
+    """Messages of the broker partition ``partition`` (0, 1, ...), each of which counts its
+    offsets alone: those of partition p are divided by 1000 to the power p, rounded down."""
+    places = F.pow(F.lit(1000), partition).cast("long")
+    return messages.select("body", F.floor(F.col("offset") / places).cast("long").alias("offset"), "enqueued_time",
+                           "schema_id", partition.cast("string").alias("partition"))
+
+
 def wire_record(events: DataFrame) -> Column:
     """The record as it goes on the wire: timestamp-seconds as an epoch-seconds long."""
     fields = []

@@ -134,3 +134,63 @@ def test_a_replayed_quarantine_batch_overwrites_instead_of_duplicating(spark, sf
         stream.write_split_batch(batch, 7, f"{scratch}/table", f"{scratch}/quarantine")
     assert spark.read.parquet(f"{scratch}/table").count() == msgs.count()
     assert spark.read.parquet(f"{scratch}/quarantine").count() == 2
+
+
+def test_each_broker_partition_starts_at_its_own_position(spark, scratch):
+    schema = ev.partitioned_schema()
+
+    def land(rows):
+        frame = spark.createDataFrame([(f'{{"n": {o}}}'.encode(), o, None, None, p) for p, o in rows], schema)
+        frame.coalesce(1).write.mode("append").parquet(f"{scratch}/src")
+
+    def seen(name, position):
+        spec = stream.resolve_start(spark, f"{scratch}/src", f"{scratch}/{name}", position, partition="partition", schema=schema)
+        assert spec == stream.resolve_start(spark, f"{scratch}/src", f"{scratch}/{name}", position, partition="partition", schema=schema)
+        source = stream.apply_start(stream.read_messages(spark, f"{scratch}/src", schema=schema), spec)
+        query = stream.append_stream(source.select("partition", "offset"), f"{scratch}/{name}-out", f"{scratch}/{name}")
+        stream.run_to_end(query)
+        return sorted(map(tuple, spark.read.parquet(f"{scratch}/{name}-out").collect()), key=lambda r: (r[0] or "", r[1]))
+
+    start = stream.StartingPosition
+    mixed = start("@latest", partitions={"b": start(11, inclusive=True), "c": start(5, inclusive=False)})
+    land([("a", 1000), ("a", 1001), ("b", 10), ("b", 11), (None, 3)])
+    assert seen("latest", start("@latest")) == [(None, 3)]  # no partition: read from the beginning
+    assert seen("mixed", mixed)[-1] == ("b", 11)
+    # later events: the slower partition's offsets are still below the other's, and a new partition appears
+    land([("a", 1002), ("b", 12), ("c", 5), ("c", 6), ("d", 0)])
+    late = [("a", 1002), ("b", 12), ("c", 5), ("c", 6), ("d", 0)]
+    assert [r for r in seen("latest", start("@latest")) if r[0]] == late
+    assert [r for r in seen("mixed", mixed) if r[0]] == [("a", 1002), ("b", 11), ("b", 12), ("c", 6), ("d", 0)]
+    assert len(seen("all", start("@earliest"))) == 10
+    assert [r for r in seen("number", start(12)) if r[0]] == [("a", 1000), ("a", 1001), ("a", 1002), ("b", 12)]
+
+
+def test_a_source_with_its_own_schema_opens_without_path(spark, scratch):
+    source = stream.read_messages(spark, fmt="rate", options={"rowsPerSecond": "200"})
+    assert source.columns == ["timestamp", "value"]
+    messages = stream.as_messages(source, body="value", offset="value", partition=None)
+    assert messages.columns == ["body", "offset", "enqueued_time", "schema_id"]
+    query = stream.append_stream(messages, f"{scratch}/out", f"{scratch}/ck", trigger="200 milliseconds")
+    try:
+        for _ in range(100):
+            query.processAllAvailable()
+            if query.lastProgress and sum(p["numInputRows"] for p in query.recentProgress):
+                break
+    finally:
+        query.stop()
+    rows = spark.read.parquet(f"{scratch}/out").collect()
+    assert rows and all(bytes(r.body).decode() == str(r.offset) for r in rows)
+
+
+def test_quarantine_keeps_the_message(spark, scratch):
+    rows = [(b"\x07garbage", 7, None, "s1"), (None, 8, None, "s2")]
+    from quayside.functions.schemas import MESSAGE_SCHEMA
+
+    messages = spark.createDataFrame(rows, MESSAGE_SCHEMA)
+    for codec, avro_text in (("avro", sales_event_avro()), ("json", None)):
+        decoded = stream.decode_stream(messages, codec, avro_text, with_errors=True, keep_message=True)
+        stream.write_split_batch(decoded, 1, f"{scratch}/{codec}/t", f"{scratch}/{codec}/q")
+        bad = spark.read.parquet(f"{scratch}/{codec}/q").select("_message.*", "_decode_error").collect()
+        found = {r.offset: (None if r.body is None else bytes(r.body), r.schema_id) for r in bad if r._decode_error}
+        assert found == {7: (b"\x07garbage", "s1"), 8: (None, "s2")}
+        assert "_message" not in spark.read.parquet(f"{scratch}/{codec}/t").columns
