@@ -6,6 +6,7 @@ where SQL can express the result.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from quayside.session import prepare, work_dir
 from quayside.sources import documents as docs
 from quayside.sources import events as ev
 from quayside.sources import registry as reg
+from quayside.sources import store
 from quayside.sources import tables
 from quayside.sources.tables import read_table
 from quayside.streaming import events as stream
@@ -117,6 +119,27 @@ def doc_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.documents_from_table(read_table(spark, sf_dir, "documents"))
 
 
+@register("doc_source", f"SELECT * FROM ({oracle.DOCS_SQL} WHERE lang = 'en')")
+def doc_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of one language from a document store, by format and options; the language
+    filter is pushed to the source."""
+    found = store.read_documents(spark, options={"endpoint": sf_dir, "container": "documents"})
+    return found.where(F.col("lang") == "en").select("id", "fileName", "text")
+
+
+@register("doc_source_catalog", f"SELECT id FROM ({oracle.DOCS_SQL}) WHERE coalesce(text, '') <> ''")
+def doc_source_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A container under a catalog name, read by SQL and ingested: ids of the index (texts that
+    are empty fail alone)."""
+    run = uuid.uuid4().hex[:12]
+    store.register_catalog(spark, f"store_{run}", sf_dir)
+    store.create_container_view(spark, f"documents_{run}", f"store_{run}.documents")
+    documents = spark.sql(f"SELECT CAST(doc_id AS STRING) AS id, source AS fileName, text FROM documents_{run}")
+    paths = ingest.IngestPaths.fresh(spark)
+    ingest.ingest(spark, documents, paths, embedding.HashingEmbedder(), batch_size=1)
+    return ingest.read_index(spark, paths).select("id")
+
+
 @register(
     "clean_text",
     f"SELECT CAST(doc_id AS VARCHAR) AS id, {oracle.clean_text_sql('text')} AS content FROM documents",
@@ -436,13 +459,14 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_memory_sql", oracle.sales_events_sql())
 def stream_memory_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON messages -> CAST(body AS STRING) -> from_json -> table ``structured_data`` -> SQL."""
+    """JSON messages -> CAST(body AS STRING) -> from_json -> a catalog table -> SQL. The table has
+    a name of its own, so nothing of the caller's catalog is touched."""
     root = work_dir(spark, "stream_sql")
     _write_messages(ev.json_messages(read_table(spark, sf_dir, "lineitem")), f"{root}/source")
     events = stream.decode_stream(stream.read_messages(spark, f"{root}/source"), "json")
-    spark.sql("DROP TABLE IF EXISTS structured_data")
-    stream.run_to_end(stream.table_stream(events, "structured_data", f"{root}/table", f"{root}/checkpoint"))
-    return spark.sql("SELECT * FROM structured_data")
+    table = f"structured_data_{uuid.uuid4().hex[:12]}"
+    stream.run_to_end(stream.table_stream(events, table, f"{root}/table", f"{root}/checkpoint"))
+    return spark.sql(f"SELECT * FROM {table}")
 
 
 @register("start_position", oracle.sales_events_sql(where=f"l_shipdate >= TIMESTAMP '{V1_CUTOVER}' OR l_shipdate IS NULL"))
@@ -506,16 +530,15 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 def table_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CREATE DATABASE/TABLE IF NOT EXISTS (bucketed by session_id), INSERT decoded events, SELECT."""
     root = work_dir(spark, "table_ddl")
-    # each run gets fresh locations; drop the names a previous run in this session left
-    # (external tables: their files stay), so a re-run does not insert into old tables
-    spark.sql("DROP TABLE IF EXISTS quayside_db.sales_events")
-    spark.sql("DROP TABLE IF EXISTS quayside_db.search_index")
-    tables.create_event_table(spark, "quayside_db", "sales_events", f"{root}/sales_events")
-    tables.create_index_table(spark, "quayside_db", "search_index", f"{root}/search_index", dim=64)
-    tables.create_index_table(spark, "quayside_db", "search_index", f"{root}/search_index", dim=64)  # no-op
+    # names of this run's own: nothing of the caller's catalog is dropped or inserted into
+    run = uuid.uuid4().hex[:12]
+    events_table, index_table = f"sales_events_{run}", f"search_index_{run}"
+    tables.create_event_table(spark, "quayside_db", events_table, f"{root}/sales_events")
+    tables.create_index_table(spark, "quayside_db", index_table, f"{root}/search_index", dim=64)
+    tables.create_index_table(spark, "quayside_db", index_table, f"{root}/search_index", dim=64)  # no-op
     events = qjson.decode_json_messages(ev.json_messages(read_table(spark, sf_dir, "lineitem")))
-    tables.insert_events(events, "quayside_db.sales_events")
-    return spark.sql("SELECT * FROM quayside_db.sales_events")
+    tables.insert_events(events, f"quayside_db.{events_table}")
+    return spark.sql(f"SELECT * FROM quayside_db.{events_table}")
 
 
 @register(
