@@ -3,10 +3,10 @@
 Tokens score by their log-odds between toxic and clean training texts under an informative Dirichlet prior; a word
 never seen falls back to its longest known beginning. A linear scan (Ruzzo and Tompa's all maximal scoring
 subsequences) finds every passage whose score no extension or cut improves; every occurrence of a token scores, though
-in learning a text counts once for it. Karlin-Altschul statistics turn a
-passage's score S in a text of n words into the extreme-value variate lambda * S - ln(n): that of the best passage,
-together with the sum over all significant ones, is calibrated to a probability on training texts that the token
-scores were not learned from.
+in learning a text counts once for it. Karlin-Altschul statistics turn a passage's score S in a text of n words into the
+extreme-value variate lambda * S - ln(K * n), with lambda and K from the tokens and passages of clean training texts: that
+of the best passage, together with the sum over all significant ones, is calibrated to a probability. For that, every
+training text is scored by token scores that were learned from the other folds.
 
 Labels come from a bounded sample: for each class the ``docs_per_class`` labelled documents with the smallest hash of
 their key. Every document is scored from its whole text.
@@ -40,7 +40,12 @@ CAUTION = 2.0
 #: What a token adds that says nothing, so that passages end where nothing toxic follows.
 DRIFT = -0.5
 FLOOR, CEILING = -3.0, 8.0
-SIGNIFICANT = 0.05
+#: A passage is significant where chance gives less than one as good in such a text.
+SIGNIFICANT = 1.0
+#: Chance of a token that only toxic texts have, over all tokens, under which it counts.
+ONE_SIDED = 0.05
+#: Share of the passages of clean texts under the score at which K is read off.
+TAIL = 0.9
 #: The variate of a text without any passage.
 LOWEST = -12.0
 CACHE_WORDS = 400_000
@@ -145,7 +150,7 @@ def log_odds(counts: pd.DataFrame) -> dict[str, float]:
         cautious = np.sign(delta) * np.maximum(np.abs(delta) - CAUTION * np.minimum(error, np.abs(delta)), 0)
         # an unseen count leaves an error without meaning: a token of toxic texts only counts if so many of them by
         # chance are unlikely, given how many tokens there are
-        enough = np.log(max(len(part), 1) / SIGNIFICANT) / -np.log(min(max(n1 / max(n1 + n0, 1), 1e-6), 0.9))
+        enough = np.log(max(len(part), 1) / ONE_SIDED) / -np.log(min(max(n1 / max(n1 + n0, 1), 1e-6), 0.9))
         one_sided = (y0 == 0) & (y1 >= enough)
         cautious = np.where(one_sided, np.log(np.maximum(y1, 1)), np.where(y0 == 0, np.minimum(cautious, 0), cautious))
         out |= {f: float(s) for f, s in zip(part["feature"], np.clip(cautious, FLOOR, CEILING)) if abs(s) > 1e-3}
@@ -167,6 +172,17 @@ def karlin_rate(scores: np.ndarray, counts: np.ndarray) -> float:
     return min(high, 4.0)
 
 
+def karlin_size(scores: np.ndarray, counts: np.ndarray, tokens: int, rate: float) -> float:
+    """K from the passages of clean texts: as many as K * tokens * exp(-lambda * S) score S or more; 1 without any."""
+    if not len(scores) or not tokens:
+        return 1.0
+    order = np.argsort(scores)
+    scores, counts = scores[order], counts[order]
+    at = int(np.searchsorted(np.cumsum(counts), TAIL * counts.sum()))
+    at = min(at, len(scores) - 1)
+    return float(np.clip(counts[at:].sum() / (tokens * np.exp(-rate * scores[at])), 1e-3, 1e3))
+
+
 def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     """Weights of a logistic regression (last: constant) by Newton steps."""
     a = np.column_stack([x, np.ones(len(x))])
@@ -184,13 +200,13 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.
 def _count(batches):
     for pdf in batches:
         counts: Counter = Counter()
-        for text, toxic in zip(pdf["text"], pdf["toxic"]):
+        for text, toxic, fold in zip(pdf["text"], pdf["toxic"], pdf["fold"]):
             # a text counts once for a token, however often it repeats it
             for f in {f for word in set(LETTERS.findall(text.lower())) for f in features(word)}:
-                counts[f, toxic] += 1
+                counts[f, toxic, fold] += 1
         if counts:
-            yield pd.DataFrame([(f, n if t else 0, 0 if t else n) for (f, t), n in counts.items()],
-                               columns=["feature", "toxic", "clean"])
+            yield pd.DataFrame([(f, fold, n if t else 0, 0 if t else n) for (f, t, fold), n in counts.items()],
+                               columns=["feature", "fold", "toxic", "clean"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -203,44 +219,76 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     ids = docs.select(F.col(key).alias("key")).join(known, "key").withColumn("h", F.xxhash64("key"))
     first = Window.partitionBy("toxic").orderBy("h", "key")
     chosen = ids.distinct().withColumn("r", F.row_number().over(first)).where(F.col("r") <= docs_per_class)
-    chosen = F.broadcast(chosen.select("key", "toxic", (F.pmod("h", F.lit(CALIBRATION_FOLDS)) == 0).alias("aside")))
+    chosen = F.broadcast(chosen.select("key", "toxic", F.pmod("h", F.lit(CALIBRATION_FOLDS)).cast("int").alias("fold")))
     rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(chosen, "key")
-    rows = common.stored(rows.select("text", "toxic", "aside"), "toxicity-sample")  # 2 x docs_per_class texts at most
-    seen = {(r["toxic"], r["aside"]) for r in rows.select("toxic", "aside").distinct().collect()}
-    if {t for t, aside in seen if not aside} != {0, 1}:
+    rows = common.stored(rows.select("text", "toxic", "fold"), "toxicity-sample")  # 2 x docs_per_class texts at most
+    if {r["toxic"] for r in rows.select("toxic").distinct().collect()} != {0, 1}:
         return Model()
-    counts = rows.where("not aside").mapInPandas(_count, "feature string, toxic bigint, clean bigint")
-    counts = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    n = counts.agg(F.sum("toxic"), F.sum("clean")).first()
+    counts = rows.mapInPandas(_count, "feature string, fold int, toxic bigint, clean bigint")
+    by_fold = [F.sum(F.when(F.col("fold") == f, F.col(c)).otherwise(0)).alias(f"{c}{f}")
+               for f in range(CALIBRATION_FOLDS) for c in ("toxic", "clean")]
+    counts = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), *by_fold)
+    counts = common.stored(counts.where((F.col("toxic") + F.col("clean")) >= MIN_TEXTS), "toxicity-counts")
+    n = counts.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.coalesce(F.sum("clean"), F.lit(0))).first()
     skew = F.abs(F.log((F.col("toxic") + 0.5) / (n[0] + 1)) - F.log((F.col("clean") + 0.5) / (n[1] + 1)))
-    strong = counts.where((F.col("toxic") + F.col("clean")) >= MIN_TEXTS).orderBy(
-        F.desc(skew * F.sqrt(F.col("toxic") + F.col("clean"))), "feature").limit(MAX_FEATURES)
-    model = Model(scores=log_odds(strong.toPandas().sort_values("feature", ignore_index=True)))
+    strong = counts.orderBy(F.desc(skew * F.sqrt(F.col("toxic") + F.col("clean"))), "feature").limit(MAX_FEATURES)
+    table = strong.toPandas().sort_values("feature", ignore_index=True)
+    model = Model(scores=log_odds(table))
 
     shared = spark.sparkContext.broadcast(model)
 
     def score_counts(batches):
         score = shared.value.scorer()
         for pdf in batches:
-            for text, toxic, aside in zip(pdf["text"], pdf["toxic"], pdf["aside"]):
-                if not toxic and not aside:
-                    v, c = np.unique(np.round(score(text), 1), return_counts=True)
-                    yield pd.DataFrame({"s": v, "n": c})
-
-    spread = rows.mapInPandas(score_counts, "s double, n bigint").groupBy("s").agg(F.sum("n").alias("n")).toPandas()
-    model.rate = karlin_rate(spread["s"].to_numpy(float), spread["n"].to_numpy(float))
-    calibrate(rows.where("aside") if {t for t, aside in seen if aside} == {0, 1} else rows, model)
+            for text, toxic in zip(pdf["text"], pdf["toxic"]):
+                if not toxic:
+                    tokens = score(text)
+                    passages = np.array([s for _, _, s in maximal_segments(tokens)])
+                    for kind, found in (("token", np.round(tokens, 1)), ("passage", np.round(passages, 2))):
+                        v, c = np.unique(found, return_counts=True)
+                        yield pd.DataFrame({"kind": kind, "s": v, "n": c})
+
+    spread = rows.mapInPandas(score_counts, "kind string, s double, n bigint").groupBy("kind", "s").agg(F.sum("n").alias("n")).toPandas()
+    of = {k: (g["s"].to_numpy(float), g["n"].to_numpy(float)) for k, g in spread.groupby("kind")}
+    tokens, passages = (of.get(k, (np.zeros(0), np.zeros(0))) for k in ("token", "passage"))
+    model.rate = karlin_rate(*tokens)
+    model.size = karlin_size(*passages, int(tokens[1].sum()), model.rate)
+    calibrate(rows, model, table)
     return model
 
 
-def calibrate(rows: DataFrame, model: Model) -> None:
-    """Set the weights from rows (text, toxic): logistic regression on the extreme-value variates."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+def calibrate(rows: DataFrame, model: Model, table: pd.DataFrame) -> None:
+    """Set the weights from rows (text, toxic, fold): logistic regression on the extreme-value variates that token
+    scores learned from the other folds give; ``table`` has each token's counts by fold."""
+    place = {f: i for i, f in enumerate(table["feature"])}
+    scores = np.zeros((len(table), CALIBRATION_FOLDS), dtype=np.float32)
+    for fold in range(CALIBRATION_FOLDS):
+        rest = pd.DataFrame({"feature": table["feature"], **{c: table[c] - table[f"{c}{fold}"] for c in ("toxic", "clean")}})
+        for f, s in log_odds(rest[rest["toxic"] + rest["clean"] >= MIN_TEXTS]).items():
+            scores[place[f], fold] = s
+    shared = rows.sparkSession.sparkContext.broadcast((model, place, scores))
 
     def run(batches):
-        score = shared.value.scorer()
+        own, place, scores = shared.value
+        known: dict[str, np.ndarray] = {}
+
+        def word_scores(word: str) -> np.ndarray:
+            """A word's score in every fold: that of the longest beginning that has one."""
+            if (out := known.get(word)) is None:
+                out = np.zeros(CALIBRATION_FOLDS)
+                for f in features(word):
+                    if (i := place.get(f)) is not None:
+                        out = np.where(out == 0, scores[i], out)
+                if len(known) > CACHE_WORDS // CALIBRATION_FOLDS:
+                    known.clear()
+                known[word] = out
+            return out
+
         for pdf in batches:
-            found = [shared.value.variates(score(t))[:2] for t in pdf["text"]]
+            found = []
+            for text, fold in zip(pdf["text"], pdf["fold"]):
+                words = LETTERS.findall(text.lower())
+                found.append(own.variates(np.array([word_scores(w)[fold] for w in words], dtype=float) + DRIFT)[:2])
             yield pd.DataFrame({"best": [f[0] for f in found], "total": [f[1] for f in found], "toxic": pdf["toxic"]})
 
     got = rows.mapInPandas(run, "best double, total double, toxic int").toPandas()  # 2 x docs_per_class rows at most
@@ -258,7 +306,7 @@ SCORED = "score double, predicted int, passages array<struct<start:int,end:int,s
 
 def score(docs: DataFrame, model: Model, text: str = "text", prefix: str = "") -> DataFrame:
     """``docs`` with score, predicted and passages (first word, word after the last, variate), each named with
-    ``prefix``; rows of any columns pass through Arrow unchanged."""
+    ``prefix``; columns of other names pass through Arrow unchanged."""
     import pyarrow as pa
     from pyspark.sql.types import StructType, _parse_datatype_string
 
@@ -266,7 +314,9 @@ def score(docs: DataFrame, model: Model, text: str = "text", prefix: str = "") -
     common.bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     new = _parse_datatype_string(SCORED)
-    schema = StructType(docs.schema.fields + [f.__class__(prefix + f.name, f.dataType) for f in new.fields])
+    names = [prefix + f.name for f in new.fields]
+    kept = [i for i, f in enumerate(docs.schema.fields) if f.name not in names]
+    schema = StructType([docs.schema.fields[i] for i in kept] + [f.__class__(n, f.dataType) for n, f in zip(names, new.fields)])
     at = docs.columns.index(text)
     struct = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("significance", pa.float64())])
 
@@ -280,7 +330,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", prefix: str = "") -
                 p.append(own.probability(best, total))
                 passages.append([{"start": s, "end": e, "significance": w} for s, e, w in found])
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(p, pa.float64()), pa.array([int(x >= THRESHOLD) for x in p], pa.int32()),
+                [*(b.column(i) for i in kept), pa.array(p, pa.float64()), pa.array([int(x >= THRESHOLD) for x in p], pa.int32()),
                  pa.array(passages, pa.list_(struct))], [f.name for f in schema.fields])
 
     return docs.mapInArrow(run, schema)

@@ -357,3 +357,21 @@ def test_pii_finds_secrets_without_digits_whole():
         assert pii.wide_spans(f"the key {value} is here") == [("secret", 8, 8 + len(value))]
     for value in ("hunterhunter", "aB-3xyz!" * 12):
         assert pii.wide_spans(f"use password={value} here") == [("secret", 13, 13 + len(value))]
+
+
+def test_toxicity_finds_held_out_documents(spark, sf_dir):
+    """0.9 of the toxic documents that were not learned from, and 1 in 50 clean ones at most."""
+    from quayside.llm import queries
+
+    sf_dir = sf_dir.replace("sf0.001", "sf0.1")
+    labels = common.table(spark, sf_dir, "labels").where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    rows = queries.QUERIES["op6_toxicity"](spark, sf_dir).where("held_out").join(labels, "doc_id").collect()
+    toxic, clean = ([r.predicted for r in rows if r.toxic == t] for t in (1, 0))
+    assert sum(toxic) >= 0.9 * len(toxic) and sum(clean) <= 0.02 * len(clean)
+
+
+def test_toxicity_replaces_clashing_columns(spark):
+    docs = make(spark, ["a b", None, ""])
+    scored = toxicity.score(docs, toxicity.Model())
+    assert scored.columns == ["doc_id", "text", "lang", "source", "n_chars", "key", "n", "h", "score", "predicted", "passages"]
+    assert [(r.score < 0.1, r.predicted, r.passages) for r in scored.collect()] == [(True, 0, [])] * 3
