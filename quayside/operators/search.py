@@ -26,6 +26,24 @@ def facets(index: DataFrame, facet: str, key: str = "id") -> DataFrame:
     )
 
 
+def write_sorted(index: DataFrame, path: str, key: str = "id") -> None:
+    """The index in ranges of its key: every file holds one range in order, so that a filter on
+    the key reads only the row groups of that range (their statistics tell)."""
+    by_key = F.col(key).asc_nulls_first()
+    index.repartitionByRange(by_key).sortWithinPartitions(by_key).write.mode("errorifexists").parquet(path)
+
+
+def page(index: DataFrame, size: int, after: str | None = None, key: str = "id", upto: str | None = None) -> DataFrame:
+    """The next ``size`` rows in order of ``key`` behind the one of the page before (keyset
+    paging: no row that a page skips is sorted or counted), within ``key <= upto``."""
+    rows = index.where(F.col(key).isNotNull())
+    if after is not None:
+        rows = rows.where(F.col(key) > F.lit(after))
+    if upto is not None:
+        rows = rows.where(F.col(key) <= F.lit(upto))
+    return rows.orderBy(key).limit(size)
+
+
 def top_k(scored: DataFrame, group: str, key: str, score: str, k: int) -> DataFrame:
     """Best ``k`` rows per ``group`` by ``score`` (ties by ``key``), with ``rank`` 1..k.
 

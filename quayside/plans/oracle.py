@@ -90,6 +90,23 @@ FROM b LEFT JOIN f USING (batch_id)
 UNION ALL SELECT id, fileName, text, NULL, 'failed', 'document without an id' FROM ({DOCS_SQL}) WHERE id IS NULL"""
 
 
+def index_vectors_sql(dim: int) -> str:
+    """Vectors of successful documents: word tokens hashed by crc32 into ``dim`` signed places, to unit length."""
+    byte = "CAST('0x' || substr(hex(t), CAST(2 * i - 1 AS BIGINT), 2) AS BIGINT)"
+    codes = f"list_transform(range(1, strlen(t) + 1), lambda i: {byte})"
+    zeros = ", ".join(["0"] * 8)
+    bits = f"list_reduce([xor(a, b), {zeros}], lambda u, z: CASE WHEN u % 2 = 1 THEN xor(u >> 1, 3988292384) ELSE u >> 1 END)"
+    crc = f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {codes}), lambda a, b: {bits}), 4294967295)"
+    return f"""WITH o AS (SELECT id, fileName, text FROM ({outcome_sql()}) WHERE status = 'success'),
+w AS (SELECT id, unnest(regexp_extract_all(lower(text), '[\\pL\\pN_]+')) AS t FROM o),
+h AS (SELECT t, {crc} AS h FROM (SELECT DISTINCT t FROM w)),
+p AS (SELECT id, h % {dim} AS place, sum(CASE WHEN h >> 31 = 1 THEN -1 ELSE 1 END) AS v FROM w JOIN h USING (t) GROUP BY ALL),
+n AS (SELECT id, sqrt(sum(v * v)) AS norm FROM p GROUP BY id)
+SELECT o.id, {clean_text_sql('o.text')} AS content, o.fileName, CAST(r.place AS INTEGER) AS place,
+  round(CAST(CAST(CASE WHEN coalesce(norm, 0) > 0 THEN coalesce(v, 0) / norm ELSE 0 END AS FLOAT) AS DOUBLE), 6) AS value
+FROM o CROSS JOIN range({dim}) AS r(place) LEFT JOIN n ON n.id = o.id LEFT JOIN p ON p.id = o.id AND p.place = r.place"""
+
+
 def _unit(v: str) -> str:
     return f"list_transform({v}, lambda y: y / sqrt(list_sum(list_transform({v}, lambda z: z * z))))"
 

@@ -183,6 +183,15 @@ def pending_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pending.pending_documents(d, c)
 
 
+@register("pending_documents_bloom", ORACLE["pending_documents"])
+def pending_documents_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by way of a Bloom filter of finished ids, as for a checkpoint too large to send:
+    only documents that may be done are shuffled."""
+    d = docs.documents_from_table(read_table(spark, sf_dir, "documents"))
+    c = docs.checkpoint_from_labels(read_table(spark, sf_dir, "labels"))
+    return pending.pending_documents(d, c, bloom=True)
+
+
 @register(
     "pending_notin",
     f"SELECT d.* FROM ({oracle.DOCS_SQL}) d WHERE d.id NOT IN (SELECT id FROM ({oracle.CHECKPOINT_SQL}))",
@@ -205,6 +214,21 @@ def facet_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.facets(d, "fileName", "id")
 
 
+#: Documents per page, and the id behind which the registered page query starts.
+PAGE_SIZE, PAGE_AFTER = 100, "5"
+
+
+@register(
+    "index_page",
+    f"SELECT id, fileName, text FROM ({oracle.DOCS_SQL}) WHERE id > '{PAGE_AFTER}' ORDER BY id LIMIT {PAGE_SIZE}",
+)
+def index_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page of documents in order of their (text) id, from an index stored in ranges of it."""
+    path = f"{work_dir(spark, 'sorted')}/index"
+    search.write_sorted(docs.documents_from_table(read_table(spark, sf_dir, "documents")), path)
+    return search.page(spark.read.parquet(path), PAGE_SIZE, PAGE_AFTER)
+
+
 # ---------------------------------------------------------------------------
 # Avro events and the schema registry
 # ---------------------------------------------------------------------------
@@ -335,6 +359,14 @@ def index_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.read_index(spark, paths)
 
 
+@register("index_vectors", oracle.index_vectors_sql(dim=64))
+def index_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every element of every vector of the index after one run, beside content and fileName."""
+    index = index_documents(spark, sf_dir)
+    return index.select("id", "content", "fileName", F.posexplode("contentVector").alias("place", "value")).select(
+        "id", "content", "fileName", "place", F.round(F.col("value").cast("double"), 6).alias("value"))
+
+
 @register(
     "failure_log",
     f"SELECT id, fileName, text, error FROM ({oracle.outcome_sql()}) WHERE status = 'failed'",

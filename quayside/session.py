@@ -108,11 +108,16 @@ def partitions_for(df) -> int:
                      spark.sparkContext.defaultParallelism)
     target = max(conf_bytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")),
                  conf_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m")))
+    size = estimated_bytes(df)
+    return configured if size is None else int(min(max(configured, -(-size // max(1, target))), MAX_PARTITIONS))
+
+
+def estimated_bytes(df) -> int | None:
+    """The optimizer's estimate of a DataFrame's size; None where it has none."""
+    spark = df.sparkSession
     try:
         size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     except Exception:  # no JVM view of the plan (e.g. a remote session)
-        return configured
-    unknown = conf_bytes(spark.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
-    if size >= unknown:  # no estimate (e.g. local rows): Spark reports its default
-        return configured
-    return int(min(max(configured, -(-size // max(1, target))), MAX_PARTITIONS))
+        return None
+    # no estimate (e.g. local rows): Spark reports its default
+    return size if size < conf_bytes(spark.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1))) else None

@@ -57,3 +57,36 @@ def test_checkpoint_missing_empty_corrupt_and_parts(spark, scratch):
         fh.write('{"id": "1"}\n{broken\n')
     with pytest.raises(Exception):
         docs.read_checkpoint(spark, corrupt).collect()
+
+
+def test_bloom_filter_keeps_sure_misses_in_place_and_is_exact(spark, monkeypatch):
+    monkeypatch.setattr(pending, "BITS_PER_ID", 1)  # small, so that there are false positives
+    docs = spark.range(6000).selectExpr("cast(id AS string) AS id", "'f' AS fileName", "repeat('x', 50) AS text")
+    docs = docs.union(spark.createDataFrame([(None, "f", "no id"), ("7", "f", "twice")], "id string, fileName string, text string"))
+    done = spark.range(0, 9000, 3).selectExpr("cast(id AS string) AS id").union(spark.createDataFrame([(None,)], "id string"))
+    want = sorted(map(str, docs.join(done.distinct(), "id", "left_anti").collect()))
+    assert sorted(map(str, pending.pending_documents(docs, done, bloom=True).collect())) == want
+    marked = pending.may_be_done(docs, done.distinct())
+    hits = {r.id for r in marked.where("_maybe").collect()}
+    assert hits >= {str(i) for i in range(0, 6000, 3)}  # nothing that is done is missed
+    false = len(hits) - 2000
+    assert 0 < false < 2500 and None not in hits
+    monkeypatch.setattr(pending, "BITS_PER_ID", 10)
+    assert len({r.id for r in pending.may_be_done(docs, done.distinct()).where("_maybe").collect()}) < 2150
+    nothing = pending.pending_documents(docs, done.limit(0), bloom=True)
+    assert nothing.count() == 6002
+
+
+def test_large_checkpoints_take_the_filter(spark, scratch):
+    docs = spark.range(200).selectExpr("cast(id AS string) AS id", "'f' AS fileName", "'t' AS text")
+    spark.range(0, 200, 2).selectExpr("cast(id AS string) AS id").write.parquet(f"{scratch}/done")
+    done = spark.read.parquet(f"{scratch}/done")
+    small = pending.pending_documents(docs, done)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "16b")
+    try:
+        large = pending.pending_documents(docs, done)
+        assert "_bits" in large._jdf.queryExecution().analyzed().toString()
+        assert sorted(map(tuple, large.collect())) == sorted(map(tuple, small.collect()))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "_bits" not in small._jdf.queryExecution().analyzed().toString()

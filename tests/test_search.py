@@ -184,3 +184,25 @@ def test_facets_with_a_hot_value_aggregate_before_the_shuffle(spark):
     assert sum(v[0] for v in got.values()) == 3000
     plan = search.facets(index, "fileName")._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan  # map-side counts: the hot value ships one row per task
+
+
+def test_pages_follow_each_other_and_read_their_range_only(spark, scratch):
+    index = spark.range(5000).selectExpr("lpad(id, 5, '0') AS id", "'text ' || id AS content").repartition(5)
+    index = index.union(spark.createDataFrame([(None, "no id")], "id string, content string"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        search.write_sorted(index, f"{scratch}/sorted")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    stored = spark.read.parquet(f"{scratch}/sorted")
+    assert stored.count() == 5001
+    after, seen = None, []
+    while rows := search.page(stored, 700, after, upto="04200").collect():
+        seen += [r.id for r in rows]
+        after = rows[-1].id
+    assert seen == [f"{i:05d}" for i in range(4201)]
+    one = stored.where(F.col("id") > "04900").select("id", F.col("_metadata.file_name").alias("f"))
+    assert one.select("f").distinct().count() < stored.select(F.col("_metadata.file_name").alias("f")).distinct().count()
+    assert "GreaterThan(id,04900)" in one._jdf.queryExecution().executedPlan().toString()
+    assert search.page(stored.limit(0), 5).count() == 0
