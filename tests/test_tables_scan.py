@@ -95,3 +95,33 @@ def test_hot_session_bucket_is_written_by_several_tasks(spark, sf_dir, scratch):
     assert hot_bucket > 1  # the oversized bucket was split over several writer tasks
     assert len(glob.glob(f"{scratch}/events_hot/*.parquet")) <= 4 * 16  # still bounded
     spark.sql("DROP TABLE quayside_t.events_hot")
+
+
+def test_one_multiline_csv_file_is_read_by_many_tasks(spark, scratch):
+    import random
+
+    from quayside.sources import documents as docs
+
+    rng = random.Random(2)
+    texts = [None, "plain", 'say "hi"', "a,b", "line one\nline two\n", '"\n"\n\n,"', "x" * 700 + "\n" + "y" * 700, "é\n日本"]
+    rows = [(f"t{i}", rng.choice(texts), i) for i in range(300)]
+    df = spark.createDataFrame(rows, "title STRING, text STRING, n INT")
+    docs.write_csv(df.coalesce(1), f"{scratch}/one")
+    docs.write_csv(df.limit(0).coalesce(1), f"{scratch}/none")
+    schema = "title STRING, text STRING, n INT"
+    want = sorted(map(str, docs.read_multiline_csv(spark, f"{scratch}/one", schema).collect()))
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    before = [spark.conf.get(n, None) for n in names]
+    try:
+        for size in ("197b", "1000b", "64k"):
+            spark.conf.set(names[0], size)
+            spark.conf.set(names[1], "0")
+            spark.conf.set(names[2], "1")
+            read = docs.read_split_csv(spark, f"{scratch}/one", schema)
+            assert sorted(map(str, read.collect())) == want, size
+            if size == "1000b":
+                assert spark.read.text(f"{scratch}/one").rdd.getNumPartitions() > 20
+        assert docs.read_split_csv(spark, f"{scratch}/none", schema).count() == 0
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
