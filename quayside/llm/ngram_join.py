@@ -11,15 +11,18 @@ intersected exactly.
 
 A group of thousands of near copies would make a pair of any two in a column. So the product is taken in two rounds.
 The first has only pairs of neighbours in a column, ordered by size, and of each member with the one that holds the
-n-gram at the smallest position; its links give components. The second has all pairs of a column whose documents are
-still in different components, so no link between two components is lost.
+n-gram at the smallest position; its links give components. The second has the pairs of a column whose documents are
+still in different components, so no link between two components is lost. Documents without any link are paired one by
+one. A component is first met by its hub, the smallest key: Jaccard distance is a metric, so with the exact distances of
+hubs to each other and to their members, only members a and b with d(hubs) <= d(limit) + d(hub, a) + d(hub, b) can link. A
+document that shares a passage with thousands of near copies is thus held against their hub, not against each of them.
 
 The global order only matters for speed: it puts the n-grams last that are frequent within Arrow batches, at most
 ``MAX_FREQUENT`` of them. Nothing depends on it for results.
 
 Defined results: null and empty texts, and texts without words, have an empty set, link with nothing and are
 components of their own; fewer words than n make one shingle of the whole sequence; rows that repeat a key come back
-once, with the first set by digest; null keys come back as they are. An empty table gives an empty result. Only key and
+once, with the first set by digest; every row with a null key comes back, in the component of an equal set if any. An empty table gives an empty result. Only key and
 text are read.
 """
 
@@ -36,7 +39,8 @@ from pyspark.sql import functions as F
 
 from quayside.llm import common
 
-#: Cells that linked sets of n members must share: this percentage of n, and as many as the least at any rate.
+#: Cells that linked sets of n members must share: this percentage of n, and as many as the least (or as all that the
+#: threshold asks for, if these are fewer).
 OVERLAP_PERCENT, LEAST_OVERLAP = 3, 4
 MAX_FREQUENT = 200_000
 #: An n-gram that so many sets of one Arrow batch hold is a candidate for the end of the order.
@@ -44,13 +48,10 @@ FREQUENT_IN_BATCH = 6
 CACHE_WORDS = 400_000
 SKETCH = 128
 
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 class WordHashes(dict):
-    """The hash of every word that was looked up."""
+    """The hash of every word (its bytes) that was looked up."""
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: bytes) -> int:
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
@@ -64,7 +65,7 @@ class Shingler:
     def words(self, text: str) -> np.ndarray:
         if len(self.hashes) > CACHE_WORDS:
             self.hashes.clear()
-        found = common.WORD.findall(text.translate(_LOWER))
+        found = text.encode().lower().split()  # of bytes: only A-Z change, and only ASCII white space separates
         return np.fromiter(map(self.hashes.__getitem__, found), np.uint64, len(found))
 
     def __call__(self, text: str | None) -> np.ndarray:
@@ -87,12 +88,12 @@ def minimum(n: int, percent: int) -> int:
     return -(-n * percent // 100)
 
 
-def overlap(n: int) -> int:
-    return max(LEAST_OVERLAP, -(-n * OVERLAP_PERCENT // 100))
+def overlap(n: int, percent: int) -> int:
+    return min(minimum(n, percent), max(LEAST_OVERLAP, -(-n * OVERLAP_PERCENT // 100)))
 
 
-def _overlap(n: F.Column) -> F.Column:
-    return F.greatest(F.lit(LEAST_OVERLAP), F.ceil(n * OVERLAP_PERCENT / 100))
+def _overlap(n: F.Column, percent: int) -> F.Column:
+    return F.least(F.ceil(n * percent / 100), F.greatest(F.lit(LEAST_OVERLAP), F.ceil(n * OVERLAP_PERCENT / 100)))
 
 
 def ordered(members: np.ndarray, frequent: np.ndarray) -> np.ndarray:
@@ -108,6 +109,10 @@ def sketch(members: np.ndarray) -> bytes:
     return np.minimum(np.bincount((members % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH), 65535).astype("<u2").tobytes()
 
 
+def _digest(members: np.ndarray) -> bytes:
+    return hashlib.blake2b(members.tobytes(), digest_size=16).digest()
+
+
 def _signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
@@ -120,7 +125,7 @@ def sets(docs: DataFrame, n: int, key: str, text: str) -> DataFrame:
         shingler = Shingler(n)
         for pdf in batches:
             found = [shingler(t) for t in pdf["text"]]
-            digests = [hashlib.blake2b(m.tobytes(), digest_size=16).digest() for m in found]
+            digests = list(map(_digest, found))
             yield pd.DataFrame({"key": pdf["key"], "n": [len(m) for m in found], "digest": digests, "h": 0, "c": 0})
             distinct = {d: m for d, m in zip(digests, found)}
             if distinct:
@@ -136,26 +141,27 @@ def sets(docs: DataFrame, n: int, key: str, text: str) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, key: str, text: str) -> DataFrame:
-    """(key, n, first): the cells that a document keeps, in the global order."""
+    """(key, n, digest, first): the cells that a document keeps, in the global order."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
     least = minimum_size(percent)
 
     def run(batches):
         shingler, late = Shingler(n), shared.value
         for b in batches:
-            keys, sizes, firsts = [], [], []
+            keys, sizes, digests, firsts = [], [], [], []
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 members = shingler(t)
                 if len(members) >= least:
                     keys.append(k)
                     sizes.append(len(members))
-                    firsts.append(_signed(ordered(members, late)[:len(members) - minimum(len(members), percent) + overlap(len(members))]))
-            yield pa.RecordBatch.from_arrays([pa.array(keys, b.column(0).type), pa.array(sizes, pa.int32()),
-                                              pa.array(firsts, pa.list_(pa.int64()))], ["key", "n", "first"])
+                    digests.append(_digest(members))
+                    firsts.append(_signed(ordered(members, late)[:len(members) - minimum(len(members), percent) + overlap(len(members), percent)]))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, b.column(0).type), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()),
+                                              pa.array(firsts, pa.list_(pa.int64()))], ["key", "n", "digest", "first"])
 
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).where("key is not null")
-    return rows.mapInArrow(run, f"key {kind}, n int, first array<bigint>")
+    return rows.mapInArrow(run, f"key {kind}, n int, digest binary, first array<bigint>")
 
 
 def minimum_size(percent: int) -> int:
@@ -169,10 +175,10 @@ def _packed(docs: DataFrame, n: int, key: str, text: str) -> DataFrame:
         for b in batches:
             found = [shingler(t) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([m.tobytes() for m in found], pa.binary()),
-                 pa.array([sketch(m) for m in found], pa.binary())], ["key", "members", "sketch"])
+                [b.column(0), pa.array([_digest(m) for m in found], pa.binary()), pa.array([m.tobytes() for m in found], pa.binary()),
+                 pa.array([sketch(m) for m in found], pa.binary())], ["key", "digest", "members", "sketch"])
 
-    return docs.mapInArrow(run, f"key {docs.schema[key].dataType.simpleString()}, members binary, sketch binary")
+    return docs.mapInArrow(run, f"key {docs.schema[key].dataType.simpleString()}, digest binary, members binary, sketch binary")
 
 
 def _bounds(percent: int):
@@ -191,9 +197,14 @@ def _cell_reaches(percent: int) -> F.Column:
     return _reaches(F.least("p1", "p2") + 1, percent)
 
 
-def _verified(pairs: DataFrame, packed: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: sketches first, then the sets themselves."""
-    near = pairs.select("a", "b")
+#: Added to a distance, so that rounding never excludes a pair.
+SLACK = 1e-9
+
+
+def _measured(pairs: DataFrame, packed: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, limit) whose Jaccard distance is at most the limit, with that ``distance``: sketches tell most of
+    the others, then the sets are intersected."""
+    near = pairs.select("a", "b", "limit")
     for side in ("a", "b"):
         near = near.join(packed.select(F.col("key").alias(side), F.col("sketch").alias(f"s{side}")), side)
 
@@ -201,27 +212,62 @@ def _verified(pairs: DataFrame, packed: DataFrame, percent: int) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), "<u2").reshape(-1, SKETCH).astype(np.int64) for i in (2, 3))
+            x, y = (np.frombuffer(b"".join(b.column(i).to_pylist()), "<u2").reshape(-1, SKETCH).astype(np.int64) for i in (3, 4))
             apart, size = np.abs(x - y).sum(1), x.sum(1) + y.sum(1)
-            # with intersection i: apart <= size - 2 i, and i * 100 >= percent * (size - i)
-            ok = (size - apart) * (100 + percent) >= 2 * percent * size
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok))
+            # apart is at most the symmetric difference, which is size - 2 i for an intersection i
+            ok = 2 * apart <= (b.column(2).to_numpy() + SLACK) * (size + apart)
+            yield pa.RecordBatch.from_arrays([b.column(i) for i in range(3)], ["a", "b", "limit"]).filter(pa.array(ok))
 
     kind = pairs.schema["a"].dataType.simpleString()
-    near = near.select("a", "b", "sa", "sb").mapInArrow(plausible, f"a {kind}, b {kind}")
+    near = near.select("a", "b", "limit", "sa", "sb").mapInArrow(plausible, f"a {kind}, b {kind}, limit double")
     for side in ("a", "b"):
         near = near.join(packed.select(F.col("key").alias(side), F.col("members").alias(f"m{side}")), side)
 
-    def linked(batches):
+    def measured(batches):
         for b in batches:
-            ok = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+            apart = []
+            for x, y in zip(b.column(3).to_pylist(), b.column(4).to_pylist()):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+                apart.append(1 - both / (len(x) + len(y) - both))
+            ok = np.array(apart) <= b.column(2).to_numpy() + SLACK
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(apart, pa.float64())],
+                                             ["a", "b", "distance"]).filter(pa.array(ok, pa.bool_()))
+
+    return near.select("a", "b", "limit", "ma", "mb").mapInArrow(measured, f"a {kind}, b {kind}, distance double")
+
 
-    return near.select("a", "b", "ma", "mb").mapInArrow(linked, f"a {kind}, b {kind}")
+def _limit(percent: int) -> float:
+    """The distance of documents that just link."""
+    return 1 - percent / 100
+
+
+def _verified(pairs: DataFrame, packed: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that link."""
+    return _measured(pairs.withColumn("limit", F.lit(_limit(percent))), packed).select("a", "b")
+
+
+def _across(left: DataFrame, known: DataFrame, packed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of documents in different components that may link, at least one of them in a component of ``known``
+    (key, component); ``left`` has the cells (h, key, component) of columns with several components."""
+    everything = F.lit(1.0)
+    spokes = _measured(known.where("key <> component").select(F.col("key").alias("a"), F.col("component").alias("b"),
+                                                             everything.alias("limit")), packed)
+    spokes = common.stored(spokes.select(F.col("a").alias("key"), F.col("b").alias("component"), "distance"), "ngram-spokes")
+    radius = spokes.groupBy("component").agg(F.max("distance").alias("radius"))
+    units = left.select("h", "component").distinct().join(radius, "component", "left")
+    grouped = units.where("radius is not null").select("h", F.col("component").alias("a"), F.col("radius").alias("r1"))
+    others = units.select("h", F.col("component").alias("b"), F.col("radius").alias("r2"))
+    met = grouped.join(others, "h").where("a <> b and (r2 is null or a < b)")
+    reach = F.lit(_limit(percent)) + F.max("r1") + F.coalesce(F.max("r2"), F.lit(0.0))
+    hubs = common.stored(_measured(met.groupBy("a", "b").agg(reach.alias("limit")), packed), "ngram-hubs")
+    # every document of a component with its distance to the hub; a hub, or a document alone, is its own
+    members = spokes.union(hubs.select(F.col("a").alias("key"), "a", F.lit(0.0))).union(
+        hubs.select(F.col("b").alias("key"), "b", F.lit(0.0))).distinct()
+    one = members.select(F.col("component").alias("a"), F.col("key").alias("x"), F.col("distance").alias("d1"))
+    two = members.select(F.col("component").alias("b"), F.col("key").alias("y"), F.col("distance").alias("d2"))
+    met = hubs.join(one, "a").join(two, "b").where(F.col("distance") <= F.lit(_limit(percent) + SLACK) + F.col("d1") + F.col("d2"))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def connected(edges: DataFrame, name: str) -> DataFrame:
@@ -257,11 +303,15 @@ def links(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", t
     found = common.stored(sets(docs, n, key, text), "ngram-sets")
     frequent = found.where("n < 0").groupBy("h").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "h").limit(MAX_FREQUENT)
     late = np.sort(np.array([r["h"] for r in frequent.select("h").collect()], dtype=np.int64).view(np.uint64))
-    all_docs = found.where("n >= 0").select("key", "n", "digest")
+    rows = found.where("n >= 0").select("key", "n", "digest")
+    # of rows that repeat a key the one with the smallest digest counts, here and in every later step
+    one = rows.where("key is not null").groupBy("key").agg(F.min(F.struct("digest", "n")).alias("r"))
+    all_docs = one.select("key", "r.n", "r.digest").union(rows.where("key is null"))
+    all_docs = common.stored(all_docs, "ngram-documents")
     classes = all_docs.where("n > 0 and key is not null").groupBy("n", "digest").agg(F.min("key").alias("representative"))
-    reps = classes.where(F.col("n") >= minimum_size(percent)).select(F.col("representative").alias("key")).distinct()
+    reps = classes.where(F.col("n") >= minimum_size(percent)).select(F.col("representative").alias("key"), "digest")
 
-    cells = _prefixes(docs, n, percent, late, key, text).dropDuplicates(["key"]).join(reps, "key", "left_semi")
+    cells = _prefixes(docs, n, percent, late, key, text).join(reps, ["key", "digest"], "left_semi").dropDuplicates(["key"])
     cells = cells.select("key", "n", F.posexplode("first").alias("pos", "h"))
     by_size = Window.partitionBy("h").orderBy("n", "key")
     # columns with one document go at once; the others are kept in the shared folder
@@ -270,7 +320,7 @@ def links(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", t
         F.col("before").isNotNull() | F.col("after").isNotNull()), "ngram-cells")
     # a document needs as many cells that others have as it must share with its smallest partner
     involved = cells.groupBy("key").agg(F.count("*").alias("cells"), F.max("n").alias("n")).where(
-        F.col("cells") >= _overlap(F.ceil(F.col("n") * percent / 100))).select("key")
+        F.col("cells") >= _overlap(F.ceil(F.col("n") * percent / 100), percent)).select("key")
     involved = common.stored(involved, "ngram-involved")
     first = F.explode(F.array_distinct(F.array("before", F.struct(F.col("lead.key"), F.col("lead.n"), F.col("lead.pos")))))
     pair = cells.where("before is not null").select(
@@ -280,7 +330,8 @@ def links(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", t
     near = near.join(involved.select(F.col("key").alias("a")), "a", "left_semi").join(
         involved.select(F.col("key").alias("b")), "b", "left_semi")
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(involved, "key", "left_semi")
-    packed = common.stored(_packed(texts, n, "key", "text").dropDuplicates(["key"]), "ngram-members")
+    packed = _packed(texts, n, "key", "text").join(reps, ["key", "digest"], "left_semi").dropDuplicates(["key"])
+    packed = common.stored(packed.drop("digest"), "ngram-members")
     edges = common.stored(_verified(near, packed, percent), "ngram-edges")
     known = connected(edges, "ngram-components")
 
@@ -288,12 +339,13 @@ def links(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", t
     placed = cells.join(involved, "key", "left_semi").join(known, "key", "left").select("h", "key", "n", "pos", F.coalesce("component", "key").alias("component"))
     span = placed.groupBy("h").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
     left = common.stored(placed.join(span.select("h"), "h", "left_semi"), "ngram-left")
-    one = left.select("h", F.col("key").alias("a"), F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("component").alias("c1"))
-    two = left.select("h", F.col("key").alias("b"), F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("component").alias("c2"))
-    rest = one.join(two, "h").where("c1 <> c2 and (n1 < n2 or n1 = n2 and a < b)").where(
-        _bounds(percent) & _cell_reaches(percent))
+    alone = left.join(known.select("key"), "key", "left_anti")
+    one = alone.select("h", F.col("key").alias("a"), F.col("n").alias("n1"), F.col("pos").alias("p1"))
+    two = alone.select("h", F.col("key").alias("b"), F.col("n").alias("n2"), F.col("pos").alias("p2"))
+    rest = one.join(two, "h").where("n1 < n2 or n1 = n2 and a < b").where(_bounds(percent) & _cell_reaches(percent))
     rest = rest.groupBy("a", "b").agg(F.count("*").alias("cells"), *[F.max(c).alias(c) for c in ("n1", "n2", "p1", "p2")]).where(
-        (F.col("cells") >= _overlap(F.col("n1"))) & _reaches(F.col("cells"), percent)).select("a", "b")
+        (F.col("cells") >= _overlap(F.col("n1"), percent)) & _reaches(F.col("cells"), percent)).select("a", "b")
+    rest = rest.union(_across(left, known, packed, percent))
     more = common.stored(_verified(rest, packed, percent), "ngram-edges")
     final = connected(edges.union(more), "ngram-components") if not more.isEmpty() else known
     return all_docs.join(classes, ["n", "digest"], "left"), final

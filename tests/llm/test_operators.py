@@ -375,3 +375,44 @@ def test_toxicity_replaces_clashing_columns(spark):
     scored = toxicity.score(docs, toxicity.Model())
     assert scored.columns == ["doc_id", "text", "lang", "source", "n_chars", "key", "n", "h", "score", "predicted", "passages"]
     assert [(r.score < 0.1, r.predicted, r.passages) for r in scored.collect()] == [(True, 0, [])] * 3
+
+
+@pytest.mark.parametrize("n,percent", [(1, 75), (1, 50), (2, 60), (4, 85)])
+def test_ngram_join_at_low_thresholds_matches_brute_force(spark, n, percent):
+    rng = random.Random(n * percent)
+    words = "a b c d e f g h".split()
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 7))) for _ in range(120)] + [None, "A b\tC", "a b c"]
+    texts += ["a b c d", "a b c"]  # three of four shared
+    got = {r.doc_id: r for r in ngram_join.components(make(spark, texts), n=n, percent=percent).collect()}
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == brute_components(texts, n, percent)
+
+
+def test_ngram_join_of_a_large_group_beside_others(spark):
+    """A group of near copies, and documents that share a passage with all of them but link with few or none."""
+    rng = random.Random(21)
+    vocabulary = [f"w{i}" for i in range(400)]
+    base = [rng.choice(vocabulary) for _ in range(60)]
+    texts = []
+    for i in range(90):
+        copy = list(base)
+        for _ in range(rng.randint(0, 2)):
+            copy[rng.randrange(60)] = rng.choice(vocabulary)
+        texts.append(" ".join(copy))
+    texts += [" ".join(base[:rng.randint(20, 58)] + [rng.choice(vocabulary) for _ in range(rng.randint(2, 30))]) for _ in range(60)]
+    texts += [" ".join(rng.choice(vocabulary) for _ in range(40)) for _ in range(30)]
+    rng.shuffle(texts)
+    for percent in (60, 85):
+        got = {r.doc_id: r for r in ngram_join.components(make(spark, texts), n=4, percent=percent).collect()}
+        assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == brute_components(texts, 4, percent)
+
+
+def test_ngram_join_of_repeated_and_null_keys(spark):
+    first, second = "one two three four five six seven eight", "nine ten eleven twelve thirteen fourteen fifteen"
+    rows = [(7, first), (7, second), (7, first), (3, first), (5, second), (None, first), (None, "x"), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((tuple(r) for r in ngram_join.components(docs, n=4, percent=85).collect()), key=str)
+    sets = {t: ngram_join.Shingler(4)(t) for t in (first, second)}
+    chosen = min((first, second), key=lambda t: ngram_join._digest(sets[t]))
+    partner = 3 if chosen == first else 5
+    want = [(7, len(sets[chosen]), partner), (3, 5, 3), (5, 4, 5), (None, 5, 3), (None, 1, None), (9, 0, 9)]
+    assert got == sorted(want, key=str)
