@@ -264,32 +264,44 @@ _PROMOTIONS = {("int", "long"), ("int", "float"), ("int", "double"), ("long", "f
                ("float", "double")}
 
 
-def _project(struct: pa.StructArray, writer: tuple[AvroField, ...], reader: tuple[AvroField, ...]) -> pa.StructArray:
-    """Writer record -> reader record by field name; absent fields null, numeric promotion allowed."""
+def _incompatible(writer: tuple[AvroField, ...], reader: tuple[AvroField, ...]) -> str | None:
+    """Why records of one schema cannot be read as the other; None if they can."""
     by_name = {f.name: f for f in writer}
-    cols = []
     for rf in reader:
         wf = by_name.get(rf.name)
-        target = _arrow_type(rf)
-        if wf is None:
-            cols.append(pa.nulls(len(struct), target))
-            continue
-        if wf.kind != rf.kind and (wf.kind, rf.kind) not in _PROMOTIONS:
-            raise ValueError(f"field {rf.name}: writer type {wf.kind} cannot be read as {rf.kind}")
-        cols.append(struct.field(wf.name).cast(target))
-    valid = struct.is_valid()
-    return pa.StructArray.from_arrays(cols, names=[f.name for f in reader], mask=pa.compute.invert(valid))
-
-
-def avro_decoder_by_id(writers: dict[str, str], reader_text: str):
+        if wf is not None and wf.kind != rf.kind and (wf.kind, rf.kind) not in _PROMOTIONS:
+            return f"field {rf.name}: writer type {wf.kind} cannot be read as {rf.kind}"
+    return None
+
+
+def _project(struct: pa.StructArray, writer: tuple[AvroField, ...], reader: tuple[AvroField, ...]) -> list[pa.Array]:
+    """Columns of the reader's record from the writer's, by field name; absent fields null, numeric promotion allowed."""
+    by_name = {f.name: f for f in writer}
+    return [struct.field(rf.name).cast(_arrow_type(rf)) if rf.name in by_name else pa.nulls(len(struct), _arrow_type(rf))
+            for rf in reader]
+
+
+def avro_decoder_by_id(writers: dict[str, str], reader_text: str, with_error: bool = False):
     """An Arrow UDF ``(schema_id, body) -> struct`` decoding each message with its own writer schema.
 
     ``writers`` maps schema id -> Avro text (a registry slice, bounded by the number
-    of registered versions). Unknown ids decode to null (no auto-registration).
+    of registered versions). A message with an unknown id (no auto-registration), one whose
+    schema cannot be read as the reader's, or a bad body decodes to null, and the others
+    go on; with ``with_error`` the record's fields are null and a field says why.
     """
     reader = parse_avro_record(reader_text)
     parsed = {sid: parse_avro_record(text) for sid, text in writers.items()}
-    out_type = avro_to_struct(reader_text)
+    unreadable = {sid: why for sid, fields in parsed.items() if (why := _incompatible(fields, reader))}
+    out_type = decoded_struct_type(reader_text, with_error)
+    names = [f.name for f in reader]
+
+    def one(sid, bodies: pa.Array) -> tuple[list[pa.Array], pa.Array]:
+        """Columns of the messages of one schema, and why a message has none."""
+        why = unreadable.get(sid) or (None if sid in parsed else "no schema id" if sid is None else f"unknown schema id {sid}")
+        if why:
+            return [pa.nulls(len(bodies), _arrow_type(f)) for f in reader], pa.array([why] * len(bodies), pa.string())
+        decoded = decode_batch(bodies, parsed[sid], True)
+        return _project(decoded, parsed[sid], reader), decoded.field(ERROR_FIELD)
 
     @F.arrow_udf(out_type)
     def decode(schema_ids: pa.Array, bodies: pa.Array) -> pa.Array:
@@ -297,19 +309,16 @@ def avro_decoder_by_id(writers: dict[str, str], reader_text: str):
         ids = np.asarray(schema_ids.to_numpy(zero_copy_only=False), dtype=object)
         parts, positions = [], []
         for sid in pd_unique(ids):
-            rows = np.nonzero(ids == sid)[0]
-            take = pa.array(rows)
-            writer = parsed.get(sid)
-            if writer is None:
-                empty = [pa.nulls(len(rows), _arrow_type(f)) for f in reader]
-                part = pa.StructArray.from_arrays(empty, names=[f.name for f in reader],
-                                                  mask=pa.array(np.ones(len(rows), bool)))
+            rows = np.nonzero(ids == sid)[0] if sid is not None else np.nonzero([x is None for x in ids])[0]
+            columns, why = one(sid, bodies.take(pa.array(rows)))
+            if with_error:
+                parts.append(pa.StructArray.from_arrays([*columns, why], names=[*names, ERROR_FIELD]))
             else:
-                part = _project(decode_batch(bodies.take(take), writer), writer, reader)
-            parts.append(part)
+                parts.append(pa.StructArray.from_arrays(columns, names=names, mask=why.is_valid()))
             positions.append(rows)
         if not parts:
-            return pa.nulls(0, pa.struct([pa.field(f.name, _arrow_type(f)) for f in reader]))
+            kinds = [pa.field(f.name, _arrow_type(f)) for f in reader]
+            return pa.nulls(0, pa.struct([*kinds, pa.field(ERROR_FIELD, pa.string())] if with_error else kinds))
         merged = pa.concat_arrays(parts)
         order = np.empty(n, np.int64)
         order[np.concatenate(positions)] = np.arange(n)

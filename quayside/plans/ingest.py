@@ -29,6 +29,7 @@ from quayside.operators.pending import pending_documents
 from quayside.operators.upsert import BucketedTable
 from quayside.session import work_dir
 from quayside.sources.documents import folder_names, read_checkpoint, write_complete
+from quayside.sources.tables import create_index_table
 
 BATCH_SIZE = 16
 NO_ID = "document without an id"
@@ -106,6 +107,7 @@ def ingest(
     run: int | None = None,
     crash_after: str | None = None,
     concurrency: int = 1,
+    table: str | None = None,
 ) -> DataFrame:
     """One ingestion run; returns the persisted outcome of this run.
 
@@ -117,7 +119,8 @@ def ingest(
 
     ``crash_after`` ("index" or "failures") stops the run after that write, to test
     that a crashed run is completed by the next one. ``concurrency`` batch calls
-    are kept in flight per task (for a remote embedding service).
+    are kept in flight per task (for a remote embedding service). ``table`` is the
+    catalog name of the index (``database.name``), created when absent and refreshed.
     """
     if run is None:
         last = last_run(spark, paths)
@@ -136,6 +139,8 @@ def ingest(
 
     if not outcome.where(F.col("status") == SUCCESS).isEmpty():
         index_table(spark, paths).upsert(index_rows(outcome).withColumn("_run", F.lit(run)))
+    if table is not None:
+        register_index(spark, paths, table)
     if crash_after == "index":
         return outcome
     failures = failure_rows(outcome)
@@ -155,6 +160,17 @@ def index_table(spark: SparkSession, paths: IngestPaths) -> BucketedTable:
     return BucketedTable(spark, paths.index, key="id", version="_run")
 
 
+def register_index(spark: SparkSession, paths: IngestPaths, table: str) -> None:
+    """The index under a catalog name: the table is created when absent (before the first
+    document if need be) and told of buckets that are new."""
+    database, _, name = table.rpartition(".")
+    index = index_table(spark, paths)
+    create_index_table(spark, database or spark.catalog.currentDatabase(), name, index.rows, bucket=index.BUCKET, version="_run")
+    if index.buckets() is not None:
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    spark.catalog.refreshTable(table)
+
+
 def read_index(spark: SparkSession, paths: IngestPaths) -> DataFrame | None:
     current = index_table(spark, paths).read()
     return None if current is None else current.drop("_run")

@@ -281,6 +281,24 @@ def avro_decode_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.select(decoder(F.col("schema_id"), F.col("body")).alias("decoded")).select("decoded.*")
 
 
+@register(
+    "avro_decode_by_id_errors",
+    f"""SELECT {oracle.sales_event_columns(null_when="l_returnflag IN ('R', 'A')")},
+  CASE l_returnflag WHEN 'R' THEN 'unknown schema id retired' WHEN 'A' THEN 'no schema id' END AS _decode_error
+FROM lineitem""",
+)
+def avro_decode_by_id_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages whose schema id is unknown or missing become all-null rows with the reason; the others decode."""
+    registry = reg.registry_table(spark)
+    writers = reg.writer_schemas(registry, SALES_EVENT_GROUP, reg.SALES_EVENT_FULL_NAME)
+    v2_id, v2 = reg.resolve_schema(registry, SALES_EVENT_GROUP, reg.SALES_EVENT_FULL_NAME, "avro", version=2)
+    messages = ev.avro_messages(read_table(spark, sf_dir, "lineitem"), v2, v2_id, carry=("l_returnflag",))
+    flag = F.col("l_returnflag")
+    schema_id = F.when(flag == "R", "retired").when(flag == "A", F.lit(None)).otherwise(F.col("schema_id"))
+    decoder = qavro.avro_decoder_by_id(writers, v2, with_error=True)
+    return messages.select(decoder(schema_id, F.col("body")).alias("decoded")).select("decoded.*")
+
+
 # Returned-item events arrive cut short by one byte: all-null rows with the reason.
 _TRUNCATED_RETURNS_SQL = f"""SELECT
   {oracle.sales_event_columns(null_when="l_returnflag = 'R'")},

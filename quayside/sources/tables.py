@@ -64,15 +64,22 @@ def create_event_table(spark: SparkSession, database: str, table: str, location:
     )
 
 
-def create_index_table(spark: SparkSession, database: str, table: str, location: str, dim: int) -> None:
-    """The search index table, created only when absent (a second call is a no-op)."""
+def create_index_table(spark: SparkSession, database: str, table: str, location: str, dim: int | None = None,
+                       bucket: str | None = None, version: str | None = None) -> None:
+    """The search index table, created only when absent (a second call is a no-op).
+
+    ``bucket`` and ``version`` name the columns that an upserted index has besides: the
+    hash bucket of the id, which is its partition column, and the run that wrote a row.
+    """
+    extra = (f", {version} INT" if version else "") + (f", {bucket} INT" if bucket else "")
+    partitioned = f" PARTITIONED BY ({bucket})" if bucket else ""
+    dimensions = f"'quayside.vector.dimensions'='{dim}', " if dim else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {database}.{table} "
-        f"(id STRING NOT NULL, content STRING, fileName STRING, contentVector ARRAY<FLOAT>) "
-        f"USING parquet LOCATION '{location}' "
-        f"TBLPROPERTIES ('quayside.key'='id', 'quayside.vector.dimensions'='{dim}', "
-        f"'quayside.vector.metric'='cosine')"
+        f"(id STRING NOT NULL, content STRING, fileName STRING, contentVector ARRAY<FLOAT>{extra}) "
+        f"USING parquet{partitioned} LOCATION '{location}' "
+        f"TBLPROPERTIES ('quayside.key'='id', {dimensions}'quayside.vector.metric'='cosine')"
     )
 
 

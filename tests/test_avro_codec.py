@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from quayside.functions import avro
 from quayside.functions.schemas import (
@@ -153,3 +154,26 @@ def test_sales_event_roundtrip_with_timestamps():
     back = avro.decode_batch(avro.encode_batch(struct, SALES), SALES).to_pylist()
     assert back[0]["CreatedTime"] == dt.datetime(2000, 1, 1, tzinfo=dt.timezone.utc)
     assert back[1]["CreatedTime"] is None
+
+
+def test_messages_that_cannot_be_read_by_id_do_not_stop_the_others(spark):
+    import json
+
+    def schema(kind):
+        return json.dumps({"type": "record", "name": "r", "fields": [{"name": "a", "type": ["null", kind]}, {"name": "b", "type": ["null", "long"]}]})
+
+    writers = {"1": schema("int"), "2": schema("string")}
+    rows = [(0, "1"), (1, "2"), (2, "gone"), (3, None), (4, "1")]
+    whole = spark.createDataFrame(rows, "n INT, sid STRING").selectExpr("n", "sid", "struct(n AS a, cast(n * 10 AS BIGINT) AS b) AS i",
+                                                                        "struct('x' AS a, 1L AS b) AS s")
+    body = F.when(F.col("n") == 4, F.lit(b"\x07")).when(F.col("sid") == "2", avro.encode_avro(F.col("s"), writers["2"])).otherwise(
+        avro.encode_avro(F.col("i"), writers["1"]))
+    found = whole.select("n", "sid", body.alias("body"))
+    reader = schema("long")
+    got = {r.n: r.d for r in found.select("n", avro.avro_decoder_by_id(writers, reader, with_error=True)("sid", "body").alias("d")).collect()}
+    assert (got[0].a, got[0].b, got[0]._decode_error) == (0, 0, None)
+    assert got[1]._decode_error == "field a: writer type string cannot be read as long" and got[1].b is None
+    assert got[2]._decode_error == "unknown schema id gone" and got[3]._decode_error == "no schema id"
+    assert got[4]._decode_error and got[4].a is None
+    plain = {r.n: r.d for r in found.select("n", avro.avro_decoder_by_id(writers, reader)("sid", "body").alias("d")).collect()}
+    assert [n for n, d in plain.items() if d is not None] == [0]

@@ -294,3 +294,19 @@ def test_documents_without_an_id_fail_with_a_reason(spark, scratch):
         assert {r.id for r in read_checkpoint(spark, paths.checkpoint).collect()} == {r.id for r in index.collect()}
     failed = read_failures(spark, paths.failures).collect()
     assert len(failed) == 4 + 6 and {(r.id, r.error) for r in failed} == {(None, ingest.NO_ID)}
+
+
+def test_the_index_has_a_catalog_name(spark, scratch):
+    import uuid
+
+    name = f"default.idx_{uuid.uuid4().hex[:8]}"
+    paths = ingest.IngestPaths(scratch)
+    frame = spark.range(60).selectExpr("cast(id AS string) AS id", "'f' AS fileName", "'text ' || id AS text")
+    try:
+        ingest.ingest(spark, frame.limit(0), paths, embedding.HashingEmbedder(dim=8), table=name)
+        assert spark.sql(f"SELECT * FROM {name}").count() == 0  # there before the first document
+        for upto in (20, 60):
+            ingest.ingest(spark, frame.where(F.col("id").cast("int") < upto), paths, embedding.HashingEmbedder(dim=8), table=name)
+            assert spark.sql(f"SELECT count(DISTINCT id) AS n FROM {name} WHERE size(contentVector) = 8").first().n == upto
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
