@@ -274,7 +274,7 @@ def avro_decode_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         for v in (1, 2)
     ]
     lineitem = read_table(spark, sf_dir, "lineitem")
-    late = F.coalesce(F.col("l_shipdate") >= F.lit(V1_CUTOVER).cast("timestamp"), F.lit(True))
+    late = (F.col("l_shipdate") >= F.lit(V1_CUTOVER).cast("timestamp")) | F.col("l_shipdate").isNull()
     old, new = lineitem.where(~late), lineitem.where(late)
     messages = ev.avro_messages(old, v1, v1_id).unionByName(ev.avro_messages(new, v2, v2_id))
     decoder = qavro.avro_decoder_by_id(writers, v2)
@@ -497,7 +497,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     avro_text = sales_event_avro()
     lineitem = read_table(spark, sf_dir, "lineitem")
     cut = F.lit(V1_CUTOVER).cast("timestamp")
-    late = F.coalesce(F.col("l_shipdate") >= cut, F.lit(True))  # events without a date come with the later ones
+    late = (F.col("l_shipdate") >= cut) | F.col("l_shipdate").isNull()  # events without a date come with the later ones
     batches = [lineitem.where(~late), lineitem.where(late), None]
     for batch in batches:
         if batch is not None:
@@ -527,7 +527,7 @@ def start_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = read_table(spark, sf_dir, "lineitem")
     cut = F.lit(V1_CUTOVER).cast("timestamp")
     position = stream.StartingPosition("@latest", inclusive=True)
-    late = F.coalesce(F.col("l_shipdate") >= cut, F.lit(True))
+    late = (F.col("l_shipdate") >= cut) | F.col("l_shipdate").isNull()
     for batch in (lineitem.where(~late), lineitem.where(late)):
         _write_messages(ev.avro_messages(batch, avro_text), f"{root}/source")
         spec = stream.resolve_start(spark, f"{root}/source", f"{root}/checkpoint", position)
@@ -545,8 +545,8 @@ def start_position_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     avro_text = sales_event_avro()
     schema = ev.partitioned_schema()
     lineitem = read_table(spark, sf_dir, "lineitem")
-    old = F.coalesce(F.col("l_shipdate") < F.lit(V1_CUTOVER).cast("timestamp"), F.lit(False))
-    for batch in (lineitem.where(old), lineitem.where(~old)):
+    late = (F.col("l_shipdate") >= F.lit(V1_CUTOVER).cast("timestamp")) | F.col("l_shipdate").isNull()
+    for batch in (lineitem.where(~late), lineitem.where(late)):
         messages = ev.avro_messages(batch, avro_text, carry=("l_linenumber",))
         _write_messages(ev.in_partitions(messages, F.col("l_linenumber") % 2), f"{root}/source")
         spec = stream.resolve_start(spark, f"{root}/source", f"{root}/checkpoint", stream.StartingPosition("@latest"),
