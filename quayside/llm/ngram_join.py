@@ -11,7 +11,7 @@ intersected exactly.
 
 A group of thousands of near copies would make a pair of any two in a column. So the product is taken in two rounds.
 The first has only pairs of neighbours in a column, ordered by size, and of each member with the one that holds the
-n-gram at the smallest position; its links give components. The second has the pairs of a column whose documents are
+n-gram at the smallest position, for each member the closest few of these; their links give components. The second has the pairs of a column whose documents are
 still in different components, so no link between two components is lost. Documents without any link are paired one by
 one. A component is first met by its hub, the smallest key: Jaccard distance is a metric, so with the exact distances of
 hubs to each other and to their members, only members a and b with d(hubs) <= d(limit) + d(hub, a) + d(hub, b) can link. A
@@ -43,6 +43,8 @@ from quayside.llm import common
 #: threshold asks for, if these are fewer).
 OVERLAP_PERCENT, LEAST_OVERLAP = 3, 4
 MAX_FREQUENT = 200_000
+#: Neighbours of each document that the first round holds against it.
+NEIGHBOURS = 4
 #: An n-gram that so many sets of one Arrow batch hold is a candidate for the end of the order.
 FREQUENT_IN_BATCH = 6
 CACHE_WORDS = 400_000
@@ -325,8 +327,11 @@ def links(docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", t
     first = F.explode(F.array_distinct(F.array("before", F.struct(F.col("lead.key"), F.col("lead.n"), F.col("lead.pos")))))
     pair = cells.where("before is not null").select(
         F.col("key").alias("k"), F.col("n").alias("n1"), F.col("pos").alias("p1"), first.alias("o")).where("k <> o.key").select(
-        F.least("k", "o.key").alias("a"), F.greatest("k", "o.key").alias("b"), "n1", "p1", F.col("o.n").alias("n2"), F.col("o.pos").alias("p2"))
-    near = pair.where(_bounds(percent) & _cell_reaches(percent)).groupBy("a", "b").agg(F.count("*").alias("cells")).where("cells >= 2").select("a", "b")
+        "k", F.least("k", "o.key").alias("a"), F.greatest("k", "o.key").alias("b"), "n1", "p1", F.col("o.n").alias("n2"), F.col("o.pos").alias("p2"))
+    near = pair.where(_bounds(percent) & _cell_reaches(percent)).groupBy("k", "a", "b").agg(F.count("*").alias("cells")).where("cells >= 2")
+    # of a document's neighbours those that share most cells are enough to find its component; the second round finds the rest
+    closest = Window.partitionBy("k").orderBy(F.desc("cells"), "a", "b")
+    near = near.withColumn("place", F.row_number().over(closest)).where(F.col("place") <= NEIGHBOURS).select("a", "b").distinct()
     near = near.join(involved.select(F.col("key").alias("a")), "a", "left_semi").join(
         involved.select(F.col("key").alias("b")), "b", "left_semi")
     texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(involved, "key", "left_semi")
