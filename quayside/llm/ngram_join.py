@@ -268,7 +268,10 @@ def _across(left: DataFrame, known: DataFrame, packed: DataFrame, percent: int)
         hubs.select(F.col("b").alias("key"), "b", F.lit(0.0))).distinct()
     one = members.select(F.col("component").alias("a"), F.col("key").alias("x"), F.col("distance").alias("d1"))
     two = members.select(F.col("component").alias("b"), F.col("key").alias("y"), F.col("distance").alias("d2"))
-    met = hubs.join(one, "a").join(two, "b").where(F.col("distance") <= F.lit(_limit(percent) + SLACK) + F.col("d1") + F.col("d2"))
+    # a member that not even the farthest member of the other component can reach goes at once
+    widest = hubs.join(radius.withColumnRenamed("component", "b"), "b", "left").withColumnRenamed("a", "u")
+    near = F.col("distance") <= F.lit(_limit(percent) + SLACK) + F.col("d1") + F.coalesce("radius", F.lit(0.0))
+    met = widest.join(one, (F.col("u") == F.col("a")) & near).drop("u", "radius").join(two, "b").where(F.col("distance") <= F.lit(_limit(percent) + SLACK) + F.col("d1") + F.col("d2"))
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
