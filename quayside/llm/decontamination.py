@@ -13,16 +13,24 @@ at most ``MAX_SHIFT`` tokens, as after a word that was put in; and all windows o
 Every window also has a literal hash, in which numbers, names and units stand for themselves: so windows with fewer
 than ``MIN_LITERALS`` literal tokens, which placeholders alone could match, are found where they stand word for word.
 Template and literal windows are counted apart, each against its own number in the item. An item is also found by
-``MIN_RUN`` windows in a row, however long it is.
+``MIN_RUN`` windows in a row, however long it is. An item without any template window of enough literals (an arithmetic
+question, say) is found by the types and the order of its slots, if all its template windows of at least ``DENSE_TOKENS``
+tokens and ``DENSE_LITERALS`` literals are there and consistent.
+
+A window that m items hold weighs 1/m against the item's least shared window, so an instruction that stands before
+hundreds of questions is no evidence for any of them. Windows of more than ``SHARED_BY`` items that together weigh less
+than ``min_share`` of an item are left out for that item, on both sides of the share.
+
+Documents give hashes only; slots are read where a hash belongs to the benchmark.
 
 Defined results: null and empty texts have no windows and are clean; an item shorter than a window counts as one
 window of all its tokens and is only found as a whole, in documents of any length; repeated rows get
 one result each, rows that share a key are judged apart and together, and null keys are one key; ties between items go to
-the smallest; an empty benchmark finds nothing, an empty table gives an empty result. ``filter_clean`` keeps all
-columns; only key and text are read.
+the smallest, and items with equal texts are one, the smallest; ids of items may have any type that can be ordered; an empty
+benchmark finds nothing, an empty table gives an empty result. ``filter_clean`` keeps all columns; only key and text are read.
 
-The benchmark's windows are broadcast if they are at most ``MAX_BROADCAST`` rows and shuffled with the windows of the
-documents otherwise.
+The benchmark's windows are broadcast if they are at most ``MAX_BROADCAST`` rows; otherwise they are shuffled with the
+hashes of the documents, and the texts with hits are shuffled once more for their slots.
 """
 
 from __future__ import annotations
@@ -41,19 +49,27 @@ MIN_SHARE = 0.25
 MIN_RUN = 18
 #: Tokens by which the windows of one occurrence may be shifted against each other.
 MAX_SHIFT = 8
+#: Tokens and literals of a template window that counts for items without any of enough literals.
+DENSE_TOKENS, DENSE_LITERALS = 6, 2
+#: Items that may share a window before it can be left out as boilerplate.
+SHARED_BY = 10
 MAX_BROADCAST = 1_000_000
 
 #: Units that a number can be followed by.
 UNITS = ("percent kg g mg km m cm mm mi mile miles ft feet inch inches l ml s sec seconds min minutes h hours hour day days "
          "week weeks month months year years eur euro euros usd dollar dollars cent cents gb mb kb").split()
 
+#: Words that begin a question or a task, and are no names even with a capital inside a sentence.
+OPENERS = ("What Which Who Whose Whom When Where Why How Is Are Was Were Do Does Did Can Could If The Find Add Solve Compute "
+           "Calculate").split()
+
 _NAME = "\u0001"
 _SLOT = "\u0002"
 
 
 def _marked(text: Column) -> Column:
     """The text with a mark before every name."""
-    return F.regexp_replace(text, r"([\p{Ll},;:] )(?=\p{Lu}\p{Ll})", "$1" + _NAME)
+    return F.regexp_replace(text, rf"([\p{{Ll}},;:] )(?=\p{{Lu}}\p{{Ll}})(?!(?:{'|'.join(OPENERS)})\b)", "$1" + _NAME)
 
 
 def _tokens(marked: Column) -> Column:
@@ -62,97 +78,137 @@ def _tokens(marked: Column) -> Column:
     return F.array_remove(F.split(F.lower(apart), rf"[^\p{{L}}\p{{M}}\p{{N}}{_NAME}]+"), "")
 
 
-def windows(docs: DataFrame, key: str, text: str, sizes: list[int] | None = None) -> DataFrame:
-    """(key, row, pos, h, slots): every window of ``sizes`` tokens with its literal hash and no slots, and every one with
-    slots and enough literal tokens with its template hash and its slot values in order; ``row`` is the hash of the text.
-    Without ``sizes``, windows have ``WINDOW`` tokens or else all of a shorter text, and come with both (a literal window
-    that is a template without slots) and size.
-
-    Most texts have no number and no name; their tokens are all literal, and are only hashed.
+def _hashed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, row, t, k, l, h): the tokens of every text, with the kind (0 literal, 1 name, 2 number, 3 unit), literal hash and
+    template hash of each; ``row`` is the hash of the text. Texts without number and name have only t and l.
     """
-    at = lambda name, i: F.get(F.col(name), i)
     body = F.coalesce(F.col(text), F.lit(""))
     marked = docs.select(F.col(key).alias("key"), F.xxhash64(body).alias("row"), _marked(body).alias("m"))
     split = marked.select("key", "row", F.rlike("m", F.lit(f"[0-9{_NAME}]")).alias("slotted"), _tokens(F.col("m")).alias("t"))
     digit = lambda w: F.coalesce(F.substring(w, 1, 1).between("0", "9"), F.lit(False))
     kind = lambda w, i: (F.when(F.substring(w, 1, 1) == _NAME, 1).when(digit(w), 2)
-                         .when(digit(at("t", i - 1)) & w.isin(UNITS), 3).otherwise(0))
-    kinds = split.select("key", "row", "t", "slotted", F.when(F.col("slotted"), F.transform("t", kind)).alias("k"))
+                         .when(w.isin(UNITS) & digit(F.get(F.col("t"), i - 1)), 3).otherwise(0))
     bare = lambda w: F.when(F.substring(w, 1, 1) == _NAME, F.substring(w, 2, 1 << 30)).otherwise(w)
     literal = F.when(F.col("slotted"), F.transform("t", lambda w: F.xxhash64(bare(w)))).otherwise(
         F.transform("t", lambda w: F.xxhash64(w)))
-    hashed = kinds.select("key", "row", "slotted", "t", "k", F.size("t").alias("n"), literal.alias("l")).select(
-        "key", "row", "slotted", "n", "k", "l",
-        F.when(F.col("slotted"), F.zip_with("l", "k", lambda h, k: F.when(k == 0, h).otherwise(k.cast("long")))).alias("h"),
-        F.when(F.col("slotted"), F.zip_with("t", "k", lambda w, k: F.when(k > 0, w))).alias("s"))
-
-    def made(span: Column) -> Column:
-        part = lambda name, i: F.slice(F.col(name), i, span)
-        literals = lambda i: F.size(F.filter(part("k", i), lambda k: k == 0))
-        starts = F.when(F.col("n") >= span, F.sequence(F.lit(1), F.col("n") - span + 1)).otherwise(F.array().cast("array<int>"))
-        window = lambda i, h, slots, both: F.struct(
-            i.alias("pos"), h.alias("h"), slots.alias("slots"), *([both.alias("both"), span.alias("size")] if sizes is None else []))
-        word_for_word = lambda both: lambda i: window(i, F.xxhash64(part("l", i)), F.lit(""), both(i))
-        plain = F.transform(starts, word_for_word(lambda i: span >= MIN_LITERALS))
-        exact = F.transform(starts, word_for_word(lambda i: (span >= MIN_LITERALS) & (literals(i) == span)))
-        mixed = F.filter(starts, lambda i: (literals(i) >= MIN_LITERALS) & (literals(i) < span))
-        template = F.transform(mixed, lambda i: window(i, F.xxhash64(part("h", i)), F.array_join(part("s", i), _SLOT), F.lit(False)))
-        return F.when(F.col("slotted"), F.concat(exact, template)).otherwise(plain)
-
-    spans = [F.lit(z) for z in sizes] if sizes is not None else [F.least(F.lit(WINDOW), F.col("n"))]
-    if not spans:
-        return hashed.select("key", "row", F.lit(0).alias("pos"), F.lit(0).cast("long").alias("h"), F.lit("").alias("slots")).limit(0)
-    every = made(spans[0]) if len(spans) == 1 else F.concat(*map(made, spans))
-    return hashed.where("n > 0").select("key", "row", F.explode(every).alias("w")).select("key", "row", "w.*")
+    kinds = split.select("key", "row", "t", F.when(F.col("slotted"), F.transform("t", kind)).alias("k"), literal.alias("l"))
+    return kinds.select("key", "row", "t", "k", "l",
+                        F.zip_with("l", "k", lambda h, k: F.when(k == 0, h).otherwise(k.cast("long"))).alias("h"))
+
+
+def _hashes(of: str, span: Column) -> Column:
+    """The hash of every window of ``span`` tokens, in order, from the literal (l) or the template (h) hashes of the tokens."""
+    starts = F.when(F.size(of) >= span, F.sequence(F.lit(1), F.size(of) - span + 1)).otherwise(F.array().cast("array<int>"))
+    part = lambda i: F.slice(F.col(of), i, span)
+    return F.transform(starts, lambda i: F.xxhash64(F.lit(1), part(i)) if of == "h" else F.xxhash64(part(i)))
+
+
+def _slots() -> Column:
+    """The values of a template window's slots, in order; literal windows have none."""
+    values = F.filter(F.transform(F.sequence(F.col("pos"), F.col("pos") + F.col("size") - 1),
+                                  lambda i: F.when(F.element_at("k", i) > 0, F.element_at("t", i))), lambda v: v.isNotNull())
+    return F.when(F.col("template"), F.array_join(values, _SLOT)).otherwise("")
+
+
+def item_windows(benchmark: DataFrame, item: str, text: str, min_share: float) -> DataFrame:
+    """(item, item_pos, size, template, h, item_slots, kinds, weight): the windows that count for each item, and what for."""
+    # items with equal texts are one; of an item that repeats, windows are not counted twice
+    items = benchmark.groupBy(F.col(text).alias("text")).agg(F.min(item).alias("item"))
+    hashed = _hashed(items, "item", "text").withColumn("size", F.least(F.lit(WINDOW), F.size("t"))).where("size > 0")
+    made = [hashed.select("key", "t", "k", "size", F.lit(of == "h").alias("template"), _hashes(of, F.col("size")).alias("w")) for of in "lh"]
+    every = made[0].union(made[1]).select("key", "t", "k", "size", "template", F.posexplode_outer("w").alias("at", "h")).where("h is not null")
+    every = every.withColumn("pos", F.col("at") + 1)
+    literals = F.when(F.col("k").isNull(), F.col("size")).otherwise(F.size(F.filter(F.slice("k", F.col("pos"), F.col("size")), lambda k: k == 0)))
+    found = every.select(F.col("key").alias("item"), F.col("pos").alias("item_pos"), "size", "template", "h", _slots().alias("item_slots"),
+                         literals.alias("literals")).where("not template or literals < size").distinct()
+    found = common.stored(found, "benchmark-all-windows")
+    strong = F.col("literals") >= MIN_LITERALS
+    bare = (F.col("literals") == F.col("size"))
+    dense = (F.col("size") >= DENSE_TOKENS) & (F.col("literals") >= DENSE_LITERALS)
+    templates = F.max(strong & (F.col("template") | bare)).over(Window.partitionBy("item"))
+    kinds = (F.when(F.col("template") & strong, F.array(F.lit("template")))
+             .when(F.col("template") & dense & ~F.col("has_template"), F.array(F.lit("dense")))
+             .when(F.col("template"), F.array().cast("array<string>"))
+             .when(strong & bare, F.array(F.lit("template"), F.lit("literal"))).otherwise(F.array(F.lit("literal"))))
+    kept = found.withColumn("has_template", templates).withColumn("kind", F.explode(kinds))
+    shared = found.groupBy("h").agg(F.count_distinct("item").alias("m"))
+    of_kind = Window.partitionBy("item", "kind")
+    weighed = kept.join(shared, "h").withColumn("weight", F.min("m").over(of_kind) / F.col("m"))
+    lighter = F.sum("weight").over(of_kind.orderBy(F.desc("m")).rangeBetween(Window.unboundedPreceding, 0))
+    weighed = weighed.withColumn("lighter", lighter).withColumn("whole", F.sum("weight").over(of_kind))
+    return weighed.where((F.col("m") <= SHARED_BY) | (F.col("lighter") >= F.col("whole") * min_share)).select(
+        "item", "item_pos", "size", "template", "h", "item_slots", "kind", "weight")
+
+
+def found_windows(docs: DataFrame, key: str, text: str, hashes: DataFrame, sizes: list[int], small: bool) -> DataFrame:
+    """(key, row, pos, h, slots): the windows of ``docs`` whose hash is one of ``hashes`` (h, size, template)."""
+    hashed = _hashed(docs, key, text)
+    every = F.concat(*[_hashes(of, F.lit(z)) for of in "lh" for z in sizes]) if sizes else F.array().cast("array<bigint>")
+    hashed = hashed.select("key", "row", "t", "k", every.alias("w"))
+    # hashes of one size and kind follow those of the one before
+    before, starts = F.lit(0), F.lit(None).cast("int")
+    for template in (False, True):
+        for z in sizes:
+            starts = F.when((F.col("template") == template) & (F.col("size") == z), before).otherwise(starts)
+            before = before + F.greatest(F.col("n") - z + 1, F.lit(0))
+    pos = (F.col("at") - starts + 1).alias("pos")
+    if small:
+        met = hashed.select("key", "row", "t", "k", F.posexplode_outer("w").alias("at", "h")).join(F.broadcast(hashes), "h")
+        met = met.withColumn("n", F.size("t")).select("key", "row", "h", "size", "template", "t", "k", pos)
+    else:
+        narrow = hashed.select("key", "row", F.size("t").alias("n"), F.posexplode_outer("w").alias("at", "h")).join(hashes, "h")
+        narrow = narrow.select(F.col("key").alias("of"), F.col("row").alias("of_row"), "h", "size", "template", pos).distinct()
+        texts = _hashed(docs, key, text).select("key", "row", "t", "k").dropDuplicates(["key", "row"])
+        met = narrow.join(texts, F.col("of").eqNullSafe(F.col("key")) & (F.col("of_row") == F.col("row")))
+    return met.select("key", "row", "pos", "h", _slots().alias("slots"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
-            item_text: str = "text", min_share: float = MIN_SHARE, min_run: int = MIN_RUN) -> DataFrame:
+            item_text: str = "text", min_share: float = MIN_SHARE, min_run: int = MIN_RUN,
+            max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """(key, item, n_windows, n_found, consistent, exact): every document and item that share enough windows, from the
     occurrence that is consistent and has most of them."""
-    kinds = F.when(F.col("slots") != "", F.array(F.lit("template"))).when(F.col("both"), F.array(F.lit("template"), F.lit("literal"))).otherwise(
-        F.array(F.lit("literal")))
-    items = windows(benchmark, item, item_text).select(
-        F.col("key").alias("item"), F.col("pos").alias("item_pos"), "h", F.col("slots").alias("item_slots"), kinds.alias("kinds"),
-        "size")
-    items = common.stored(items, "benchmark-windows")
-    sizes = items.select("item", "item_pos", F.explode("kinds").alias("kind")).groupBy("item", "kind").agg(
-        F.count_distinct("item_pos").alias("n_windows")).withColumnRenamed("item", "of").withColumnRenamed("kind", "of_kind")
+    items = common.stored(item_windows(benchmark, item, item_text, min_share), "benchmark-windows")
+    sizes = items.groupBy(F.col("item").alias("of"), F.col("kind").alias("of_kind")).agg(
+        F.count("*").alias("n_windows"), F.sum("weight").alias("whole"))
     lengths = sorted(r["size"] for r in items.select("size").distinct().collect())  # from 1 to WINDOW
-    items = items.drop("size")
-    small = items.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST
-    found = windows(docs, key, text, lengths).join(F.broadcast(items) if small else items, "h")
+    small = items.limit(max_broadcast + 1).count() <= max_broadcast
+    found = found_windows(docs, key, text, items.select("h", "size", "template").distinct(), lengths, small)
+    items = items.drop("size", "template")
+    found = found.join(F.broadcast(items) if small else items, "h")
     # each window's slots side by side: (value in the item, value in the document)
     pairs = F.when(F.col("slots") == "", F.array().cast("array<struct<i:string,d:string>>")).otherwise(F.zip_with(
         F.split("item_slots", _SLOT), F.split("slots", _SLOT), lambda i, d: F.struct(i.alias("i"), d.alias("d"))))
-    places = found.withColumn("kind", F.explode("kinds")).groupBy(
-        "key", "row", "item", "kind", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
-        F.sort_array(F.collect_set("item_pos")).alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
-    seen = _occurrences(places.withColumn("in_a_row", _longest_run(F.col("at")))).agg(
-        F.size(F.array_distinct(F.flatten(F.collect_set("at")))).alias("n_found"), F.max("in_a_row").alias("in_a_row"),
+    places = found.groupBy("key", "row", "item", "kind", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
+        F.sort_array(F.collect_set(F.struct("item_pos", "weight"))).alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
+    seen = _occurrences(places.withColumn("in_a_row", _heaviest_run(F.col("at")))).agg(
+        F.array_distinct(F.flatten(F.collect_set("at"))).alias("at"), F.max("in_a_row").alias("in_a_row"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    seen = seen.withColumn("n_found", F.size("at")).withColumn("weight", F.aggregate("at", F.lit(0.0), lambda had, x: had + x["weight"]))
     judged = seen.join(F.broadcast(sizes) if small else sizes, F.col("item").eqNullSafe(F.col("of")) & (F.col("kind") == F.col("of_kind")))
     same = F.forall("pairs", lambda p: p["i"] == p["d"])
     one_each = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"])))
     # the original may stand beside a variant: its slots, equal in the item and the document, don't count against it
     others = F.filter("pairs", lambda p: p["i"] != p["d"])
     rest = F.size(others) == F.size(F.array_distinct(F.transform(others, lambda p: p["i"])))
-    enough = judged.where((F.col("n_found") >= F.ceil(F.col("n_windows") * min_share)) | (F.col("in_a_row") >= min_run)).select(
-        "key", "item", F.struct((one_each | rest).alias("consistent"), F.col("n_found") / F.col("n_windows"), same.alias("exact"),
-                                "n_found", "n_windows").alias("o"))
-    return enough.groupBy("key", "item").agg(F.max("o").alias("o")).select(
+    share = F.round(F.col("weight") / F.col("whole"), 9)
+    enough = F.when(F.col("kind") == "dense", F.col("n_found") == F.col("n_windows")).otherwise(
+        (share >= min_share) | (F.col("in_a_row") >= min_run))
+    found = judged.where(enough).select("key", "item", F.struct(
+        (one_each | rest).alias("consistent"), share, same.alias("exact"), "n_found", "n_windows").alias("o"))
+    return found.groupBy("key", "item").agg(F.max("o").alias("o")).select(
         F.col("key").alias(key), F.col("item").alias(item), "o.n_windows", "o.n_found", "o.consistent", "o.exact")
 
 
-def _longest_run(at: Column) -> Column:
-    """How many of ascending numbers follow each other without a gap, at most."""
-    start = F.struct(F.lit(0).alias("last"), F.lit(0).alias("length"), F.lit(0).alias("most"))
+def _heaviest_run(at: Column) -> Column:
+    """The weight of ascending windows that follow each other without a gap, at most."""
+    start = F.struct(F.lit(0).alias("last"), F.lit(0.0).alias("weight"), F.lit(0.0).alias("most"))
 
     def step(had, x):
-        length = F.when(x == had["last"] + 1, had["length"] + 1).otherwise(1)
-        return F.struct(x.alias("last"), length.alias("length"), F.greatest(had["most"], length).alias("most"))
+        weight = F.when(x["item_pos"] == had["last"] + 1, had["weight"] + x["weight"]).otherwise(x["weight"])
+        return F.struct(x["item_pos"].alias("last"), weight.alias("weight"), F.greatest(had["most"], weight).alias("most"))
 
-    return F.aggregate(at, start, step, lambda had: had["most"])
+    return F.round(F.aggregate(at, start, step, lambda had: had["most"]), 9)
 
 
 def _occurrences(places: DataFrame):
@@ -168,11 +224,12 @@ def _occurrences(places: DataFrame):
         "key", "item", "kind", "occurrence")
 
 
-def judge(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """(key, item_id, n_found, n_windows, exact) of contaminated documents: the item of which most is found."""
-    found = matches(docs, benchmark, key, text, **options).where("consistent")
-    best = F.max_by(F.struct("item_id", "n_found", "n_windows", "exact"),
-                    F.struct(F.col("n_found") / F.col("n_windows"), -F.col("item_id")))
+def judge(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
+          **options) -> DataFrame:
+    """(key, item, n_found, n_windows, exact) of contaminated documents: the item of which most is found."""
+    found = matches(docs, benchmark, key, text, item, **options).where("consistent")
+    best = F.min_by(F.struct(item, "n_found", "n_windows", "exact"),
+                    F.struct(-F.col("n_found") / F.col("n_windows"), F.col(item)))
     return found.groupBy(key).agg(best.alias("b")).select(key, "b.*")
 
 

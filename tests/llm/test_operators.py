@@ -335,8 +335,111 @@ def test_decontamination_finds_short_dense_and_long_items(spark):
              f"{other} {' '.join(long[100:179])} {other}", f"{other} add 3 and 4 then 5 and 6 then 7 and 8 kg to Rome {other}",
              f"{other} what is 12 + 34 * 56 - 79", f"{other} {' '.join(long[100:120])} {other}", "who wrote it", "how deep is the lake"]
     got = {r.doc_id: r for r in decontamination.judge(make(spark, texts), benchmark).collect()}
-    assert {i: r.item_id for i, r in got.items()} == {0: 1, 1: 2, 2: 3, 3: 4, 4: 5, 7: 3}
-    assert all(r.exact for r in got.values()) and got[3].n_found == 72
+    assert {i: r.item_id for i, r in got.items()} == {0: 1, 1: 2, 2: 3, 3: 4, 4: 5, 5: 2, 7: 3}
+    assert [i for i, r in got.items() if not r.exact] == [5] and got[3].n_found == 72
+
+
+def test_decontamination_finds_dense_variants_by_their_slots(spark):
+    items = [("q1", "What is 12 + 34 * 56 - 78"), ("q2", "in Paris 12 trains carry 340 kg over 56 km for 7 days to Rome"), ("q3", "what is 5")]
+    benchmark = spark.createDataFrame([(i, t, "x") for i, t in items], "id string, body string, doc_id string")
+    texts = ["so What is 13 + 35 * 57 - 79 then", "we saw in Berlin 14 trains carry 999 kg over 5 km for 70 days to Oslo and left", "what is 7",
+             "What is 13 + 35 then", "what is 1 2 1 3", "what is 5", "over 5 km for 70 days to Oslo"]
+    for bound in (10**6, 3):  # broadcast, and shuffled
+        got = decontamination.judge(make(spark, texts), benchmark, item="id", item_text="body", max_broadcast=bound).collect()
+        # five is a text with the item word for word; in four, two values of the item would be one value
+        assert {r.doc_id: (r.id, r.exact) for r in got} == {0: ("q1", False), 1: ("q2", False), 4: ("q1", False), 5: ("q3", True)}
+
+
+def test_decontamination_leaves_shared_instructions_alone(spark):
+    said = "please read the following question with great care and then write down the best answer"
+    own = lambda kind, i: " ".join(f"{kind}{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]}{x}" for x in "qrstuvwxyz")
+    n = 40
+    items = [(i, f"{said} {own('k', i)}") for i in range(n)] + [(n + i, items_text) for i, items_text in enumerate([own("z", 0)] * 3)]
+    benchmark = spark.createDataFrame(items, "item_id int, text string")
+    texts = [f"{said} {own('d', i)}" for i in range(n)] + [f"{own('d', 3)} {own('k', 7)}", f"{own('d', 4)} {own('z', 0)}"]
+    pairs = decontamination.matches(make(spark, texts), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in pairs} == {(n, 7), (n + 1, n)}  # equal items are one
+
+
+def brute_contaminated(docs, items, min_share):
+    """Documents of lower-case words and numbers that hold an item: its windows counted place by place, run by run, in all."""
+    def windows(text):
+        t = text.split()
+        size = min(8, len(t))
+        for at in range(len(t) - size + 1):
+            w = t[at:at + size]
+            slots = tuple(x for x in w if x.isdigit())
+            yield at, "literal", tuple(w), (), size - len(slots)
+            if slots:
+                yield at, "template", tuple("#" if x.isdigit() else x for x in w), slots, size - len(slots)
+
+    assert all(len(x.split()) >= 8 for x in items) and len(set(items)) == len(items)
+    cells = {}
+    for n, text in enumerate(items):
+        for at, kind, w, slots, literals in windows(text):
+            if kind == "template" and literals >= 5:
+                cells.setdefault(n, []).append((at, "template", ("template", w), slots))
+            elif kind == "literal":
+                bare = not any(x.isdigit() for x in w)
+                cells.setdefault(n, []).extend((at, k, ("literal", w), ()) for k in (["literal", "template"] if bare else ["literal"]))
+    holders = Counter(h for n in cells for h in {h for _, _, h, _ in cells[n]})
+    out = set()
+    for d, text in enumerate(docs):
+        held = {}
+        for at, kind, w, slots, _ in windows(text):
+            held.setdefault((kind, w), []).append((at, slots))
+        for n in cells:
+            for kind in ("literal", "template"):
+                own = [c for c in cells[n] if c[1] == kind]
+                if not own:
+                    continue
+                fewest = min(holders[h] for _, _, h, _ in own)
+                weight = {at: fewest / holders[h] for at, _, h, _ in own}
+                met = [(at - a, a, slots, theirs) for a, _, h, slots in own for at, theirs in held.get(h, [])]
+                shifts = sorted({m[0] for m in met})
+                runs, last = {}, None
+                for x in shifts:
+                    runs[x] = runs.get(last, 0) + (last is not None and x - last > 8)
+                    last = x
+                groups = {}
+                for m in met:
+                    for g in (("place", m[0]), ("run", runs[m[0]]), ("all", 0)):
+                        groups.setdefault(g, []).append(m)
+                for g in groups.values():
+                    pairs = {p for m in g for p in zip(m[2], m[3])}
+                    other = {p for p in pairs if p[0] != p[1]}
+                    fits = any(len(q) == len({i for i, _ in q}) for q in (pairs, other))
+                    if fits and sum(weight[a] for a in {m[1] for m in g}) >= sum(weight.values()) * min_share - 1e-9:
+                        out.add(d)
+    return out
+
+
+def test_decontamination_matches_brute_force(spark):
+    rng = random.Random(31)
+    vocabulary = [f"w{c}{d}" for c in "abcdef" for d in "uvwxyz"]
+    vocabulary = [w.replace("w", "v") for w in vocabulary]
+    said = [" ".join(rng.choices(vocabulary, k=9)) for _ in range(3)]
+    number = lambda: str(rng.randint(1, 4))
+
+    def text(k):
+        return " ".join(number() if rng.random() < 0.12 else rng.choice(vocabulary) for _ in range(k))
+
+    items = [f"{rng.choice(said)} {text(rng.randint(8, 24))}" if rng.random() < 0.5 else text(rng.randint(8, 24)) for _ in range(25)]
+    docs = []
+    for _ in range(150):
+        parts = [text(rng.randint(0, 12))]
+        for _ in range(rng.randint(1, 3)):
+            words = rng.choice(items + said).split()
+            start = rng.randint(0, len(words) - 1)
+            piece = words[start:start + rng.randint(6, 30)]
+            parts += [" ".join(number() if x.isdigit() and rng.random() < 0.4 else x for x in piece), text(rng.randint(0, 5))]
+        docs.append(" ".join(" ".join(parts).split()))
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    want = brute_contaminated(docs, items, 0.5)
+    assert 20 < len(want) < 140
+    for bound in (10**6, 3):
+        got = decontamination.judge(make(spark, docs), benchmark, min_share=0.5, max_broadcast=bound, min_run=10**6).collect()
+        assert {r.doc_id for r in got} == want
 
 
 def test_toxicity_scores_every_occurrence():
