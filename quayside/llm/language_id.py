@@ -37,6 +37,14 @@ CACHE_WORDS = 400_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+def letter_words(text: str) -> list[str]:
+    """Runs of letters (Unicode category L); numerals such as a half or a Roman eight stand between them."""
+    found = LETTERS.findall(text)
+    if not found or "".join(found).isalpha():
+        return found
+    return [part for w in found for part in "".join(c if c.isalpha() else " " for c in w).split()]
+
+
 def grams(word: str, order: int) -> list[str]:
     """Character n-grams of a word; from two characters on, with its ends marked."""
     marked = word if order == 1 else f"^{word}$"
@@ -57,7 +65,7 @@ def _count(batches):
     for pdf in batches:
         counts: Counter = Counter()
         for text, lang in zip(pdf["text"], pdf["lang"]):
-            for word, n in Counter(LETTERS.findall(text.lower())).items():
+            for word, n in Counter(letter_words(text.lower())).items():
                 counts[lang, 0, word] += n
                 for order in range(1, MAX_ORDER + 1):
                     for g in grams(word, order):
@@ -120,7 +128,7 @@ class Model:
 
         def predict(text: str | None) -> tuple[str, float]:
             nonlocal rows
-            words = LETTERS.findall(text.lower()) if text else []
+            words = letter_words(text.lower()) if text else []
             if not words or not size:
                 return UNKNOWN, 0.0
             if len(rows) > CACHE_WORDS:

@@ -294,6 +294,14 @@ def test_sentencepiece_parity_and_round_trip(spark):
     assert [r.decoded for r in sorted(both, key=lambda r: r.doc_id)] == texts
 
 
+def test_language_of_texts_without_a_letter(spark):
+    learned = make(spark, ["the river and the hill"] * 4 + ["el río y la colina"] * 4, {i: "es" for i in range(4, 8)})
+    asked = make(spark, ["½ ² Ⅷ 12", None, "", "_ 5", "the ½ river", "la² colina"])
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(asked, language_id.fit(learned)).collect()}
+    assert got == {0: "und", 1: "und", 2: "und", 3: "und", 4: "en", 5: "es"}
+    assert language_id.letter_words("x²y Ⅷa _b") == ["x", "y", "a", "b"]
+
+
 ITEM = "when the train left the old station it had {0} carriages and carried {1} tons of coal towards the distant {2} mines"
 
 
