@@ -79,3 +79,13 @@ def test_any_format_by_options(spark, scratch):
     docs = store.read_documents(spark, "json", {"mode": "FAILFAST"}, f"{scratch}/j", key="k", file_name="name", text="body")
     assert docs.columns == ["id", "fileName", "text"]
     assert sorted(map(tuple, docs.collect())) == [(str(i), "f", f"t{i}") for i in range(3)]
+
+
+def test_a_source_without_a_size_is_not_dealt_by_its_default(spark, scratch):
+    from quayside.session import estimated_bytes, partitions_for
+
+    _, options = _container(spark, scratch, n=60)
+    # the projection scales the default estimate, which is no size of the container
+    found = store.read_documents(spark, options=options).where("id IS NOT NULL").select("id", "fileName", "text")
+    assert estimated_bytes(found) is None
+    assert partitions_for(found) == int(spark.conf.get("spark.sql.shuffle.partitions"))
