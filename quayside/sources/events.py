@@ -104,11 +104,13 @@ def json_messages(lineitem: DataFrame, schema_id: str | None = None) -> DataFram
 
 def avro_messages(lineitem: DataFrame, avro_text: str, schema_id: str | None = None,
                   carry: tuple[str, ...] = ()) -> DataFrame:
-    """Broker messages with schemaless Avro bodies (encoded by an Arrow UDF)."""
+    """Broker messages with schemaless Avro bodies (encoded by an Arrow UDF, which is given only the
+    fields that lineitem fills: the others are written as null without a trip to Python)."""
     from quayside.functions.avro import encode_avro
     from quayside.functions.schemas import parse_avro_record
 
-    names = [f.name for f in parse_avro_record(avro_text)]
+    filled = _lineitem_map()
+    names = [f.name for f in parse_avro_record(avro_text) if f.name in filled]
     events = sales_events_from_lineitem(lineitem, with_position=True, carry=carry)
     return events.select(
         encode_avro(F.struct(*names), avro_text).alias("body"),

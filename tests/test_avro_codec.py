@@ -177,3 +177,15 @@ def test_messages_that_cannot_be_read_by_id_do_not_stop_the_others(spark):
     assert got[4]._decode_error and got[4].a is None
     plain = {r.n: r.d for r in found.select("n", avro.avro_decoder_by_id(writers, reader)("sid", "body").alias("d")).collect()}
     assert [n for n, d in plain.items() if d is not None] == [0]
+
+
+def test_nullable_fields_that_a_record_lacks_are_written_as_null():
+    given = {"l": pa.array([1, -(2**63)], pa.int64()), "s": pa.array(["a", None])}
+    nulls = {"i": pa.nulls(2, pa.int32()), "d": pa.nulls(2, pa.float64())}
+    few = pa.StructArray.from_arrays(list(given.values()), names=list(given))
+    full = pa.StructArray.from_arrays([*given.values(), *nulls.values()], names=[*given, *nulls])
+    want = [small_record(None, 1, "a", None), small_record(None, -(2**63), None, None)]
+    assert avro.encode_batch(few, SMALL).to_pylist() == avro.encode_batch(full, SMALL).to_pylist() == want
+    without = pa.StructArray.from_arrays([given["s"]], names=["s"])
+    with pytest.raises(ValueError, match="non-nullable field l"):
+        avro.encode_batch(without, SMALL)
