@@ -14,8 +14,11 @@ The first has only pairs of neighbours in a column, ordered by size, and of each
 n-gram at the smallest position, for each member the closest few of these; their links give components. The second has the pairs of a column whose documents are
 still in different components, so no link between two components is lost. Documents without any link are paired one by
 one. A component is first met by its hub, the smallest key: Jaccard distance is a metric, so with the exact distances of
-hubs to each other and to their members, only members a and b with d(hubs) <= d(limit) + d(hub, a) + d(hub, b) can link. A
-document that shares a passage with thousands of near copies is thus held against their hub, not against each of them.
+hubs to each other and to their members, only documents can link with a member of a component that are not farther from its
+hub than the limit and that component's radius. Such a document that doesn't link with the hub itself links with a member only
+if both have enough of the same n-grams that the hub lacks, or lack enough of the same ones that it has; so these few are
+joined, and not every such document with every member. A document that shares a passage with thousands of near copies is
+thus held against their hub, not against each of them.
 
 The global order only matters for speed: it puts the n-grams last that are frequent within Arrow batches, at most
 ``MAX_FREQUENT`` of them. Nothing depends on it for results.
@@ -249,29 +252,83 @@ def _verified(pairs: DataFrame, packed: DataFrame, percent: int) -> DataFrame:
     return _measured(pairs.withColumn("limit", F.lit(_limit(percent))), packed).select("a", "b")
 
 
+def _apart(pairs: DataFrame, packed: DataFrame) -> DataFrame:
+    """``pairs`` (component, key) with the ``size`` of the hub's set, what the document's set lacks (``removed``) and has
+    beside it (``added``), the Jaccard ``distance``, and these n-grams (``apart``)."""
+    near = pairs.select("component", "key")
+    for side in ("component", "key"):
+        near = near.join(packed.select(F.col("key").alias(side), F.col("members").alias(f"m{side}")), side)
+
+    def run(batches):
+        for b in batches:
+            size, removed, added, apart = [], [], [], []
+            for hub, own in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                hub, own = np.frombuffer(hub, np.uint64), np.frombuffer(own, np.uint64)
+                less, more = np.setdiff1d(hub, own, assume_unique=True), np.setdiff1d(own, hub, assume_unique=True)
+                size.append(len(hub))
+                removed.append(len(less))
+                added.append(len(more))
+                apart.append(_signed(np.concatenate([less, more])))
+            far = (np.array(removed) + np.array(added)) / (np.array(size) + np.array(added))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), *(pa.array(x, pa.int64()) for x in (size, removed, added)), pa.array(far, pa.float64()),
+                 pa.array(apart, pa.list_(pa.int64()))], ["component", "key", "size", "removed", "added", "distance", "apart"])
+
+    kind = pairs.schema["key"].dataType.simpleString()
+    return near.select("component", "key", "mcomponent", "mkey").mapInArrow(
+        run, f"component {kind}, key {kind}, size bigint, removed bigint, added bigint, distance double, apart array<bigint>")
+
+
 def _across(left: DataFrame, known: DataFrame, packed: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of documents in different components that may link, at least one of them in a component of ``known``
-    (key, component); ``left`` has the cells (h, key, component) of columns with several components."""
-    everything = F.lit(1.0)
-    spokes = _measured(known.where("key <> component").select(F.col("key").alias("a"), F.col("component").alias("b"),
-                                                             everything.alias("limit")), packed)
-    spokes = common.stored(spokes.select(F.col("a").alias("key"), F.col("b").alias("component"), "distance"), "ngram-spokes")
-    radius = spokes.groupBy("component").agg(F.max("distance").alias("radius"))
+    (key, component); ``left`` has the cells (h, key, component) of columns with several components. Of the links of a
+    document with a component, those with others than the hub may be left out if it links with the hub."""
+    spokes = common.stored(_apart(known.where("key <> component"), packed), "ngram-spokes")
+    radius = spokes.groupBy("component").agg(F.max("distance").alias("radius"), F.count("*").alias("members"))
     units = left.select("h", "component").distinct().join(radius, "component", "left")
-    grouped = units.where("radius is not null").select("h", F.col("component").alias("a"), F.col("radius").alias("r1"))
-    others = units.select("h", F.col("component").alias("b"), F.col("radius").alias("r2"))
+    grouped = units.where("radius is not null").select("h", F.col("component").alias("a"), F.col("radius").alias("r1"), F.col("members").alias("m1"))
+    others = units.select("h", F.col("component").alias("b"), F.col("radius").alias("r2"), F.col("members").alias("m2"))
     met = grouped.join(others, "h").where("a <> b and (r2 is null or a < b)")
-    reach = F.lit(_limit(percent)) + F.max("r1") + F.coalesce(F.max("r2"), F.lit(0.0))
-    hubs = common.stored(_measured(met.groupBy("a", "b").agg(reach.alias("limit")), packed), "ngram-hubs")
-    # every document of a component with its distance to the hub; a hub, or a document alone, is its own
-    members = spokes.union(hubs.select(F.col("a").alias("key"), "a", F.lit(0.0))).union(
-        hubs.select(F.col("b").alias("key"), "b", F.lit(0.0))).distinct()
-    one = members.select(F.col("component").alias("a"), F.col("key").alias("x"), F.col("distance").alias("d1"))
-    two = members.select(F.col("component").alias("b"), F.col("key").alias("y"), F.col("distance").alias("d2"))
-    # a member that not even the farthest member of the other component can reach goes at once
-    widest = hubs.join(radius.withColumnRenamed("component", "b"), "b", "left").withColumnRenamed("a", "u")
-    near = F.col("distance") <= F.lit(_limit(percent) + SLACK) + F.col("d1") + F.coalesce("radius", F.lit(0.0))
-    met = widest.join(one, (F.col("u") == F.col("a")) & near).drop("u", "radius").join(two, "b").where(F.col("distance") <= F.lit(_limit(percent) + SLACK) + F.col("d1") + F.col("d2"))
+    ends = met.groupBy("a", "b").agg(*[F.max(c).alias(c) for c in ("r1", "r2", "m1", "m2")])
+    limit = F.lit(_limit(percent))
+    # the smaller component's documents are held against the larger one's hub
+    turned = F.coalesce(F.col("m2") > F.col("m1"), F.lit(False))
+    ends = ends.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"),
+                       F.when(turned, F.col("r2")).otherwise(F.col("r1")).alias("radius"),
+                       (limit + F.col("r1") + F.coalesce("r2", F.lit(0.0))).alias("limit"))
+    ends = common.stored(ends, "ngram-ends")
+    hubs = common.stored(_measured(ends, packed).join(ends.select("a", "b", "radius"), ["a", "b"]), "ngram-hubs")
+    # a document that not even the farthest member of the larger component can reach goes at once
+    reach = F.lit(_limit(percent) + SLACK) + F.col("radius")
+    alone = hubs.where(F.col("distance") <= reach).select(F.col("a").alias("component"), F.col("b").alias("key"))
+    inside = spokes.select(F.col("component").alias("b"), "key", F.col("distance").alias("d"))
+    guests = alone.union(hubs.join(inside, "b").where(F.col("distance") <= reach + F.col("d")).select(F.col("a").alias("component"), "key"))
+    guests = common.stored(_apart(guests, packed), "ngram-guests")
+
+    # With w = 100 removed + percent added, members x and y link if and only if they share, of what sets them apart from a
+    # hub of n n-grams, s with s (100 + percent) >= w(x) + w(y) - (100 - percent) n. Without the w of the other (that of the
+    # hub itself is 0) this tells whether y links with the hub; if not, y and a member that it links with share some.
+    weight = 100 * F.col("removed") + percent * F.col("added")
+    beyond = weight - (100 - percent) * F.col("size")
+    linked = guests.where(beyond <= 0).select(F.col("component").alias("x"), F.col("key").alias("y"))
+    x = spokes.select("component", "key", weight.alias("w"), "apart", F.lit(False).alias("guest"))
+    y = guests.where(beyond > 0).select("component", "key", beyond.alias("w"), "apart", F.lit(True).alias("guest"))
+    least = lambda rows: rows.groupBy("component").agg(F.min("w").alias("least"))
+    need = lambda w: F.ceil(w / (100 + percent) - SLACK)
+    rows = x.join(least(y), "component").union(y.join(least(x), "component").select(*x.columns, "least"))
+    rows = rows.withColumn("need", need(F.col("w") + F.col("least"))).where(F.size("apart") >= F.col("need"))
+    cells = rows.select("component", "key", "guest", "w", "need", F.explode("apart").alias("h"))
+    both = cells.groupBy("component", "h").agg(F.count("*").alias("often"), F.min("guest").alias("low"), F.max("guest").alias("high")).where("low <> high")
+    # as in the first round: the rare ones stand first, and of these a document keeps so many that pairs meet in one
+    own = Window.partitionBy("component", "key")
+    cells = cells.join(both.select("component", "h", "often"), ["component", "h"]).withColumn(
+        "pos", F.row_number().over(own.orderBy("often", "h"))).withColumn("n", F.count("*").over(own)).where(
+        F.col("pos") <= F.col("n") - F.col("need") + 1)
+    cells = common.stored(cells.select("component", "h", "key", "guest", "w", "pos", "n"), "ngram-apart")
+    one = cells.where("not guest").select("component", "h", F.col("key").alias("x"), F.col("w").alias("w1"), F.col("pos").alias("p1"), F.col("n").alias("n1"))
+    two = cells.where("guest").select("component", "h", F.col("key").alias("y"), F.col("w").alias("w2"), F.col("pos").alias("p2"), F.col("n").alias("n2"))
+    most = F.least("p1", "p2") + F.least(F.col("n1") - F.col("p1"), F.col("n2") - F.col("p2"))
+    met = one.join(two, ["component", "h"]).where(most >= need(F.col("w1") + F.col("w2"))).select("x", "y").union(linked)
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 

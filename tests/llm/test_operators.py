@@ -517,6 +517,33 @@ def test_ngram_join_of_a_large_group_beside_others(spark):
         assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == brute_components(texts, 4, percent)
 
 
+def test_ngram_join_holds_loose_copies_against_hubs(spark, monkeypatch):
+    """A component of near copies beside copies with more edits, of which few link: not every such pair is a candidate."""
+    rng = random.Random(33)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    base = [rng.choice(vocabulary) for _ in range(200)]
+
+    def edited(edits):
+        copy = list(base)
+        for at in rng.sample(range(200), edits):
+            copy[at] = rng.choice(vocabulary)
+        return " ".join(copy)
+
+    texts = [" ".join(base)] + [edited(rng.randint(1, 4)) for _ in range(60)] + [edited(rng.randint(5, 8)) for _ in range(60)]
+    met, across = [], ngram_join._across
+
+    def counted(*args):
+        out = across(*args)
+        met.append(out.count())
+        return out
+
+    monkeypatch.setattr(ngram_join, "_across", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.components(make(spark, texts), 4, 85).collect()}
+    want = brute_components(texts, 4, 85)
+    assert got == want and 1 < len({c for _, c in want.values()}) < len(texts) - 30
+    assert len(met) == 1 and met[0] <= 2 * len(texts)
+
+
 def test_ngram_join_of_repeated_and_null_keys(spark):
     first, second = "one two three four five six seven eight", "nine ten eleven twelve thirteen fourteen fifteen"
     rows = [(7, first), (7, second), (7, first), (3, first), (5, second), (None, first), (None, "x"), (9, None)]
