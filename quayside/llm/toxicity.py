@@ -49,6 +49,8 @@ TAIL = 0.9
 #: The variate of a text without any passage.
 LOWEST = -12.0
 CACHE_WORDS = 400_000
+#: Counts that a worker holds before it hands them on; the sums are Spark's.
+MAX_COUNTED = 50_000
 CALIBRATION_FOLDS = 5
 
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -198,15 +200,23 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.
 
 
 def _count(batches):
+    counts: dict[tuple[int, int], Counter] = {}  # of (toxic, fold)
+
+    def taken() -> pd.DataFrame:
+        found = pd.concat([pd.DataFrame({"feature": list(c), "fold": fold, "toxic": np.fromiter(c.values(), np.int64, len(c)) * bool(t),
+                                         "clean": np.fromiter(c.values(), np.int64, len(c)) * (not t)}) for (t, fold), c in counts.items()],
+                          ignore_index=True)
+        counts.clear()
+        return found
+
     for pdf in batches:
-        counts: Counter = Counter()
         for text, toxic, fold in zip(pdf["text"], pdf["toxic"], pdf["fold"]):
             # a text counts once for a token, however often it repeats it
-            for f in {f for word in set(LETTERS.findall(text.lower())) for f in features(word)}:
-                counts[f, toxic, fold] += 1
-        if counts:
-            yield pd.DataFrame([(f, fold, n if t else 0, 0 if t else n) for (f, t, fold), n in counts.items()],
-                               columns=["feature", "fold", "toxic", "clean"])
+            counts.setdefault((toxic, fold), Counter()).update({f for word in set(LETTERS.findall(text.lower())) for f in features(word)})
+            if sum(map(len, counts.values())) >= MAX_COUNTED:
+                yield taken()
+    if counts:
+        yield taken()
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",

@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -488,6 +489,21 @@ def test_toxicity_replaces_clashing_columns(spark):
     assert [(r.score < 0.1, r.predicted, r.passages) for r in scored.collect()] == [(True, 0, [])] * 3
 
 
+def test_toxicity_hands_counts_on_in_bounded_parts():
+    """A worker's memory does not grow with the distinct words of a batch, and the sums stay the same."""
+    rows = [(" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + j % 26)}{chr(97 + j // 26)}rest" for j in range(60)), int(i % 3 == 0), i % 5)
+            for i in range(600)]
+    parts = list(toxicity._count(iter([pd.DataFrame(rows, columns=["text", "toxic", "fold"])] * 2)))
+    most = max(len({f for w in t.split() for f in toxicity.features(w)}) for t, _, _ in rows)
+    assert len(parts) > 1 and max(map(len, parts)) < toxicity.MAX_COUNTED + most
+    got = pd.concat(parts).groupby(["feature", "fold"])[["toxic", "clean"]].sum()
+    want = {}
+    for t, toxic, fold in rows * 2:
+        for f in {f for w in t.split() for f in toxicity.features(w)}:
+            want.setdefault((f, fold), [0, 0])[1 - toxic] += 1
+    assert {k: [r.toxic, r.clean] for k, r in zip(got.index, got.itertuples())} == want
+
+
 @pytest.mark.parametrize("n,percent", [(1, 75), (1, 50), (2, 60), (4, 85)])
 def test_ngram_join_at_low_thresholds_matches_brute_force(spark, n, percent):
     rng = random.Random(n * percent)
