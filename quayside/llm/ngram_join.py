@@ -50,7 +50,7 @@ MAX_FREQUENT = 200_000
 NEIGHBOURS = 4
 #: An n-gram that so many sets of one Arrow batch hold is a candidate for the end of the order.
 FREQUENT_IN_BATCH = 6
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 SKETCH = 128
 
 class WordHashes(dict):
@@ -126,6 +126,7 @@ def sets(docs: DataFrame, n: int, key: str, text: str) -> DataFrame:
     """Rows of two kinds: (key, n, digest) of every document, and (h, c) of n-grams that are frequent in a batch."""
     common.bounded_batches(docs.sparkSession)
 
+    @common.handing_back
     def run(batches):
         shingler = Shingler(n)
         for pdf in batches:
@@ -150,6 +151,7 @@ def _prefixes(docs: DataFrame, n: int, percent: int, frequent: np.ndarray, key:
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
     least = minimum_size(percent)
 
+    @common.handing_back
     def run(batches):
         shingler, late = Shingler(n), shared.value
         for b in batches:
@@ -175,6 +177,7 @@ def minimum_size(percent: int) -> int:
 
 
 def _packed(docs: DataFrame, n: int, key: str, text: str) -> DataFrame:
+    @common.handing_back
     def run(batches):
         shingler = Shingler(n)
         for b in batches:
@@ -213,6 +216,7 @@ def _measured(pairs: DataFrame, packed: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         near = near.join(packed.select(F.col("key").alias(side), F.col("sketch").alias(f"s{side}")), side)
 
+    @common.handing_back
     def plausible(batches):
         for b in batches:
             if not b.num_rows:
@@ -228,6 +232,7 @@ def _measured(pairs: DataFrame, packed: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         near = near.join(packed.select(F.col("key").alias(side), F.col("members").alias(f"m{side}")), side)
 
+    @common.handing_back
     def measured(batches):
         for b in batches:
             apart = []
@@ -259,6 +264,7 @@ def _apart(pairs: DataFrame, packed: DataFrame) -> DataFrame:
     for side in ("component", "key"):
         near = near.join(packed.select(F.col("key").alias(side), F.col("members").alias(f"m{side}")), side)
 
+    @common.handing_back
     def run(batches):
         for b in batches:
             size, removed, added, apart = [], [], [], []

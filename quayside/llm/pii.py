@@ -257,6 +257,7 @@ def fit(docs: DataFrame, text: str = "text") -> Model:
     """Count the vote patterns of all candidates of all documents, then train."""
     common.bounded_batches(docs.sparkSession)
 
+    @common.handing_back
     def count(batches):
         for pdf in batches:
             seen = Counter((span[0], pattern) for t in pdf["text"] if t for span, _, pattern in candidates(t))
@@ -301,6 +302,7 @@ def _with_column(docs, model, text, schema, kind, make, at=None):
     common.bounded_batches(spark)
     shared, source, names = spark.sparkContext.broadcast(model), docs.columns.index(text), [f.name for f in schema.fields]
 
+    @common.handing_back
     def run(batches):
         own = shared.value
         for b in batches:
@@ -321,6 +323,7 @@ def summarise(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "t
     common.bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
+    @common.handing_back
     def run(batches):
         for pdf in batches:
             out = []

@@ -32,7 +32,8 @@ BATCH_CHARS = 1 << 20
 SPACE = "▁"
 #: Words, and ids of words, that a worker remembers; longer words are forgotten after their batch.
 CACHE_WORDS, CACHED_IDS, CACHED_CHARS = 400_000, 4_000_000, 64
-WORDS_AT_ONCE = 512
+#: Words of a part, and parts for each thread that are encoded before their ids are kept and the rest is let go.
+WORDS_AT_ONCE, PARTS_AT_ONCE = 512, 8
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
 # Fixed values of the model file format: kinds of piece and of model.
@@ -152,20 +153,22 @@ class Codec:
     def __init__(self, data: bytes, threads: int = 1):
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
-        self.data, self.model, self._reference = data, parse_model(data), None
+        self.data, self.model, self.threads, self._reference = data, parse_model(data), threads, None
         self.tokenizer = build(self.model)
+        self.normalizer = self.tokenizer.normalizer
         # words apart: each distinct word is encoded once and remembered, which the pipeline does for few words only
         self.words = None
         if self.tokenizer.pre_tokenizer is not None:
-            self.words = build(self.model)
+            self.words = self.tokenizer
             self.words.normalizer = self.words.pre_tokenizer = None
         self.plain = not (self.model.charsmap or self.model.squeeze_spaces)
-        self._forget()
+        self.forget()
         self.piece_bytes = [bytes([int(p[3:-1], 16)]) if kind == BYTE else p.replace(SPACE, " ").encode()
                             for p, _, kind in self.model.pieces]
         self.bytes_from = {i for i, p in enumerate(self.model.pieces) if p[2] == BYTE}
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Let go of the remembered words."""
         self.known = Words()
         self.ids, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64)  # of all known words, by number
 
@@ -188,7 +191,7 @@ class Codec:
                 yield None if text is None else np.array(next(found).ids if text else [], dtype=np.int32)
             return
         if len(self.known) > CACHE_WORDS or len(self.ids) > CACHED_IDS:
-            self._forget()
+            self.forget()
         numbers = [None if t is None else self._numbers(t) for t in batch]
         new, self.known.new = self.known.new, []
         self._learn(new)
@@ -211,14 +214,16 @@ class Codec:
     def _learn(self, new: list[str]) -> None:
         parts = [new[i:i + WORDS_AT_ONCE] for i in range(0, len(new), WORDS_AT_ONCE)]
         ids, lengths = [self.ids], [self.lengths]
-        for part, e in zip(parts, self.words.encode_batch(parts, is_pretokenized=True, add_special_tokens=False)):
-            ids.append(np.array(e.ids, dtype=np.int32))
-            lengths.append(np.bincount(np.array(e.word_ids, dtype=np.int64), minlength=len(part)))
+        step = PARTS_AT_ONCE * self.threads
+        for some in (parts[i:i + step] for i in range(0, len(parts), step)):
+            for part, e in zip(some, self.words.encode_batch(some, is_pretokenized=True, add_special_tokens=False)):
+                ids.append(np.array(e.ids, dtype=np.int32))
+                lengths.append(np.bincount(np.array(e.word_ids, dtype=np.int64), minlength=len(part)))
         self.ids, self.lengths = np.concatenate(ids), np.concatenate(lengths)
 
     def _normal(self, text: str) -> str:
         if not self.plain:
-            return self.tokenizer.normalizer.normalize_str(text)
+            return self.normalizer.normalize_str(text)
         return (SPACE if self.model.dummy_prefix else "") + text.replace(" ", SPACE)
 
     def decode(self, ids: list[Sequence[int] | None]) -> list[str | None]:
@@ -263,11 +268,13 @@ def _mapped(docs: DataFrame, new: list[StructField], kinds: list[pa.DataType], m
     schema = StructType([*kept, *new])
     positions = [docs.columns.index(f.name) for f in kept]
 
+    @common.handing_back
     def run(batches):
         for b in batches:
             columns = make(codec(make.data, make.threads), dict(zip(b.schema.names, b.columns)))
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays([*[b.column(i) for i in positions], *arrays], [f.name for f in schema.fields])
+        codec(make.data, make.threads).forget()
 
     return docs.mapInArrow(run, schema)
 

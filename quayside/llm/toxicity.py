@@ -48,7 +48,8 @@ ONE_SIDED = 0.05
 TAIL = 0.9
 #: The variate of a text without any passage.
 LOWEST = -12.0
-CACHE_WORDS = 400_000
+#: Words that a worker remembers with their score, and with one for each fold.
+CACHE_WORDS, CACHE_FOLDED = 100_000, 80_000
 #: Counts that a worker holds before it hands them on; the sums are Spark's.
 MAX_COUNTED = 50_000
 CALIBRATION_FOLDS = 5
@@ -199,6 +200,7 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.
     return w
 
 
+@common.handing_back
 def _count(batches):
     counts: dict[tuple[int, int], Counter] = {}  # of (toxic, fold)
 
@@ -247,6 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     shared = spark.sparkContext.broadcast(model)
 
+    @common.handing_back
     def score_counts(batches):
         score = shared.value.scorer()
         for pdf in batches:
@@ -278,6 +281,7 @@ def calibrate(rows: DataFrame, model: Model, table: pd.DataFrame) -> None:
             scores[place[f], fold] = s
     shared = rows.sparkSession.sparkContext.broadcast((model, place, scores))
 
+    @common.handing_back
     def run(batches):
         own, place, scores = shared.value
         known: dict[str, np.ndarray] = {}
@@ -289,7 +293,7 @@ def calibrate(rows: DataFrame, model: Model, table: pd.DataFrame) -> None:
                 for f in features(word):
                     if (i := place.get(f)) is not None:
                         out = np.where(out == 0, scores[i], out)
-                if len(known) > CACHE_WORDS // CALIBRATION_FOLDS:
+                if len(known) > CACHE_FOLDED:
                     known.clear()
                 known[word] = out
             return out
@@ -330,6 +334,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", prefix: str = "") -
     at = docs.columns.index(text)
     struct = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("significance", pa.float64())])
 
+    @common.handing_back
     def run(batches):
         own = shared.value
         tokens = own.scorer()

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import weakref
 from collections import Counter, defaultdict
 
 import pandas as pd
@@ -504,6 +505,64 @@ def test_toxicity_hands_counts_on_in_bounded_parts():
     assert {k: [r.toxic, r.clean] for k, r in zip(got.index, got.itertuples())} == want
 
 
+def test_workers_hand_arrow_memory_back_after_a_task(monkeypatch):
+    """What a run held is gone when Arrow's pool is asked to return its memory."""
+    class Held:
+        pass
+
+    alive, told = [], []
+
+    class Pool:
+        def release_unused(self):
+            told.append([r() for r in alive])
+
+    def run(batches):
+        own = Held()
+        alive.append(weakref.ref(own))
+        for b in batches:
+            yield b + 1
+
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    assert list(common.handing_back(run)(iter([1, 2]))) == [2, 3] and told == [[None]]
+    assert toxicity._count.__wrapped__ and not list(toxicity._count(iter([]))) and len(told) == 2
+
+
+def test_sentencepiece_worker_keeps_no_words_after_a_task_and_encodes_few_at_once():
+    import pyarrow as pa
+    from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+
+    class Docs:  # gives the function that would go to the workers
+        schema, columns = StructType([StructField("text", StringType())]), ["text"]
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    with open(sentencepiece_codec.MODEL_PATH, "rb") as f:
+        data = f.read()
+    own, sizes = sentencepiece_codec.codec(data, 1), []
+
+    class Counted:
+        def __init__(self, words):
+            self.words = words
+
+        def encode_batch(self, parts, **options):
+            sizes.append(sum(map(len, parts)))
+            return self.words.encode_batch(parts, **options)
+
+    texts = [" ".join(f"word{i * 60 + j}x" for j in range(60)) for i in range(150)] + [None, ""]
+    make = lambda c, columns: [list(c.encode(columns["text"].to_pylist()))]
+    make = type("Make", (), {"data": data, "threads": 1, "__call__": staticmethod(make)})()
+    run = sentencepiece_codec._mapped(Docs(), [StructField("ids", ArrayType(IntegerType()))], [pa.list_(pa.int32())], make)
+    plain, own.words = own.words, Counted(own.words)
+    try:
+        got = [b.column(1).to_pylist() for b in run(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])]))][0]
+    finally:
+        own.words = plain
+    assert sum(sizes) >= 9000 and max(sizes) <= sentencepiece_codec.WORDS_AT_ONCE * sentencepiece_codec.PARTS_AT_ONCE
+    assert got == [None if t is None else own.reference_ids([t])[0] for t in texts]
+    assert len(own.known) == len(own.ids) == 0
+
+
 @pytest.mark.parametrize("n,percent", [(1, 75), (1, 50), (2, 60), (4, 85)])
 def test_ngram_join_at_low_thresholds_matches_brute_force(spark, n, percent):
     rng = random.Random(n * percent)
