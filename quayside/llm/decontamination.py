@@ -41,6 +41,9 @@ from pyspark.sql import functions as F
 from quayside.llm import common
 
 WINDOW = 8
+#: Windows that start in a block of a text. Every hit carries the tokens of its block, so what a task holds doesn't grow
+#: with the hits of a text times its length.
+BLOCK = 128
 #: Literal tokens that a template window needs, so that placeholders alone never match.
 MIN_LITERALS = 5
 #: Share of an item's windows that must be found in a document.
@@ -79,26 +82,34 @@ def _tokens(marked: Column) -> Column:
 
 
 def _hashed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, row, t, k, l, h): the tokens of every text, with the kind (0 literal, 1 name, 2 number, 3 unit), literal hash and
-    template hash of each; ``row`` is the hash of the text. Texts without number and name have only t and l.
+    """(key, row, n, start, t, k, l, h): the tokens of every text, with the kind (0 literal, 1 name, 2 number, 3 unit), literal
+    hash and template hash of each; ``row`` is the hash of the text and ``n`` its number of tokens. A text comes in blocks: the
+    ``BLOCK`` tokens from ``start`` and those that their windows also need. Texts without number and name have only t and l.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     marked = docs.select(F.col(key).alias("key"), F.xxhash64(body).alias("row"), _marked(body).alias("m"))
     split = marked.select("key", "row", F.rlike("m", F.lit(f"[0-9{_NAME}]")).alias("slotted"), _tokens(F.col("m")).alias("t"))
+    blocks = F.transform(F.sequence(F.lit(1), F.greatest(F.size("t"), F.lit(1)), F.lit(BLOCK)), lambda s: F.struct(
+        s.alias("start"), F.slice(F.col("t"), s, BLOCK + WINDOW - 1).alias("t"), F.get(F.col("t"), s - 2).alias("before")))
+    split = split.select("key", "row", "slotted", F.size("t").alias("n"), F.explode_outer(blocks).alias("b")).select(
+        "key", "row", "slotted", "n", "b.*")
     digit = lambda w: F.coalesce(F.substring(w, 1, 1).between("0", "9"), F.lit(False))
     kind = lambda w, i: (F.when(F.substring(w, 1, 1) == _NAME, 1).when(digit(w), 2)
-                         .when(w.isin(UNITS) & digit(F.get(F.col("t"), i - 1)), 3).otherwise(0))
+                         .when(w.isin(UNITS) & digit(F.when(i == 0, F.col("before")).otherwise(F.get(F.col("t"), i - 1))), 3)
+                         .otherwise(0))
     bare = lambda w: F.when(F.substring(w, 1, 1) == _NAME, F.substring(w, 2, 1 << 30)).otherwise(w)
     literal = F.when(F.col("slotted"), F.transform("t", lambda w: F.xxhash64(bare(w)))).otherwise(
         F.transform("t", lambda w: F.xxhash64(w)))
-    kinds = split.select("key", "row", "t", F.when(F.col("slotted"), F.transform("t", kind)).alias("k"), literal.alias("l"))
-    return kinds.select("key", "row", "t", "k", "l",
+    kinds = split.select("key", "row", "n", "start", "t", F.when(F.col("slotted"), F.transform("t", kind)).alias("k"), literal.alias("l"))
+    return kinds.select("key", "row", "n", "start", "t", "k", "l",
                         F.zip_with("l", "k", lambda h, k: F.when(k == 0, h).otherwise(k.cast("long"))).alias("h"))
 
 
 def _hashes(of: str, span: Column) -> Column:
-    """The hash of every window of ``span`` tokens, in order, from the literal (l) or the template (h) hashes of the tokens."""
-    starts = F.when(F.size(of) >= span, F.sequence(F.lit(1), F.size(of) - span + 1)).otherwise(F.array().cast("array<int>"))
+    """The hash of every window of ``span`` tokens that starts in the block, in order, from the literal (l) or the template (h)
+    hashes of the tokens."""
+    starts = F.when(F.size(of) >= span, F.sequence(F.lit(1), F.least(F.size(of) - span + 1, F.lit(BLOCK)))).otherwise(
+        F.array().cast("array<int>"))
     part = lambda i: F.slice(F.col(of), i, span)
     return F.transform(starts, lambda i: F.xxhash64(F.lit(1), part(i)) if of == "h" else F.xxhash64(part(i)))
 
@@ -114,12 +125,14 @@ def item_windows(benchmark: DataFrame, item: str, text: str, min_share: float) -
     """(item, item_pos, size, template, h, item_slots, kinds, weight): the windows that count for each item, and what for."""
     # items with equal texts are one; of an item that repeats, windows are not counted twice
     items = benchmark.groupBy(F.col(text).alias("text")).agg(F.min(item).alias("item"))
-    hashed = _hashed(items, "item", "text").withColumn("size", F.least(F.lit(WINDOW), F.size("t"))).where("size > 0")
-    made = [hashed.select("key", "t", "k", "size", F.lit(of == "h").alias("template"), _hashes(of, F.col("size")).alias("w")) for of in "lh"]
-    every = made[0].union(made[1]).select("key", "t", "k", "size", "template", F.posexplode_outer("w").alias("at", "h")).where("h is not null")
+    hashed = _hashed(items, "item", "text").withColumn("size", F.least(F.lit(WINDOW), F.col("n"))).where("size > 0")
+    made = [hashed.select("key", "start", "t", "k", "size", F.lit(of == "h").alias("template"), _hashes(of, F.col("size")).alias("w"))
+            for of in "lh"]
+    every = made[0].union(made[1]).select("key", "start", "t", "k", "size", "template", F.posexplode_outer("w").alias("at", "h")).where(
+        "h is not null")
     every = every.withColumn("pos", F.col("at") + 1)
     literals = F.when(F.col("k").isNull(), F.col("size")).otherwise(F.size(F.filter(F.slice("k", F.col("pos"), F.col("size")), lambda k: k == 0)))
-    found = every.select(F.col("key").alias("item"), F.col("pos").alias("item_pos"), "size", "template", "h", _slots().alias("item_slots"),
+    found = every.select(F.col("key").alias("item"), (F.col("start") + F.col("at")).alias("item_pos"), "size", "template", "h", _slots().alias("item_slots"),
                          literals.alias("literals")).where("not template or literals < size").distinct()
     found = common.stored(found, "benchmark-all-windows")
     strong = F.col("literals") >= MIN_LITERALS
@@ -144,23 +157,25 @@ def found_windows(docs: DataFrame, key: str, text: str, hashes: DataFrame, sizes
     """(key, row, pos, h, slots): the windows of ``docs`` whose hash is one of ``hashes`` (h, size, template)."""
     hashed = _hashed(docs, key, text)
     every = F.concat(*[_hashes(of, F.lit(z)) for of in "lh" for z in sizes]) if sizes else F.array().cast("array<bigint>")
-    hashed = hashed.select("key", "row", "t", "k", every.alias("w"))
+    hashed = hashed.select("key", "row", "start", "t", "k", every.alias("w"))
     # hashes of one size and kind follow those of the one before
     before, starts = F.lit(0), F.lit(None).cast("int")
     for template in (False, True):
         for z in sizes:
             starts = F.when((F.col("template") == template) & (F.col("size") == z), before).otherwise(starts)
-            before = before + F.greatest(F.col("n") - z + 1, F.lit(0))
+            before = before + F.greatest(F.least(F.col("n") - z + 1, F.lit(BLOCK)), F.lit(0))
     pos = (F.col("at") - starts + 1).alias("pos")
     if small:
-        met = hashed.select("key", "row", "t", "k", F.posexplode_outer("w").alias("at", "h")).join(F.broadcast(hashes), "h")
-        met = met.withColumn("n", F.size("t")).select("key", "row", "h", "size", "template", "t", "k", pos)
+        met = hashed.select("key", "row", "start", "t", "k", F.posexplode_outer("w").alias("at", "h")).join(F.broadcast(hashes), "h")
+        met = met.withColumn("n", F.size("t")).select("key", "row", "start", "h", "size", "template", "t", "k", pos)
     else:
-        narrow = hashed.select("key", "row", F.size("t").alias("n"), F.posexplode_outer("w").alias("at", "h")).join(hashes, "h")
-        narrow = narrow.select(F.col("key").alias("of"), F.col("row").alias("of_row"), "h", "size", "template", pos).distinct()
-        texts = _hashed(docs, key, text).select("key", "row", "t", "k").dropDuplicates(["key", "row"])
-        met = narrow.join(texts, F.col("of").eqNullSafe(F.col("key")) & (F.col("of_row") == F.col("row")))
-    return met.select("key", "row", "pos", "h", _slots().alias("slots"))
+        narrow = hashed.select("key", "row", "start", F.size("t").alias("n"), F.posexplode_outer("w").alias("at", "h")).join(hashes, "h")
+        narrow = narrow.select(F.col("key").alias("of"), F.col("row").alias("of_row"), F.col("start").alias("of_start"), "h", "size",
+                               "template", pos).distinct()
+        blocks = _hashed(docs, key, text).select("key", "row", "start", "t", "k").dropDuplicates(["key", "row", "start"])
+        met = narrow.join(blocks, F.col("of").eqNullSafe(F.col("key")) & (F.col("of_row") == F.col("row"))
+                          & (F.col("of_start") == F.col("start")))
+    return met.select("key", "row", (F.col("start") + F.col("pos") - 1).alias("pos"), "h", _slots().alias("slots"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",

@@ -452,6 +452,42 @@ def test_decontamination_matches_brute_force(spark):
         assert {r.doc_id for r in got} == want
 
 
+def test_decontamination_hits_carry_a_block_of_their_text(spark, monkeypatch):
+    benchmark = spark.createDataFrame([(1, ITEM.format(12, 300, "Welsh"))], "item_id int, text string")
+    texts = [" and ".join(ITEM.format(i, 300, "Welsh") for i in range(100)), "nothing of it " * 900]
+    monkeypatch.setattr(decontamination, "_slots", lambda: F.size("t").cast("string"))
+    items = decontamination.item_windows(benchmark, "item_id", "text", 0.25)
+    hashes = items.select("h", "size", "template").distinct()
+    for small in (True, False):
+        found = decontamination.found_windows(make(spark, texts), "doc_id", "text", hashes, [8], small).collect()
+        assert len(found) > 1000 and max(r.pos for r in found) > 2000
+        assert max(int(r.slots) for r in found) < 500  # of 2,400 tokens
+
+
+def test_decontamination_finds_the_same_in_blocks_of_any_size(spark, monkeypatch):
+    rng = random.Random(41)
+    items = [ITEM.format(12, 300, "Welsh"), "how deep is the blue lake", "What is 12 + 34 * 56 - 78", "who wrote it",
+             "it took 12 kg of flour and 30 minutes in Oslo before " + ITEM.format(1, 2, "Roman")]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    filler = "some other words go here, Maria says, for 20 kg or 5".split()
+    docs = []
+    for _ in range(25):
+        parts = []
+        for _ in range(rng.randint(1, 5)):
+            piece = rng.choice(items).split()
+            piece = [str(rng.randint(1, 99)) if x.isdigit() and rng.random() < 0.5 else x for x in piece]
+            parts += [*rng.choices(filler, k=rng.randint(0, 9)), *piece[rng.randint(0, 3):]]
+        docs.append(" ".join(parts))
+    docs += [None, "", "who wrote it", items[1]]
+    results = []
+    for block in (10**6, 1, 7):
+        monkeypatch.setattr(decontamination, "BLOCK", block)
+        for bound in (10**6, 3):
+            found = decontamination.matches(make(spark, docs), benchmark, max_broadcast=bound).collect()
+            results.append({(r.doc_id, r.item_id): tuple(r)[2:] for r in found})
+    assert len(results[0]) > 20 and all(x == results[0] for x in results)
+
+
 def test_toxicity_scores_every_occurrence():
     insults = ["vile", "scoundrel", "wretch", "liar", "crook", "brute"]
     model = toxicity.Model(scores={w: 3.0 for w in insults}, rate=1.0, weights=(1.0, 1.0, -5.0))
