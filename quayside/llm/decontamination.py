@@ -155,23 +155,19 @@ def item_windows(benchmark: DataFrame, item: str, text: str, min_share: float) -
 
 def found_windows(docs: DataFrame, key: str, text: str, hashes: DataFrame, sizes: list[int], small: bool) -> DataFrame:
     """(key, row, pos, h, slots): the windows of ``docs`` whose hash is one of ``hashes`` (h, size, template)."""
-    hashed = _hashed(docs, key, text)
-    every = F.concat(*[_hashes(of, F.lit(z)) for of in "lh" for z in sizes]) if sizes else F.array().cast("array<bigint>")
-    hashed = hashed.select("key", "row", "start", "t", "k", every.alias("w"))
-    # hashes of one size and kind follow those of the one before
-    before, starts = F.lit(0), F.lit(None).cast("int")
-    for template in (False, True):
-        for z in sizes:
-            starts = F.when((F.col("template") == template) & (F.col("size") == z), before).otherwise(starts)
-            before = before + F.greatest(F.least(F.col("n") - z + 1, F.lit(BLOCK)), F.lit(0))
-    pos = (F.col("at") - starts + 1).alias("pos")
+    of_block = F.sequence(F.lit(1), F.greatest(F.least(F.size("t"), F.lit(BLOCK)), F.lit(1)))
+    part = lambda of, z: F.slice(of, F.col("pos"), F.lit(z))
+    window = lambda of, z: F.when(F.size(of) >= F.col("pos") + z - 1,
+                                  F.xxhash64(F.lit(1), part(of, z)) if of == "h" else F.xxhash64(part(of, z)))
+    # one window at a time, in generated code: no array of a text's windows is made
+    placed = _hashed(docs, key, text).select("key", "row", "start", "t", "k", "l", "h", F.explode_outer(of_block).alias("pos"))
+    every = F.array(*[window(of, z) for of in "lh" for z in sizes]).cast("array<bigint>")
+    hashed = placed.select("key", "row", "start", "t", "k", "pos", F.explode_outer(every).alias("h"))
     if small:
-        met = hashed.select("key", "row", "start", "t", "k", F.posexplode_outer("w").alias("at", "h")).join(F.broadcast(hashes), "h")
-        met = met.withColumn("n", F.size("t")).select("key", "row", "start", "h", "size", "template", "t", "k", pos)
+        met = hashed.join(F.broadcast(hashes), "h")
     else:
-        narrow = hashed.select("key", "row", "start", F.size("t").alias("n"), F.posexplode_outer("w").alias("at", "h")).join(hashes, "h")
-        narrow = narrow.select(F.col("key").alias("of"), F.col("row").alias("of_row"), F.col("start").alias("of_start"), "h", "size",
-                               "template", pos).distinct()
+        narrow = hashed.drop("t", "k").join(hashes, "h").select(
+            F.col("key").alias("of"), F.col("row").alias("of_row"), F.col("start").alias("of_start"), "h", "size", "template", "pos").distinct()
         blocks = _hashed(docs, key, text).select("key", "row", "start", "t", "k").dropDuplicates(["key", "row", "start"])
         met = narrow.join(blocks, F.col("of").eqNullSafe(F.col("key")) & (F.col("of_row") == F.col("row"))
                           & (F.col("of_start") == F.col("start")))
