@@ -192,21 +192,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: st
         F.split("item_slots", _SLOT), F.split("slots", _SLOT), lambda i, d: F.struct(i.alias("i"), d.alias("d"))))
     places = found.groupBy("key", "row", "item", "kind", (F.col("pos") - F.col("item_pos")).alias("shift")).agg(
         F.sort_array(F.collect_set(F.struct("item_pos", "weight"))).alias("at"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"))
-    seen = _occurrences(places.withColumn("in_a_row", _heaviest_run(F.col("at")))).agg(
-        F.array_distinct(F.flatten(F.collect_set("at"))).alias("at"), F.max("in_a_row").alias("in_a_row"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    seen = seen.withColumn("n_found", F.size("at")).withColumn("weight", F.aggregate("at", F.lit(0.0), lambda had, x: had + x["weight"]))
+    seen = _evidence(_occurrences(places.withColumn("in_a_row", _heaviest_run(F.col("at")))))
     judged = seen.join(F.broadcast(sizes) if small else sizes, F.col("item").eqNullSafe(F.col("of")) & (F.col("kind") == F.col("of_kind")))
-    same = F.forall("pairs", lambda p: p["i"] == p["d"])
-    one_each = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"])))
-    # the original may stand beside a variant: its slots, equal in the item and the document, don't count against it
-    others = F.filter("pairs", lambda p: p["i"] != p["d"])
-    rest = F.size(others) == F.size(F.array_distinct(F.transform(others, lambda p: p["i"])))
     share = F.round(F.col("weight") / F.col("whole"), 9)
     enough = F.when(F.col("kind") == "dense", F.col("n_found") == F.col("n_windows")).otherwise(
         (share >= min_share) | (F.col("in_a_row") >= min_run))
     found = judged.where(enough).select("key", "item", F.struct(
-        (one_each | rest).alias("consistent"), share, same.alias("exact"), "n_found", "n_windows").alias("o"))
+        (F.col("one_each") | F.col("rest")).alias("consistent"), share, "exact", "n_found", "n_windows").alias("o"))
     return found.groupBy("key", "item").agg(F.max("o").alias("o")).select(
         F.col("key").alias(key), F.col("item").alias(item), "o.n_windows", "o.n_found", "o.consistent", "o.exact")
 
@@ -222,17 +214,44 @@ def _heaviest_run(at: Column) -> Column:
     return F.round(F.aggregate(at, start, step, lambda had: had["most"]), 9)
 
 
-def _occurrences(places: DataFrame):
-    """Places (key, row, item, kind, shift) grouped by key, item, kind and each occurrence that they may belong to."""
-    along = Window.partitionBy("key", "row", "item", "kind").orderBy("shift")
+def _occurrences(places: DataFrame) -> DataFrame:
+    """(key, item, kind, occurrence, at, in_a_row, pairs): each place for each occurrence that it may belong to."""
+    of_text = Window.partitionBy("key", "row", "item", "kind")
+    along = of_text.orderBy("shift")
     apart = F.coalesce(F.col("shift") - F.lag("shift").over(along) > MAX_SHIFT, F.lit(False))
-    runs = places.withColumn("apart", apart.cast("int")).withColumn("run", F.sum("apart").over(along))
+    runs = places.withColumn("apart", apart.cast("int")).withColumn("run", F.sum("apart").over(along)).withColumn(
+        "n_places", F.count("*").over(of_text))
     number = lambda kind, row, at: F.struct(
         F.lit(kind).alias("kind"), row.cast("long").alias("row"), at.cast("long").alias("at"))
-    levels = F.array(number("place", F.col("row"), F.col("shift")), number("run", F.col("row"), F.col("run")),
-                     number("key", F.lit(0), F.lit(0)))
-    return runs.select("key", "item", "kind", "at", "in_a_row", "pairs", F.explode(levels).alias("occurrence")).groupBy(
-        "key", "item", "kind", "occurrence")
+    place, of_key = number("place", F.col("row"), F.col("shift")), number("key", F.lit(0), F.lit(0))
+    # a run of one place is that place
+    levels = F.when(F.col("n_places") == 1, F.array(place, of_key)).otherwise(
+        F.array(place, number("run", F.col("row"), F.col("run")), of_key))
+    return runs.select("key", "item", "kind", "at", "in_a_row", "pairs", F.explode(levels).alias("occurrence"))
+
+
+def _evidence(occurrences: DataFrame) -> DataFrame:
+    """(key, item, kind, occurrence, n_found, weight, in_a_row, one_each, exact, rest): what the places of an occurrence say
+    together. Windows and slot values of the item are grouped one by one, so however many rows share a key, no more is held
+    for it than the item has of them; values of documents for one value of the item are told apart by their hash.
+    """
+    none = F.lit(None)
+    entries = F.concat(
+        F.transform("at", lambda x: F.struct(x["item_pos"].alias("pos"), x["weight"].alias("weight"), none.cast("string").alias("i"),
+                                             none.cast("boolean").alias("same"), none.cast("long").alias("d"))),
+        F.transform("pairs", lambda p: F.struct(none.cast("int").alias("pos"), none.cast("double").alias("weight"), p["i"].alias("i"),
+                                                (p["i"] == p["d"]).alias("same"), F.xxhash64(p["d"]).alias("d"))))
+    every = occurrences.select("key", "item", "kind", "occurrence", "in_a_row", F.explode_outer(entries).alias("e")).select(
+        "key", "item", "kind", "occurrence", "in_a_row", "e.*")
+    # the original may stand beside a variant: its slots, equal in the item and the document, don't count against it
+    other = F.when(~F.col("same"), F.col("d"))
+    each = every.groupBy("key", "item", "kind", "occurrence", "pos", "i").agg(
+        F.max("weight").alias("weight"), F.max("in_a_row").alias("in_a_row"), F.bool_and("same").alias("same"),
+        (F.min("d") == F.max("d")).alias("one"), F.coalesce(F.min(other) == F.max(other), F.lit(True)).alias("one_other"))
+    true = lambda c: F.coalesce(F.bool_and(c), F.lit(True))
+    return each.groupBy("key", "item", "kind", "occurrence").agg(
+        F.count("pos").cast("int").alias("n_found"), F.sum("weight").alias("weight"), F.max("in_a_row").alias("in_a_row"),
+        true("one").alias("one_each"), true("same").alias("exact"), true("one_other").alias("rest"))
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",

@@ -488,6 +488,20 @@ def test_decontamination_finds_the_same_in_blocks_of_any_size(spark, monkeypatch
     assert len(results[0]) > 20 and all(x == results[0] for x in results)
 
 
+def test_decontamination_of_many_rows_with_one_key_collects_nothing(spark):
+    benchmark = spark.createDataFrame([(1, ITEM.format(12, 300, "Welsh")), (2, "how deep is the blue lake")], "item_id int, text string")
+    variants = [ITEM.format(i, 1000 - i, "Roman") for i in range(40)]
+    words = ITEM.format(12, 300, "Welsh").split()
+    rows = [(None, t) for t in variants] + [(5, " ".join(words[:14])), (5, " ".join(words[7:])), (6, ITEM.format(1, 2, "Irish"))]
+    docs = spark.createDataFrame([(k, t, "en", "s", None, "k", "x", 1, "h") for k, t in rows], SCHEMA)
+    found = decontamination.matches(docs, benchmark)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    assert not [x for x in plan if re.search(r"Aggregate \[[^\]]*occurrence", x) and "collect_" in x]
+    got = {r.doc_id: r for r in found.collect()}
+    assert set(got) == {None, 5, 6} and all(r.consistent and r.n_found == r.n_windows for r in got.values())
+    assert {k for k, r in got.items() if r.exact} == {5}  # two rows with the item in halves
+
+
 def test_toxicity_scores_every_occurrence():
     insults = ["vile", "scoundrel", "wretch", "liar", "crook", "brute"]
     model = toxicity.Model(scores={w: 3.0 for w in insults}, rate=1.0, weights=(1.0, 1.0, -5.0))
