@@ -56,7 +56,8 @@ MAX_SHIFT = 8
 DENSE_TOKENS, DENSE_LITERALS = 6, 2
 #: Items that may share a window before it can be left out as boilerplate.
 SHARED_BY = 10
-MAX_BROADCAST = 1_000_000
+#: Rows, and bytes of keys, of what is broadcast.
+MAX_BROADCAST, MAX_KEY_BYTES = 1_000_000, 32 << 20
 
 #: Units that a number can be followed by.
 UNITS = ("percent kg g mg km m cm mm mi mile miles ft feet inch inches l ml s sec seconds min minutes h hours hour day days "
@@ -264,6 +265,9 @@ def judge(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str
 
 
 def filter_clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that no item contaminates."""
-    bad = judge(docs, benchmark, key, text).select(F.col(key).alias("_bad"))
-    return docs.join(bad, docs[key].eqNullSafe(bad["_bad"]), "left_anti")
+    """The rows of ``docs`` that no item contaminates. Contaminated keys are broadcast up to a bound, so the texts stay where
+    they are; beyond it both are shuffled."""
+    bad = common.stored(judge(docs, benchmark, key, text).select(F.col(key).alias("_bad")), "contaminated")
+    n, size = bad.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.col("_bad").cast("string"))), F.lit(0))).first()
+    few = n <= MAX_BROADCAST and size <= MAX_KEY_BYTES
+    return docs.join(F.broadcast(bad) if few else bad, docs[key].eqNullSafe(bad["_bad"]), "left_anti")

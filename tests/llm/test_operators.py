@@ -502,6 +502,22 @@ def test_decontamination_of_many_rows_with_one_key_collects_nothing(spark):
     assert {k for k, r in got.items() if r.exact} == {5}  # two rows with the item in halves
 
 
+def test_decontamination_leaves_clean_texts_where_they_are(spark, monkeypatch):
+    benchmark = spark.createDataFrame([(1, ITEM.format(12, 300, "Welsh"))], "item_id int, text string")
+    rows = [(None, ITEM.format(1, 2, "Roman")), (None, "nothing of it"), (3, "nothing of it"), (3, "nothing of it"), (4, ITEM.format(1, 2, "Roman"))]
+    docs = spark.createDataFrame([(k, t, "en", "s", None, "k", "x", 1, "h") for k, t in rows], SCHEMA)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for bound, join in ((decontamination.MAX_BROADCAST, "BroadcastHashJoin"), (1, "SortMergeJoin")):
+            monkeypatch.setattr(decontamination, "MAX_BROADCAST", bound)
+            left = decontamination.filter_clean(docs, benchmark)
+            assert join in left._jdf.queryExecution().executedPlan().toString()
+            assert [r.doc_id for r in left.collect()] == [3, 3]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_toxicity_scores_every_occurrence():
     insults = ["vile", "scoundrel", "wretch", "liar", "crook", "brute"]
     model = toxicity.Model(scores={w: 3.0 for w in insults}, rate=1.0, weights=(1.0, 1.0, -5.0))
